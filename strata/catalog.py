@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.config import LayerConfig
+from strata.session import session_conf
 
 VERSION_PROPERTY = "strata.version"
 
@@ -41,18 +40,6 @@ def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in as_schema(schema)])
 
 
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions present in ``df``, so that a retried write adds nothing.
 

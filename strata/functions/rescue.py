@@ -7,6 +7,8 @@ for, go to the rescue column as JSON, together with the path of the file.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,29 +29,43 @@ def parse_text(raw: Column, to: DataType) -> Column:
     return raw.try_cast(to)
 
 
+def how_many(values: list[Column]) -> Column:
+    """How many of the values are not NULL."""
+    return reduce(add, [F.when(v.isNotNull(), 1).otherwise(0) for v in values], F.lit(0))
+
+
 def with_rescue(
     df: DataFrame,
     schema: StructType,
     raw: Callable[[str], Column],
     extras: Column,
+    found: Column,
 ) -> DataFrame:
     """Project ``df`` onto ``schema``, ``_rescued_data`` and ``source_file``.
 
     ``raw(name)`` is the text found for a column; ``extras`` is a map of the fields that have no
-    column (NULL values in it are ignored).
+    column (NULL values in it are ignored). ``found`` counts the values of the row, or is NULL if
+    unknown: where as many came out typed, there is nothing to rescue and no map is built.
     """
-    typed = [parse_text(raw(f.name), f.dataType).alias(f.name) for f in schema]
+    columns = [F.col(f"`{f.name}`") for f in schema]
+    typed = {f.name: parse_text(raw(f.name), f.dataType) for f in schema}
     misfits = [
         part
         for f in schema
         if not isinstance(f.dataType, StringType)
-        for part in (
-            F.lit(f.name),
-            F.when(parse_text(raw(f.name), f.dataType).isNull(), raw(f.name)),
-        )
+        for part in (F.lit(f.name), F.when(typed[f.name].isNull(), raw(f.name)))
     ]
-    found = F.map_concat(extras, F.create_map(*misfits)) if misfits else extras
-    kept = F.map_filter(found, lambda _, value: value.isNotNull())
-    with_path = F.map_concat(kept, F.create_map(F.lit(FILE_PATH), F.col(SOURCE_FILE)))
-    rescued = F.when(F.size(kept) > 0, F.to_json(with_path)).alias(RESCUED)
-    return df.select(*typed, rescued, SOURCE_FILE)
+    values = F.map_concat(extras, F.create_map(*misfits)) if misfits else extras
+    kept = F.map_filter(values, lambda _, value: value.isNotNull())
+    clean = found.eqNullSafe(how_many(list(typed.values())))
+    # A field that is itself called like the path entry wins; the path is in source_file as well.
+    path = F.map_filter(
+        F.create_map(F.lit(FILE_PATH), F.col(SOURCE_FILE)),
+        lambda name, _: ~F.map_contains_key(RESCUED, name),
+    )
+    rescued = F.when(F.size(RESCUED) > 0, F.to_json(F.map_concat(RESCUED, path))).alias(RESCUED)
+    return df.select(
+        *[column.alias(name) for name, column in typed.items()],
+        F.when(~clean, kept).alias(RESCUED),
+        SOURCE_FILE,
+    ).select(*columns, rescued, SOURCE_FILE)

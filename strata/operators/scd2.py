@@ -9,6 +9,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.scalars import ACTIVE, END_DATE, INACTIVE, STATUS
 
@@ -29,54 +30,70 @@ def delivered_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     Counted map-side before the shuffle, so a key that fills a third of the batch moves as one
     row per task.
     """
-    return batch.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias(COPIES))
+    return batch.filter(~_missing(keys)).groupBy(*keys).agg(F.count("*").alias(COPIES))
 
 
 def _missing(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def scd2_merge(
+def close_versions(
     target: DataFrame,
-    batch: DataFrame,
+    delivered: DataFrame,
     keys: Sequence[str],
     effective_date: date | None = None,
-    delivered: DataFrame | None = None,
 ) -> DataFrame:
-    """Close the active versions of every delivered key and insert every delivered row.
-
-    There is no change detection: a row delivered again unchanged opens a new version. A row with
-    a NULL key matches nothing and is inserted twice. A key that is active in the target and comes
-    more than once in the batch is ambiguous and fails the query.
+    """The target with the active versions of all delivered keys closed.
 
-    One pass over each side: the target is joined to the distinct keys only, which Spark
-    broadcasts if they are small and otherwise sort-merges with a skew-split target side. Callers
-    that run this on a large target pass ``delivered`` as a materialised cache of
-    ``delivered_keys(batch, keys)``, whose exact size the planner then knows.
+    A key that is active in the target and was delivered more than once is ambiguous and fails
+    the query, whatever is made of the result.
     """
-    if delivered is None:
-        delivered = delivered_keys(batch, keys)
     closing_day = F.current_date() if effective_date is None else F.lit(effective_date)
-
     hit = F.col(COPIES).isNotNull() & (F.col(STATUS) == ACTIVE)
-    ambiguous = hit & (F.col(COPIES) > 1)
     message = F.concat_ws(
         " ",
         F.lit("more than one row of the batch updates the active version of key"),
         *[F.col(k).cast("string") for k in keys],
     )
+    refuse = F.when(hit & (F.col(COPIES) > 1), F.raise_error(message).cast("boolean"))
     closed = {
         END_DATE: F.when(hit, closing_day).otherwise(F.col(END_DATE)),
         STATUS: F.when(hit, F.lit(INACTIVE)).otherwise(F.col(STATUS)),
     }
-    versions = (
+    return (
         target.join(delivered, list(keys), "left")
-        .filter(F.when(ambiguous, F.raise_error(message).cast("boolean")).otherwise(True))
+        .filter(refuse.otherwise(True))
         .select(*[closed.get(c, F.col(c)).alias(c) for c in target.columns])
     )
+
+
+def open_versions(batch: DataFrame, keys: Sequence[str], schema: StructType) -> DataFrame:
+    """Every delivered row as a new version; a row with a NULL key comes twice."""
     times = F.when(_missing(keys), 2).otherwise(1)
-    inserts = batch.select(
-        *[F.col(f.name).cast(f.dataType) for f in target.schema],
+    return batch.select(
+        *[F.col(f.name).cast(f.dataType) for f in schema],
         F.explode(F.array_repeat(F.lit(True), times)).alias("_copy"),
     ).drop("_copy")
-    return versions.unionByName(inserts)
+
+
+def scd2_merge(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    effective_date: date | None = None,
+    delivered: DataFrame | None = None,
+) -> DataFrame:
+    """Close the active versions of every delivered key and insert every delivered row.
+
+    There is no change detection: a row delivered again unchanged opens a new version. Keys the
+    batch does not hold stay as they are. NULL keys match nothing, see ``open_versions``.
+
+    One pass over each side: the target is joined to the distinct keys only, which Spark
+    broadcasts if they are small and otherwise sort-merges with a skew-split target side. Callers
+    that run this on a large target pass ``delivered`` as a materialised cache of
+    ``delivered_keys(batch, keys)``, whose exact size the planner then knows.
+    """
+    if delivered is None:
+        delivered = delivered_keys(batch, keys)
+    closed = close_versions(target, delivered, keys, effective_date)
+    return closed.unionByName(open_versions(batch, keys, target.schema))

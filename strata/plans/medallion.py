@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.catalog import create_namespaces, replace_table
 from strata.config import LayerConfig
 from strata.operators.mart import MartSpec, build_mart
+from strata.session import join_settings, session_conf
 from strata.streaming.dimensions import DimensionSpec, merge_dimension
 from strata.streaming.facts import FactSpec, append_fact
 from strata.streaming.ingest import FeedSpec, ingest
@@ -50,7 +51,8 @@ def gold_rows(spark: SparkSession, gold: GoldSpec) -> DataFrame:
 
 
 def create_gold(spark: SparkSession, gold: GoldSpec) -> None:
-    replace_table(spark, gold.table, gold_rows(spark, gold))
+    with session_conf(spark, join_settings(spark)):
+        replace_table(spark, gold.table, gold_rows(spark, gold))
 
 
 def side_by_side(run: Callable[[Step], None], steps: Iterable[Step]) -> None:

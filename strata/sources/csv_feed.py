@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.functions.rescue import CORRUPT, with_rescue
+from strata.functions.rescue import CORRUPT, how_many, with_rescue
 from strata.functions.scalars import SOURCE_FILE
 from strata.sources.schema import by_header, literal_path
 
@@ -21,10 +21,13 @@ def read_one_header(
     All columns are read as text, so ``007`` and ``12.50`` stay as they are. A row with too many
     or too few fields also goes whole to the rescue column.
     """
-    text = StructType([StructField(name, StringType()) for name in (*header, CORRUPT)])
+    corrupt = CORRUPT
+    while corrupt in header:
+        corrupt = f"_{corrupt}"
+    text = StructType([StructField(name, StringType()) for name in (*header, corrupt)])
     rows = (
         spark.read.schema(text)
-        .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
+        .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=corrupt)
         .csv([literal_path(p) for p in paths])
         .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
@@ -33,9 +36,10 @@ def read_one_header(
         found = F.col(f"`{name}`") if name in header else F.lit(None)
         return found.cast("string")
 
-    unknown = [name for name in header if name not in schema.names] + [CORRUPT]
+    unknown = [name for name in header if name not in schema.names] + [corrupt]
     extras = F.create_map(*[part for n in unknown for part in (F.lit(n), F.col(f"`{n}`"))])
-    return with_rescue(rows, schema, raw, extras)
+    found = how_many([F.col(f"`{n}`") for n in (*header, corrupt)])
+    return with_rescue(rows, schema, raw, extras, found)
 
 
 def read_any_header(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame | None:

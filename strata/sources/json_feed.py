@@ -14,7 +14,8 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Rows of ``value``, ``source_file`` to the columns of ``schema`` plus the rescue column.
 
     A line holds an object or an array of objects. Field names are matched with their case. A line
-    that is not JSON gives a row of NULLs with the whole line in the rescue column.
+    that is not JSON gives a row of NULLs with the whole line in the rescue column. Numbers with a
+    fraction or an exponent reach text as Spark's JSON parser writes them: ``1e3`` as ``1000.0``.
     """
     text = F.col("value")
     unread = F.array(F.lit(None).cast("map<string,string>"))
@@ -32,4 +33,5 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
         schema,
         raw=lambda name: F.col("fields").getItem(name),
         extras=F.coalesce(unknown, whole_line),
+        found=F.size("fields"),
     )

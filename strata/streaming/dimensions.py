@@ -26,7 +26,8 @@ from strata.catalog import (
     publish_view,
 )
 from strata.functions.scalars import ACTIVE, BATCH_ID, INACTIVE, STATUS, with_version_columns
-from strata.operators.scd2 import delivered_keys, scd2_merge
+from strata.operators.scd2 import delivered_keys, open_versions, scd2_merge
+from strata.session import join_settings, session_conf
 from strata.streaming.drain import drain, stream_identity
 
 BATCH_MARK = "strata.batch"
@@ -93,19 +94,23 @@ def merge_batch(
     if committed == NO_BATCH and batch_id > 0 and STREAM_MARK not in marks:
         raise RuntimeError(f"{dim.table} is empty but its checkpoint is at batch {batch_id}")
 
-    active = (
-        spark.table(dim.versions)
-        .filter((F.col(BATCH_ID) == committed) & (F.col(STATUS) == ACTIVE))
-        .drop(BATCH_ID)
-    )
-    delivered = delivered_keys(batch, [dim.key]).persist()
-    try:
-        delivered.count()
-        merged = scd2_merge(active, batch, [dim.key], effective_date, delivered)
-        rows = merged.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-        overwrite_partitions(rows.select(*spark.table(dim.versions).columns), dim.versions)
-    finally:
-        delivered.unpersist()
+    stored = spark.table(dim.versions)
+
+    def write(versions: DataFrame) -> None:
+        rows = versions.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+        with session_conf(spark, join_settings(spark)):
+            overwrite_partitions(rows.select(*stored.columns), dim.versions)
+
+    if committed == NO_BATCH:
+        write(open_versions(batch, [dim.key], stored.drop(BATCH_ID).schema))
+    else:
+        active = stored.filter((F.col(BATCH_ID) == committed) & (F.col(STATUS) == ACTIVE))
+        delivered = delivered_keys(batch, [dim.key]).persist()
+        try:
+            delivered.count()
+            write(scd2_merge(active.drop(BATCH_ID), batch, [dim.key], effective_date, delivered))
+        finally:
+            delivered.unpersist()
     publish(spark, dim, batch_id, {STREAM_MARK: stream, PREVIOUS_MARK: str(committed)})
     drop_superseded(spark, dim, keep={batch_id, committed})
 

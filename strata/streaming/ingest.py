@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.catalog import create_table, overwrite_partitions, session_conf
+from strata.catalog import create_table, overwrite_partitions
 from strata.functions.scalars import BATCH_ID, CREATED_AT, RESCUED, SOURCE_FILE, with_created_at
+from strata.session import session_conf
 from strata.sources.csv_feed import is_header_mismatch, read_any_header, read_one_header
 from strata.sources.json_feed import parse_json_lines
 from strata.sources.schema import FILE_LISTING, csv_header, frozen_schema

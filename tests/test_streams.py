@@ -1,0 +1,312 @@
+"""Ingest, fact and dimension streams: increments, replays, crashes."""
+
+import json
+import os
+from collections import Counter
+from datetime import date, datetime
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+
+import strata.streaming.dimensions as dimensions
+import strata.streaming.ingest as ingesting
+from strata.catalog import create_namespaces, properties
+from strata.config import LayerConfig
+from strata.sources.json_feed import parse_json_lines
+from strata.streaming.dimensions import DimensionSpec, merge_batch, merge_dimension
+from strata.streaming.drain import drain
+from strata.streaming.facts import FactSpec, append_fact
+from strata.streaming.ingest import FeedSpec, feed_schema, ingest
+
+D1, D2, D3 = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    config = LayerConfig(str(tmp_path / "lake"), prefix=f"t{uuid4().hex[:8]}_")
+    create_namespaces(spark, config)
+    return config
+
+
+@pytest.fixture
+def feed(config, tmp_path):
+    def make(file_format, **options):
+        folder = tmp_path / "feed"
+        folder.mkdir(exist_ok=True)
+        return FeedSpec(
+            file_format, str(folder), config.table("bronze", "t"),
+            config.checkpoint("bronze", "t"), "t bronze", **options,
+        )
+
+    return make
+
+
+def put(feed, name, text, age=0):
+    path = os.path.join(feed.path, name)
+    with open(path, "w") as file:
+        file.write(text)
+    os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
+
+
+def bag(df, *columns):
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+def crash_once(monkeypatch, module, name, after=False):
+    """The next call of ``module.name`` fails, before or after doing its work."""
+    real = getattr(module, name)
+
+    def broken(*args, **kwargs):
+        monkeypatch.setattr(module, name, real)
+        if after:
+            real(*args, **kwargs)
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(module, name, broken)
+
+
+# --- ingest
+
+
+def test_json_increments(spark, feed):
+    t = feed("json", hints="day DATE", files_per_batch=1)
+    put(t, "a.json", '{"id":1,"day":"2024-01-01"}\n{"id":2,"day":"x"}\n', age=3)
+    put(t, "b b.json", '{"id":3,"more":1}\n', age=2)
+    ingest(spark, t)
+    put(t, "c.json", '{"id":"four"}\n', age=1)
+    put(t, "a.json", '{"id":99}\n')
+    ingest(spark, t)
+    ingest(spark, t)
+    table = spark.table(t.table)
+    assert table.columns == ["day", "id", "more", "_rescued_data", "created_at", "source_file"]
+    assert bag(table, "id", "day", "more") == Counter(
+        [(1, D1, None), (2, None, None), (3, None, 1), (None, None, None)]
+    )
+    rescued = {json.loads(r._rescued_data).get("id") for r in table.dropna(subset="_rescued_data").collect()}
+    assert rescued == {None, "four"}
+    assert table.filter("created_at IS NULL").isEmpty()
+    assert {r[0].rsplit("/", 1)[1] for r in table.select("source_file").collect()} == {"a.json", "b%20b.json", "c.json"}
+
+
+def test_json_stream_equals_batch(spark, feed):
+    t = feed("json", files_per_batch=2)
+    for i in range(5):
+        put(t, f"{i}.json", f'{{"id":{i}}}\n{{"id":"z{i}"}}\nbroken\n' if i else '{"id":0}\n', age=9 - i)
+    feed_schema(spark, feed("json", sample=1))
+    ingest(spark, t)
+    lines = spark.read.text(t.path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    batch = parse_json_lines(lines, feed_schema(spark, t))
+    assert bag(spark.table(t.table), *batch.columns) == bag(batch, *batch.columns)
+    assert spark.table(t.table).count() == 13
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_csv_increments(spark, feed, files_per_batch):
+    t = feed("csv", sample=1, files_per_batch=files_per_batch)
+    put(t, "a.csv", "id,price\n1,$1.00\n", age=3)
+    put(t, "b b.csv", "price,id,more\n$2.00,2,m\n", age=2)
+    put(t, "empty.csv", "", age=2)
+    put(t, "header.csv", "id,price\n", age=1)
+    ingest(spark, t)
+    put(t, "c.csv", 'id,price\nthree,"$3,00"\n')
+    ingest(spark, t)
+    ingest(spark, t)
+    table = spark.table(t.table)
+    assert table.columns == ["id", "price", "_rescued_data", "created_at", "source_file", "_batch_id"]
+    assert bag(table, "id", "price") == Counter([(1, "$1.00"), (2, "$2.00"), (None, "$3,00")])
+    rescued = [json.loads(r._rescued_data) for r in table.dropna(subset="_rescued_data").collect()]
+    assert all(r.pop("_file_path") for r in rescued)
+    assert sorted(rescued, key=str) == [{"id": "three"}, {"more": "m"}]
+
+
+def test_csv_batch_of_empty_files(spark, feed):
+    t = feed("csv")
+    put(t, "a.csv", "id\n1\n", age=1)
+    ingest(spark, t)
+    put(t, "b.csv", "")
+    ingest(spark, t)
+    put(t, "c.csv", "id\n2\n")
+    ingest(spark, t)
+    assert bag(spark.table(t.table), "id") == Counter([(1,), (2,)])
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_csv_crash_while_writing(spark, feed, monkeypatch, after):
+    t = feed("csv")
+    put(t, "a.csv", "id\n1\n2\n")
+    crash_once(monkeypatch, ingesting, "overwrite_partitions", after)
+    with pytest.raises(Exception, match="crash"):
+        ingest(spark, t)
+    put(t, "b.csv", "id\n3\n")
+    ingest(spark, t)
+    assert bag(spark.table(t.table), "id") == Counter([(1,), (2,), (3,)])
+
+
+# --- facts
+
+
+def bronze(spark, table, rows, schema, day=D1):
+    stamped = spark.createDataFrame(rows, schema).withColumns(
+        {
+            "_rescued_data": F.lit(None).cast("string"),
+            "created_at": F.lit(datetime(day.year, day.month, day.day, 9)),
+            "source_file": F.lit("f"),
+        }
+    )
+    stamped.coalesce(1).write.mode("append").format("parquet").saveAsTable(table)
+
+
+def test_fact_append(spark, config):
+    fact = FactSpec(
+        config.table("bronze", "f"), config.table("silver", "f"), "id LONG, n LONG",
+        config.checkpoint("silver", "f"), "f silver", files_per_batch=1,
+    )
+    bronze(spark, fact.source, [(5, 1, "x"), (6, None, "x")], "n int, id int, extra string")
+    append_fact(spark, fact)
+    bronze(spark, fact.source, [(5, 1, "x")], "n int, id int, extra string")
+    bronze(spark, fact.source, [(7, 2, "x")], "n int, id int, extra string")
+    append_fact(spark, fact)
+    append_fact(spark, fact)
+    assert spark.table(fact.table).dtypes == [("id", "bigint"), ("n", "bigint")]
+    assert bag(spark.table(fact.table), "id", "n") == Counter({(1, 5): 2, (None, 6): 1, (2, 7): 1})
+
+
+def test_failed_stream_raises(spark, config):
+    source = config.table("bronze", "f")
+    bronze(spark, source, [(1,)], "n int")
+    rows = spark.readStream.table(source).selectExpr("raise_error('bad row') AS n")
+    with pytest.raises(Exception, match="bad row"):
+        drain(rows, "bad", config.checkpoint("silver", "bad"), config.table("silver", "bad"))
+
+
+# --- dimensions
+
+DIM_SCHEMA = "k STRING, v INT, start_date DATE, end_date DATE, status STRING"
+IN_SCHEMA = "k string, v int"
+
+
+@pytest.fixture
+def dim(config):
+    return DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver",
+    )
+
+
+FIRST = [("a", 1), ("b", 1), (None, 0)]
+AFTER_FIRST = Counter({("a", 1, D1, None, "a"): 1, ("b", 1, D1, None, "a"): 1, (None, 0, D1, None, "a"): 2})
+SECOND = [("a", 2), ("c", 1)]
+AFTER_SECOND = Counter(
+    {
+        ("a", 1, D1, D2, "i"): 1, ("b", 1, D1, None, "a"): 1, (None, 0, D1, None, "a"): 2,
+        ("a", 2, D2, None, "a"): 1, ("c", 1, D2, None, "a"): 1,
+    }
+)
+
+
+def deliver(spark, dim, rows, day):
+    bronze(spark, dim.source, rows, IN_SCHEMA, day)
+    merge_dimension(spark, dim, day)
+
+
+def test_dimension_grows(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+    deliver(spark, dim, SECOND, D2)
+    merge_dimension(spark, dim, D3)
+    assert spark.table(dim.table).columns == ["k", "v", "start_date", "end_date", "status"]
+    assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+
+
+def test_one_batch_per_file_makes_a_chain(spark, config):
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", files_per_batch=1,
+    )
+    for n in range(4):
+        bronze(spark, dim.source, [("a", n)], IN_SCHEMA, date(2024, 1, 1 + n))
+    merge_dimension(spark, dim, D3)
+    rows = sorted((r.v, r.status, r.end_date) for r in spark.table(dim.table).collect())
+    assert rows == [(0, "i", D3), (1, "i", D3), (2, "i", D3), (3, "a", None)]
+    active_copies = {
+        r.partition for r in spark.sql(f"SHOW PARTITIONS {dim.versions}").collect() if "status=a" in r.partition
+    }
+    assert active_copies == {"_batch_id=2/status=a", "_batch_id=3/status=a"}
+
+
+@pytest.mark.parametrize(
+    "name, after",
+    [("overwrite_partitions", False), ("overwrite_partitions", True), ("publish", True), ("drop_superseded", False)],
+)
+def test_dimension_crash(spark, dim, monkeypatch, name, after):
+    deliver(spark, dim, FIRST, D1)
+    crash_once(monkeypatch, dimensions, name, after)
+    with pytest.raises(Exception, match="crash"):
+        deliver(spark, dim, SECOND, D2)
+    published = name in ("publish", "drop_superseded")
+    assert bag(spark.table(dim.table), "*") == (AFTER_SECOND if published else AFTER_FIRST)
+    merge_dimension(spark, dim, D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+
+
+def test_replayed_batch_changes_nothing(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    deliver(spark, dim, SECOND, D2)
+    marks = properties(spark, dim.table)
+    stale = spark.createDataFrame([("a", 9, D3, None, "a")], DIM_SCHEMA)
+    merge_batch(dim, stale, 1, marks["strata.stream"], D3)
+    assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+
+
+def test_ambiguous_batch_changes_nothing(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    with pytest.raises(Exception, match="more than one row of the batch"):
+        deliver(spark, dim, [("a", 2), ("a", 3)], D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+
+
+def test_lost_checkpoint_is_refused(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    fresh = DimensionSpec(**{**vars(dim), "checkpoint": dim.checkpoint + "_new"})
+    with pytest.raises(Exception, match="another checkpoint"):
+        merge_dimension(spark, fresh, D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+
+
+def test_lost_table_is_refused(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    spark.sql(f"DROP VIEW {dim.table}")
+    spark.sql(f"DROP TABLE {dim.versions}")
+    with pytest.raises(Exception, match="is empty but its checkpoint"):
+        deliver(spark, dim, SECOND, D2)
+
+
+def test_small_batch_does_not_shuffle_the_dimension(spark, dim, capsys):
+    """The distinct keys are measured first; few of them are broadcast to the active versions."""
+    deliver(spark, dim, [(str(i), i) for i in range(2000)], D1)
+    deliver(spark, dim, SECOND, D2)
+    active = spark.table(dim.versions).filter("_batch_id = 1 AND status = 'a'").drop("_batch_id")
+    batch = spark.createDataFrame([("5", 6, D3, None, "a")], DIM_SCHEMA)
+    keys = dimensions.delivered_keys(batch, ["k"]).persist()
+    keys.count()
+    dimensions.scd2_merge(active, batch, ["k"], D3, keys).explain()
+    keys.unpersist()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_view_reads_only_the_published_partitions(spark, dim, capsys):
+    deliver(spark, dim, FIRST, D1)
+    deliver(spark, dim, SECOND, D2)
+    deliver(spark, dim, SECOND, D3)
+
+    def partitions(df):
+        return {file.split("__versions/")[1].rsplit("/", 1)[0] for file in df.inputFiles()}
+
+    closed = {f"_batch_id={n}/status=i" for n in (1, 2)}
+    assert partitions(spark.table(dim.table)) == {"_batch_id=2/status=a"} | closed
+    current = spark.table(dim.table).filter("status = 'a'").select("v")
+    assert partitions(current) == {"_batch_id=2/status=a"}
+    current.explain()
+    assert "ReadSchema: struct<v:int>" in capsys.readouterr().out
