@@ -188,6 +188,30 @@ ORACLES: dict[str, str] = {
                product_type_id || ', new', CASE WHEN size > 40 THEN size || ' cm' END
         FROM parts WHERE size > 25
     """,
+    "bronze_products": f"""
+        SELECT product_id, product_type_id, size, '$' || CAST(price AS VARCHAR) AS price
+        FROM ({PARTS}) WHERE p_size <= 40
+    """,
+    "bronze_headers": f"""
+        SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(date AS VARCHAR) AS date, time
+        FROM ({HEADERS})
+    """,
+    "bronze_lines": f"""
+        SELECT CAST(line_id AS VARCHAR) AS line_id, CAST(order_id AS VARCHAR) AS order_id,
+               product_id, CAST(quantity AS VARCHAR) AS quantity
+        FROM ({LINES})
+    """,
+    "bronze_product_types": f"SELECT product_type_id, name, category, ingredients FROM ({TYPES})",
+    "silver_lines": LINES,
+    "silver_headers": HEADERS,
+    "silver_product_types": f"""
+        SELECT product_type_id, name, category, ingredients, status, end_date IS NOT NULL AS ended
+        FROM ({VERSIONED_TYPES})
+    """,
+    "silver_products": f"""
+        SELECT product_id, product_type_id, size, price, status, end_date IS NOT NULL AS ended
+        FROM ({VERSIONED_PRODUCTS})
+    """,
     "pipeline_end_to_end": mart(VERSIONED_PRODUCTS, VERSIONED_TYPES),
 }
 

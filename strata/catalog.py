@@ -20,6 +20,10 @@ def create_namespaces(spark: SparkSession, config: LayerConfig) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database} LOCATION '{location}'")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def as_schema(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
@@ -30,14 +34,14 @@ def create_table(
     schema: StructType | str,
     partitioned_by: tuple[str, ...] = (),
 ) -> None:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in as_schema(schema))
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in as_schema(schema))
     partitions = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions}")
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Select and cast to a declared schema; a Parquet append does not check it by itself."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in as_schema(schema)])
+    return df.select(*[F.col(quoted(f.name)).cast(f.dataType) for f in as_schema(schema)])
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:

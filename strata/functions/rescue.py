@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
+from strata.catalog import quoted
 from strata.functions.scalars import RESCUED, SOURCE_FILE
 
 CORRUPT = "_corrupt_record"
@@ -47,7 +48,7 @@ def with_rescue(
     column (NULL values in it are ignored). ``found`` counts the values of the row, or is NULL if
     unknown: where as many came out typed, there is nothing to rescue and no map is built.
     """
-    columns = [F.col(f"`{f.name}`") for f in schema]
+    columns = [F.col(quoted(f.name)) for f in schema]
     typed = {f.name: parse_text(raw(f.name), f.dataType) for f in schema}
     misfits = [
         part

@@ -24,7 +24,7 @@ def clean_price(price: Column, strict: bool = False) -> Column:
 
     Text that does not fit gives NULL; with ``strict`` it fails the query under ANSI mode.
     """
-    digits = F.regexp_replace(price, r"\$", "")
+    digits = F.replace(price, F.lit("$"), F.lit(""))
     return digits.cast("decimal(4,2)") if strict else digits.try_cast("decimal(4,2)")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.catalog import quoted
 from strata.functions.rescue import CORRUPT, how_many, with_rescue
 from strata.functions.scalars import SOURCE_FILE
 from strata.sources.schema import by_header, literal_path
@@ -33,12 +34,12 @@ def read_one_header(
     )
 
     def raw(name: str) -> Column:
-        found = F.col(f"`{name}`") if name in header else F.lit(None)
+        found = F.col(quoted(name)) if name in header else F.lit(None)
         return found.cast("string")
 
     unknown = [name for name in header if name not in schema.names] + [corrupt]
-    extras = F.create_map(*[part for n in unknown for part in (F.lit(n), F.col(f"`{n}`"))])
-    found = how_many([F.col(f"`{n}`") for n in (*header, corrupt)])
+    extras = F.create_map(*[part for n in unknown for part in (F.lit(n), F.col(quoted(n)))])
+    found = how_many([F.col(quoted(n)) for n in (*header, corrupt)])
     return with_rescue(rows, schema, raw, extras, found)
 
 

@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,9 @@ from strata.functions.rescue import CORRUPT
 # The columns of Spark's file listing source.
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-# Files sampled where a feed sets no sample size of its own.
+# What a schema is inferred from where a feed sets no sample size of its own.
 DEFAULT_SAMPLE_FILES = 1000
+DEFAULT_SAMPLE_BYTES = 50 * 2**30
 
 # Small reads in flight at a time when headers are looked up one file at a time.
 HEADER_READERS = 16
@@ -48,17 +50,25 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def sample_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """The oldest ``limit`` non-empty files of a folder. Only names are read, not contents."""
+def sample_files(spark: SparkSession, path: str, sample: int | None = None) -> list[str]:
+    """The oldest non-empty files of a folder. Only names and sizes are read, not contents.
+
+    ``sample`` files, or by default as many as stay within both default bounds.
+    """
     listing = (
         spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
         .load(path)
         .filter("length > 0")
-        .select("path", "modificationTime")
+        .select("path", "modificationTime", "length")
         .orderBy("modificationTime", "path")
-        .limit(limit)
+        .limit(sample or DEFAULT_SAMPLE_FILES)
     )
-    return [row["path"] for row in listing.collect()]
+    rows = listing.collect()
+    if sample is None:
+        before = accumulate((row["length"] for row in rows), initial=0)
+        rows = [row for row, size in zip(rows, before) if size < DEFAULT_SAMPLE_BYTES]
+    return [row["path"] for row in rows]
 
 
 def widen(left: DataType, right: DataType) -> DataType:
@@ -145,7 +155,7 @@ def frozen_schema(
     """The stored schema of a feed, inferred and stored on the first run."""
     schema = stored_schema(spark, location)
     if schema is None:
-        paths = sample_files(spark, path, sample or DEFAULT_SAMPLE_FILES)
+        paths = sample_files(spark, path, sample)
         if not paths:
             raise ValueError(f"no files to infer a schema from in {path}")
         infer = {"csv": infer_csv, "json": infer_json}[file_format]

@@ -24,6 +24,7 @@ from strata.catalog import (
     overwrite_partitions,
     properties,
     publish_view,
+    quoted,
 )
 from strata.functions.scalars import ACTIVE, BATCH_ID, INACTIVE, STATUS, with_version_columns
 from strata.operators.scd2 import delivered_keys, open_versions, scd2_merge
@@ -31,7 +32,6 @@ from strata.session import join_settings, session_conf
 from strata.streaming.drain import drain, stream_identity
 
 BATCH_MARK = "strata.batch"
-PREVIOUS_MARK = "strata.previous"
 STREAM_MARK = "strata.stream"
 NO_BATCH = -1
 
@@ -55,13 +55,13 @@ class DimensionSpec:
 
 
 def publish(spark: SparkSession, dim: DimensionSpec, batch_id: int, marks: dict[str, str]) -> None:
-    columns = ", ".join(f"`{f.name}`" for f in as_schema(dim.schema))
+    columns = ", ".join(quoted(f.name) for f in as_schema(dim.schema))
     query = (
         f"SELECT {columns} FROM {dim.versions} "
         f"WHERE ({STATUS} = '{ACTIVE}' AND {BATCH_ID} = {batch_id}) "
         f"OR ({STATUS} = '{INACTIVE}' AND {BATCH_ID} <= {batch_id})"
     )
-    publish_view(spark, dim.table, query, {BATCH_MARK: str(batch_id), **marks})
+    publish_view(spark, dim.table, query, {**marks, BATCH_MARK: str(batch_id)})
 
 
 def create_dimension(spark: SparkSession, dim: DimensionSpec) -> None:
@@ -94,6 +94,9 @@ def merge_batch(
     if committed == NO_BATCH and batch_id > 0 and STREAM_MARK not in marks:
         raise RuntimeError(f"{dim.table} is empty but its checkpoint is at batch {batch_id}")
 
+    if batch.isEmpty():
+        publish(spark, dim, committed, {STREAM_MARK: stream})
+        return
     stored = spark.table(dim.versions)
 
     def write(versions: DataFrame) -> None:
@@ -111,7 +114,7 @@ def merge_batch(
             write(scd2_merge(active.drop(BATCH_ID), batch, [dim.key], effective_date, delivered))
         finally:
             delivered.unpersist()
-    publish(spark, dim, batch_id, {STREAM_MARK: stream, PREVIOUS_MARK: str(committed)})
+    publish(spark, dim, batch_id, {STREAM_MARK: stream})
     drop_superseded(spark, dim, keep={batch_id, committed})
 
 
@@ -120,9 +123,10 @@ def drop_superseded(spark: SparkSession, dim: DimensionSpec, keep: set[int]) ->
 
     The copy before the newest stays for readers that have already planned on it.
     """
-    for row in spark.sql(f"SHOW PARTITIONS {dim.versions}").collect():
+    copies = f"SHOW PARTITIONS {dim.versions} PARTITION ({STATUS} = '{ACTIVE}')"
+    for row in spark.sql(copies).collect():
         values = dict(part.split("=") for part in row["partition"].split("/"))
-        if values[STATUS] == ACTIVE and int(values[BATCH_ID]) not in keep:
+        if int(values[BATCH_ID]) not in keep:
             spark.sql(
                 f"ALTER TABLE {dim.versions} DROP IF EXISTS PARTITION "
                 f"({BATCH_ID} = {values[BATCH_ID]}, {STATUS} = '{ACTIVE}')"

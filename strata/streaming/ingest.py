@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.catalog import create_table, overwrite_partitions
+from strata.catalog import create_table, overwrite_partitions, quoted
 from strata.functions.scalars import BATCH_ID, CREATED_AT, RESCUED, SOURCE_FILE, with_created_at
 from strata.session import session_conf
 from strata.sources.csv_feed import is_header_mismatch, read_any_header, read_one_header
@@ -45,6 +45,11 @@ def feed_schema(spark: SparkSession, feed: FeedSpec) -> StructType:
     )
 
 
+def file_options(feed: FeedSpec) -> dict[str, object]:
+    """Files of all subfolders count, but for those that begin with an underscore or a dot."""
+    return {"maxFilesPerTrigger": feed.files_per_batch, "recursiveFileLookup": True}
+
+
 def ingest(spark: SparkSession, feed: FeedSpec) -> None:
     {"csv": ingest_csv, "json": ingest_json}[feed.file_format](spark, feed)
 
@@ -53,7 +58,7 @@ def ingest_json(spark: SparkSession, feed: FeedSpec) -> None:
     schema = feed_schema(spark, feed)
     lines = (
         spark.readStream.format("text")
-        .option("maxFilesPerTrigger", feed.files_per_batch)
+        .options(**file_options(feed))
         .load(feed.path)
         .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
@@ -75,7 +80,7 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
-        .option("maxFilesPerTrigger", feed.files_per_batch)
+        .options(**file_options(feed))
         .load(feed.path)
         .select("path")
     )
@@ -112,7 +117,7 @@ def bronze_schema(schema: StructType) -> StructType:
 
 
 def bronze_rows(rows: DataFrame, schema: StructType) -> DataFrame:
-    return with_created_at(rows).select(*[F.col(f"`{n}`") for n in bronze_schema(schema).names])
+    return with_created_at(rows).select(*[F.col(quoted(n)) for n in bronze_schema(schema).names])
 
 
 def partition_exists(spark: SparkSession, table: str, batch_id: str) -> bool:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 from uuid import uuid4
 
@@ -19,16 +18,12 @@ from pyspark.sql import functions as F
 from strata.catalog import (
     conform,
     create_namespaces,
-    create_table,
-    overwrite_partitions,
     read_back,
     replace_table,
     row_count,
 )
 from strata.config import LayerConfig
 from strata.functions.scalars import (
-    ACTIVE,
-    BATCH_ID,
     clean_price,
     drop_technical,
     total_price,
@@ -36,7 +31,7 @@ from strata.functions.scalars import (
 )
 from strata.operators.mart import build_mart, join_headers, join_products, join_types
 from strata.operators.scd2 import scd2_merge, staged_union
-from strata.plans.medallion import Medallion, run_bronze, run_pipeline
+from strata.plans.medallion import Medallion, run_pipeline
 from strata.plans.orders import (
     HEADERS_SCHEMA,
     LINES_SCHEMA,
@@ -413,16 +408,25 @@ def ingest_csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_first(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    write_csv(first_products(spark, sf_dir), f"{landing}/products")
-    write_csv(raw_types(spark, sf_dir), f"{landing}/product_types")
-    write_json(lines(spark, sf_dir), f"{landing}/lines")
-    write_json(headers(spark, sf_dir), f"{landing}/headers")
+def land_first(spark: SparkSession, sf_dir: str, landing: str, *names: str) -> None:
+    """The first files of the named feeds, or of all."""
+    writers = {
+        "products": lambda path: write_csv(first_products(spark, sf_dir), path),
+        "product_types": lambda path: write_csv(raw_types(spark, sf_dir), path),
+        "lines": lambda path: write_json(lines(spark, sf_dir), path),
+        "headers": lambda path: write_json(headers(spark, sf_dir), path),
+    }
+    for name in names or writers:
+        writers[name](f"{landing}/{name}")
 
 
-def land_second(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    write_csv(second_products(spark, sf_dir), f"{landing}/products")
-    write_csv(raw_types(spark, sf_dir, "last"), f"{landing}/product_types")
+def land_second(spark: SparkSession, sf_dir: str, landing: str, *names: str) -> None:
+    writers = {
+        "products": lambda path: write_csv(second_products(spark, sf_dir), path),
+        "product_types": lambda path: write_csv(raw_types(spark, sf_dir, "last"), path),
+    }
+    for name in names or writers:
+        writers[name](f"{landing}/{name}")
 
 
 def landed_pipeline(spark: SparkSession) -> tuple[Medallion, str]:
@@ -430,6 +434,54 @@ def landed_pipeline(spark: SparkSession) -> tuple[Medallion, str]:
     return orders_pipeline(new_layers(spark), landing), landing
 
 
+def feed_rows(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    """One feed into its bronze table; the columns the files hold, as text. Clean files leave
+    nothing to rescue."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plan, landing = landed_pipeline(spark)
+        [feed] = [f for f in plan.feeds if f.path == f"{landing}/{name}"]
+        land_first(spark, sf_dir, landing, name)
+        ingest(spark, feed)
+        rows = read_back(spark, feed.table).filter("_rescued_data IS NULL")
+        return rows.select(*[F.col(c).cast("string").alias(c) for c in columns])
+
+    return query
+
+
+def silver_fact(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """One JSON feed through bronze into its typed silver table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plan, landing = landed_pipeline(spark)
+        [feed] = [f for f in plan.feeds if f.path == f"{landing}/{name}"]
+        [fact] = [f for f in plan.facts if f.source == feed.table]
+        land_first(spark, sf_dir, landing, name)
+        ingest(spark, feed)
+        append_fact(spark, fact)
+        return read_back(spark, fact.table)
+
+    return query
+
+
+def silver_dimension(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Two deliveries of one CSV feed through bronze into its dimension; without the dates, which
+    are those of the run."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plan, landing = landed_pipeline(spark)
+        [feed] = [f for f in plan.feeds if f.path == f"{landing}/{name}"]
+        [dim] = [d for d in plan.dimensions if d.source == feed.table]
+        for land in (land_first, land_second):
+            land(spark, sf_dir, landing, name)
+            ingest(spark, feed)
+            merge_dimension(spark, dim)
+        rows = read_back(spark, dim.table)
+        return rows.withColumn("ended", F.col("end_date").isNotNull()).drop("start_date", "end_date")
+
+    return query
+
+
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to gold in two runs; the second brings new versions of both dimensions."""
     plan, landing = landed_pipeline(spark)
@@ -463,5 +515,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scd2": stream_scd2,
     "ingest_json_rescue": ingest_json_rescue,
     "ingest_csv_rescue": ingest_csv_rescue,
+    "bronze_products": feed_rows("products", "product_id", "product_type_id", "size", "price"),
+    "bronze_headers": feed_rows("headers", "order_id", "date", "time"),
+    "bronze_lines": feed_rows("lines", "line_id", "order_id", "product_id", "quantity"),
+    "bronze_product_types": feed_rows(
+        "product_types", "product_type_id", "name", "category", "ingredients"
+    ),
+    "silver_lines": silver_fact("lines"),
+    "silver_headers": silver_fact("headers"),
+    "silver_product_types": silver_dimension("product_types"),
+    "silver_products": silver_dimension("products"),
     "pipeline_end_to_end": pipeline_end_to_end,
 }

@@ -131,6 +131,16 @@ def test_csv_batch_of_empty_files(spark, feed):
     assert bag(spark.table(t.table), "id") == Counter([(1,), (2,)])
 
 
+@pytest.mark.parametrize("file_format, text", [("csv", "id\n1\n"), ("json", '{"id":1}\n')])
+def test_subfolders_count_unless_hidden(spark, feed, file_format, text):
+    t = feed(file_format)
+    for folder in ("", "2024/01", "_checkpoint", ".tmp"):
+        os.makedirs(os.path.join(t.path, folder), exist_ok=True)
+        put(t, os.path.join(folder, f"f.{file_format}"), text)
+    ingest(spark, t)
+    assert bag(spark.table(t.table), "id") == Counter({(1,): 2})
+
+
 @pytest.mark.parametrize("after", [False, True])
 def test_csv_crash_while_writing(spark, feed, monkeypatch, after):
     t = feed("csv")
@@ -250,6 +260,16 @@ def test_dimension_crash(spark, dim, monkeypatch, name, after):
     assert bag(spark.table(dim.table), "*") == AFTER_SECOND
 
 
+def test_empty_batch_writes_nothing(spark, dim):
+    deliver(spark, dim, [], D1)
+    deliver(spark, dim, FIRST, D1)
+    deliver(spark, dim, [], D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+    assert spark.sql(f"SHOW PARTITIONS {dim.versions}").count() == 1
+    deliver(spark, dim, SECOND, D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+
+
 def test_replayed_batch_changes_nothing(spark, dim):
     deliver(spark, dim, FIRST, D1)
     deliver(spark, dim, SECOND, D2)
