@@ -12,7 +12,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from strata.catalog import quoted
 from strata.functions.scalars import RESCUED, SOURCE_FILE
@@ -41,15 +41,18 @@ def with_rescue(
     raw: Callable[[str], Column],
     extras: Column,
     found: Column,
+    parse: Callable[[StructField], Column] | None = None,
 ) -> DataFrame:
     """Project ``df`` onto ``schema``, ``_rescued_data`` and ``source_file``.
 
     ``raw(name)`` is the text found for a column; ``extras`` is a map of the fields that have no
     column (NULL values in it are ignored). ``found`` counts the values of the row, or is NULL if
     unknown: where as many came out typed, there is nothing to rescue and no map is built.
+    ``parse`` gives the typed value of a field, by default read from its text.
     """
+    parse = parse or (lambda field: parse_text(raw(field.name), field.dataType))
     columns = [F.col(quoted(f.name)) for f in schema]
-    typed = {f.name: parse_text(raw(f.name), f.dataType) for f in schema}
+    typed = {f.name: parse(f) for f in schema}
     misfits = [
         part
         for f in schema

@@ -2,36 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructField, StructType
 
-from strata.functions.rescue import CORRUPT, with_rescue
+from strata.functions.rescue import CORRUPT, parse_text, with_rescue
 from strata.functions.scalars import SOURCE_FILE
 
+RAW = "map<string,string>"
+
+
+def records(text: Column, kind: str) -> Column:
+    """The objects of a line as an array of ``kind``; [NULL] for a line that cannot be read."""
+    many = F.coalesce(F.from_json(text, f"array<{kind}>"), F.array(F.lit(None).cast(kind)))
+    return F.when(F.ltrim(text).startswith("["), many).otherwise(F.array(F.from_json(text, kind)))
+
 
 def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Rows of ``value``, ``source_file`` to the columns of ``schema`` plus the rescue column.
 
     A line holds an object or an array of objects. Field names are matched with their case. A line
-    that is not JSON gives a row of NULLs with the whole line in the rescue column. Numbers with a
-    fraction or an exponent reach text as Spark's JSON parser writes them: ``1e3`` as ``1000.0``.
+    that is not JSON gives a row of NULLs with the whole line in the rescue column.
+
+    Numbers with a fraction or an exponent reach text as Spark's JSON parser writes them: ``1e3``
+    as ``1000.0``. Decimal columns are parsed a second time, straight to their type, as that text
+    has the precision of a double.
     """
     text = F.col("value")
-    unread = F.array(F.lit(None).cast("map<string,string>"))
-    records = F.when(
-        F.ltrim(text).startswith("["),
-        F.coalesce(F.from_json(text, "array<map<string,string>>"), unread),
-    ).otherwise(F.array(F.from_json(text, "map<string,string>")))
-    parsed = lines.filter(F.length(F.trim(text)) > 0).select(
-        "value", SOURCE_FILE, F.explode(records).alias("fields")
-    )
+    rows = lines.filter(F.length(F.trim(text)) > 0)
+    exact = StructType([f for f in schema if isinstance(f.dataType, DecimalType)])
+    if exact.fields:
+        typed = records(text, exact.simpleString())
+        pairs = F.transform(
+            records(text, RAW),
+            lambda fields, i: F.struct(fields.alias("fields"), F.get(typed, i).alias("exact")),
+        )
+        parsed = rows.select("value", SOURCE_FILE, F.inline(pairs))
+    else:
+        parsed = rows.select("value", SOURCE_FILE, F.explode(records(text, RAW)).alias("fields"))
+
+    def raw(name: str) -> Column:
+        return F.col("fields").getItem(name)
+
+    def parse(field: StructField) -> Column:
+        if field in exact.fields:
+            return F.col("exact").getField(field.name)
+        return parse_text(raw(field.name), field.dataType)
+
     unknown = F.map_filter("fields", lambda name, _: ~name.isin(schema.names))
     whole_line = F.create_map(F.lit(CORRUPT), text)
     return with_rescue(
         parsed,
         schema,
-        raw=lambda name: F.col("fields").getItem(name),
+        raw,
         extras=F.coalesce(unknown, whole_line),
         found=F.size("fields"),
+        parse=parse,
     )

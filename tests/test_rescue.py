@@ -1,8 +1,9 @@
 import json
 from datetime import date
+from decimal import Decimal
 
 import pytest
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from strata.sources.csv_feed import is_header_mismatch, read_any_header, read_one_header
 from strata.sources.json_feed import parse_json_lines
@@ -52,6 +53,23 @@ def test_json_nested_column(spark):
     assert at.x == 4 and rescued is None
 
 
+def test_json_decimals_are_exact(spark):
+    schema = StructType().add("id", "integer").add("d", DecimalType(38, 21)).add("p", DecimalType(4, 2))
+    lines = [
+        '{"id":1,"d":0.123456789012345678901,"p":"9.5"}',
+        '[{"id":2,"d":2},{"id":3,"p":100}]',
+        '{"id":4,"p":"x"}',
+        '{"id":5,"d":1',
+    ]
+    df = spark.createDataFrame([(line, "f") for line in lines], "value string, source_file string")
+    rows = {r.id: (r.d, r.p, r._rescued_data) for r in parse_json_lines(df, schema).collect()}
+    assert rows[1] == (Decimal("0.123456789012345678901"), Decimal("9.50"), None)
+    assert rows[2] == (Decimal(2), None, None)
+    assert rows[3][:2] == (None, None) and json.loads(rows[3][2])["p"] == "100"
+    assert rows[4][:2] == (None, None) and json.loads(rows[4][2])["p"] == "x"
+    assert json.loads(rows[None][2])["_corrupt_record"] == '{"id":5,"d":1'
+
+
 def test_json_arrays_and_blank_lines(spark):
     rows = parse(spark, '[{"id":1},{"id":2}]', "", "   ", "[]", '[{"id":1}')
     assert sorted(r[0] or 0 for r in rows) == [0, 1, 2]
