@@ -16,7 +16,7 @@ from strata.operators.mart import MartSpec, build_mart
 from strata.session import join_settings, session_conf
 from strata.streaming.dimensions import DimensionSpec, merge_dimension
 from strata.streaming.facts import FactSpec, append_fact
-from strata.streaming.ingest import FeedSpec, ingest
+from strata.streaming.ingest import FeedSpec, feed_schema, ingest
 
 Step = TypeVar("Step")
 
@@ -65,6 +65,8 @@ def side_by_side(run: Callable[[Step], None], steps: Iterable[Step]) -> None:
 
 def run_bronze(spark: SparkSession, plan: Medallion) -> None:
     create_namespaces(spark, plan.config)
+    for feed in plan.feeds:
+        feed_schema(spark, feed)
     side_by_side(lambda feed: ingest(spark, feed), plan.feeds)
 
 

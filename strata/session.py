@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+LOCAL_MAP_BOUND = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
 # Shuffle partitions per core that a join starts with; small ones are merged at run time.
 PARTITIONS_PER_CORE = 3
 
@@ -27,15 +29,19 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
 
 def join_settings(spark: SparkSession) -> dict[str, str]:
     """Adaptive execution, which splits skewed join partitions, and shuffles as wide as the
-    cluster. An initial partition number the user has set stays.
+    cluster. What the user has set for the last two keys stays.
 
     Adaptive execution merges partitions that turn out small but cannot make more of them, so the
-    default of 200 would leave partitions of hundreds of gigabytes in a join of 100 TB.
+    default of 200 would leave partitions of hundreds of gigabytes in a join of 100 TB. Where all
+    partitions of the smaller side turn out to fit the local map bound, it hashes them and spares
+    both sides the sort.
     """
     cores = spark.sparkContext.defaultParallelism
     default = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * cores)
+    local_map = spark.conf.get(LOCAL_MAP_BOUND, "0b")
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         INITIAL_PARTITIONS: spark.conf.get(INITIAL_PARTITIONS, None) or str(default),
+        LOCAL_MAP_BOUND: "64MB" if local_map in ("0", "0b") else local_map,
     }

@@ -30,16 +30,21 @@ def read_one_header(
         spark.read.schema(text)
         .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=corrupt)
         .csv([literal_path(p) for p in paths])
-        .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+        .select(
+            F.struct(*[F.col(quoted(n)) for n in text.names]).alias("fields"),
+            F.col("_metadata.file_path").alias(SOURCE_FILE),
+        )
     )
 
     def raw(name: str) -> Column:
-        found = F.col(quoted(name)) if name in header else F.lit(None)
+        found = F.col("fields").getField(name) if name in header else F.lit(None)
         return found.cast("string")
 
-    unknown = [name for name in header if name not in schema.names] + [corrupt]
-    extras = F.create_map(*[part for n in unknown for part in (F.lit(n), F.col(quoted(n)))])
-    found = how_many([F.col(quoted(n)) for n in (*header, corrupt)])
+    unknown = [name for name in text.names if name not in schema.names]
+    extras = F.create_map(
+        *[part for n in unknown for part in (F.lit(n), F.col("fields").getField(n))]
+    )
+    found = how_many([F.col("fields").getField(n) for n in text.names])
     return with_rescue(rows, schema, raw, extras, found)
 
 

@@ -25,6 +25,8 @@ from pyspark.sql.types import (
 )
 
 from strata.functions.rescue import CORRUPT
+from strata.functions.scalars import TECHNICAL
+from strata.session import session_conf
 
 # The columns of Spark's file listing source.
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -80,11 +82,17 @@ def widen(left: DataType, right: DataType) -> DataType:
 
 
 def merge_fields(schemas: Iterable[StructType]) -> StructType:
-    """Union by name in order of appearance; conflicting types widen, at last to text."""
+    """Union by name in order of appearance; conflicting types widen, at last to text.
+
+    Of names that differ by case only the first becomes a column, and names the engine needs for
+    itself become none: those fields are rescued.
+    """
     merged: dict[str, DataType] = {}
+    taken = {name.lower(): "" for name in TECHNICAL}
     for schema in schemas:
         for field in schema:
-            merged[field.name] = widen(merged.get(field.name, NullType()), field.dataType)
+            if taken.setdefault(field.name.lower(), field.name) == field.name:
+                merged[field.name] = widen(merged.get(field.name, NullType()), field.dataType)
     return StructType(
         [
             StructField(name, StringType() if isinstance(kind, NullType) else kind)
@@ -152,13 +160,18 @@ def frozen_schema(
     sample: int | None = None,
     hints: str | None = None,
 ) -> StructType:
-    """The stored schema of a feed, inferred and stored on the first run."""
+    """The stored schema of a feed, inferred and stored on the first run.
+
+    Inference sets the case sensitivity of the session for a moment, so it belongs before any
+    streams that run side by side.
+    """
     schema = stored_schema(spark, location)
     if schema is None:
         paths = sample_files(spark, path, sample)
         if not paths:
             raise ValueError(f"no files to infer a schema from in {path}")
         infer = {"csv": infer_csv, "json": infer_json}[file_format]
-        schema = with_hints(infer(spark, paths), hints)
+        with session_conf(spark, {"spark.sql.caseSensitive": "true"}):
+            schema = with_hints(infer(spark, paths), hints)
         store_schema(spark, schema, location)
     return schema

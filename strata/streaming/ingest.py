@@ -62,7 +62,8 @@ def ingest_json(spark: SparkSession, feed: FeedSpec) -> None:
         .load(feed.path)
         .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
-    drain(bronze_rows(parse_json_lines(lines, schema), schema), feed.name, feed.checkpoint, feed.table)
+    rows = bronze_rows(parse_json_lines(lines, schema), schema)
+    drain(rows, feed.name, feed.checkpoint, feed.table)
 
 
 def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
@@ -112,8 +113,11 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
 
 
 def bronze_schema(schema: StructType) -> StructType:
-    audit = StructType().add(RESCUED, "string").add(CREATED_AT, "timestamp").add(SOURCE_FILE, "string")
-    return StructType(schema.fields + audit.fields)
+    audit = {RESCUED: "string", CREATED_AT: "timestamp", SOURCE_FILE: "string"}
+    whole = StructType(list(schema))
+    for name, kind in audit.items():
+        whole = whole.add(name, kind)
+    return whole
 
 
 def bronze_rows(rows: DataFrame, schema: StructType) -> DataFrame:
