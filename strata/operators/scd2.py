@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 from strata.functions.scalars import ACTIVE, END_DATE, INACTIVE, STATUS
 
 COPIES = "_copies"
+SPREAD = "_spread"
+
+# Join partitions at most that the rows without a key are spread over.
+SPREADS = 1024
 
 
 def staged_union(batch: DataFrame, key: str, merge_key: str = "merge_id") -> DataFrame:
@@ -37,6 +41,17 @@ def _missing(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A second join key: 0, but a hash of the row where a key is NULL.
+
+    Rows without a key match nothing, so they need not meet in one partition. Joining on one more
+    column than ``delivered_keys`` groups by also makes Spark shuffle its result for the join;
+    if it reused the grouping's partitions, the adaptive skew join would not apply.
+    """
+    row = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREADS))
+    return df.withColumn(SPREAD, F.when(_missing(keys), row).otherwise(F.lit(0)))
+
+
 def close_versions(
     target: DataFrame,
     delivered: DataFrame,
@@ -61,7 +76,8 @@ def close_versions(
         STATUS: F.when(hit, F.lit(INACTIVE)).otherwise(F.col(STATUS)),
     }
     return (
-        target.join(delivered, list(keys), "left")
+        _spread(target, keys)
+        .join(_spread(delivered, keys), [*keys, SPREAD], "left")
         .filter(refuse.otherwise(True))
         .select(*[closed.get(c, F.col(c)).alias(c) for c in target.columns])
     )
@@ -89,7 +105,7 @@ def scd2_merge(
     batch does not hold stay as they are. NULL keys match nothing, see ``open_versions``.
 
     One pass over each side: the target is joined to the distinct keys only, which Spark
-    broadcasts if they are small and otherwise sort-merges with a skew-split target side. Callers
+    broadcasts if they are small and otherwise shuffles, splitting hot keys of the target. Callers
     that run this on a large target pass ``delivered`` as a materialised cache of
     ``delivered_keys(batch, keys)``, whose exact size the planner then knows.
     """

@@ -6,11 +6,12 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
@@ -35,9 +36,6 @@ FILE_LISTING = "path string, modificationTime timestamp, length long, content bi
 DEFAULT_SAMPLE_FILES = 1000
 DEFAULT_SAMPLE_BYTES = 50 * 2**30
 
-# Small reads in flight at a time when headers are looked up one file at a time.
-HEADER_READERS = 16
-
 # A pair of inferred types that has a wider common type other than text.
 WIDER = {
     frozenset((IntegerType(), LongType())): LongType(),
@@ -118,14 +116,43 @@ def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", True).csv(literal_path(path)).columns)
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file, in one map-only job with a task per split.
+
+    Every split is a partition of its own, so the first row of a partition that starts at the
+    beginning of a file is the first line of that file.
+    """
+    row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    lines = (
+        spark.read.text([literal_path(p) for p in paths])
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            row_in_partition.alias("row"),
+        )
+        .filter("start = 0 AND row = 0")
+    )
+    one_split_each = {
+        "spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes"),
+        "spark.sql.files.maxPartitionNum": str(2**31 - 1),
+    }
+    with session_conf(spark, one_split_each):
+        return {unquote(row["path"]): row["value"] for row in lines.collect()}
+
+
 def by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Group files by their header line; files without one drop out, they hold no rows."""
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = pool.map(lambda path: csv_header(spark, path), paths)
-        groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-        for path, header in zip(paths, headers):
-            if header:
-                groups[header].append(path)
+    """Group files by their column names; files without any drop out, they hold no rows."""
+    lines = first_lines(spark, paths)
+    same_line: dict[str, list[str]] = defaultdict(list)
+    for path in paths:
+        line = lines.get(path, "")
+        same_line[line if line.strip() else path].append(path)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for members in same_line.values():
+        header = csv_header(spark, members[0])
+        if header:
+            groups[header].extend(members)
     return dict(groups)
 
 

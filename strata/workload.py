@@ -223,21 +223,20 @@ def total_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Currency signs anywhere, rounding to cents, and values too big for the type."""
-    amount = F.col("l_extendedprice")
+    amount = F.col("l_extendedprice").cast("decimal(12,2)")
+    share = (F.col("l_discount") * 10).cast("decimal(6,3)")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        clean_price(F.concat(F.lit(" $"), amount.cast("decimal(12,2)").cast("string"))).alias("big"),
-        clean_price(
-            F.concat(F.lit("$1$"), (F.col("l_discount") * 10).cast("decimal(6,3)").cast("string"))
-        ).alias("small"),
+        clean_price(F.concat(F.lit(" $"), amount.cast("string"))).alias("big"),
+        clean_price(F.concat(F.lit("$1$"), share.cast("string"))).alias("small"),
         clean_price(F.col("l_returnflag")).alias("word"),
     )
 
 
 def typed_fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = deliver(lines(spark, sf_dir).withColumn("quantity", F.col("quantity").cast("int")), FIRST_DAY)
-    return conform(drop_technical(bronze), LINES_SCHEMA)
+    narrow = lines(spark, sf_dir).withColumn("quantity", F.col("quantity").cast("int"))
+    return conform(drop_technical(deliver(narrow, FIRST_DAY)), LINES_SCHEMA)
 
 
 def typed_fact_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +351,8 @@ def ingest_json_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(spark, feed)
     customer = F.struct(F.col("o_custkey").alias("key")).alias("customer")
     write_json(opened.select("time", "date", "order_id", customer), feed.path)
-    whole = F.to_json(F.struct("order_id", F.lit("soon").alias("date"), F.col("time").alias("Time")))
+    no_day = F.lit("soon").alias("date")
+    whole = F.to_json(F.struct("order_id", no_day, F.col("time").alias("Time")))
     urgent = F.col("o_orderpriority") == "1-URGENT"
     line = F.when(urgent, F.concat(F.lit('{"order_id":'), F.col("order_id"))).otherwise(whole)
     pending.select(line.alias("value")).write.mode("append").text(feed.path)

@@ -1,5 +1,6 @@
 """Every registered query against its SQL counterpart, on whole tables."""
 
+import os
 from collections import Counter
 from pathlib import Path
 
@@ -7,8 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from strata.workload import scratch
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("STRATA_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +38,11 @@ def test_query(spark, tables, name):
     assert bag(result.columns, result.collect()) == bag(expected.columns, expected.fetchall())
 
 
+def test_scratch_is_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch(spark), scratch(spark)
+    assert first.startswith(f"{shared}/") and second.startswith(f"{shared}/") and first != second
+
+
 def test_entry(spark):
     assert not contract.entry(spark).isEmpty()

@@ -9,7 +9,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.operators.scd2 import delivered_keys, scd2_merge, staged_union
+from strata.operators.scd2 import close_versions, delivered_keys, scd2_merge, staged_union
+from strata.session import session_conf
 
 SCHEMA = "k string, v int, start_date date, end_date date, status string"
 D1, D2, D3 = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
@@ -123,6 +124,40 @@ def test_hot_key_is_counted_before_the_shuffle(spark, capsys):
     assert delivered.filter("k = 'hot'").first()["_copies"] == 10000
 
 
+@pytest.mark.parametrize("cached", [False, True])
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_no_task_gets_all_of_a_hot_key(spark, tmp_path, capsys, hot, cached):
+    """A third of the active versions have one key, or none, and too many keys were delivered to
+    broadcast. The join splits the partition of the key, and spreads the rows without one."""
+    rows = 200000
+    ids = spark.range(0, rows, numPartitions=16)
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id").cast("string"))
+    opened = {"start_date": F.lit(D1), "end_date": F.lit(None).cast("date"), "status": F.lit("a")}
+    versions = ids.select(key.alias("k"), F.col("id").cast("int").alias("v")).withColumns(opened)
+    versions.write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    batch = target.groupBy("k").agg(F.max("v").alias("v")).withColumns(opened)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with session_conf(spark, settings):
+        keys = delivered_keys(batch, ["k"])
+        if cached:
+            keys = keys.persist()
+            keys.count()
+        closed = close_versions(target, keys, ["k"], D2).withColumn("task", F.spark_partition_id())
+        found = closed.collect()
+        closed.explain()
+        keys.unpersist()
+    assert Counter(r.status for r in found)["i"] == (rows if hot else rows - rows // 3 - 1)
+    assert max(Counter(r.task for r in found).values()) < rows / 4
+    assert ("skew=true" in capsys.readouterr().out) == bool(hot)
+
+
 keys = st.sampled_from(["a", "b", "c", "d", None])
 deliveries = st.lists(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=6), min_size=1, max_size=4)
 

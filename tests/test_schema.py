@@ -3,7 +3,10 @@ import os
 import pytest
 from pyspark.sql.types import StructType
 
+from strata.session import session_conf
 from strata.sources.schema import (
+    by_header,
+    first_lines,
     frozen_schema,
     infer_csv,
     infer_json,
@@ -31,6 +34,24 @@ def test_sample_takes_the_oldest_files(spark, tmp_path):
     assert names == [f"f{i:02d}.json" for i in range(1, 11)]
 
 
+def test_first_lines_of_files_in_many_splits(spark, tmp_path):
+    names = ["a b.csv", "p%20q+r.csv", "x{1}[y]*.csv", "long.csv"]
+    for name in names:
+        put(tmp_path, name, f"id,{name[0]}\n" + "1,2\n" * (500 if name == "long.csv" else 1), 0)
+    put(tmp_path, "blank.csv", "\nid,z\n1,2\n", 0)
+    put(tmp_path, "empty.csv", "", 0)
+    paths = sample_files(spark, str(tmp_path))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "256b"}):
+        lines = first_lines(spark, paths)
+        groups = by_header(spark, [*paths, str(tmp_path / "empty.csv")])
+    assert lines.keys() == set(paths)
+    found = {path.rsplit("/", 1)[1]: line for path, line in lines.items()}
+    assert found == {**{name: f"id,{name[0]}" for name in names}, "blank.csv": ""}
+    assert {header: len(group) for header, group in groups.items()} == {
+        ("id", "a"): 1, ("id", "p"): 1, ("id", "x"): 1, ("id", "l"): 1, ("id", "z"): 1
+    }
+
+
 def test_infer_json(spark, tmp_path):
     path = put(tmp_path, "a.json", '{"id":1,"d":"2024-01-01","v":1.5}\n{"id":2,"n":{"q":1}}\n{oops\n', 0)
     assert ddl(infer_json(spark, [path])) == "d string, id bigint, n struct<q:bigint>, v double"
