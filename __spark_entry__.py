@@ -212,7 +212,7 @@ ORACLES: dict[str, str] = {
         SELECT product_id, product_type_id, size, price, status, end_date IS NOT NULL AS ended
         FROM ({VERSIONED_PRODUCTS})
     """,
-    "pipeline_end_to_end": mart(VERSIONED_PRODUCTS, VERSIONED_TYPES),
+    "files_to_gold": mart(VERSIONED_PRODUCTS, VERSIONED_TYPES),
 }
 
 

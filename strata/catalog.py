@@ -34,13 +34,19 @@ def create_table(
     schema: StructType | str,
     partitioned_by: tuple[str, ...] = (),
 ) -> None:
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in as_schema(schema))
+    """Create a typed table if absent. One that exists with other columns is refused: a Parquet
+    append would write to it without a check."""
+    declared = [(f.name, f.dataType.simpleString()) for f in as_schema(schema)]
+    columns = ", ".join(f"{quoted(column)} {kind}" for column, kind in declared)
     partitions = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions}")
+    found = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema]
+    if found != declared:
+        raise ValueError(f"{name} exists with the columns {found}, not {declared}")
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
-    """Select and cast to a declared schema; a Parquet append does not check it by itself."""
+    """Select and cast to a declared schema."""
     return df.select(*[F.col(quoted(f.name)).cast(f.dataType) for f in as_schema(schema)])
 
 

@@ -56,6 +56,7 @@ def ingest(spark: SparkSession, feed: FeedSpec) -> None:
 
 def ingest_json(spark: SparkSession, feed: FeedSpec) -> None:
     schema = feed_schema(spark, feed)
+    create_table(spark, feed.table, bronze_schema(schema))
     lines = (
         spark.readStream.format("text")
         .options(**file_options(feed))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.catalog import (
@@ -359,7 +359,7 @@ def ingest_json_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(spark, feed)
     ingest(spark, feed)
 
-    def rescued(name: str, alias: str) -> F.Column:
+    def rescued(name: str, alias: str) -> Column:
         return F.get_json_object("_rescued_data", f"$.{name}").alias(alias)
 
     return spark.table(feed.table).select(
@@ -395,7 +395,7 @@ def ingest_csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(spark, feed)
     ingest(spark, feed)
 
-    def rescued(name: str) -> F.Column:
+    def rescued(name: str) -> Column:
         return F.get_json_object("_rescued_data", f"$.{name}").alias(f"rescued_{name}")
 
     return spark.table(feed.table).select(
@@ -477,12 +477,13 @@ def silver_dimension(name: str) -> Callable[[SparkSession, str], DataFrame]:
             ingest(spark, feed)
             merge_dimension(spark, dim)
         rows = read_back(spark, dim.table)
-        return rows.withColumn("ended", F.col("end_date").isNotNull()).drop("start_date", "end_date")
+        ended = rows.withColumn("ended", F.col("end_date").isNotNull())
+        return ended.drop("start_date", "end_date")
 
     return query
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def files_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to gold in two runs; the second brings new versions of both dimensions."""
     plan, landing = landed_pipeline(spark)
     land_first(spark, sf_dir, landing)
@@ -525,5 +526,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_headers": silver_fact("headers"),
     "silver_product_types": silver_dimension("product_types"),
     "silver_products": silver_dimension("products"),
-    "pipeline_end_to_end": pipeline_end_to_end,
+    "files_to_gold": files_to_gold,
 }

@@ -46,6 +46,15 @@ def test_create_table_keeps_rows(spark, config):
     assert read_back(spark, name).count() == 1
 
 
+def test_table_with_other_columns_is_refused(spark, config):
+    name = config.table("silver", "t")
+    create_table(spark, name, "id LONG, part STRING", ("part",))
+    create_table(spark, name, "id BIGINT, part STRING", ("part",))
+    for other in ("id INT, part STRING", "part STRING, id LONG", "id LONG"):
+        with pytest.raises(ValueError, match="exists with the columns"):
+            create_table(spark, name, other)
+
+
 def test_replace_changes_rows_and_schema_and_drops_old_versions(spark, config):
     name = config.table("gold", "t")
     replace_table(spark, name, spark.range(3))
