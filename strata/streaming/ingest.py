@@ -71,8 +71,8 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
     """The stream carries file names only; each batch then reads its files once.
 
     A batch first reads all its files with the header of the first. Spark's reader checks every
-    file against it, so the usual case needs no look at the other headers. If a file differs, the
-    batch looks up all of them and reads once per distinct header.
+    file against it, so the usual case needs no look at the other headers. If a file differs, this
+    batch and the later ones of the run look up the headers first, and read once per distinct one.
 
     The bronze table has a ``_batch_id`` partition per batch and checkpoint, which makes a
     replayed batch write to its old place.
@@ -84,10 +84,13 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
         .schema(FILE_LISTING)
         .options(**file_options(feed))
         .load(feed.path)
+        .filter("length > 0")
         .select("path")
     )
+    mixed_headers = False
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        nonlocal mixed_headers
         stream_spark = batch.sparkSession
         partition = f"{stream_identity(stream_spark, feed.checkpoint)}-{batch_id}"
         if partition_exists(stream_spark, feed.table, partition):
@@ -100,15 +103,19 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
             overwrite_partitions(bronze, feed.table)
 
         with session_conf(stream_spark, {"spark.sql.caseSensitive": "true"}):
-            header = next((h for h in (csv_header(stream_spark, p) for p in paths) if h), None)
-            if header is None:
-                return
-            try:
-                write(read_one_header(stream_spark, paths, header, schema))
-            except Exception as error:
-                if not is_header_mismatch(error):
-                    raise
-                write(read_any_header(stream_spark, paths, schema))
+            if not mixed_headers:
+                header = next((h for h in (csv_header(stream_spark, p) for p in paths) if h), None)
+                if header is None:
+                    return
+                try:
+                    return write(read_one_header(stream_spark, paths, header, schema))
+                except Exception as error:
+                    if not is_header_mismatch(error):
+                        raise
+                    mixed_headers = True
+            rows = read_any_header(stream_spark, paths, schema)
+            if rows is not None:
+                write(rows)
 
     drain(files, feed.name, feed.checkpoint, feed.table, load)
 

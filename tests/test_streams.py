@@ -120,6 +120,22 @@ def test_csv_increments(spark, feed, files_per_batch):
     assert sorted(rescued, key=str) == [{"id": "three"}, {"more": "m"}]
 
 
+def test_csv_mixed_headers_are_looked_up_once_known(spark, feed, monkeypatch):
+    t = feed("csv", sample=1, files_per_batch=2)
+    for i in range(6):
+        put(t, f"{i}.csv", f"id,n\n{i},{i}\n" if i % 2 else f"n,id\n{i},{i}\n", age=9 - i)
+    put(t, "blank.csv", "\n\n", age=1)
+    put(t, "more.csv", " \n", age=0)
+    optimistic = []
+    real = ingesting.read_one_header
+    monkeypatch.setattr(
+        ingesting, "read_one_header", lambda *args: optimistic.append(args) or real(*args)
+    )
+    ingest(spark, t)
+    assert bag(spark.table(t.table), "id", "n") == Counter((i, i) for i in range(6))
+    assert len(optimistic) == 1
+
+
 def test_csv_batch_of_empty_files(spark, feed):
     t = feed("csv")
     put(t, "a.csv", "id\n1\n", age=1)
