@@ -31,8 +31,11 @@ def parse_text(raw: Column, to: DataType) -> Column:
 
 
 def how_many(values: list[Column]) -> Column:
-    """How many of the values are not NULL."""
-    return reduce(add, [F.when(v.isNotNull(), 1).otherwise(0) for v in values], F.lit(0))
+    """How many of the values are not NULL; a shallow sum, however many there are."""
+    counts = [F.when(v.isNotNull(), 1).otherwise(0) for v in values] or [F.lit(0)]
+    while len(counts) > 1:
+        counts = [reduce(add, counts[i : i + 16]) for i in range(0, len(counts), 16)]
+    return counts[0]
 
 
 def with_rescue(

@@ -141,6 +141,16 @@ def test_csv_case_differs(spark, folder):
     assert csv_rows(with_case, paths) == [(2, "n", None, {"ID": "1"})]
 
 
+def test_csv_with_many_columns(spark, folder):
+    names = [f"c{i}" for i in range(600)]
+    paths = folder(wide=",".join(names) + "\n" + ",".join(str(i) for i in range(600)) + "\n")
+    schema = StructType()
+    for name in names[:-1]:
+        schema = schema.add(name, "integer")
+    [row] = read_any_header(spark, paths, schema).collect()
+    assert row.c598 == 598 and json.loads(row._rescued_data)["c599"] == "599"
+
+
 def test_csv_one_header_refuses_another(spark, folder):
     paths = folder(a="id,name,price\n1,a,1\n", b="name,id,price\nb,2,1\n")
     with pytest.raises(Exception) as error:
