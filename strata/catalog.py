@@ -24,6 +24,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def quoted_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def as_schema(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 

@@ -7,72 +7,74 @@ for, go to the rescue column as JSON, together with the path of the file.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
-from strata.catalog import quoted
+from strata.catalog import quoted, quoted_text
 from strata.functions.scalars import RESCUED, SOURCE_FILE
 
 CORRUPT = "_corrupt_record"
 FILE_PATH = "_file_path"
 
 
-def parse_text(raw: Column, to: DataType) -> Column:
-    """Read ``raw`` as ``to``, or NULL."""
+def parse_text(raw: str, to: DataType) -> str:
+    """SQL that reads the text ``raw`` as ``to``, or NULL."""
     if isinstance(to, StringType):
         return raw
     if isinstance(to, (StructType, ArrayType, MapType)):
-        return F.from_json(raw, to.simpleString())
-    return raw.try_cast(to)
+        return f"from_json({raw}, {quoted_text(to.simpleString())})"
+    return f"try_cast({raw} AS {to.simpleString()})"
 
 
-def how_many(values: list[Column]) -> Column:
-    """How many of the values are not NULL; a shallow sum, however many there are."""
-    counts = [F.when(v.isNotNull(), 1).otherwise(0) for v in values] or [F.lit(0)]
+def how_many(values: list[str]) -> str:
+    """SQL that counts the values that are not NULL; a shallow sum, however many there are."""
+    counts = [f"IF({value} IS NULL, 0, 1)" for value in values] or ["0"]
     while len(counts) > 1:
-        counts = [reduce(add, counts[i : i + 16]) for i in range(0, len(counts), 16)]
+        counts = [f"({' + '.join(counts[i : i + 16])})" for i in range(0, len(counts), 16)]
     return counts[0]
 
 
+def as_map(entries: dict[str, str]) -> str:
+    """SQL for a map from names to text values."""
+    pairs = ", ".join(f"{quoted_text(name)}, {value}" for name, value in entries.items())
+    return f"CAST(map({pairs}) AS MAP<STRING, STRING>)"
+
+
 def with_rescue(
     df: DataFrame,
     schema: StructType,
-    raw: Callable[[str], Column],
-    extras: Column,
-    found: Column,
-    parse: Callable[[StructField], Column] | None = None,
+    raw: Callable[[str], str],
+    extras: str,
+    found: str,
+    parse: Callable[[StructField], str] | None = None,
 ) -> DataFrame:
     """Project ``df`` onto ``schema``, ``_rescued_data`` and ``source_file``.
 
+    All expressions are SQL text, which keeps the plans of wide feeds quick to build.
     ``raw(name)`` is the text found for a column; ``extras`` is a map of the fields that have no
     column (NULL values in it are ignored). ``found`` counts the values of the row, or is NULL if
     unknown: where as many came out typed, there is nothing to rescue and no map is built.
     ``parse`` gives the typed value of a field, by default read from its text.
     """
     parse = parse or (lambda field: parse_text(raw(field.name), field.dataType))
-    columns = [F.col(quoted(f.name)) for f in schema]
     typed = {f.name: parse(f) for f in schema}
-    misfits = [
-        part
+    misfits = {
+        f.name: f"IF({typed[f.name]} IS NULL, {raw(f.name)}, NULL)"
         for f in schema
         if not isinstance(f.dataType, StringType)
-        for part in (F.lit(f.name), F.when(typed[f.name].isNull(), raw(f.name)))
-    ]
-    values = F.map_concat(extras, F.create_map(*misfits)) if misfits else extras
-    kept = F.map_filter(values, lambda _, value: value.isNotNull())
-    clean = found.eqNullSafe(how_many(list(typed.values())))
+    }
+    kept = f"map_filter(map_concat({extras}, {as_map(misfits)}), (_, value) -> value IS NOT NULL)"
+    clean = f"{found} <=> {how_many(list(typed.values()))}"
     # A field that is itself called like the path entry wins; the path is in source_file as well.
-    path = F.map_filter(
-        F.create_map(F.lit(FILE_PATH), F.col(SOURCE_FILE)),
-        lambda name, _: ~F.map_contains_key(RESCUED, name),
-    )
-    rescued = F.when(F.size(RESCUED) > 0, F.to_json(F.map_concat(RESCUED, path))).alias(RESCUED)
-    return df.select(
-        *[column.alias(name) for name, column in typed.items()],
-        F.when(~clean, kept).alias(RESCUED),
+    path = as_map({FILE_PATH: SOURCE_FILE})
+    path = f"map_filter({path}, (name, _) -> NOT map_contains_key({RESCUED}, name))"
+    return df.selectExpr(
+        *[f"{value} AS {quoted(name)}" for name, value in typed.items()],
+        f"IF({clean}, NULL, {kept}) AS {RESCUED}",
         SOURCE_FILE,
-    ).select(*columns, rescued, SOURCE_FILE)
+    ).selectExpr(
+        *[quoted(name) for name in typed],
+        f"IF(size({RESCUED}) > 0, to_json(map_concat({RESCUED}, {path})), NULL) AS {RESCUED}",
+        SOURCE_FILE,
+    )

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.catalog import quoted
-from strata.functions.rescue import CORRUPT, how_many, with_rescue
+from strata.functions.rescue import CORRUPT, as_map, how_many, with_rescue
 from strata.functions.scalars import SOURCE_FILE
 from strata.sources.schema import by_header, literal_path
 
@@ -30,22 +29,23 @@ def read_one_header(
         spark.read.schema(text)
         .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=corrupt)
         .csv([literal_path(p) for p in paths])
-        .select(
-            F.struct(*[F.col(quoted(n)) for n in text.names]).alias("fields"),
-            F.col("_metadata.file_path").alias(SOURCE_FILE),
+        .selectExpr(
+            f"struct({', '.join(quoted(name) for name in text.names)}) AS fields",
+            f"_metadata.file_path AS {SOURCE_FILE}",
         )
     )
 
-    def raw(name: str) -> Column:
-        found = F.col("fields").getField(name) if name in header else F.lit(None)
-        return found.cast("string")
+    def raw(name: str) -> str:
+        return f"fields.{quoted(name)}" if name in header else "CAST(NULL AS STRING)"
 
     unknown = [name for name in text.names if name not in schema.names]
-    extras = F.create_map(
-        *[part for n in unknown for part in (F.lit(n), F.col("fields").getField(n))]
+    return with_rescue(
+        rows,
+        schema,
+        raw,
+        extras=as_map({name: f"fields.{quoted(name)}" for name in unknown}),
+        found=how_many([f"fields.{quoted(name)}" for name in text.names]),
     )
-    found = how_many([F.col("fields").getField(n) for n in text.names])
-    return with_rescue(rows, schema, raw, extras, found)
 
 
 def read_any_header(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame | None:

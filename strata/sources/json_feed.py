@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
 
-from strata.functions.rescue import CORRUPT, parse_text, with_rescue
+from strata.catalog import quoted, quoted_text
+from strata.functions.rescue import CORRUPT, as_map, parse_text, with_rescue
 from strata.functions.scalars import SOURCE_FILE
 
 RAW = "map<string,string>"
@@ -41,21 +42,21 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     else:
         parsed = rows.select("value", SOURCE_FILE, F.explode(records(text, RAW)).alias("fields"))
 
-    def raw(name: str) -> Column:
-        return F.col("fields").getItem(name)
+    def raw(name: str) -> str:
+        return f"fields[{quoted_text(name)}]"
 
-    def parse(field: StructField) -> Column:
+    def parse(field: StructField) -> str:
         if field in exact.fields:
-            return F.col("exact").getField(field.name)
+            return f"exact.{quoted(field.name)}"
         return parse_text(raw(field.name), field.dataType)
 
-    unknown = F.map_filter("fields", lambda name, _: ~name.isin(schema.names))
-    whole_line = F.create_map(F.lit(CORRUPT), text)
+    known = ", ".join(quoted_text(name) for name in schema.names)
+    unknown = f"map_filter(fields, (name, _) -> name NOT IN ({known}))" if known else "fields"
     return with_rescue(
         parsed,
         schema,
         raw,
-        extras=F.coalesce(unknown, whole_line),
-        found=F.size("fields"),
+        extras=f"coalesce({unknown}, {as_map({CORRUPT: 'value'})})",
+        found="size(fields)",
         parse=parse,
     )

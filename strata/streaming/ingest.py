@@ -129,7 +129,7 @@ def bronze_schema(schema: StructType) -> StructType:
 
 
 def bronze_rows(rows: DataFrame, schema: StructType) -> DataFrame:
-    return with_created_at(rows).select(*[F.col(quoted(n)) for n in bronze_schema(schema).names])
+    return with_created_at(rows).selectExpr(*[quoted(n) for n in bronze_schema(schema).names])
 
 
 def partition_exists(spark: SparkSession, table: str, batch_id: str) -> bool:

@@ -150,8 +150,11 @@ def test_csv_batch_of_empty_files(spark, feed):
 @pytest.mark.parametrize(
     "file_format, text",
     [
-        ("csv", "id,ID,source_file,_rescued_data,a.b,c`d\n1,2,s,r,3,4\n"),
-        ("json", '{"ID":2,"_rescued_data":"r","a.b":3,"c`d":4,"id":1,"source_file":"s"}\n'),
+        ("csv", "id,ID,source_file,_rescued_data,a.b,c`d,it's\\\n1,2,s,r,3,4,5\n"),
+        (
+            "json",
+            '{"ID":2,"_rescued_data":"r","a.b":3,"c`d":4,"id":1,"it\'s\\\\":5,"source_file":"s"}\n',
+        ),
     ],
 )
 def test_awkward_names(spark, feed, file_format, text):
@@ -161,7 +164,8 @@ def test_awkward_names(spark, feed, file_format, text):
     [row] = spark.table(t.table).collect()
     values = row.asDict()
     rescued = json.loads(values.pop("_rescued_data"))
-    assert values["a.b"] == 3 and values["c`d"] == 4 and values["source_file"].startswith("file:")
+    assert values["a.b"] == 3 and values["c`d"] == 4 and values["it's\\"] == 5
+    assert values["source_file"].startswith("file:")
     assert rescued["source_file"] == "s" and rescued["_rescued_data"] == "r"
     kept = "id" if "id" in values else "ID"
     assert {kept: str(values[kept]), **{k: v for k, v in rescued.items() if k in ("id", "ID")}} == {
