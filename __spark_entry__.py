@@ -156,6 +156,7 @@ ORACLES: dict[str, str] = {
     """,
     "stream_fact_append": LINES,
     "stream_scd2": VERSIONED_PRODUCTS,
+    "stream_scd2_buckets": VERSIONED_PRODUCTS,
     "ingest_json_rescue": f"""
         SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL
                     ELSE h.order_id END AS order_id,

@@ -16,6 +16,7 @@ END_DATE = "end_date"
 STATUS = "status"
 
 BATCH_ID = "_batch_id"
+BUCKET = "_bucket"
 TECHNICAL = (RESCUED, CREATED_AT, SOURCE_FILE, BATCH_ID)
 
 

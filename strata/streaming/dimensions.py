@@ -1,19 +1,21 @@
 """Type 2 dimensions kept up to date from micro-batches.
 
-Layout: one table ``<name>__versions`` partitioned by batch and status, and the view ``<name>``
-that users read. Batch *n* writes the partitions (n, 'a'), all active versions after it, and
-(n, 'i'), the versions it closed. Replacing the view then publishes both at once, and its
-properties record which batch of which checkpoint it shows. Closed versions are never rewritten,
-so the cost of a batch follows the active versions, not the history.
+Layout: one table ``<name>__versions`` partitioned by batch, status and bucket, and the view
+``<name>`` that users read. The active versions lie in buckets by key. Batch *n* rewrites only the
+buckets of its keys, as partitions of batch *n*; all other rows are appended to bucket -1 and never
+read or written by a merge again: the versions the batch closed, and rows without a key, which
+nothing can close. Replacing the view then publishes all of it at once, and its properties record
+which batch of which checkpoint it shows.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,19 +28,33 @@ from strata.catalog import (
     publish_view,
     quoted,
 )
-from strata.functions.scalars import ACTIVE, BATCH_ID, INACTIVE, STATUS, with_version_columns
+from strata.functions.scalars import (
+    ACTIVE,
+    BATCH_ID,
+    BUCKET,
+    INACTIVE,
+    STATUS,
+    with_version_columns,
+)
 from strata.operators.scd2 import delivered_keys, open_versions, scd2_merge
 from strata.session import join_settings, session_conf
 from strata.streaming.drain import drain, stream_identity
 
 BATCH_MARK = "strata.batch"
 STREAM_MARK = "strata.stream"
+BUCKETS_MARK = "strata.buckets"
 NO_BATCH = -1
+FINAL = -1
 
 
 @dataclass(frozen=True)
 class DimensionSpec:
-    """A dimension fed by a bronze table. ``clean`` prepares the business columns."""
+    """A dimension fed by a bronze table. ``clean`` prepares the business columns.
+
+    A batch rewrites the active versions in the buckets of its keys. One bucket suits dimensions
+    whose batches touch keys all over; a large one with narrow batches takes some hundred. The
+    number must not change later.
+    """
 
     source: str
     table: str
@@ -48,27 +64,61 @@ class DimensionSpec:
     name: str
     clean: Callable[[DataFrame], DataFrame] | None = None
     files_per_batch: int = 1000
+    buckets: int = 1
 
     @property
     def versions(self) -> str:
         return f"{self.table}__versions"
 
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+
+def partitions(spark: SparkSession, dim: DimensionSpec, spec: str) -> list[dict[str, str]]:
+    rows = spark.sql(f"SHOW PARTITIONS {dim.versions} PARTITION ({spec})").collect()
+    return [dict(part.split("=") for part in row["partition"].split("/")) for row in rows]
+
+
+def drop_partition(spark: SparkSession, dim: DimensionSpec, values: dict[str, str]) -> None:
+    spec = ", ".join(f"{name} = '{value}'" for name, value in values.items())
+    spark.sql(f"ALTER TABLE {dim.versions} DROP IF EXISTS PARTITION ({spec})")
+
+
+def bucket_copies(spark: SparkSession, dim: DimensionSpec) -> dict[int, list[int]]:
+    """The batches that wrote each bucket, oldest first; superseded ones are soon dropped."""
+    copies = defaultdict(list)
+    for values in partitions(spark, dim, f"{STATUS} = '{ACTIVE}'"):
+        if int(values[BUCKET]) != FINAL:
+            copies[int(values[BUCKET])].append(int(values[BATCH_ID]))
+    return {bucket: sorted(batches) for bucket, batches in copies.items()}
+
+
+def newest_copies(spark: SparkSession, dim: DimensionSpec, batch_id: int) -> str:
+    """SQL for the array of the batches whose copies of the buckets are current at a batch."""
+    copies = bucket_copies(spark, dim)
+    newest = [
+        max((b for b in copies.get(bucket, []) if b <= batch_id), default=None)
+        for bucket in range(dim.buckets)
+    ]
+    return f"array({', '.join('NULL' if b is None else str(b) for b in newest)})"
+
 
 def publish(spark: SparkSession, dim: DimensionSpec, batch_id: int, marks: dict[str, str]) -> None:
     columns = ", ".join(quoted(f.name) for f in as_schema(dim.schema))
     query = (
         f"SELECT {columns} FROM {dim.versions} "
-        f"WHERE ({STATUS} = '{ACTIVE}' AND {BATCH_ID} = {batch_id}) "
-        f"OR ({STATUS} = '{INACTIVE}' AND {BATCH_ID} <= {batch_id})"
+        f"WHERE ({BUCKET} = {FINAL} AND {BATCH_ID} <= {batch_id}) "
+        f"OR {BATCH_ID} = get({newest_copies(spark, dim, batch_id)}, {BUCKET})"
     )
-    publish_view(spark, dim.table, query, {**marks, BATCH_MARK: str(batch_id)})
+    own = {BATCH_MARK: str(batch_id), BUCKETS_MARK: str(dim.buckets)}
+    publish_view(spark, dim.table, query, {**marks, **own})
 
 
 def create_dimension(spark: SparkSession, dim: DimensionSpec) -> None:
     schema = as_schema(dim.schema)
     stored = StructType([f for f in schema if f.name != STATUS])
-    stored = stored.add(BATCH_ID, "long").add(STATUS, "string")
-    create_table(spark, dim.versions, stored, (BATCH_ID, STATUS))
+    stored = stored.add(BATCH_ID, "long").add(STATUS, "string").add(BUCKET, "integer")
+    create_table(spark, dim.versions, stored, (BATCH_ID, STATUS, BUCKET))
     if not spark.catalog.tableExists(dim.table):
         publish(spark, dim, NO_BATCH, {})
 
@@ -89,48 +139,63 @@ def merge_batch(
             f"{dim.table} was built from another checkpoint; merging from a new one would "
             "deliver every row again"
         )
+    if marks[BUCKETS_MARK] != str(dim.buckets):
+        raise ValueError(f"{dim.table} has {marks[BUCKETS_MARK]} buckets, not {dim.buckets}")
     if batch_id <= committed:
         return
     if committed == NO_BATCH and batch_id > 0 and STREAM_MARK not in marks:
         raise RuntimeError(f"{dim.table} is empty but its checkpoint is at batch {batch_id}")
-
     if batch.isEmpty():
         publish(spark, dim, committed, {STREAM_MARK: stream})
         return
-    stored = spark.table(dim.versions)
-
-    def write(versions: DataFrame) -> None:
-        rows = versions.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-        with session_conf(spark, join_settings(spark)):
-            overwrite_partitions(rows.select(*stored.columns), dim.versions)
 
+    for left_over in partitions(spark, dim, f"{BATCH_ID} = {batch_id}"):
+        drop_partition(spark, dim, left_over)
+    stored = spark.table(dim.versions)
     if committed == NO_BATCH:
-        write(open_versions(batch, [dim.key], stored.drop(BATCH_ID).schema))
+        schema = stored.drop(BATCH_ID, BUCKET).schema
+        write_versions(dim, open_versions(batch, [dim.key], schema), batch_id)
     else:
-        active = stored.filter((F.col(BATCH_ID) == committed) & (F.col(STATUS) == ACTIVE))
         delivered = delivered_keys(batch, [dim.key]).persist()
         try:
-            delivered.count()
-            write(scd2_merge(active.drop(BATCH_ID), batch, [dim.key], effective_date, delivered))
+            # At most one row per bucket; this also fills the cache, so its size is known.
+            touched = [row[0] for row in delivered.select(dim.bucket()).distinct().collect()]
+            newest = F.expr(f"get({newest_copies(spark, dim, committed)}, {BUCKET})")
+            active = stored.filter(F.col(BUCKET).isin(touched) & (F.col(BATCH_ID) == newest))
+            target = active.drop(BATCH_ID, BUCKET)
+            merged = scd2_merge(target, batch, [dim.key], effective_date, delivered)
+            write_versions(dim, merged, batch_id)
         finally:
             delivered.unpersist()
     publish(spark, dim, batch_id, {STREAM_MARK: stream})
-    drop_superseded(spark, dim, keep={batch_id, committed})
+    drop_superseded(spark, dim)
+
+
+def write_versions(dim: DimensionSpec, versions: DataFrame, batch_id: int) -> None:
+    spark = versions.sparkSession
+    final = (F.col(STATUS) == INACTIVE) | F.col(quoted(dim.key)).isNull()
+    rows = versions.withColumns(
+        {
+            BATCH_ID: F.lit(batch_id).cast("long"),
+            BUCKET: F.when(final, FINAL).otherwise(dim.bucket()),
+        }
+    )
+    with session_conf(spark, join_settings(spark)):
+        if dim.buckets > 1:
+            # A few big files per bucket rather than one per bucket and task; split if skewed.
+            rows = rows.hint("rebalance", BUCKET)
+        overwrite_partitions(rows.select(*spark.table(dim.versions).columns), dim.versions)
 
 
-def drop_superseded(spark: SparkSession, dim: DimensionSpec, keep: set[int]) -> None:
-    """Drop old copies of the active versions, but for the last two.
+def drop_superseded(spark: SparkSession, dim: DimensionSpec) -> None:
+    """Drop old copies of the buckets, but for the last two.
 
     The copy before the newest stays for readers that have already planned on it.
     """
-    copies = f"SHOW PARTITIONS {dim.versions} PARTITION ({STATUS} = '{ACTIVE}')"
-    for row in spark.sql(copies).collect():
-        values = dict(part.split("=") for part in row["partition"].split("/"))
-        if int(values[BATCH_ID]) not in keep:
-            spark.sql(
-                f"ALTER TABLE {dim.versions} DROP IF EXISTS PARTITION "
-                f"({BATCH_ID} = {values[BATCH_ID]}, {STATUS} = '{ACTIVE}')"
-            )
+    for bucket, batches in bucket_copies(spark, dim).items():
+        for batch in batches[:-2]:
+            values = {BATCH_ID: str(batch), STATUS: ACTIVE, BUCKET: str(bucket)}
+            drop_partition(spark, dim, values)
 
 
 def merge_dimension(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from uuid import uuid4
 
@@ -313,9 +314,9 @@ def stream_fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, fact.table)
 
 
-def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_scd2(spark: SparkSession, sf_dir: str, buckets: int = 1) -> DataFrame:
     """Two deliveries through the stream, then a run with nothing new."""
-    dim = orders_pipeline(new_layers(spark), "").dimensions[0]
+    dim = replace(orders_pipeline(new_layers(spark), "").dimensions[0], buckets=buckets)
     deliveries = {
         FIRST_DAY: first_products(spark, sf_dir),
         SECOND_DAY: second_products(spark, sf_dir),
@@ -327,6 +328,11 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, dim.table)
 
 
+def stream_scd2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, rewriting bucket by bucket."""
+    return stream_scd2(spark, sf_dir, buckets=16)
+
+
 # --- files
 
 
@@ -514,6 +520,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_union": staged_updates,
     "stream_fact_append": stream_fact_append,
     "stream_scd2": stream_scd2,
+    "stream_scd2_buckets": stream_scd2_buckets,
     "ingest_json_rescue": ingest_json_rescue,
     "ingest_csv_rescue": ingest_csv_rescue,
     "bronze_products": feed_rows("products", "product_id", "product_type_id", "size", "price"),

@@ -240,11 +240,11 @@ DIM_SCHEMA = "k STRING, v INT, start_date DATE, end_date DATE, status STRING"
 IN_SCHEMA = "k string, v int"
 
 
-@pytest.fixture
-def dim(config):
+@pytest.fixture(params=[1, 50])
+def dim(config, request):
     return DimensionSpec(
         config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
-        config.checkpoint("silver", "d"), "d silver",
+        config.checkpoint("silver", "d"), "d silver", buckets=request.param,
     )
 
 
@@ -283,10 +283,7 @@ def test_one_batch_per_file_makes_a_chain(spark, config):
     merge_dimension(spark, dim, D3)
     rows = sorted((r.v, r.status, r.end_date) for r in spark.table(dim.table).collect())
     assert rows == [(0, "i", D3), (1, "i", D3), (2, "i", D3), (3, "a", None)]
-    active_copies = {
-        r.partition for r in spark.sql(f"SHOW PARTITIONS {dim.versions}").collect() if "status=a" in r.partition
-    }
-    assert active_copies == {"_batch_id=2/status=a", "_batch_id=3/status=a"}
+    assert dimensions.bucket_copies(spark, dim) == {0: [2, 3]}
 
 
 @pytest.mark.parametrize(
@@ -309,7 +306,7 @@ def test_empty_batch_writes_nothing(spark, dim):
     deliver(spark, dim, FIRST, D1)
     deliver(spark, dim, [], D2)
     assert bag(spark.table(dim.table), "*") == AFTER_FIRST
-    assert spark.sql(f"SHOW PARTITIONS {dim.versions}").count() == 1
+    assert {len(copies) for copies in dimensions.bucket_copies(spark, dim).values()} == {1}
     deliver(spark, dim, SECOND, D2)
     assert bag(spark.table(dim.table), "*") == AFTER_SECOND
 
@@ -338,6 +335,15 @@ def test_lost_checkpoint_is_refused(spark, dim):
     assert bag(spark.table(dim.table), "*") == AFTER_FIRST
 
 
+def test_other_number_of_buckets_is_refused(spark, dim):
+    deliver(spark, dim, FIRST, D1)
+    other = DimensionSpec(**{**vars(dim), "buckets": 7})
+    with pytest.raises(Exception, match="buckets, not 7"):
+        deliver(spark, other, SECOND, D2)
+    deliver(spark, dim, [], D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+
+
 def test_lost_table_is_refused(spark, dim):
     deliver(spark, dim, FIRST, D1)
     spark.sql(f"DROP VIEW {dim.table}")
@@ -346,11 +352,52 @@ def test_lost_table_is_refused(spark, dim):
         deliver(spark, dim, SECOND, D2)
 
 
+def test_batch_rewrites_only_the_buckets_of_its_keys(spark, config):
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", buckets=50,
+    )
+    rows = [(str(i), 0) for i in range(1000)] + [(None, 0)]
+    deliver(spark, dim, rows, D1)
+    deliver(spark, dim, [("7", 1), ("new", 1), (None, 1)], D2)
+    deliver(spark, dim, [("7", 2)], D3)
+    copies = dimensions.bucket_copies(spark, dim)
+    keys = spark.createDataFrame([("7",), ("new",)], "k string")
+    seven, new = [r[0] for r in keys.select(dim.bucket()).collect()]
+    assert seven != new and copies.keys() == set(range(50))
+    assert copies[seven] == [1, 2] and copies[new] == [0, 1]
+    assert all(copies[b] == [0] for b in range(50) if b not in (seven, new))
+    table = spark.table(dim.table)
+    assert table.filter("status = 'a' AND k IS NOT NULL").count() == 1001
+    assert table.filter("k IS NULL").count() == 4
+    assert bag(table.filter("k = '7'"), "v", "start_date", "end_date", "status") == Counter(
+        [(0, D1, D2, "i"), (1, D2, D3, "i"), (2, D3, None, "a")]
+    )
+
+
+def test_left_overs_of_a_lost_first_run_do_not_show(spark, dim, monkeypatch):
+    crash_once(monkeypatch, dimensions, "overwrite_partitions", after=True)
+    with pytest.raises(Exception, match="crash"):
+        deliver(spark, dim, [(str(i), 0) for i in range(100)], D1)
+    other = config_source(spark, dim, [("a", 1), ("b", 1), (None, 0)])
+    merge_dimension(spark, other, D1)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+
+
+def config_source(spark, dim, rows):
+    """The same dimension, fed from another table through another checkpoint."""
+    other = DimensionSpec(
+        **{**vars(dim), "checkpoint": dim.checkpoint + "_new", "source": dim.source + "_new"}
+    )
+    bronze(spark, other.source, rows, IN_SCHEMA, D1)
+    return other
+
+
 def test_small_batch_does_not_shuffle_the_dimension(spark, dim, capsys):
     """The distinct keys are measured first; few of them are broadcast to the active versions."""
     deliver(spark, dim, [(str(i), i) for i in range(2000)], D1)
     deliver(spark, dim, SECOND, D2)
-    active = spark.table(dim.versions).filter("_batch_id = 1 AND status = 'a'").drop("_batch_id")
+    active = spark.table(dim.versions).filter("_bucket >= 0").drop("_batch_id", "_bucket")
     batch = spark.createDataFrame([("5", 6, D3, None, "a")], DIM_SCHEMA)
     keys = dimensions.delivered_keys(batch, ["k"]).persist()
     keys.count()
@@ -368,9 +415,11 @@ def test_view_reads_only_the_published_partitions(spark, dim, capsys):
     def partitions(df):
         return {file.split("__versions/")[1].rsplit("/", 1)[0] for file in df.inputFiles()}
 
-    closed = {f"_batch_id={n}/status=i" for n in (1, 2)}
-    assert partitions(spark.table(dim.table)) == {"_batch_id=2/status=a"} | closed
+    closed = {f"_batch_id={n}/status=i/_bucket=-1" for n in (1, 2)}
+    no_key = {"_batch_id=0/status=a/_bucket=-1"}
     current = spark.table(dim.table).filter("status = 'a'").select("v")
-    assert partitions(current) == {"_batch_id=2/status=a"}
+    if dim.buckets == 1:
+        assert partitions(current) == {"_batch_id=2/status=a/_bucket=0"} | no_key
+    assert partitions(spark.table(dim.table)) == partitions(current) | closed
     current.explain()
     assert "ReadSchema: struct<v:int>" in capsys.readouterr().out
