@@ -64,7 +64,9 @@ def sample_files(spark: SparkSession, path: str, sample: int | None = None) -> l
         .orderBy("modificationTime", "path")
         .limit(sample or DEFAULT_SAMPLE_FILES)
     )
-    rows = listing.collect()
+    # The job lists and does not read: a task per core, whatever the sizes of the files.
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(2**60)}):
+        rows = listing.collect()
     if sample is None:
         before = accumulate((row["length"] for row in rows), initial=0)
         rows = [row for row, size in zip(rows, before) if size < DEFAULT_SAMPLE_BYTES]

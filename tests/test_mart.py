@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.mart import MartSpec, build_mart
 from strata.plans.orders import HEADERS_SCHEMA, LINES_SCHEMA, PRODUCTS_SCHEMA, TYPES_SCHEMA
-from strata.session import session_conf
+from strata.session import join_settings, session_conf
 
 DAY = date(2024, 1, 1)
 
@@ -84,8 +84,9 @@ def test_other_column_names(spark):
     assert [r.asDict() for r in out.collect()] == [{"line": 1, "label": "x", "sum": Decimal("8.00")}]
 
 
+@pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
 @pytest.mark.parametrize("hot", [7, None])
-def test_hot_keys_are_split(spark, tmp_path, capsys, hot):
+def test_hot_keys_are_split(spark, tmp_path, capsys, hot, join):
     """A third of the lines share one order, or have none, and a third share one product: the
     joins split those partitions."""
     lines = spark.range(0, 300000, numPartitions=16).select(
@@ -105,6 +106,8 @@ def test_hot_keys_are_split(spark, tmp_path, capsys, hot):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
+    if join == "ShuffledHashJoin":
+        settings = {**join_settings(spark), **settings}
     with session_conf(spark, settings):
         out = build_mart(
             spark.read.parquet(str(tmp_path / "lines")),
@@ -115,4 +118,4 @@ def test_hot_keys_are_split(spark, tmp_path, capsys, hot):
         assert len(out.collect()) == 300000
         out.explain()
     plan = capsys.readouterr().out
-    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    assert plan.count(f"{join}(skew=true)") >= 2
