@@ -8,6 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata import workload
 
+# The training-data operators are an optional part; only their absence is forgiven.
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from strata.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "strata.llm", "strata.llm.queries"):
+        raise
+else:
+    LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLES = dict(llm_queries.ORACLES)
+
 LINES = """
     SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS order_id,
            CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS BIGINT) AS quantity
@@ -223,8 +236,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(workload.QUERIES)
+    return {**workload.QUERIES, **LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **LLM_ORACLES}
