@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, langid, minhash, packing, rabitq, topk, toxicity, warc
+from strata.llm import chat, html_text, langid, minhash, packing, pieces, rabitq, topk, toxicity, warc
 from strata.llm.common import crc32_of, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.search(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids_crc32 is that of the ids as little-endian unsigned 32-bit numbers."""
+    vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return topk.search(rows, rows.where("vec_id % 50 = 0"))
@@ -40,6 +49,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(langid.training_rows(docs), "doc_id", "text", "lang")
@@ -118,8 +131,10 @@ QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_warc": op2_warc,
     "op3_nearest": op3_nearest,
+    "op4_pieces": op4_pieces,
     "op5_topk": op5_topk,
     "op6_packing": op6_packing,
+    "op7_html": op7_html,
     "op8_language_id": op8_language_id,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
