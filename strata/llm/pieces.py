@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import map_batches, written
 
@@ -266,7 +267,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Data
     """Adds `text`: pieces put together, bytes as UTF-8, space marks as spaces but the first."""
     spelled = {i: p.replace(SPACE, " ").encode() for p, i, _ in vocabulary.pieces}
     spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
-    schema = encoded.schema.add("text", "string")
+    schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,124 @@
+"""Near-duplicates against all pairs of shingle sets."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import minhash
+from strata.llm.minhash import Params, near_duplicates
+
+SCHEMA = "doc_id long, text string, mark string, `size` int, bucket string"
+
+
+def docs(spark, texts, first=0):
+    return spark.createDataFrame([(first + i, t, "m", 1, "b") for i, t in enumerate(texts)], SCHEMA).repartition(3)
+
+
+def shingles(text, n):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    if len(words) < n:
+        return frozenset([tuple(words)])
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def brute(texts, params):
+    sets = [shingles(t, params.words) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= params.percent * len(sets[a] | sets[b]) and sets[a]:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: (len(sets[i]), root(i)) for i in range(len(texts))}
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    texts = []
+    for k in range(40):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice((30, 80, 200)))]
+        base = passage + base if k % 3 == 0 else base
+        texts.append(" ".join(base))
+        for _ in range(rng.choice((0, 1, 6))):
+            copy = list(base)
+            for _ in range(rng.choice((0, 1, 2, 4))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+    hub = [rng.choice(vocabulary) for _ in range(120)]
+    for _ in range(60):  # a large group of near copies, not all of them linked with each other
+        copy = list(hub)
+        for _ in range(rng.choice((1, 2, 3))):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    texts += ["same text here"] * 30 + ["One Two", "one two", "ONE", None, "", " \t\n", "é É", "É É", "a\x0bb", "a b", "a b"]
+    return texts
+
+
+@pytest.mark.parametrize("params", [Params(words=3, percent=85), Params(), Params(words=3, percent=60)])
+def test_components_are_those_of_all_pairs(spark, corpus, params):
+    assert result(near_duplicates(docs(spark, corpus), params)) == brute(corpus, params)
+
+
+def test_blocks_within_a_bucket(spark, corpus):
+    params = Params(words=3, percent=85, block=4)
+    assert result(near_duplicates(docs(spark, corpus), params)) == brute(corpus, params)
+
+
+def test_empty_table_and_no_links(spark):
+    assert near_duplicates(docs(spark, [])).collect() == []
+    assert result(near_duplicates(docs(spark, ["a b c d e f", "g h i j k l", None]))) == {0: (2, 0), 1: (2, 1), 2: (0, 2)}
+
+
+def test_rows_without_a_key_and_repeated_rows(spark):
+    rows = [(None, "a b c d e f g"), (None, "a b c d e f g"), (5, "a b c d e f g"), (5, "a b c d e f g"), (9, "a b c d e f g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
+    assert found == sorted([(None, None, True)] * 2 + [(5, 5, True)] * 2 + [(9, 5, False)], key=str)
+    kept = sorted((r.doc_id for r in minhash.keep(df).collect()), key=str)
+    assert kept == [5, None, None]
+
+
+def test_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    assert result(near_duplicates(docs(spark, [long, long + " x", "short"]))) == {0: (59_996, 0), 1: (59_997, 0), 2: (1, 2)}
+
+
+def test_keep_returns_the_given_columns(spark, corpus):
+    given = docs(spark, corpus)
+    kept = minhash.keep(given, Params(words=3, percent=85))
+    expected = brute(corpus, Params(words=3, percent=85))
+    assert kept.columns == given.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, (_, c) in expected.items() if c == i]
+
+
+def test_estimate_is_close_to_the_similarity(spark):
+    params, rng = Params(), np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 2**63, 4000, np.uint64))
+    b = np.concatenate([a[:3000], np.unique(rng.integers(0, 2**63, 1000, np.uint64))])
+    signs = minhash.packed(minhash.minima([a, b], minhash.multipliers(params)), params.bits)
+    row = spark.createDataFrame([(signs[0].tolist(), signs[1].tolist())], "a array<long>, b array<long>")
+    differ = minhash.unequal(F.col("a"), F.col("b"), params)
+    assert abs(row.select(minhash.similarity(differ, params)).first()[0] - 0.6) < 0.15
+
+
+def test_bands_miss_no_more_than_stated():
+    for params in (Params(), Params(words=3, percent=85), Params(percent=50)):
+        r, t = params.rows(), params.percent / 100
+        assert (1 - t**r) ** (params.hashes // r) <= params.missed or r == 1
