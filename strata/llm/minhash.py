@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -174,9 +174,19 @@ def sizes_allow(a: Column, b: Column, params: Params) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * params.percent
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, params: Params, key: str, text: str) -> DataFrame:
-    """Of the pairs (a, b) those whose whole shingle sets pass the threshold."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+#: Keys that a broadcast may hold (8 bytes each, and as much again for its hash table).
+FEW_KEYS = 2_000_000
+
+
+def only(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The documents with (or, by `left_anti`, without) one of the written distinct `keys`: few keys
+    go to the documents, so that their texts stay where they are; many meet them by a shuffle."""
+    few = keys.count() <= FEW_KEYS
+    return docs.join(F.broadcast(keys) if few else keys, keys.columns[0], how)
+
+
+def shingle_sets(keys: DataFrame, docs: DataFrame, params: Params, key: str, text: str) -> DataFrame:
+    """(key, set): the whole shingle sets of the documents with the distinct `keys` (key)."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +195,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, params: Params, key: str, text: s
                 found = [shingles(t.as_py(), params.words).view(np.int64) for t in piece.column(1)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found, pa.list_(pa.int64()))], ["key", "set"])
 
-    given = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "left_semi")
-    sets = map_batches(given, run, f"key {kind}, set array<long>")
+    given = only(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), written(keys, "keys"))
+    return map_batches(given, run, f"key {kind}, set array<long>")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, params: Params, key: str, text: str) -> DataFrame:
+    """Of the pairs (a, b) those whose whole shingle sets pass the threshold."""
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = shingle_sets(involved, docs, params, key, text)
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b"
     )
@@ -207,9 +223,11 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
     key repeats.
 
     Equal sets are one class from the start. In each bucket of a band, every class is tested
-    against the bucket's smallest one, which is linear in the bucket. What then still lies in
-    different components is compared by signature in blocks, so that no link is lost: of the
-    largest component of a bucket only against the others.
+    against the bucket's smallest one, which is linear in the bucket. Classes that are not joined by
+    that are compared within their buckets by signature, in blocks; what may be linked forms groups,
+    and in these the whole sets are compared, again in blocks. Each block gives away only the links
+    that join what was apart, so that nothing grows with the square of a group but the comparisons
+    inside a block, and no link between components is lost.
     """
     drawn = written(sketch(docs, params, key, text), "sketch")
     classes = written(
@@ -232,15 +250,21 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
         .select("a", "b")
         .distinct()
     )
-    likely = written(likely, "likely")
-    links = written(confirm(likely, docs, params, key, text), "links")
-    roots = components(links)
-
-    rest = across(members, roots, signs, params).join(likely, ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    more = confirm(rest, docs, params, key, text)
-    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
-    roots = components(joined)
+    links = written(confirm(written(likely, "likely"), docs, params, key, text), "links")
+
+    # A name that linked classes share: the smallest class that one is known to be linked with.
+    names = written(links.groupBy(F.col("b").alias("named")).agg(F.min("a").alias("name")), "names")
+    name = F.coalesce("name", "rep").alias("name")
+    kind = reps.schema["rep"].dataType.simpleString()
+    dealt = deal(members.join(names, members.rep == names.named, "left").select(F.col("bucket").alias("group"), "rep", name), params)
+    maybe = compared(dealt.join(signs, "rep"), by_signature(params), kind)
+    groups = components(maybe)
+    groups = groups.unionAll(groups.select(F.col("root").alias("node"), "root").distinct())
+    groups = written(groups.select(F.col("root").alias("group"), F.col("node").alias("rep")), "groups")
+    sets = shingle_sets(groups.select(F.col("rep").alias("key")), docs, params, key, text)
+    dealt = deal(groups.join(names, groups.rep == names.named, "left").select("group", "rep", name), params)
+    more = compared(dealt.join(sets.withColumnRenamed("key", "rep"), "rep"), by_sets(params), kind)
+    roots = components(links.unionAll(more))
 
     own = classes.join(roots, classes.rep == roots.node, "left").select(
         "mark", F.coalesce("root", "rep").alias("component")
@@ -255,68 +279,46 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
     )
 
 
-def across(members: DataFrame, roots: DataFrame, signs: DataFrame, params: Params) -> DataFrame:
-    """Pairs (a < b) of one bucket in different components whose signatures pass the estimate."""
-    rooted = members.join(roots, members.rep == roots.node, "left").select(
-        "bucket", "rep", F.coalesce("root", "rep").alias("component")
-    )
-    rooted = written(rooted, "rooted")
-    parts = rooted.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+def deal(members: DataFrame, params: Params) -> DataFrame:
+    """The members (group, rep, name) of each group that holds several names, in pairs of blocks
+    (group, i, j): such that any two of different names meet, and of the most frequent name, which
+    may have most of the members, a member only meets those of other names."""
+    members = written(members, "members")
+    parts = members.groupBy("group", "name").agg(F.count("*").alias("n"))
     mixed = (
-        parts.groupBy("bucket")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("parts"))
+        parts.groupBy("group")
+        .agg(
+            F.max_by("name", F.struct("n", "name")).alias("main"),
+            F.sum("n").alias("all"),
+            F.max("n").alias("most"),
+            F.count("*").alias("parts"),
+        )
         .where("parts > 1")
         .drop("parts")
     )
     block = F.lit(params.block)
     small = F.col("all") <= block
-    rest = F.ceil((F.col("all") - F.col("most")) / block)
-    main = F.ceil(F.col("most") / block)
-    stray = F.col("component") != F.col("main")
+    stray = F.col("name") != F.col("main")
     place = F.when(stray, F.pmod(F.xxhash64("rep"), F.col("rest"))).otherwise(
         F.col("rest") + F.pmod(F.xxhash64("rep"), F.col("mains"))
     )
-    dealt = (
-        rooted.join(mixed, "bucket")
-        .withColumns({"rest": rest, "mains": main})
-        .withColumn("place", F.when(small, F.lit(0)).otherwise(place))
-        .withColumn("until", F.when(small, F.lit(0)).when(stray, F.col("rest") + F.col("mains") - 1).otherwise(F.col("rest") - 1))
-        .select("bucket", "rep", "component", "place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("until").cast("long"))).alias("other"))
-        .select("bucket", "rep", "component", "place", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"))
+    until = F.when(stray, F.col("rest") + F.col("mains") - 1).otherwise(F.col("rest") - 1)
+    numbered = (
+        members.join(mixed, "group")
+        .withColumns({"rest": F.ceil((F.col("all") - F.col("most")) / block), "mains": F.ceil(F.col("most") / block)})
+        .withColumns({"place": F.when(small, F.lit(0)).otherwise(place), "until": F.when(small, F.lit(0)).otherwise(until)})
     )
-    kind = members.schema["rep"].dataType.simpleString()
-    group = ["bucket", "i", "j"]
-    sorted_rows = (
-        dealt.join(signs, "rep")
-        .select(*group, "place", "rep", "component", "size", "signature")
-        .repartition(*group)
-        .sortWithinPartitions(*group)
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("until").cast("long")))
+    return numbered.select("group", "rep", "name", F.col("place").cast("long").alias("place"), others.alias("other")).select(
+        "group", "rep", "name", "place", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j")
     )
-    return map_batches(sorted_rows, comparer(params), f"a {kind}, b {kind}").distinct()
 
 
-def comparer(params: Params):
-    """Compares the members of each (bucket, i, j), whose rows come one after the other."""
-    words, most = params.hashes // 64, params.most_unequal()
-
-    def compare(rows: pa.Table) -> list[tuple]:
-        rep = rows["rep"].to_numpy()
-        component, place, size = (rows[c].to_numpy() for c in ("component", "place", "size"))
-        sign = rows["signature"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1).view(np.uint64)
-        planes = sign.reshape(len(rep), params.bits, words)
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        left = np.flatnonzero(place == i)
-        right = np.flatnonzero(place == j)
-        found = []
-        for k in left:
-            to = right[rep[right] > rep[k]] if i == j else right
-            to = to[component[to] != component[k]]
-            to = to[np.minimum(size[to], size[k]) * 100 >= np.maximum(size[to], size[k]) * params.percent]
-            if len(to):
-                differ = np.bitwise_or.reduce(planes[to] ^ planes[k], axis=1)
-                to = to[np.bitwise_count(differ).sum(axis=1) <= most]
-                found += [(min(rep[k], rep[t]), max(rep[k], rep[t])) for t in to]
-        return found
+def compared(dealt: DataFrame, linked: Callable, kind: str) -> DataFrame:
+    """(a, b) from each pair of blocks (group, i, j): a link for each two names or members that the
+    linked pairs join, as `linked` finds them, and no more."""
+    block = ["group", "i", "j"]
+    in_order = dealt.repartition(*block).sortWithinPartitions(*block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -325,19 +327,19 @@ def comparer(params: Params):
                 held = table if held is None else pa.concat_tables([held, table])
             if held is None or not held.num_rows:
                 continue
-            keys = [held[c].to_numpy() for c in ("bucket", "i", "j")]
+            keys = [held[c].to_numpy() for c in block]
             starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
             ends = [*starts[1:], held.num_rows]
             done = len(starts) if table is None else len(starts) - 1
             found: list[tuple] = []
             for s, e in zip(starts[:done], ends[:done], strict=True):
-                found += compare(held.slice(s, e - s))
+                found += linked(held.slice(s, e - s))
             held = None if table is None else held.slice(starts[-1])
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return run
+    return map_batches(in_order, run, f"a {kind}, b {kind}")
 
 
 def then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table | None]:
@@ -347,9 +349,85 @@ def then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table | None]:
     yield None
 
 
+def sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of the rows of the first and the second block; whether both are the same."""
+    place, i, j = rows["place"].to_numpy(), rows["i"][0].as_py(), rows["j"][0].as_py()
+    return np.flatnonzero(place == i), np.flatnonzero(place == j), i == j
+
+
+def join_up(k: int, others: np.ndarray, root: np.ndarray, rep: np.ndarray) -> Iterator[tuple]:
+    """Links of member k with one of each root among `others` that is not its own; they are joined."""
+    apart = others[root[others] != root[k]]
+    if len(apart):
+        roots, first = np.unique(root[apart], return_index=True)
+        yield from ((rep[k], rep[t]) for t in apart[first])
+        root[np.isin(root, roots)] = root[k]
+
+
+def by_signature(params: Params) -> Callable[[pa.Table], list[tuple]]:
+    """Finds pairs of different names whose sizes and signatures allow a link, and gives away what
+    holds together the members of such pairs."""
+    words, most = params.hashes // 64, params.most_unequal()
+
+    def linked(rows: pa.Table) -> list[tuple]:
+        rep, name, size = (rows[c].to_numpy() for c in ("rep", "name", "size"))
+        signs = rows["signature"].combine_chunks().flatten().to_numpy().view(np.uint64)
+        planes = signs.reshape(len(rep), params.bits, words)
+        left, right, same = sides(rows)
+        root, found = np.arange(len(rep)), []
+        for k in left:
+            to = right[right > k] if same else right
+            to = to[(name[to] != name[k]) & (root[to] != root[k])]
+            to = to[np.minimum(size[to], size[k]) * 100 >= np.maximum(size[to], size[k]) * params.percent]
+            if len(to):
+                differ = np.bitwise_or.reduce(planes[to] ^ planes[k], axis=1)
+                found += join_up(k, to[np.bitwise_count(differ).sum(axis=1) <= most], root, rep)
+        return found
+
+    return linked
+
+
+def by_sets(params: Params) -> Callable[[pa.Table], list[tuple]]:
+    """Finds links by the whole sets: shared shingles of all pairs at once, as a product of 0/1
+    matrices, some thousand shingles at a time."""
+    columns = 4096
+
+    def linked(rows: pa.Table) -> list[tuple]:
+        rep = rows["rep"].to_numpy()
+        lists = rows["set"].combine_chunks()
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(rep)), size)
+        _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+        several = count[column] > 1
+        column, owner = (np.cumsum(count > 1) - 1)[column[several]], owner[several]
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        left, right, same = sides(rows)
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+            s, e = np.searchsorted(column, (start, start + columns))
+            has = np.zeros((len(rep), columns), np.float32)
+            has[owner[s:e], column[s:e] - start] = 1
+            shared += has[left] @ has[right].T
+        joint = size[left][:, None] + size[right][None, :] - shared
+        enough = shared * 100 >= joint * params.percent
+        root = np.unique(rows["name"].to_numpy(), return_inverse=True)[1]
+        found: list[tuple] = []
+        for at, k in enumerate(left):
+            to = right[enough[at]]
+            found += join_up(k, to[to > k] if same else to, root, rep)
+        return found
+
+    return linked
+
+
 def keep(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, all columns; of rows that repeat a key, one. Documents
     without a key stay."""
-    kept = near_duplicates(docs, params, key, text).where(f"kept AND `{key}` IS NOT NULL").select(key).distinct()
-    named = docs.join(kept, key, "left_semi").dropDuplicates([key])
-    return named.unionAll(docs.where(F.col(key).isNull())).select(*docs.columns)
+    found = written(near_duplicates(docs, params, key, text).select(F.col(key).alias(key), "kept"), "kept")
+    dropped = written(found.where("NOT kept").select(key).distinct(), "dropped")
+    repeated = found.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
+    repeated = written(repeated, "repeated")
+    left = only(docs, dropped, "left_anti")
+    once, several = only(left, repeated, "left_anti"), only(left, repeated)
+    return once.unionByName(several.dropDuplicates([key])).select(*docs.columns)
