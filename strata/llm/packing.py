@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -14,40 +15,76 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_batches, written
 
 #: Words whose ids a Python worker remembers; then it begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Words encoded in one call.
+TOGETHER = 5_000
+#: Marks that may follow a word; a token never holds a letter and one of them.
+MARKS = b",.!?;:"
 
 
 class WordEncoder:
     """Ids of whole texts, by way of the ids of their words.
 
-    Only for tokenizers that no token or rule of which crosses ASCII white space, and that drop
-    white space: the ids of a text are then those of its words, one after the other.
+    Only for tokenizers that ignore case, drop white space, and no token or rule of which crosses
+    ASCII white space or goes from a letter to one of MARKS: the ids of a text are then those of
+    its words, one after the other.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """For each UTF-8 text its ids as little-endian unsigned 32-bit numbers."""
-        return [self.text(t) for t in texts]
-
-    def text(self, text: bytes) -> bytes:
-        words = text.split()
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
+        words = text.lower().split()
         known = self.words
         if missing := [w for w in dict.fromkeys(words) if w not in known]:
             if len(known) > REMEMBERED:
                 known.clear()
                 missing = list(dict.fromkeys(words))
-            for start in range(0, len(missing), 10_000):
-                some = missing[start : start + 10_000]
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                for word, e in zip(some, found, strict=True):
-                    known[word] = np.array(e.ids, "<u4").tobytes()
+            self.learn(missing)
         return b"".join(map(known.__getitem__, words))
 
+    def learn(self, missing: list[bytes]) -> None:
+        known = self.words
+        marked: list[tuple[bytes, bytes, bytes]] = []
+        wanted: dict[bytes, None] = {}
+        for word in missing:
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem.decode()[-1:].isalpha():
+                marked.append((word, stem, word[len(stem) :]))
+                wanted |= {stem: None, word[len(stem) :]: None}
+            else:
+                wanted[word] = None
+        texts = [w.decode() for w in wanted if w not in known]
+        plain = [w for w in texts if w.isalpha()]
+        for start in range(0, len(plain), TOGETHER):
+            self.learn_plain(plain[start : start + TOGETHER])
+        for word in texts:
+            if not word.isalpha():
+                known[word.encode()] = self.ids(word)
+        for word, stem, mark in marked:
+            known[word] = known[stem] + known[mark]
+
+    def learn_plain(self, words: list[str]) -> None:
+        """Words of letters only are encoded in one call, and told apart by their last tokens."""
+        ids = np.frombuffer(self.ids(" ".join(words)), "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        apart = len(cuts) == len(words) and cuts[-1] == len(ids)
+        for k, word in enumerate(words):
+            own = ids[cuts[k - 1] if k else 0 : cuts[k]].tobytes() if apart else self.ids(word)
+            self.words[word.encode()] = own
+
+    def ids(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # keeps no offsets
+        return np.array(found[0].ids, "<u4").tobytes()
+
 
 ENCODERS: dict[str, WordEncoder] = {}
 
@@ -69,7 +106,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
-                ids = [t + end for t in own.encode([(x.as_py() or "").encode() for x in piece.column(1)])]
+                ids = [own.encode((x.as_py() or "").encode()) + end for x in piece.column(1)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 before = start + np.cumsum(n) - n
                 start += int(n.sum())
