@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,22 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
     return df.mapInArrow(run, schema)
+
+
+def draw(rows: DataFrame, key: str, classes: list[str], most: int) -> DataFrame:
+    """At most `most` rows of each combination of `classes`, by a hash of the key, with their `place`.
+
+    Only about four times as many are ranked, whatever the share of a class: the classes are
+    counted first, a row for each. Adds `place` from 1; the keys must not be NULL.
+    """
+    counts = rows.groupBy(*classes).count().collect()
+    slots = 1 << 30
+    wanted = F.lit(False)
+    for row in counts:
+        own = F.lit(True)
+        for c in classes:
+            own = own & (F.col(c) == F.lit(row[c]))
+        share = min(slots, -(-4 * most * slots // row["count"]))
+        wanted = F.when(own, F.pmod(F.xxhash64(key), F.lit(slots)) < share).otherwise(wanted)
+    order = Window.partitionBy(*classes).orderBy(F.xxhash64(F.col(key), F.lit(1)), key)
+    return rows.where(wanted).withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)

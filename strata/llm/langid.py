@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import ngrams
-from strata.llm.common import crc32_of, map_batches
+from strata.llm.common import crc32_of, draw, map_batches
 from strata.llm.linear import Ftrl, logits_of, softmax, temperature
 
 UNDETERMINED = "und"
@@ -94,13 +94,7 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, params: Params = P
     )
     rows, held = document_frequencies(usable.select("text"), params)
     idf = np.log((1.0 + rows) / (1.0 + held)) + 1.0
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    drawn = (
-        usable.select("key", "label")
-        .where("key IS NOT NULL")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= params.rows_per_language)
-    )
+    drawn = draw(usable.select("key", "label").where("key IS NOT NULL"), "key", ["label"], params.rows_per_language)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

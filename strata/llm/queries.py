@@ -140,4 +140,82 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+#: Escaping in SQL: a backslash after the first character of each control string.
+ESCAPED = r"""regexp_replace(text,
+    '(<)(\\*(?:\|im_start\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>))|(\[)(\\*(?:INST\]|/INST\]))',
+    '\1\3\\\2\4', 'g')"""
+
+ORACLES: dict[str, str] = {
+    "op1_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(
+                CASE WHEN len(w) = 0 THEN []
+                     WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 1),
+                                         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+            FROM words
+        ), classes AS (
+            SELECT min(doc_id) AS rep, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+        ), items AS (SELECT rep, len(s) AS n, unnest(s) AS item FROM classes),
+        links AS (
+            SELECT a.rep AS a, b.rep AS b
+            FROM items a JOIN items b ON a.item = b.item AND a.rep < b.rep
+            GROUP BY a.rep, b.rep, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT rep AS node, rep AS root FROM classes
+            UNION
+            SELECT edges.b, reach.root FROM reach JOIN edges ON reach.node = edges.a
+        ), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+        SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles,
+               coalesce(roots.root, sets.doc_id) AS component_id,
+               coalesce(roots.root, sets.doc_id) = sets.doc_id AS kept
+        FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN roots ON roots.node = classes.rep
+    """,
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, strlen(body) AS n, sha256(body) AS digest FROM p),
+        f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM d)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to, true AS valid
+        FROM f
+    """,
+    "op5_topk": """
+        WITH fine AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (SELECT vec_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM fine),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+            FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op9_chat": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{HOSTILE}'
+            UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text))
+                   AS loss_sha256,
+               CAST(sum(24 + length(role) + length({ESCAPED})) AS BIGINT) AS formatted_chars
+        FROM rows GROUP BY conv_id
+    """,
+}

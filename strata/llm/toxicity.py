@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import ngrams
-from strata.llm.common import map_batches
+from strata.llm.common import draw, map_batches
 from strata.llm.linear import Ftrl, Row
 
 
@@ -26,7 +26,9 @@ class Params:
     rows_per_combination: int = 1500
     folds: int = 5
     threshold: float = 0.5
-    ftrl: Ftrl = field(default_factory=lambda: Ftrl(alpha=0.1, l1=1.0, l2=1.0, epochs=2))
+    #: Standard errors by which an n-gram's share must differ between the classes to be a feature.
+    least_z: float = 2.5
+    ftrl: Ftrl = field(default_factory=lambda: Ftrl(alpha=0.1, l1=0.1, l2=0.1, epochs=4))
 
 
 def logistic(x: float) -> float:
@@ -42,9 +44,9 @@ class Link:
     weights: np.ndarray
     earlier: np.ndarray
     intercept: float
-    shift: float
+    shift: float = 0.0
 
-    def raw(self, flags: np.ndarray, earlier: list[float]) -> float:
+    def raw(self, flags: np.ndarray, earlier: Sequence[float] | np.ndarray) -> float:
         return float(flags[self.at] @ self.weights) + float(np.dot(self.earlier, earlier)) + self.intercept
 
 
@@ -85,8 +87,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params(), key: str
     keyed = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     known = keyed.select("key").join(named, "key")
     shares = {tuple(r[:-1]): r[-1] for r in known.groupBy(*targets).count().collect()}  # 2**categories rows
-    order = Window.partitionBy(*targets).orderBy(F.xxhash64("key"), "key")
-    drawn = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= params.rows_per_combination)
+    drawn = draw(known, "key", targets, params.rows_per_combination)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(1 << params.bits, np.uint8)
@@ -99,51 +100,95 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params(), key: str
 
     columns = ["place", *targets]
     chosen = keyed.join(drawn.dropDuplicates(["key"]), "key").select(*columns, "text")
-    # Bounded by rows_per_combination.
-    sample = map_batches(chosen, featurise, f"place int, {', '.join(f'{y} int' for y in targets)}, at binary").collect()
-    sample.sort(key=lambda r: (*r[: len(columns)], bytes(r.at)))
-    if not sample:
-        return Model(params, ())
-    index = [np.frombuffer(r.at, "<u4").astype(np.int64) for r in sample]
-    fold = np.array([r.place % params.folds for r in sample])
-    features = 1 << params.bits
-    earlier = np.zeros((len(sample), 0))
-    links = []
-    for k in range(len(params.chain)):
-        y = np.array([r[1 + k] for r in sample])
-        rows: list[Row] = [
-            (
-                np.concatenate([at, features + np.arange(k)]),
-                np.concatenate([np.ones(len(at)), earlier[i]]),
-                int(y[i]),
+    kinds = f"place int, {', '.join(f'{y} int' for y in targets)}, at binary"
+    # The sample is bounded by rows_per_combination, so one task may learn from it.
+    sample = map_batches(chosen, featurise, kinds).repartition(1)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        for link, y in fit_chain(sorted(rows), params):
+            columns = {"at": link.at, "weights": link.weights, "earlier": link.earlier}
+            arrays = {n: [c.tobytes()] for n, c in columns.items()}
+            yield pa.RecordBatch.from_pydict(
+                arrays | {"intercept": [link.intercept], "zeros": [int((y == 0).sum())], "ones": [int(y.sum())]}
+            )
+
+    found = map_batches(
+        sample, learn, "at binary, weights binary, earlier binary, intercept double, zeros long, ones long"
+    ).collect()  # a row for each category
+    return Model(
+        params,
+        tuple(
+            Link(
+                np.frombuffer(r.at, "<i8"),
+                np.frombuffer(r.weights, "<f8"),
+                np.frombuffer(r.earlier, "<f8"),
+                r.intercept,
+                shift_of(r.zeros, r.ones, shares, k),
             )
-            for i, at in enumerate(index)
-        ]
-        links.append(link_of(params.ftrl.fit(rows, features + k, 2), features, shift_of(y, shares, k)))
+            for k, r in enumerate(found)
+        ),
+    )
+
+
+def fit_chain(rows: list[tuple], params: Params) -> Iterator[tuple[Link, np.ndarray]]:
+    """A link for each category, with the labels it was fitted on, from rows (place, labels of the
+    chain, packed buckets)."""
+    if not rows:
+        return
+    index = [np.frombuffer(r[-1], "<u4").astype(np.int64) for r in rows]
+    fold = np.array([r[0] % params.folds for r in rows])
+    earlier = np.zeros((len(rows), 0))
+    for k in range(len(params.chain)):
+        y = np.array([r[1 + k] for r in rows])
+        yield fit_link(index, earlier, y, np.arange(len(y)), params), y
         if k + 1 < len(params.chain):
             # Later categories learn from what this one says of rows it has not seen.
-            said = np.zeros(len(rows))
+            said = np.zeros(len(y))
+            flags = np.zeros(1 << params.bits, np.uint8)
             for f in range(params.folds):
-                seen = [rows[i] for i in np.flatnonzero(fold != f)]
-                w = params.ftrl.fit(seen, features + k, 2)
+                link = fit_link(index, earlier, y, np.flatnonzero(fold != f), params)
                 for i in np.flatnonzero(fold == f):
-                    at, value, _ = rows[i]
-                    said[i] = logistic(value @ (w[at, 1] - w[at, 0]) + w[-1, 1] - w[-1, 0])
+                    flags[index[i]] = 1
+                    said[i] = logistic(link.raw(flags, earlier[i]))
+                    flags[index[i]] = 0
             earlier = np.column_stack([earlier, said])
-    return Model(params, tuple(links))
 
 
-def link_of(weights: np.ndarray, features: int, shift: float) -> Link:
+def ratios(index: list[np.ndarray], y: np.ndarray, rows: np.ndarray, params: Params) -> np.ndarray:
+    """For each bucket the log ratio of its shares in both classes, 0 if the shares hardly differ."""
+    held = np.zeros((2, 1 << params.bits))
+    for i in rows:
+        held[y[i], index[i]] += 1
+    n = np.bincount(y[rows], minlength=2)[:, None]
+    share = (held + 1) / (n + 2)
+    joint = (held.sum(axis=0) + 1) / (n.sum() + 2)
+    error = np.sqrt(joint * (1 - joint) * (1 / np.maximum(n, 1)).sum())
+    z = np.abs(held[1] / max(n[1, 0], 1) - held[0] / max(n[0, 0], 1)) / error
+    return np.where(z >= params.least_z, np.log(share[1]) - np.log(share[0]), 0.0)
+
+
+def fit_link(index: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, rows: np.ndarray, params: Params) -> Link:
+    """A linear model on the telling n-grams, each scaled by its log ratio, and on the probabilities
+    of the earlier categories."""
+    features, k = 1 << params.bits, earlier.shape[1]
+    scale = ratios(index, y, rows, params)
+    given: list[Row] = []
+    for i in rows:
+        at = index[i][scale[index[i]] != 0]
+        given.append((np.append(at, features + np.arange(k)), np.append(scale[at], earlier[i]), int(y[i])))
+    weights = params.ftrl.fit(given, features + k, 2)
     w = weights[:, 1] - weights[:, 0]
-    at = np.flatnonzero(w[:features])
-    return Link(at, w[at], w[features:-1], float(w[-1]), shift)
+    scaled = w[:features] * scale
+    at = np.flatnonzero(scaled)
+    return Link(at, scaled[at], w[features:-1].copy(), float(w[-1]))
 
 
-def shift_of(y: np.ndarray, shares: dict[tuple, int], k: int) -> float:
+def shift_of(zeros: int, ones: int, shares: dict[tuple, int], k: int) -> float:
     """From the share of category k in the sample to that among all labelled rows, as log odds."""
-    ones = sum(n for combo, n in shares.items() if combo[k])
-    zeros = sum(shares.values()) - ones
-    return float(np.log((ones + 1) / (zeros + 1)) - np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    all_ones = sum(n for combo, n in shares.items() if combo[k])
+    all_zeros = sum(shares.values()) - all_ones
+    return float(np.log((all_ones + 1) / (all_zeros + 1)) - np.log((ones + 1) / (zeros + 1)))
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
