@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from strata.functions.scalars import total_price
 
 
+# Fixed values in MartSpec: the data contract of the mart, its keys and columns.
+
+
 @dataclass(frozen=True)
 class MartSpec:
     """Join keys, output columns as (relation, column, output name), and the price columns.
@@ -47,10 +50,10 @@ def join_products(lines: DataFrame, products: DataFrame, key: str) -> DataFrame:
     return lines.join(products.alias("product"), on)
 
 
-def join_types(lines: DataFrame, types: DataFrame, key: str) -> DataFrame:
-    """Keep the lines whose product type exists, once per version of the type."""
+def join_types(products: DataFrame, types: DataFrame, key: str) -> DataFrame:
+    """Keep the products whose type exists, once per version of the type."""
     on = F.col(f"product.{key}") == F.col(f"type.{key}")
-    return lines.join(types.alias("type"), on)
+    return products.join(types.alias("type"), on)
 
 
 def build_mart(
@@ -64,14 +67,16 @@ def build_mart(
 
     The joins use the keys alone, neither status nor dates: a line comes once per version of its
     product times versions of its type. The fact-to-fact join goes first, on the narrow lines,
-    before the dimensions multiply them; the dimension joins need no shuffle of the lines as long
-    as Spark's own size check lets it broadcast them. No side carries a hint, so a dimension that
-    outgrows the threshold is sort-merged, and a hot key on the line side is split by the adaptive
-    skew join.
+    before the dimensions multiply them. Products meet their types before the lines meet either,
+    so that lines are never shuffled by type, a key of few values, nor after they were multiplied.
+    A dimension that Spark's own size check lets it broadcast needs no shuffle of the lines. No
+    side carries a hint, so one that outgrows the threshold is sort-merged, and a hot key on the
+    line side is split by the adaptive skew join.
     """
     joined = join_headers(lines, headers, spec.order_key)
-    joined = join_products(joined, products, spec.product_key)
-    joined = join_types(joined, types, spec.type_key)
+    described = join_types(products.alias("product"), types, spec.type_key)
+    on = F.col(f"line.{spec.product_key}") == F.col(f"product.{spec.product_key}")
+    joined = joined.join(described, on)
     return joined.select(
         *[F.col(f"{side}.{column}").alias(name) for side, column, name in spec.columns],
         total_price(

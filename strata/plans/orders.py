@@ -12,6 +12,7 @@ from strata.streaming.dimensions import DimensionSpec
 from strata.streaming.facts import FactSpec
 from strata.streaming.ingest import FeedSpec
 
+# The data contract, columns and types of the silver tables.
 LINES_SCHEMA = "line_id LONG, order_id LONG, product_id STRING, quantity LONG"
 HEADERS_SCHEMA = "order_id BIGINT, date DATE, time STRING"
 VERSION_SCHEMA = "start_date DATE, end_date DATE, status STRING"
@@ -27,8 +28,11 @@ def clean_products(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("price", clean_price(F.col("price").cast("string")))
 
 
-def orders_pipeline(config: LayerConfig, landing: str) -> Medallion:
-    """Feeds lie in ``landing``/lines, headers (JSON) and products, product_types (CSV)."""
+def orders_pipeline(config: LayerConfig, landing: str, product_buckets: int = 16) -> Medallion:
+    """Feeds lie in ``landing``/lines, headers (JSON) and products, product_types (CSV).
+
+    ``product_buckets`` is about the size of the active products over 256 MB; types are few.
+    """
 
     def feed(name: str, file_format: str, **options: object) -> FeedSpec:
         return FeedSpec(
@@ -52,6 +56,7 @@ def orders_pipeline(config: LayerConfig, landing: str) -> Medallion:
         config=config,
         feeds=(
             feed("products", "csv", sample=10),
+            # The feed's own hints.
             feed("headers", "json", sample=10, hints="order_id BIGINT, date DATE"),
             feed("lines", "json"),
             feed("product_types", "csv"),
@@ -66,6 +71,7 @@ def orders_pipeline(config: LayerConfig, landing: str) -> Medallion:
                 schema=PRODUCTS_SCHEMA,
                 key="product_id",
                 clean=clean_products,
+                buckets=product_buckets,
             ),
             DimensionSpec(
                 **silver("product_types"), schema=TYPES_SCHEMA, key="product_type_id"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -27,6 +30,11 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def user_set(spark: SparkSession, key: str) -> bool:
+    """Whether the session has a value of its own for the key, be it the default one."""
+    return not spark.sql("SET").filter(F.col("key") == key).isEmpty()
+
+
 def join_settings(spark: SparkSession) -> dict[str, str]:
     """Adaptive execution, which splits skewed join partitions, and shuffles as wide as the
     cluster. What the user has set for the last two keys stays.
@@ -38,10 +46,21 @@ def join_settings(spark: SparkSession) -> dict[str, str]:
     """
     cores = spark.sparkContext.defaultParallelism
     default = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * cores)
-    local_map = spark.conf.get(LOCAL_MAP_BOUND, "0b")
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         INITIAL_PARTITIONS: spark.conf.get(INITIAL_PARTITIONS, None) or str(default),
-        LOCAL_MAP_BOUND: "64MB" if local_map in ("0", "0b") else local_map,
+        LOCAL_MAP_BOUND: spark.conf.get(LOCAL_MAP_BOUND) if user_set(spark, LOCAL_MAP_BOUND) else "64MB",
     }
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """`mapInArrow`, with this package on the path of the Python workers.
+
+    A cluster that has it installed, or gets it by `--py-files`, needs no path; it does no harm.
+    """
+    env = df.sparkSession.sparkContext.environment
+    root, paths = str(Path(__file__).resolve().parents[1]), env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+    return df.mapInArrow(run, schema)

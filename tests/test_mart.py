@@ -84,6 +84,26 @@ def test_other_column_names(spark):
     assert [r.asDict() for r in out.collect()] == [{"line": 1, "label": "x", "sum": Decimal("8.00")}]
 
 
+def test_lines_are_shuffled_by_order_and_product_only(spark, tmp_path, capsys):
+    """Also if nothing is broadcast, and all lines have one type."""
+    lines = [(i, i % 7, str(i % 5), 1) for i in range(200)]
+    frames = {
+        "lines": spark.createDataFrame(lines, "line_id long, order_id long, product_id string, quantity long"),
+        "headers": spark.createDataFrame([(i, DAY, "12:00:00") for i in range(7)], "order_id long, date date, time string"),
+        "products": spark.createDataFrame([product(str(i), "t", "1.00") for i in range(5)], PRODUCTS_SCHEMA),
+        "types": spark.createDataFrame([kind("t", "a", "i"), kind("t", "b")], TYPES_SCHEMA),
+    }
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / name))
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        out = build_mart(*[spark.read.parquet(str(tmp_path / name)) for name in frames])
+        assert out.count() == 400
+        out.explain()
+    plan = capsys.readouterr().out.split("Initial Plan")[-1]
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert sorted(keys) == ["order_id", "order_id", "product_id", "product_id", "product_type_id", "product_type_id"]
+
+
 @pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
 @pytest.mark.parametrize("hot", [7, None])
 def test_hot_keys_are_split(spark, tmp_path, capsys, hot, join):

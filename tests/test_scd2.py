@@ -121,7 +121,7 @@ def test_hot_key_is_counted_before_the_shuffle(spark, capsys):
     delivered.explain()
     plan = capsys.readouterr().out
     assert plan.index("partial_count") > plan.index("Exchange")
-    assert delivered.filter("k = 'hot'").first()["_copies"] == 10000
+    assert delivered.filter("_key0 = 'hot'").first()["_copies"] == 10000
 
 
 @pytest.mark.parametrize("cached", [False, True])
@@ -199,3 +199,29 @@ def test_same_as_merge(spark, batches):
         assert not closed - Counter(versions)
         assert len(versions) - rows_before == len(batch) + copies[None]
         rows_before = len(versions)
+
+
+def test_names_with_dots_and_names_of_helpers(spark):
+    schema = "`a.b` string, _copies int, _spread int, _key0 int, _copy int, start_date date, end_date date, status string"
+    target = [("x", 1, 2, 3, 4, D1, None, "a"), ("y", 1, 2, 3, 4, D1, None, "a"), ("x", 0, 0, 0, 0, D1, D1, "i")]
+    batch = [("x", 5, 6, 7, 8, D2, None, "a"), (None, 5, 6, 7, 8, D2, None, "a")]
+    out = scd2_merge(spark.createDataFrame(target, schema), spark.createDataFrame(batch, schema), ["a.b"], D2)
+    assert out.columns == spark.createDataFrame([], schema).columns
+    assert Counter(tuple(r) for r in out.collect()) == Counter(
+        {("x", 1, 2, 3, 4, D1, D2, "i"): 1, target[1]: 1, target[2]: 1, batch[0]: 1, batch[1]: 2}
+    )
+
+
+def test_only_active_rows_with_a_key_are_exchanged(spark, tmp_path, capsys):
+    rows = spark.range(1000).selectExpr("IF(id % 4 = 0, NULL, CAST(id AS STRING)) AS k", "1 AS v", "DATE'2024-01-01' AS start_date",
+                                        "CAST(NULL AS DATE) AS end_date", "IF(id % 2 = 0, 'a', 'i') AS status")
+    rows.write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        close_versions(target, delivered_keys(target, ["k"]), ["k"], D2).explain("formatted")
+    plan = capsys.readouterr().out
+    filters = [line for line in plan.splitlines() if line.startswith("Condition") and "status" in line]
+    assert any("= a" in f and "isnotnull(k" in f for f in filters)
+    tree = plan.split("\n\n")[0]
+    union = tree.index("Union")
+    assert tree.count("Exchange") == tree[union:].count("Exchange") == 3
