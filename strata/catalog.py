@@ -13,6 +13,8 @@ from strata.config import LayerConfig
 from strata.session import session_conf
 
 VERSION_PROPERTY = "strata.version"
+# Property of a view that shows a table's rows without its technical columns: the table's name.
+STORED_IN = "strata.stored_in"
 
 
 def create_namespaces(spark: SparkSession, config: LayerConfig) -> None:
@@ -83,22 +85,35 @@ def publish_view(
     spark.sql(f"CREATE OR REPLACE VIEW {name} {tail} AS {query}")
 
 
-def replace_table(spark: SparkSession, name: str, df: DataFrame) -> None:
+def stream_of(spark: SparkSession, name: str, files_per_batch: int) -> DataFrame:
+    """A table as a stream of what is appended; for a view over one table, that table."""
+    stored = properties(spark, name).get(STORED_IN, name)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).table(stored)
+
+
+def replace_table(spark: SparkSession, name: str, df: DataFrame, keep: int = 1) -> None:
     """Create or replace ``name`` with the rows and the schema of ``df``.
 
-    The rows go to a new table, then the published name switches over. The version before stays
-    for readers that have already planned on it; older ones and left-overs of failed runs go.
+    The rows go to a new table, then the published name switches over. The ``keep`` versions before
+    it stay for readers that have already planned on them; older ones and left-overs of failed runs
+    go. A plain table that has the name becomes such a version; between its renaming and the
+    publication, a moment, the name is missing.
     """
     database, _, table = name.rpartition(".")
-    previous = properties(spark, name).get(VERSION_PROPERTY)
     version = f"{table}__{uuid4().hex}"
     df.write.format("parquet").saveAsTable(f"{database}.{version}")
+    before = properties(spark, name)
+    previous = [v for v in before.get(VERSION_PROPERTY, "").split(",") if v]
+    if spark.catalog.tableExists(name) and not previous:
+        previous = [f"{table}__{uuid4().hex}"]
+        spark.sql(f"ALTER TABLE {name} RENAME TO {database}.{previous[0]}")
+    kept = [version, *previous][: keep + 1]
     publish_view(
-        spark, name, f"SELECT * FROM {database}.{version}", {VERSION_PROPERTY: version}
+        spark, name, f"SELECT * FROM {database}.{version}", {VERSION_PROPERTY: ",".join(kept)}
     )
     versions = re.compile(re.escape(table) + "__[0-9a-f]{32}")
     for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
-        if versions.fullmatch(row["tableName"]) and row["tableName"] not in (version, previous):
+        if versions.fullmatch(row["tableName"]) and row["tableName"] not in kept:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{row['tableName']}")
 
 

@@ -7,44 +7,43 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.catalog import quoted
 from strata.functions.rescue import CORRUPT, as_map, how_many, with_rescue
 from strata.functions.scalars import SOURCE_FILE
-from strata.sources.schema import by_header, literal_path
+from strata.sources.schema import by_header, field_names, literal_path
 
 
 def read_one_header(
     spark: SparkSession, paths: list[str], header: tuple[str, ...], schema: StructType
 ) -> DataFrame:
-    """Files that share a header. Reading fails if a file has another one.
+    """Files that share a header, which the caller has looked up.
 
-    All columns are read as text, so ``007`` and ``12.50`` stay as they are. A row with too many
-    or too few fields also goes whole to the rescue column.
+    Fields are read by position, all as text, so ``007`` and ``12.50`` stay as they are. A row with
+    too many or too few fields also goes whole to the rescue column, under a name that no field has.
     """
+    names = field_names(header)
     corrupt = CORRUPT
-    while corrupt in header:
+    while corrupt in names:
         corrupt = f"_{corrupt}"
-    text = StructType([StructField(name, StringType()) for name in (*header, corrupt)])
+    places = [f"f{i}" for i in range(len(names))]
+    text = StructType([StructField(place, StringType()) for place in (*places, "corrupt")])
     rows = (
         spark.read.schema(text)
-        .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=corrupt)
+        .options(header=True, enforceSchema=True, columnNameOfCorruptRecord="corrupt")
         .csv([literal_path(p) for p in paths])
-        .selectExpr(
-            f"struct({', '.join(quoted(name) for name in text.names)}) AS fields",
-            f"_metadata.file_path AS {SOURCE_FILE}",
-        )
+        .selectExpr(f"struct({', '.join(text.names)}) AS fields", f"_metadata.file_path AS {SOURCE_FILE}")
     )
+    place_of = {name: f"fields.{place}" for name, place in zip(names, places, strict=True)}
 
     def raw(name: str) -> str:
-        return f"fields.{quoted(name)}" if name in header else "CAST(NULL AS STRING)"
+        return place_of.get(name, "CAST(NULL AS STRING)")
 
-    unknown = [name for name in text.names if name not in schema.names]
+    unknown = {name: place for name, place in place_of.items() if name not in schema.names}
     return with_rescue(
         rows,
         schema,
         raw,
-        extras=as_map({name: f"fields.{quoted(name)}" for name in unknown}),
-        found=how_many([f"fields.{quoted(name)}" for name in text.names]),
+        extras=as_map({**unknown, corrupt: "fields.corrupt"}),
+        found=how_many([f"fields.{place}" for place in text.names]),
     )
 
 
@@ -55,7 +54,3 @@ def read_any_header(spark: SparkSession, paths: list[str], schema: StructType) -
         for header, group in by_header(spark, paths).items()
     ]
     return reduce(DataFrame.unionByName, scans) if scans else None
-
-
-def is_header_mismatch(error: Exception) -> bool:
-    return "CSV header" in str(error)

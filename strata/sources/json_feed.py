@@ -2,53 +2,185 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import re
+from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
-from strata.catalog import quoted, quoted_text
-from strata.functions.rescue import CORRUPT, as_map, parse_text, with_rescue
+from strata.catalog import quoted_text
+from strata.functions.rescue import CORRUPT, NESTED, PLAIN_DATE, PLAIN_TIME, TOO_FINE, as_map, with_rescue
 from strata.functions.scalars import SOURCE_FILE
+from strata.session import map_batches
+
+INTEGER = re.compile(r"-?[0-9]+")
+PARSED = "fields map<string,string>, unfit array<string>, corrupt string"
+
+
+class Number(str):
+    """A number as it is spelled."""
+
+
+class Members(list):
+    """The (name, value) pairs of an object, in order."""
+
+    def repeats(self) -> bool:
+        return len({name for name, _ in self}) < len(self)
 
-RAW = "map<string,string>"
 
+def refuse(constant: str) -> None:
+    raise ValueError(f"{constant} is no JSON")
 
-def records(text: Column, kind: str) -> Column:
-    """The objects of a line as an array of ``kind``; [NULL] for a line that cannot be read."""
-    many = F.coalesce(F.from_json(text, f"array<{kind}>"), F.array(F.lit(None).cast(kind)))
-    return F.when(F.ltrim(text).startswith("["), many).otherwise(F.array(F.from_json(text, kind)))
+
+DECODER = json.JSONDecoder(
+    object_pairs_hook=Members, parse_int=Number, parse_float=Number, parse_constant=refuse
+)
+
+
+def spelled(value: object) -> str:
+    """JSON for a decoded value, numbers as they were."""
+    if isinstance(value, Number):
+        return str(value)
+    if isinstance(value, Members):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{spelled(v)}" for k, v in value) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(spelled, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
+def text_of(value: object) -> str:
+    return str(value) if isinstance(value, str) else spelled(value)
+
+
+def holds(kind: DataType, value: object) -> bool:
+    """Whether Spark's parser reads all of a value into a type."""
+    if value is None:
+        return True
+    if isinstance(kind, StructType):
+        known = {f.name: f.dataType for f in kind}
+        return (
+            isinstance(value, Members)
+            and not value.repeats()
+            and all(name in known and holds(known[name], v) for name, v in value)
+        )
+    if isinstance(kind, MapType):
+        return (
+            isinstance(value, Members)
+            and not value.repeats()
+            and isinstance(kind.keyType, StringType)
+            and all(holds(kind.valueType, v) for _, v in value)
+        )
+    if isinstance(kind, ArrayType):
+        return type(value) is list and all(holds(kind.elementType, v) for v in value)
+    if isinstance(kind, StringType):
+        return isinstance(value, bool) or isinstance(value, str) and holds_number_text(value)
+    if isinstance(kind, BooleanType):
+        return isinstance(value, bool)
+    if isinstance(value, Number):
+        return holds_number(kind, value)
+    if isinstance(kind, DateType) and type(value) is str:
+        return re.search(PLAIN_DATE, value) is not None
+    if isinstance(kind, TimestampType) and type(value) is str:
+        return re.search(PLAIN_TIME, value) is not None and re.search(TOO_FINE, value) is None
+    return False
+
+
+def holds_number_text(value: str) -> bool:
+    return not isinstance(value, Number) or INTEGER.fullmatch(value) is not None
+
+
+def holds_number(kind: DataType, value: Number) -> bool:
+    if isinstance(kind, IntegralType):
+        bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}[kind.simpleString()]
+        return INTEGER.fullmatch(value) is not None and -(2 ** (bits - 1)) <= int(value) < 2 ** (bits - 1)
+    try:
+        exact = Decimal(value)
+    except InvalidOperation:
+        return False
+    if isinstance(kind, DoubleType):
+        return exact == Decimal(repr(float(value)))
+    if isinstance(kind, FloatType):
+        return len(exact.as_tuple().digits) <= 6 and (not exact or Decimal("1e-30") < abs(exact) < Decimal("1e30"))
+    if isinstance(kind, DecimalType):
+        _, digits, exponent = exact.normalize().as_tuple()
+        return -exponent <= kind.scale and len(digits) + exponent <= kind.precision - kind.scale
+    return False
+
+
+def records(line: str) -> list[Members] | None:
+    """The objects of a line; None if it is neither an object nor an array of objects, or if a name
+    repeats in one."""
+    try:
+        found = DECODER.decode(line)
+        line.encode() if "\\u" not in line else spelled(found).encode()  # no halves of characters
+    except (ValueError, RecursionError):
+        return None
+    found = [found] if isinstance(found, Members) else found
+    if type(found) is not list or not all(isinstance(r, Members) and not r.repeats() for r in found):
+        return None
+    return found
 
 
 def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Rows of ``value``, ``source_file`` to the columns of ``schema`` plus the rescue column.
 
-    A line holds an object or an array of objects. Field names are matched with their case. A line
-    that is not JSON gives a row of NULLs with the whole line in the rescue column.
-
-    Numbers with a fraction or an exponent reach text as Spark's JSON parser writes them: ``1e3``
-    as ``1000.0``. Decimal columns are parsed a second time, straight to their type, as that text
-    has the precision of a double.
+    A line holds an object or an array of objects. Field names are matched with their case, and
+    numbers keep their spelling. A line that is not JSON, or in which an object repeats a name,
+    gives a row of NULLs with the whole line in the rescue column.
     """
-    text = F.col("value")
-    rows = lines.filter(F.length(F.trim(text)) > 0)
-    exact = StructType([f for f in schema if isinstance(f.dataType, DecimalType)])
-    if exact.fields:
-        typed = records(text, exact.simpleString())
-        pairs = F.transform(
-            records(text, RAW),
-            lambda fields, i: F.struct(fields.alias("fields"), F.get(typed, i).alias("exact")),
-        )
-        parsed = rows.select("value", SOURCE_FILE, F.inline(pairs))
-    else:
-        parsed = rows.select("value", SOURCE_FILE, F.explode(records(text, RAW)).alias("fields"))
+    nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple[int, list | None, list, str | None]] = []
+            for i, raw in enumerate(batch.column(0).to_pylist()):
+                line = raw.decode("utf-8", "backslashreplace")
+                found = records(line)
+                if found is None:
+                    rows.append((i, None, [], line.encode("utf-8", "backslashreplace").decode()))
+                for record in found or ():
+                    fields = [(k, text_of(v)) for k, v in record if v is not None]
+                    unfit = [k for k, v in record if k in nested and not holds(nested[k], v)]
+                    rows.append((i, fields, unfit, None))
+            at, fields, unfit, corrupt = zip(*rows, strict=True) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1).take(pa.array(at, pa.int64())),
+                    pa.array(fields, pa.map_(pa.string(), pa.string())),
+                    pa.array(unfit, pa.list_(pa.string())),
+                    pa.array(corrupt, pa.string()),
+                ],
+                [SOURCE_FILE, "fields", "unfit", "corrupt"],
+            )
+
+    rows = lines.filter(F.length(F.trim("value")) > 0)
+    parsed = map_batches(
+        rows.select(F.col("value").cast("binary"), SOURCE_FILE), run, f"{SOURCE_FILE} string, {PARSED}"
+    )
 
     def raw(name: str) -> str:
         return f"fields[{quoted_text(name)}]"
 
-    def parse(field: StructField) -> str:
-        if field in exact.fields:
-            return f"exact.{quoted(field.name)}"
-        return parse_text(raw(field.name), field.dataType)
+    def kept(field: StructField) -> str | None:
+        return f"NOT array_contains(unfit, {quoted_text(field.name)})" if field.name in nested else None
 
     known = ", ".join(quoted_text(name) for name in schema.names)
     unknown = f"map_filter(fields, (name, _) -> name NOT IN ({known}))" if known else "fields"
@@ -56,7 +188,7 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
         parsed,
         schema,
         raw,
-        extras=f"coalesce({unknown}, {as_map({CORRUPT: 'value'})})",
+        extras=f"coalesce({unknown}, {as_map({CORRUPT: 'corrupt'})})",
         found="size(fields)",
-        parse=parse,
+        kept=kept,
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable
-from itertools import accumulate
-from urllib.parse import unquote
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +32,6 @@ from strata.session import session_conf
 # The columns of Spark's file listing source.
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-# What a schema is inferred from where a feed sets no sample size of its own.
-DEFAULT_SAMPLE_FILES = 1000
-DEFAULT_SAMPLE_BYTES = 50 * 2**30
-
 # A pair of inferred types that has a wider common type other than text.
 WIDER = {
     frozenset((IntegerType(), LongType())): LongType(),
@@ -51,25 +47,21 @@ def literal_path(path: str) -> str:
 
 
 def sample_files(spark: SparkSession, path: str, sample: int | None = None) -> list[str]:
-    """The oldest non-empty files of a folder. Only names and sizes are read, not contents.
-
-    ``sample`` files, or by default as many as stay within both default bounds.
-    """
+    """The ``sample`` oldest non-empty files of a folder, or all of them. Only names and sizes are
+    read, not contents."""
+    if sample is not None and sample < 1:
+        raise ValueError(f"a sample of {sample} files tells nothing")
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
         .filter("length > 0")
-        .select("path", "modificationTime", "length")
+        .select("path", "modificationTime")
         .orderBy("modificationTime", "path")
-        .limit(sample or DEFAULT_SAMPLE_FILES)
     )
     # The job lists and does not read: a task per core, whatever the sizes of the files.
     with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(2**60)}):
-        rows = listing.collect()
-    if sample is None:
-        before = accumulate((row["length"] for row in rows), initial=0)
-        rows = [row for row, size in zip(rows, before) if size < DEFAULT_SAMPLE_BYTES]
+        rows = (listing if sample is None else listing.limit(sample)).collect()
     return [row["path"] for row in rows]
 
 
@@ -114,56 +106,75 @@ def infer_json(spark: SparkSession, paths: list[str]) -> StructType:
     return merge_fields([StructType([f for f in schema if f.name != CORRUPT])])
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.option("header", True).csv(literal_path(path)).columns)
+def split_header(line: str) -> list[str]:
+    """The names in a header line; quotes and backslashes as in the rows."""
+    line = line.removeprefix("\ufeff")
+    if '"' not in line:
+        return line.split(",")
+    return next(csv.reader([line], escapechar="\\", strict=False))
 
 
-def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The first line of each file, in one map-only job with a task per split.
+def field_names(header: tuple[str, ...]) -> list[str]:
+    """A name for each field of a file: its own, or where it has none or repeats another one, a
+    name by its place, which no column has."""
+    names: list[str] = []
+    for place, name in enumerate(header):
+        own = name if name.strip() else f"_c{place}"
+        while own in names or own != name and own in header:
+            own = f"{own}_{place}"
+        names.append(own)
+    return names
 
-    Every split is a partition of its own, so the first row of a partition that starts at the
-    beginning of a file is the first line of that file.
-    """
-    row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    lines = (
-        spark.read.text([literal_path(p) for p in paths])
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            row_in_partition.alias("row"),
-        )
-        .filter("start = 0 AND row = 0")
+
+#: Characters of a header line beyond which its names are not read; all its values are rescued.
+LONGEST_HEADER = 1_000_000
+
+
+#: Headers that are looked up at the same time.
+SIDE_BY_SIDE = 16
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """The names in the first line of a file that is not blank. Spark takes one row and stops, so
+    that a buffer is read, not the file."""
+    line = F.when(F.length("value") <= LONGEST_HEADER, F.col("value")).alias("line")
+    rows = (
+        spark.read.text(literal_path(path))
+        .filter(F.regexp_like("value", F.lit(r"\S")))
+        .select(line, F.size(F.split("value", ",")).alias("fields"))
+        .take(1)
     )
-    one_split_each = {
-        "spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes"),
-        "spark.sql.files.maxPartitionNum": str(2**31 - 1),
-    }
-    with session_conf(spark, one_split_each):
-        return {unquote(row["path"]): row["value"] for row in lines.collect()}
+    if not rows:
+        return None
+    return ("",) * rows[0].fields if rows[0].line is None else tuple(split_header(rows[0].line))
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """The header of each file that has one; a small job for each."""
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        found = pool.map(lambda path: header_of(spark, path), paths)
+        return {path: header for path, header in zip(paths, found, strict=True) if header}
 
 
 def by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Group files by their column names; files without any drop out, they hold no rows."""
-    lines = first_lines(spark, paths)
-    same_line: dict[str, list[str]] = defaultdict(list)
-    for path in paths:
-        line = lines.get(path, "")
-        same_line[line if line.strip() else path].append(path)
+    found = headers(spark, paths)
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for members in same_line.values():
-        header = csv_header(spark, members[0])
-        if header:
-            groups[header].extend(members)
+    for path in paths:
+        if path in found:
+            groups[found[path]].append(path)
     return dict(groups)
 
 
 def infer_csv(spark: SparkSession, paths: list[str]) -> StructType:
+    """Types by place, names from the headers; fields without a name of their own become none."""
     reader = spark.read.option("header", True).option("inferSchema", True)
-    return merge_fields(
-        reader.csv([literal_path(p) for p in group]).schema
-        for group in by_header(spark, paths).values()
-    )
+    schemas = []
+    for header, group in by_header(spark, paths).items():
+        found = reader.csv([literal_path(p) for p in group]).schema
+        named = zip(header, field_names(header), found, strict=True)
+        schemas.append(StructType([StructField(own, f.dataType) for name, own, f in named if own == name]))
+    return merge_fields(schemas)
 
 
 def store_schema(spark: SparkSession, schema: StructType, location: str) -> None:

@@ -3,15 +3,16 @@
 Layout: one table ``<name>__versions`` partitioned by batch, status and bucket, and the view
 ``<name>`` that users read. The active versions lie in buckets by key. Batch *n* rewrites only the
 buckets of its keys, as partitions of batch *n*; all other rows are appended to bucket -1 and never
-read or written by a merge again: the versions the batch closed, and rows without a key, which
-nothing can close. Replacing the view then publishes all of it at once, and its properties record
-which batch of which checkpoint it shows.
+joined again: the versions the batch closed, and rows without a key, which nothing can close. When
+some batches have come together, their rows in bucket -1 are folded into bucket -2, so that
+partitions do not pile up. Replacing the view then publishes all of it at once, and its properties
+record which batch of which checkpoint it shows, and at which batch it was folded.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -27,6 +28,7 @@ from strata.catalog import (
     properties,
     publish_view,
     quoted,
+    stream_of,
 )
 from strata.functions.scalars import (
     ACTIVE,
@@ -43,8 +45,10 @@ from strata.streaming.drain import drain, stream_identity
 BATCH_MARK = "strata.batch"
 STREAM_MARK = "strata.stream"
 BUCKETS_MARK = "strata.buckets"
+FOLD_MARK = "strata.folded"
 NO_BATCH = -1
 FINAL = -1
+FOLDED = -2
 
 
 @dataclass(frozen=True)
@@ -54,6 +58,12 @@ class DimensionSpec:
     A batch rewrites the active versions in the buckets of its keys. One bucket suits dimensions
     whose batches touch keys all over; a large one with narrow batches takes some hundred. The
     number must not change later.
+
+    ``files_per_batch`` has a say in the outcome: an active key that comes twice within one batch
+    is refused, in two batches it makes two versions.
+
+    ``keep`` copies of a bucket before the current one stay for readers that have planned on them.
+    ``fold_after`` batches with closed rows are folded into one; a fold copies the history.
     """
 
     source: str
@@ -65,52 +75,85 @@ class DimensionSpec:
     clean: Callable[[DataFrame], DataFrame] | None = None
     files_per_batch: int = 1000
     buckets: int = 1
+    keep: int = 1
+    fold_after: int = 16
 
     @property
     def versions(self) -> str:
         return f"{self.table}__versions"
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+    def bucket(self, key: str | None = None) -> Column:
+        return F.pmod(F.xxhash64(F.col(quoted(key or self.key))), F.lit(self.buckets)).cast("int")
+
+
+@dataclass(frozen=True)
+class Copies:
+    """What the table holds: by bucket the batches that wrote it, oldest first."""
 
+    batches: dict[int, list[int]]
 
-def partitions(spark: SparkSession, dim: DimensionSpec, spec: str) -> list[dict[str, str]]:
-    rows = spark.sql(f"SHOW PARTITIONS {dim.versions} PARTITION ({spec})").collect()
-    return [dict(part.split("=") for part in row["partition"].split("/")) for row in rows]
+    def newest(self, bucket: int, batch_id: int) -> int | None:
+        return max((b for b in self.batches.get(bucket, []) if b <= batch_id), default=None)
 
 
-def drop_partition(spark: SparkSession, dim: DimensionSpec, values: dict[str, str]) -> None:
-    spec = ", ".join(f"{name} = '{value}'" for name, value in values.items())
-    spark.sql(f"ALTER TABLE {dim.versions} DROP IF EXISTS PARTITION ({spec})")
+def stored_partitions(spark: SparkSession, dim: DimensionSpec, spec: str = "") -> list[tuple[int, str, int]]:
+    """Batch, status and bucket of each partition; a bounded number, see ``fold_after``."""
+    clause = f"PARTITION ({spec})" if spec else ""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {dim.versions} {clause}").collect():
+        values = dict(part.split("=") for part in row["partition"].split("/"))
+        found.append((int(values[BATCH_ID]), values[STATUS], int(values[BUCKET])))
+    return found
+
+
+def drop_partitions(spark: SparkSession, dim: DimensionSpec, gone: list[tuple[int, str, int]]) -> None:
+    """Drops any number of partitions in one statement."""
+    specs = ", ".join(
+        f"PARTITION ({BATCH_ID} = '{batch}', {STATUS} = '{status}', {BUCKET} = '{bucket}')"
+        for batch, status, bucket in gone
+    )
+    if gone:
+        spark.sql(f"ALTER TABLE {dim.versions} DROP IF EXISTS {specs}")
+
+
+def copies_of(partitions: list[tuple[int, str, int]]) -> Copies:
+    batches = defaultdict(set)
+    for batch, _, bucket in partitions:
+        batches[bucket].add(batch)
+    return Copies({bucket: sorted(own) for bucket, own in batches.items()})
 
 
 def bucket_copies(spark: SparkSession, dim: DimensionSpec) -> dict[int, list[int]]:
-    """The batches that wrote each bucket, oldest first; superseded ones are soon dropped."""
-    copies = defaultdict(list)
-    for values in partitions(spark, dim, f"{STATUS} = '{ACTIVE}'"):
-        if int(values[BUCKET]) != FINAL:
-            copies[int(values[BUCKET])].append(int(values[BATCH_ID]))
-    return {bucket: sorted(batches) for bucket, batches in copies.items()}
+    """The batches that wrote each bucket of active versions, oldest first."""
+    found = copies_of(stored_partitions(spark, dim)).batches
+    return {bucket: batches for bucket, batches in found.items() if bucket >= 0}
+
 
+def current_buckets(dim: DimensionSpec, copies: Copies, batch_id: int, buckets: Iterable[int]) -> str:
+    """SQL that picks the copies of the buckets that are current at a batch; plain comparisons,
+    which a metastore can prune by."""
+    by_batch = defaultdict(list)
+    for bucket in buckets:
+        newest = copies.newest(bucket, batch_id)
+        if newest is not None:
+            by_batch[newest].append(str(bucket))
+    picks = [f"({BATCH_ID} = {b} AND {BUCKET} IN ({', '.join(own)}))" for b, own in sorted(by_batch.items())]
+    return " OR ".join(picks) or "false"
 
-def newest_copies(spark: SparkSession, dim: DimensionSpec, batch_id: int) -> str:
-    """SQL for the array of the batches whose copies of the buckets are current at a batch."""
-    copies = bucket_copies(spark, dim)
-    newest = [
-        max((b for b in copies.get(bucket, []) if b <= batch_id), default=None)
-        for bucket in range(dim.buckets)
-    ]
-    return f"array({', '.join('NULL' if b is None else str(b) for b in newest)})"
+
+def history(folded: int, batch_id: int) -> str:
+    """SQL that picks the rows that are final: the folded ones and those of the batches since."""
+    since = f"({BUCKET} = {FINAL} AND {BATCH_ID} > {folded} AND {BATCH_ID} <= {batch_id})"
+    return since if folded == NO_BATCH else f"({BUCKET} = {FOLDED} AND {BATCH_ID} = {folded}) OR {since}"
 
 
 def publish(spark: SparkSession, dim: DimensionSpec, batch_id: int, marks: dict[str, str]) -> None:
     columns = ", ".join(quoted(f.name) for f in as_schema(dim.schema))
-    query = (
-        f"SELECT {columns} FROM {dim.versions} "
-        f"WHERE ({BUCKET} = {FINAL} AND {BATCH_ID} <= {batch_id}) "
-        f"OR {BATCH_ID} = get({newest_copies(spark, dim, batch_id)}, {BUCKET})"
-    )
-    own = {BATCH_MARK: str(batch_id), BUCKETS_MARK: str(dim.buckets)}
+    copies = copies_of(stored_partitions(spark, dim))
+    folded = int(marks.get(FOLD_MARK, NO_BATCH))
+    active = current_buckets(dim, copies, batch_id, range(dim.buckets))
+    query = f"SELECT {columns} FROM {dim.versions} WHERE {history(folded, batch_id)} OR {active}"
+    own = {BATCH_MARK: str(batch_id), BUCKETS_MARK: str(dim.buckets), FOLD_MARK: str(folded)}
     publish_view(spark, dim.table, query, {**marks, **own})
 
 
@@ -145,12 +188,12 @@ def merge_batch(
         return
     if committed == NO_BATCH and batch_id > 0 and STREAM_MARK not in marks:
         raise RuntimeError(f"{dim.table} is empty but its checkpoint is at batch {batch_id}")
+    folded = int(marks.get(FOLD_MARK, NO_BATCH))
     if batch.isEmpty():
-        publish(spark, dim, committed, {STREAM_MARK: stream})
+        publish(spark, dim, committed, {STREAM_MARK: stream, FOLD_MARK: str(folded)})
         return
 
-    for left_over in partitions(spark, dim, f"{BATCH_ID} = {batch_id}"):
-        drop_partition(spark, dim, left_over)
+    drop_partitions(spark, dim, stored_partitions(spark, dim, f"{BATCH_ID} = {batch_id}"))
     stored = spark.table(dim.versions)
     if committed == NO_BATCH:
         schema = stored.drop(BATCH_ID, BUCKET).schema
@@ -159,16 +202,27 @@ def merge_batch(
         delivered = delivered_keys(batch, [dim.key]).persist()
         try:
             # At most one row per bucket; this also fills the cache, so its size is known.
-            touched = [row[0] for row in delivered.select(dim.bucket()).distinct().collect()]
-            newest = F.expr(f"get({newest_copies(spark, dim, committed)}, {BUCKET})")
-            active = stored.filter(F.col(BUCKET).isin(touched) & (F.col(BATCH_ID) == newest))
-            target = active.drop(BATCH_ID, BUCKET)
-            merged = scd2_merge(target, batch, [dim.key], effective_date, delivered)
+            touched = [row[0] for row in delivered.select(dim.bucket("_key0")).distinct().collect()]
+            copies = copies_of(stored_partitions(spark, dim))
+            active = stored.filter(f"{STATUS} = '{ACTIVE}'").filter(current_buckets(dim, copies, committed, touched))
+            merged = scd2_merge(active.drop(BATCH_ID, BUCKET), batch, [dim.key], effective_date, delivered)
             write_versions(dim, merged, batch_id)
         finally:
             delivered.unpersist()
-    publish(spark, dim, batch_id, {STREAM_MARK: stream})
-    drop_superseded(spark, dim)
+    now_folded = fold(spark, dim, folded, batch_id)
+    publish(spark, dim, batch_id, {STREAM_MARK: stream, FOLD_MARK: str(now_folded)})
+    drop_superseded(spark, dim, folded, now_folded)
+
+
+def fold(spark: SparkSession, dim: DimensionSpec, folded: int, batch_id: int) -> int:
+    """Copies the final rows of many batches together; the batch up to which that is done."""
+    finals = copies_of(stored_partitions(spark, dim)).batches.get(FINAL, [])
+    if sum(folded < batch <= batch_id for batch in finals) <= dim.fold_after:
+        return folded
+    rows = spark.table(dim.versions).filter(history(folded, batch_id))
+    kept = rows.withColumns({BATCH_ID: F.lit(batch_id).cast("long"), BUCKET: F.lit(FOLDED)})
+    overwrite_partitions(kept.select(*rows.columns), dim.versions)
+    return batch_id
 
 
 def write_versions(dim: DimensionSpec, versions: DataFrame, batch_id: int) -> None:
@@ -187,15 +241,20 @@ def write_versions(dim: DimensionSpec, versions: DataFrame, batch_id: int) -> No
         overwrite_partitions(rows.select(*spark.table(dim.versions).columns), dim.versions)
 
 
-def drop_superseded(spark: SparkSession, dim: DimensionSpec) -> None:
-    """Drop old copies of the buckets, but for the last two.
+def drop_superseded(spark: SparkSession, dim: DimensionSpec, folded: int, now_folded: int) -> None:
+    """Drops copies of buckets that no reader of the last ``keep`` versions needs.
 
-    The copy before the newest stays for readers that have already planned on it.
+    Rows folded just now stay where they were until the next fold, for the same readers.
     """
-    for bucket, batches in bucket_copies(spark, dim).items():
-        for batch in batches[:-2]:
-            values = {BATCH_ID: str(batch), STATUS: ACTIVE, BUCKET: str(bucket)}
-            drop_partition(spark, dim, values)
+    partitions = stored_partitions(spark, dim)
+    copies = copies_of(partitions).batches
+
+    def needed(batch: int, bucket: int) -> bool:
+        if bucket == FINAL:
+            return batch > folded or now_folded == folded == NO_BATCH
+        return batch in copies[bucket][-(dim.keep + 1) :]
+
+    drop_partitions(spark, dim, [p for p in partitions if not needed(p[0], p[2])])
 
 
 def merge_dimension(
@@ -203,7 +262,7 @@ def merge_dimension(
 ) -> None:
     """Drain the bronze table into the dimension."""
     create_dimension(spark, dim)
-    bronze = spark.readStream.option("maxFilesPerTrigger", dim.files_per_batch).table(dim.source)
+    bronze = stream_of(spark, dim.source, dim.files_per_batch)
     cleaned = dim.clean(bronze) if dim.clean else bronze
     rows = conform(with_version_columns(cleaned), dim.schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 
 def drain(
@@ -13,11 +14,11 @@ def drain(
     checkpoint: str,
     table: str | None = None,
     each_batch: Callable[[DataFrame, int], None] | None = None,
-) -> None:
+) -> StreamingQuery:
     """Append ``stream`` to ``table``, or hand its micro-batches to ``each_batch``.
 
-    Returns when all available input is committed, and raises if the stream failed. The calling
-    session then forgets the files it knew of ``table``.
+    Returns the ended query when all available input is committed, and raises if it failed. The
+    calling session then forgets the files it knew of ``table``.
     """
     writer = (
         stream.writeStream.outputMode("append")
@@ -32,6 +33,7 @@ def drain(
     query.awaitTermination()
     if table is not None:
         stream.sparkSession.catalog.refreshTable(table)
+    return query
 
 
 def stream_identity(spark: SparkSession, checkpoint: str) -> str:

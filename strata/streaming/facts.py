@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from strata.catalog import conform, create_table
+from strata.catalog import conform, create_table, stream_of
 from strata.functions.scalars import drop_technical
 from strata.streaming.drain import drain
 
@@ -21,8 +22,8 @@ class FactSpec:
     files_per_batch: int = 1000
 
 
-def append_fact(spark: SparkSession, fact: FactSpec) -> None:
+def append_fact(spark: SparkSession, fact: FactSpec) -> StreamingQuery:
     create_table(spark, fact.table, fact.schema)
-    bronze = spark.readStream.option("maxFilesPerTrigger", fact.files_per_batch).table(fact.source)
+    bronze = stream_of(spark, fact.source, fact.files_per_batch)
     rows = conform(drop_technical(bronze), fact.schema)
-    drain(rows, fact.name, fact.checkpoint, fact.table)
+    return drain(rows, fact.name, fact.checkpoint, fact.table)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.catalog import create_table, overwrite_partitions, quoted
+from strata.catalog import STORED_IN, create_table, overwrite_partitions, publish_view, quoted
 from strata.functions.scalars import BATCH_ID, CREATED_AT, RESCUED, SOURCE_FILE, with_created_at
 from strata.session import session_conf
-from strata.sources.csv_feed import is_header_mismatch, read_any_header, read_one_header
+from strata.sources.csv_feed import read_any_header
 from strata.sources.json_feed import parse_json_lines
-from strata.sources.schema import FILE_LISTING, csv_header, frozen_schema
+from strata.sources.schema import FILE_LISTING, frozen_schema
 from strata.streaming.drain import drain, stream_identity
 
 
@@ -21,8 +21,9 @@ from strata.streaming.drain import drain, stream_identity
 class FeedSpec:
     """A folder of CSV or JSON files and the bronze table it fills.
 
-    ``sample`` bounds the files the schema is inferred from, ``files_per_batch`` those of one
-    micro-batch; the rest follow in the next batches of the same run.
+    ``sample`` is the number of files the schema is inferred from, all present ones if None;
+    ``files_per_batch`` bounds those of one micro-batch, or ``bytes_per_batch``, where set, their
+    bytes; the rest follow in the next batches of the same run.
     """
 
     file_format: str
@@ -33,6 +34,7 @@ class FeedSpec:
     sample: int | None = None
     hints: str | None = None
     files_per_batch: int = 1000
+    bytes_per_batch: str | None = None
 
     @property
     def schema_location(self) -> str:
@@ -47,7 +49,10 @@ def feed_schema(spark: SparkSession, feed: FeedSpec) -> StructType:
 
 def file_options(feed: FeedSpec) -> dict[str, object]:
     """Files of all subfolders count, but for those that begin with an underscore or a dot."""
-    return {"maxFilesPerTrigger": feed.files_per_batch, "recursiveFileLookup": True}
+    bound = {"maxFilesPerTrigger": feed.files_per_batch}
+    if feed.bytes_per_batch is not None:
+        bound = {"maxBytesPerTrigger": feed.bytes_per_batch}
+    return {**bound, "recursiveFileLookup": True}
 
 
 def ingest(spark: SparkSession, feed: FeedSpec) -> None:
@@ -68,17 +73,19 @@ def ingest_json(spark: SparkSession, feed: FeedSpec) -> None:
 
 
 def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
-    """The stream carries file names only; each batch then reads its files once.
+    """The stream carries file names only; each batch looks up their headers, a buffer of each
+    file, and then reads the files once, with a scan per distinct header.
 
-    A batch first reads all its files with the header of the first. Spark's reader checks every
-    file against it, so the usual case needs no look at the other headers. If a file differs, this
-    batch and the later ones of the run look up the headers first, and read once per distinct one.
-
-    The bronze table has a ``_batch_id`` partition per batch and checkpoint, which makes a
-    replayed batch write to its old place.
+    The rows lie in a table of their own with a ``_batch_id`` partition per batch and checkpoint,
+    which makes a replayed batch write to its old place. Users read the view over it, which has
+    the columns that a JSON feed's table has.
     """
     schema = feed_schema(spark, feed)
-    create_table(spark, feed.table, bronze_schema(schema).add(BATCH_ID, "string"), (BATCH_ID,))
+    stored = f"{feed.table}__files"
+    create_table(spark, stored, bronze_schema(schema).add(BATCH_ID, "string"), (BATCH_ID,))
+    if not spark.catalog.tableExists(feed.table):
+        columns = ", ".join(quoted(n) for n in bronze_schema(schema).names)
+        publish_view(spark, feed.table, f"SELECT {columns} FROM {stored}", {STORED_IN: stored})
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
@@ -87,37 +94,21 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
         .filter("length > 0")
         .select("path")
     )
-    mixed_headers = False
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        nonlocal mixed_headers
         stream_spark = batch.sparkSession
         partition = f"{stream_identity(stream_spark, feed.checkpoint)}-{batch_id}"
-        if partition_exists(stream_spark, feed.table, partition):
+        if partition_exists(stream_spark, stored, partition):
             return
         # Bounded by files_per_batch: the names of this batch's files.
         paths = [row["path"] for row in batch.collect()]
-
-        def write(rows: DataFrame) -> None:
-            bronze = bronze_rows(rows, schema).withColumn(BATCH_ID, F.lit(partition))
-            overwrite_partitions(bronze, feed.table)
-
         with session_conf(stream_spark, {"spark.sql.caseSensitive": "true"}):
-            if not mixed_headers:
-                header = next((h for h in (csv_header(stream_spark, p) for p in paths) if h), None)
-                if header is None:
-                    return
-                try:
-                    return write(read_one_header(stream_spark, paths, header, schema))
-                except Exception as error:
-                    if not is_header_mismatch(error):
-                        raise
-                    mixed_headers = True
-            rows = read_any_header(stream_spark, paths, schema)
+            rows = read_any_header(stream_spark, paths, schema) if paths else None
             if rows is not None:
-                write(rows)
+                bronze = bronze_rows(rows, schema).withColumn(BATCH_ID, F.lit(partition))
+                overwrite_partitions(bronze, stored)
 
-    drain(files, feed.name, feed.checkpoint, feed.table, load)
+    drain(files, feed.name, feed.checkpoint, stored, load)
 
 
 def bronze_schema(schema: StructType) -> StructType:

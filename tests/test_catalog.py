@@ -102,3 +102,14 @@ def test_view_marks(spark, config):
 def test_count_ignores_distinctness(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "v int")
     assert [r.row_count for r in row_count(df).collect()] == [3]
+
+
+def test_replace_takes_the_place_of_a_plain_table(spark, config):
+    name = config.table("gold", "plain")
+    spark.range(3).write.format("parquet").saveAsTable(name)
+    replace_table(spark, name, spark.range(5).withColumnRenamed("id", "n"))
+    assert spark.table(name).columns == ["n"] and spark.table(name).count() == 5
+    replace_table(spark, name, spark.range(1), keep=2)
+    assert spark.table(name).count() == 1
+    left = [r.tableName for r in spark.sql(f"SHOW TABLES IN {config.database('gold')} LIKE 'plain__*'").collect()]
+    assert len(left) == 3

@@ -5,7 +5,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql.types import DecimalType, StructType
 
-from strata.sources.csv_feed import is_header_mismatch, read_any_header, read_one_header
+from strata.functions.rescue import with_rescue
+from strata.sources.csv_feed import read_any_header
 from strata.sources.json_feed import parse_json_lines
 
 JSON_SCHEMA = (
@@ -38,7 +39,31 @@ PATH = {"_file_path": "file:/f.json"}
         ('{"id":2.0}', (None, None, None, None, {"id": "2.0", **PATH})),
         ('{"ID":3}', (None, None, None, None, {"ID": "3", **PATH})),
         ('{"tag":007}', (None, None, None, None, {"_corrupt_record": '{"tag":007}', **PATH})),
-        ('{"tag":1e3}', (None, None, "1000.0", None, None)),
+        ('{"tag":1e3}', (None, None, "1e3", None, None)),
+        ('{"tag":12.50}', (None, None, "12.50", None, None)),
+        ('{"tag":true}', (None, None, "true", None, None)),
+        (
+            '{"id":1,"far":12345678901234567890.123456789,"e":1e3,"deep":[1.50,{"x":1E-9}]}',
+            (1, None, None, None, {"far": "12345678901234567890.123456789", "e": "1e3", "deep": '[1.50,{"x":1E-9}]', **PATH}),
+        ),
+        ('{"far":12345678901234567890123456789012345678}', (None, None, None, None, {"far": "12345678901234567890123456789012345678", **PATH})),
+        ('{"day":"2015-01-01 junk"}', (None, None, None, None, {"day": "2015-01-01 junk", **PATH})),
+        ('{"day":"2015-01-01T10:11:12"}', (None, None, None, None, {"day": "2015-01-01T10:11:12", **PATH})),
+        ('{"day":"2015-01"}', (None, None, None, None, {"day": "2015-01", **PATH})),
+        ('{"day":"2015-1-2"}', (None, date(2015, 1, 2), None, None, None)),
+        ('{"id":1,"id":2}', (None, None, None, None, {"_corrupt_record": '{"id":1,"id":2}', **PATH})),
+        ('{"tag":"x","z":1,"z":2}', (None, None, None, None, {"_corrupt_record": '{"tag":"x","z":1,"z":2}', **PATH})),
+        ('{"z":{"a":1,"a":2}}', (None, None, None, None, {"z": '{"a":1,"a":2}', **PATH})),
+        ('{"at":{"x":4,"new":2}}', (None, None, None, None, {"at": '{"x":4,"new":2}', **PATH})),
+        ('{"at":{"x":"y"}}', (None, None, None, None, {"at": '{"x":"y"}', **PATH})),
+        ('{"at":{"x":3000000000}}', (None, None, None, None, {"at": '{"x":3000000000}', **PATH})),
+        ('{"at":{"x":1.0}}', (None, None, None, None, {"at": '{"x":1.0}', **PATH})),
+        ('{"at":"txt"}', (None, None, None, None, {"at": "txt", **PATH})),
+        ('{"at":[1]}', (None, None, None, None, {"at": "[1]", **PATH})),
+        ('[1]', (None, None, None, None, {"_corrupt_record": "[1]", **PATH})),
+        ('{"tag":NaN}', (None, None, None, None, {"_corrupt_record": '{"tag":NaN}', **PATH})),
+        ('{"tag":"\\ud800"}', (None, None, None, None, {"_corrupt_record": '{"tag":"\\ud800"}', **PATH})),
+        ("[" * 5000, (None, None, None, None, {"_corrupt_record": "[" * 5000, **PATH})),
         ('{"id":1', (None, None, None, None, {"_corrupt_record": '{"id":1', **PATH})),
         ('{"id":1,"_file_path":"mine"}', (1, None, None, None, {"_file_path": "mine"})),
         ('{"id":1,"gone":null}', (1, None, None, None, None)),
@@ -151,11 +176,29 @@ def test_csv_with_many_columns(spark, folder):
     assert row.c598 == 598 and json.loads(row._rescued_data)["c599"] == "599"
 
 
-def test_csv_one_header_refuses_another(spark, folder):
-    paths = folder(a="id,name,price\n1,a,1\n", b="name,id,price\nb,2,1\n")
-    with pytest.raises(Exception) as error:
-        read_one_header(spark, paths, ("id", "name", "price"), CSV_SCHEMA).collect()
-    assert is_header_mismatch(error.value)
+def test_csv_odd_headers(spark, folder):
+    """Empty, blank and repeated names, a blank first line, a name that looks like a helper's."""
+    paths = folder(
+        empty="id,,price\n1,x,1.5\n",
+        blank=" ,id\ny,2\n",
+        last="id,price,\n3,1,z\n",
+        repeated="id,price,price\n4,1,2\n",
+        gap="\n\nid,price\n5,1\n",
+        helper="id,_c1,\n6,v,w\n",
+        quoted='"id","na""me","a, b"\n7,q,r\n',
+        bom="\ufeffid,name\n8,b\n",
+    )
+    found = {row[0]: row[1:] for row in csv_rows(spark, paths)}
+    assert found == {
+        1: (None, 1.5, {"_c1": "x"}),
+        2: (None, None, {"_c0": "y"}),
+        3: (None, 1.0, {"_c2": "z"}),
+        4: (None, 1.0, {"price_2": "2"}),
+        5: (None, 1.0, {}),
+        6: (None, None, {"_c1": "v", "_c2": "w"}),
+        7: (None, None, {'na"me': "q", "a, b": "r"}),
+        8: ("b", None, {}),
+    }
 
 
 def test_csv_odd_file_names(spark, tmp_path):
@@ -163,3 +206,35 @@ def test_csv_odd_file_names(spark, tmp_path):
     path.write_text("id,name,price\n1,a,1\n")
     [row] = read_any_header(spark, [str(path)], CSV_SCHEMA).collect()
     assert row.id == 1 and row.source_file.startswith("file:")
+
+
+@pytest.mark.parametrize(
+    "kind, fits, left",
+    [
+        ("double", ["1.5", "-0.1", "1e3", "0", "0.10", "9007199254740992", "123456789012345"], ["9007199254740993", "1e400", "x", "0.12345678901234567891", "1e-400"]),
+        ("float", ["1.5", "16777216"], ["16777217", "0.1234567"]),
+        ("decimal(4,2)", ["9.5", "99.99", "1.500", "1e1", " 2 "], ["12.3456", "100", "1e-3", "x"]),
+        ("decimal(38,21)", ["0.123456789012345678901"], ["0.1234567890123456789012"]),
+        ("integer", ["7", "007", "-1"], ["1.0", "3000000000", "1e2", ""]),
+        ("date", ["2015-01-01", "2015-1-2"], ["2015-01-01 10:00", "2015", "2015-02-30"]),
+        ("timestamp", ["2015-01-01", "2015-01-01 10:11:12.123456", "2015-01-01T10:11:12Z"], ["10:11", "2015-01-01 10:11:12.1234567", "soon"]),
+        ("timestamp_ntz", ["2015-01-01 10:11:12"], ["2015-01-01 10:11:12+02:00", "2015-01-01T10:11:12Z"]),
+        ("boolean", ["true", "False"], ["1", "yes", "t"]),
+        ("string", ["anything"], []),
+        ("array<int>", ["[1,2]"], ["[1, x]", "[1,2.5]", "1"]),
+    ],
+)
+def test_values_that_fit_and_values_that_are_rescued(spark, kind, fits, left):
+    schema = StructType.fromDDL(f"v {kind}")
+    rows = [(v,) for v in fits + left]
+    df = spark.createDataFrame(rows, "raw string").selectExpr("raw", "'f' AS source_file")
+    out = with_rescue(df, schema, lambda name: "raw", "CAST(map() AS MAP<STRING,STRING>)", "NULL").collect()
+    kept = [json.loads(r._rescued_data)["v"] if r._rescued_data else None for r in out]
+    assert kept == [None] * len(fits) + left
+    assert [r.v is None for r in out] == [False] * len(fits) + [True] * len(left)
+
+
+def test_json_lines_that_are_not_utf8(spark, tmp_path):
+    (tmp_path / "x.json").write_bytes(b'{"id":1,"tag":"\xff"}\n{"id":2}\n')
+    lines = spark.read.text(str(tmp_path / "x.json")).selectExpr("value", "'f' AS source_file")
+    assert sorted(r.id or 0 for r in parse_json_lines(lines, JSON_SCHEMA).collect())[-1] == 2

@@ -6,8 +6,9 @@ from pyspark.sql.types import StructType
 from strata.session import session_conf
 from strata.sources.schema import (
     by_header,
-    first_lines,
+    field_names,
     frozen_schema,
+    headers,
     infer_csv,
     infer_json,
     sample_files,
@@ -16,6 +17,10 @@ from strata.sources.schema import (
 )
 
 
+def ids(sequence):
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
 def ddl(schema):
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
@@ -34,24 +39,55 @@ def test_sample_takes_the_oldest_files(spark, tmp_path):
     assert names == [f"f{i:02d}.json" for i in range(1, 11)]
 
 
-def test_first_lines_of_files_in_many_splits(spark, tmp_path):
+def test_samples_take_all_files_or_as_many_as_asked(spark, tmp_path):
+    for i in range(1200):
+        (tmp_path / f"f{i}.json").write_text("{}")
+    assert len(sample_files(spark, str(tmp_path))) == 1200
+    assert len(sample_files(spark, str(tmp_path), 1100)) == 1100
+    with pytest.raises(ValueError, match="0 files"):
+        sample_files(spark, str(tmp_path), 0)
+
+
+def test_headers(spark, tmp_path):
     names = ["a b.csv", "p%20q+r.csv", "x{1}[y]*.csv", "long.csv"]
     for name in names:
         put(tmp_path, name, f"id,{name[0]}\n" + "1,2\n" * (500 if name == "long.csv" else 1), 0)
-    put(tmp_path, "blank.csv", "\nid,z\n1,2\n", 0)
+    put(tmp_path, "blank.csv", "\n \nid,z\n1,2\n", 0)
     put(tmp_path, "empty.csv", "", 0)
+    put(tmp_path, "spaces.csv", " \n\n", 0)
     paths = sample_files(spark, str(tmp_path))
-    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "256b"}):
-        lines = first_lines(spark, paths)
-        groups = by_header(spark, [*paths, str(tmp_path / "empty.csv")])
-    assert lines.keys() == set(paths)
-    found = {path.rsplit("/", 1)[1]: line for path, line in lines.items()}
-    assert found == {**{name: f"id,{name[0]}" for name in names}, "blank.csv": ""}
+    found = {path.rsplit("/", 1)[1]: names for path, names in headers(spark, paths).items()}
+    assert found == {**{name: ("id", name[0]) for name in names}, "blank.csv": ("id", "z")}
+    groups = by_header(spark, [*paths, str(tmp_path / "empty.csv")])
     assert {header: len(group) for header, group in groups.items()} == {
         ("id", "a"): 1, ("id", "p"): 1, ("id", "x"): 1, ("id", "l"): 1, ("id", "z"): 1
     }
 
 
+def test_headers_read_the_first_buffers_only(spark, tmp_path):
+    """Files of 24 MB: the look-up reads a small part of each."""
+    for i in range(4):
+        put(tmp_path, f"{i}.csv", "id,name\n" + "1234567,abcdefgh\n" * 1_400_000, 0)
+    paths = sample_files(spark, str(tmp_path))
+    size = sum(os.path.getsize(tmp_path / f"{i}.csv") for i in range(4))
+    assert set(headers(spark, paths).values()) == {("id", "name")}
+    store = spark.sparkContext._jsc.sc().statusStore()
+    last = max(store.jobsList(None).apply(i).jobId() for i in range(store.jobsList(None).size()))
+    stages = [stage for job in range(last - 3, last + 1) for stage in ids(store.job(job).stageIds())]
+    read = sum(store.lastStageAttempt(stage).inputBytes() for stage in stages)
+    assert len(stages) == 4 and 0 < read < size / 20
+
+
+def test_a_header_without_end_stays_on_the_executors(spark, tmp_path):
+    path = put(tmp_path, "x.csv", ",".join(["abcdefghij"] * 200_000) + "\n", 0)
+    assert headers(spark, [path]) == {path: ("",) * 200_000}
+
+
+def test_fields_have_names_of_their_own():
+    assert field_names(("a", "", "a", "b", " ", "a")) == ["a", "_c1", "a_2", "b", "_c4", "a_5"]
+    assert field_names(("_c1", "", "a", "a", "a_3")) == ["_c1", "_c1_1", "a", "a_3_3", "a_3"]
+
+
 def test_infer_json(spark, tmp_path):
     path = put(tmp_path, "a.json", '{"id":1,"d":"2024-01-01","v":1.5}\n{"id":2,"n":{"q":1}}\n{oops\n', 0)
     assert ddl(infer_json(spark, [path])) == "d string, id bigint, n struct<q:bigint>, v double"

@@ -113,27 +113,51 @@ def test_csv_increments(spark, feed, files_per_batch):
     ingest(spark, t)
     ingest(spark, t)
     table = spark.table(t.table)
-    assert table.columns == ["id", "price", "_rescued_data", "created_at", "source_file", "_batch_id"]
+    assert table.columns == ["id", "price", "_rescued_data", "created_at", "source_file"]
     assert bag(table, "id", "price") == Counter([(1, "$1.00"), (2, "$2.00"), (None, "$3,00")])
     rescued = [json.loads(r._rescued_data) for r in table.dropna(subset="_rescued_data").collect()]
     assert all(r.pop("_file_path") for r in rescued)
     assert sorted(rescued, key=str) == [{"id": "three"}, {"more": "m"}]
 
 
-def test_csv_mixed_headers_are_looked_up_once_known(spark, feed, monkeypatch):
+def test_csv_mixed_headers(spark, feed):
     t = feed("csv", sample=1, files_per_batch=2)
     for i in range(6):
         put(t, f"{i}.csv", f"id,n\n{i},{i}\n" if i % 2 else f"n,id\n{i},{i}\n", age=9 - i)
     put(t, "blank.csv", "\n\n", age=1)
     put(t, "more.csv", " \n", age=0)
-    optimistic = []
-    real = ingesting.read_one_header
-    monkeypatch.setattr(
-        ingesting, "read_one_header", lambda *args: optimistic.append(args) or real(*args)
-    )
     ingest(spark, t)
     assert bag(spark.table(t.table), "id", "n") == Counter((i, i) for i in range(6))
-    assert len(optimistic) == 1
+
+
+@pytest.mark.parametrize("file_format, good, odd", [
+    ("csv", "id,price\n1,2\n", ["id,price,\n3,4,5\n", ",price\n6,7\n", "id,price,price\n8,9,10\n", ",\n,\n", "\n"]),
+    ("json", '{"id":1}\n', ['{"id":1,"id":2}\n', '{"a":"x","z":1,"z":2}\n', '{"id":\n', "[1]\n", "\xff\n"]),
+])
+def test_no_file_blocks_a_feed(spark, feed, file_format, good, odd):
+    t = feed(file_format, files_per_batch=2)
+    put(t, f"a.{file_format}", good, age=99)
+    ingest(spark, t)
+    for i, text in enumerate(odd):
+        put(t, f"{i}.{file_format}", text, age=50 - i)
+    ingest(spark, t)
+    put(t, f"z.{file_format}", good)
+    ingest(spark, t)
+    table = spark.table(t.table)
+    assert table.filter("id = 1 AND _rescued_data IS NULL").count() == 2
+    expected = {"csv": 6, "json": 7}[file_format]
+    assert table.count() == expected
+    if file_format == "json":
+        assert table.filter("_rescued_data IS NOT NULL").count() == 5
+
+
+def test_bytes_bound_a_batch(spark, feed):
+    t = feed("json", bytes_per_batch="10")
+    for i in range(4):
+        put(t, f"{i}.json", f'{{"id":{i}}}\n', age=9 - i)
+    ingest(spark, t)
+    assert bag(spark.table(t.table), "id") == Counter([(i,) for i in range(4)])
+    assert spark.table(t.table).select("created_at").distinct().count() > 1
 
 
 def test_csv_batch_of_empty_files(spark, feed):
@@ -320,6 +344,62 @@ def test_replayed_batch_changes_nothing(spark, dim):
     assert bag(spark.table(dim.table), "*") == AFTER_SECOND
 
 
+def test_partitions_stay_few(spark, config):
+    """Fifty small batches; the history stays whole, the partitions do not pile up."""
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", buckets=4, fold_after=8, files_per_batch=1,
+    )
+    for n in range(50):
+        bronze(spark, dim.source, [(str(n % 5), n), (None, n)], IN_SCHEMA, D1)
+    most = 0
+    real = dimensions.publish
+
+    def counted(*args):
+        nonlocal most
+        most = max(most, len(dimensions.stored_partitions(spark, dim)))
+        real(*args)
+
+    dimensions.publish = counted
+    try:
+        merge_dimension(spark, dim, D2)
+    finally:
+        dimensions.publish = real
+    table = spark.table(dim.table)
+    assert table.count() == 150 and table.filter("status = 'i'").count() == 45
+    assert Counter(r.v for r in table.filter("k IS NOT NULL").collect()) == Counter(range(50))
+    assert table.filter("k IS NULL").count() == 100
+    # Two copies of four buckets, two folds and the finals of two folds, for two statuses each.
+    assert most <= 2 * 4 + 4 + 2 * 2 * (dim.fold_after + 2)
+
+
+@pytest.mark.parametrize("name, after", [("overwrite_partitions", True), ("publish", False), ("drop_superseded", False)])
+def test_crash_while_folding(spark, config, monkeypatch, name, after):
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", fold_after=1,
+    )
+    for n in range(3):
+        deliver(spark, dim, [("a", n), (None, n)], D1)
+    crash_once(monkeypatch, dimensions, name, after)
+    with pytest.raises(Exception, match="crash"):
+        deliver(spark, dim, [("a", 3), (None, 3)], D1)
+    merge_dimension(spark, dim, D1)
+    deliver(spark, dim, [("a", 4), (None, 4)], D1)
+    rows = Counter((r.k, r.v, r.status) for r in spark.table(dim.table).collect())
+    assert rows == Counter({("a", n, "i"): 1 for n in range(4)} | {("a", 4, "a"): 1} | {(None, n, "a"): 2 for n in range(5)})
+
+
+def test_copies_are_kept_for_readers(spark, config):
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", keep=3,
+    )
+    for n in range(6):
+        deliver(spark, dim, [("a", n)], D1)
+    assert dimensions.bucket_copies(spark, dim) == {0: [2, 3, 4, 5]}
+
+
 def test_ambiguous_batch_changes_nothing(spark, dim):
     deliver(spark, dim, FIRST, D1)
     with pytest.raises(Exception, match="more than one row of the batch"):
