@@ -162,10 +162,10 @@ ORACLES: dict[str, str] = {
     "staged_union": f"""
         SELECT product_id, product_type_id, size, '$' || CAST(price AS VARCHAR) AS price,
                product_id AS merge_id
-        FROM ({SECOND_PRODUCTS})
+        FROM ({PARTS})
         UNION ALL
         SELECT product_id, product_type_id, size, '$' || CAST(price AS VARCHAR), NULL
-        FROM ({SECOND_PRODUCTS})
+        FROM ({PARTS})
     """,
     "stream_fact_append": LINES,
     "stream_scd2": VERSIONED_PRODUCTS,
@@ -202,28 +202,63 @@ ORACLES: dict[str, str] = {
                product_type_id || ', new', CASE WHEN size > 40 THEN size || ' cm' END
         FROM parts WHERE size > 25
     """,
-    "bronze_products": f"""
-        SELECT product_id, product_type_id, size, '$' || CAST(price AS VARCHAR) AS price
-        FROM ({PARTS}) WHERE p_size <= 40
+    "rescue_lossless": """
+        WITH o AS (
+            SELECT o_orderkey AS k, o_custkey AS c, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
+                   CASE WHEN o_orderstatus = 'F' THEN -1 ELSE o_orderkey % 5 END AS turn
+            FROM orders
+        )
+        SELECT CASE WHEN turn <> 3 THEN k END AS order_id,
+               CASE WHEN turn NOT IN (1, 3) THEN CAST(day AS DATE) END AS date,
+               CASE WHEN turn NOT IN (0, 3) THEN c END AS customer_key,
+               CASE WHEN turn = 4 THEN CAST(12.5 AS DOUBLE)
+                    WHEN turn NOT IN (2, 3) THEN CAST(1.5 AS DOUBLE) END AS amount,
+               CASE WHEN turn = 1 THEN day || ' 10:11:12' END AS rescued_date,
+               CASE WHEN turn = 0 THEN '{"key":' || c || ',"new":2.50}' END AS rescued_customer,
+               CASE WHEN turn = 2 THEN '12345678901234567890.123456789' END AS rescued_amount,
+               CASE WHEN turn = 4 THEN '1e3' END AS rescued_rate,
+               CASE WHEN turn = 3 THEN '{"order_id":' || k || ',"date":"' || day || '","customer":{"key":' || c
+                                       || '},"z":1,"z":2}' END AS rescued_line
+        FROM o
+    """,
+    "ingest_csv_odd_headers": """
+        SELECT CASE WHEN p_partkey % 4 <> 3 THEN CAST(p_partkey AS INTEGER) END AS product_id,
+               CASE WHEN p_partkey % 4 <> 3 THEN p_size END AS size,
+               CASE WHEN p_partkey % 4 = 1 THEN 'x' END AS unnamed,
+               CASE WHEN p_partkey % 4 = 2 THEN 'again' END AS repeated,
+               CASE WHEN p_partkey % 4 = 3 THEN CAST(p_partkey AS VARCHAR) END AS other_case,
+               CASE WHEN p_partkey % 4 = 3 THEN CAST(p_size AS VARCHAR) END AS with_space
+        FROM part
     """,
-    "bronze_headers": f"""
-        SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(date AS VARCHAR) AS date, time
-        FROM ({HEADERS})
+    "sample_of_ten": """
+        SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 11 = 10 THEN '1' END AS late FROM orders
     """,
+    "audit_columns": "SELECT o_orderkey AS order_id, true AS stamped, 'headers' AS folder FROM orders",
+    "stream_name": "SELECT o_orderkey AS order_id, 'headers silver' AS query_name FROM orders",
+    "bronze_products": f"""
+        SELECT CAST(product_id AS INTEGER) AS product_id, product_type_id, size,
+               '$' || CAST(price AS VARCHAR) AS price, CAST(NULL AS VARCHAR) AS _rescued_data
+        FROM ({PARTS})
+    """,
+    "bronze_headers": f"SELECT order_id, date, time, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({HEADERS})",
     "bronze_lines": f"""
-        SELECT CAST(line_id AS VARCHAR) AS line_id, CAST(order_id AS VARCHAR) AS order_id,
-               product_id, CAST(quantity AS VARCHAR) AS quantity
-        FROM ({LINES})
+        SELECT line_id, order_id, product_id, quantity, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({LINES})
+    """,
+    "bronze_product_types": f"""
+        SELECT product_type_id, name, category, ingredients, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({TYPES})
     """,
-    "bronze_product_types": f"SELECT product_type_id, name, category, ingredients FROM ({TYPES})",
     "silver_lines": LINES,
     "silver_headers": HEADERS,
     "silver_product_types": f"""
-        SELECT product_type_id, name, category, ingredients, status, end_date IS NOT NULL AS ended
+        SELECT product_type_id, name, category, ingredients, status,
+               CASE WHEN end_date IS NOT NULL THEN true END AS ended_today,
+               CASE WHEN end_date IS NOT NULL THEN true END AS same_day
         FROM ({VERSIONED_TYPES})
     """,
     "silver_products": f"""
-        SELECT product_id, product_type_id, size, price, status, end_date IS NOT NULL AS ended
+        SELECT product_id, product_type_id, size, price, status,
+               CASE WHEN end_date IS NOT NULL THEN true END AS ended_today,
+               CASE WHEN end_date IS NOT NULL THEN true END AS same_day
         FROM ({VERSIONED_PRODUCTS})
     """,
     "files_to_gold": mart(VERSIONED_PRODUCTS, VERSIONED_TYPES),

@@ -7,7 +7,6 @@ tables, below the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -54,18 +53,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared folder; a local one only where none is set."""
+    """A new folder below the shared folder that the cluster names."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="strata-")
-    return f"{base.rstrip('/')}/strata-{uuid4().hex}"
+    if not shared:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{shared.rstrip('/')}/strata-{uuid4().hex}"
+
+
+#: Databases of the queries of this process, which their results read until `drop_scratch`.
+MADE: list[str] = []
 
 
 def new_layers(spark: SparkSession) -> LayerConfig:
     config = LayerConfig(root=scratch(spark), prefix=f"s{uuid4().hex[:12]}_")
     create_namespaces(spark, config)
+    MADE.extend(config.databases)
     return config
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the databases that queries have made; their results can then no longer be read."""
+    while MADE:
+        spark.sql(f"DROP SCHEMA IF EXISTS {MADE.pop()} CASCADE")
+
+
 # --- the model's relations, as typed columns of the driver's tables
 
 
@@ -155,7 +166,8 @@ def one_version_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_like(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], df.schema)
+    """No rows of the same columns, and known to be none when the plan is made."""
+    return df.filter(F.lit(False))
 
 
 # --- mart
@@ -180,8 +192,9 @@ def gold_fanout_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart as a table, replaced once, read back."""
+    """The mart in place of a plain table of its name, replaced once, read back."""
     name = new_layers(spark).table("gold", "order_lines")
+    lines(spark, sf_dir).write.format("parquet").saveAsTable(name)
     replace_table(spark, name, gold_order_lines(spark, sf_dir).drop("total_price"))
     replace_table(spark, name, gold_order_lines(spark, sf_dir))
     return read_back(spark, name)
@@ -296,7 +309,7 @@ def scd2_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged_union(second_products(spark, sf_dir), "product_id")
+    return staged_union(raw_products(spark, sf_dir).drop("p_size"), "product_id")
 
 
 # --- streams
@@ -414,6 +427,110 @@ def ingest_csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rescue_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished orders fix the schema. The others have, in turn, a customer with a field more, a
+    date with a time, an amount beyond double precision, a field that repeats, and a new field
+    whose number is spelled with an exponent. Nothing is lost, and no spelling changes."""
+    feed = replace(orders_pipeline(new_layers(spark), scratch(spark)).feeds[1], sample=None)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("day")
+    )
+
+    def line(tail: Column) -> Column:
+        head = F.concat(F.lit('{"order_id":'), "o_orderkey", F.lit(','), tail, F.lit("}"))
+        return head.alias("value")
+
+    def fields(date: str = '"date":"%s"', customer: str = '"customer":{"key":%s}', amount: str = '"amount":1.5') -> Column:
+        return F.concat_ws(",", F.format_string(date, "day"), F.format_string(customer, "o_custkey"), F.lit(amount))
+
+    finished = F.col("o_orderstatus") == "F"
+    orders.filter(finished).select(line(fields())).write.text(feed.path)
+    ingest(spark, feed)
+    turn = F.col("o_orderkey") % 5
+    odd = (
+        F.when(turn == 0, fields(customer='"customer":{"key":%s,"new":2.50}'))
+        .when(turn == 1, fields(date='"date":"%s 10:11:12"'))
+        .when(turn == 2, fields(amount='"amount":12345678901234567890.123456789'))
+        .when(turn == 3, fields(amount='"z":1,"z":2'))
+        .otherwise(fields(amount='"amount":12.50,"rate":1e3'))
+    )
+    orders.filter(~finished).select(line(odd)).write.mode("append").text(feed.path)
+    ingest(spark, feed)
+
+    def rescued(name: str, alias: str) -> Column:
+        return F.get_json_object("_rescued_data", f"$.{name}").alias(f"rescued_{alias}")
+
+    return spark.table(feed.table).select(
+        "order_id",
+        "date",
+        F.col("customer.key").alias("customer_key"),
+        "amount",
+        *[rescued(name, name) for name in ("date", "customer", "amount", "rate")],
+        rescued("_corrupt_record", "line"),
+    )
+
+
+def write_lines(rows: DataFrame, header: str, path: str) -> None:
+    """Lines as they are, below a header line as it is."""
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    rows.select(F.col("value").alias(header)).write.mode("append").options(**plain).csv(path)
+
+
+def ingest_csv_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean files first; then headers with an empty name, with a repeated name, and with nothing
+    but names that no column has. A run over them, and another one, go through."""
+    feed = orders_pipeline(new_layers(spark), scratch(spark)).feeds[0]
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("string").alias("p_size"))
+    turn = F.col("p_partkey") % 4
+
+    def lines_of(n: int, *columns: Column) -> DataFrame:
+        return parts.filter(turn == n).select(F.concat_ws(",", *columns).alias("value"))
+
+    key, size = F.col("p_partkey"), F.col("p_size")
+    write_lines(lines_of(0, key, size), "product_id,size", feed.path)
+    ingest(spark, feed)
+    write_lines(lines_of(1, key, F.lit("x"), size), "product_id,,size", feed.path)
+    write_lines(lines_of(2, key, size, F.lit("again")), "product_id,size,size", feed.path)
+    write_lines(lines_of(3, key, size), "PRODUCT_ID, size", feed.path)
+    ingest(spark, feed)
+    ingest(spark, feed)
+    rescued = F.from_json("_rescued_data", "map<string,string>")
+    names = {"_c1": "unnamed", "size_2": "repeated", "PRODUCT_ID": "other_case", " size": "with_space"}
+    return spark.table(feed.table).select(
+        "product_id", "size", *[rescued[name].alias(alias) for name, alias in names.items()]
+    )
+
+
+def sample_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven files; the schema comes from the ten oldest, so a field of the last one is rescued."""
+    feed = orders_pipeline(new_layers(spark), scratch(spark)).feeds[1]
+    rows = headers(spark, sf_dir)
+    late = F.col("order_id") % 11 == 10
+    for n in range(10):
+        write_json(rows.filter(F.col("order_id") % 11 == n).coalesce(1), feed.path)
+    write_json(rows.filter(late).withColumn("late", F.lit(1)).coalesce(1), feed.path)
+    ingest(spark, feed)
+    return spark.table(feed.table).select("order_id", F.get_json_object("_rescued_data", "$.late").alias("late"))
+
+
+def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When a row came, and the folder of the file it came from."""
+    plan, landing = landed_pipeline(spark)
+    land_first(spark, sf_dir, landing, "headers")
+    ingest(spark, plan.feeds[1])
+    folder = F.regexp_extract("source_file", "([^/]+)/[^/]+$", 1)
+    stamped = F.to_date("created_at") == F.current_date()
+    return spark.table(plan.feeds[1].table).select("order_id", stamped.alias("stamped"), folder.alias("folder"))
+
+
+def stream_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a named stream has appended, with its name."""
+    fact = orders_pipeline(new_layers(spark), "").facts[1]
+    deliver(headers(spark, sf_dir), FIRST_DAY).write.format("parquet").saveAsTable(fact.source)
+    query = append_fact(spark, fact)
+    return read_back(spark, fact.table).select("order_id", F.lit(query.name).alias("query_name"))
+
+
 def land_first(spark: SparkSession, sf_dir: str, landing: str, *names: str) -> None:
     """The first files of the named feeds, or of all."""
     writers = {
@@ -441,16 +558,17 @@ def landed_pipeline(spark: SparkSession) -> tuple[Medallion, str]:
 
 
 def feed_rows(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
-    """One feed into its bronze table; the columns the files hold, as text. Clean files leave
-    nothing to rescue."""
+    """One feed into its bronze table, types as inferred. Clean files leave nothing to rescue."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan, landing = landed_pipeline(spark)
         [feed] = [f for f in plan.feeds if f.path == f"{landing}/{name}"]
-        land_first(spark, sf_dir, landing, name)
+        if name == "products":
+            write_csv(raw_products(spark, sf_dir).drop("p_size"), feed.path)
+        else:
+            land_first(spark, sf_dir, landing, name)
         ingest(spark, feed)
-        rows = read_back(spark, feed.table).filter("_rescued_data IS NULL")
-        return rows.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        return read_back(spark, feed.table).select(*columns, "_rescued_data")
 
     return query
 
@@ -471,8 +589,8 @@ def silver_fact(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def silver_dimension(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Two deliveries of one CSV feed through bronze into its dimension; without the dates, which
-    are those of the run."""
+    """Two deliveries of one CSV feed through bronze into its dimension. The dates are those of the
+    run, so that a version that ended did so on the day it began, today."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan, landing = landed_pipeline(spark)
@@ -483,8 +601,9 @@ def silver_dimension(name: str) -> Callable[[SparkSession, str], DataFrame]:
             ingest(spark, feed)
             merge_dimension(spark, dim)
         rows = read_back(spark, dim.table)
-        ended = rows.withColumn("ended", F.col("end_date").isNotNull())
-        return ended.drop("start_date", "end_date")
+        today = F.when(F.col("end_date").isNotNull(), F.col("end_date") == F.current_date())
+        same = F.col("end_date") == F.col("start_date")
+        return rows.withColumns({"ended_today": today, "same_day": same}).drop("start_date", "end_date")
 
     return query
 
@@ -523,6 +642,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scd2_buckets": stream_scd2_buckets,
     "ingest_json_rescue": ingest_json_rescue,
     "ingest_csv_rescue": ingest_csv_rescue,
+    "rescue_lossless": rescue_lossless,
+    "ingest_csv_odd_headers": ingest_csv_odd_headers,
+    "sample_of_ten": sample_of_ten,
+    "audit_columns": audit_columns,
+    "stream_name": stream_name,
     "bronze_products": feed_rows("products", "product_id", "product_type_id", "size", "price"),
     "bronze_headers": feed_rows("headers", "order_id", "date", "time"),
     "bronze_lines": feed_rows("lines", "line_id", "order_id", "product_id", "quantity"),

@@ -3,12 +3,13 @@
 import os
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from strata.workload import scratch
+from strata.workload import QUERIES, drop_scratch, scratch
 
 SF_DIR = os.environ.get("STRATA_SF_DIR", "/root/testdata/sf0.001")
 
@@ -27,15 +28,24 @@ def bag(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == contract.ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.ORACLES.keys() <= contract.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     result = contract.queries()[name](spark, SF_DIR)
     expected = tables.sql(contract.oracle_sql()[name])
     assert sorted(result.columns) == sorted(expected.columns)
     assert bag(result.columns, result.collect()) == bag(expected.columns, expected.fetchall())
+    drop_scratch(spark)
+
+
+def test_scratch_needs_a_shared_folder():
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="all executors share"):
+        scratch(session)
 
 
 def test_scratch_is_below_the_shared_folder(spark):
