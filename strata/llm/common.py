@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable
-from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.session import map_batches
+
+__all__ = ["crc32_of", "draw", "map_batches", "shared_folder", "table", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,18 +40,6 @@ def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string"))
 
 
-def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """`mapInArrow`, with this package on the path of the Python workers.
-
-    A cluster that has it installed, or gets it by `--py-files`, needs no path; it does no harm.
-    """
-    env = df.sparkSession.sparkContext.environment
-    root, paths = str(Path(__file__).resolve().parents[2]), env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
-    return df.mapInArrow(run, schema)
-
-
 def draw(rows: DataFrame, key: str, classes: list[str], most: int) -> DataFrame:
     """At most `most` rows of each combination of `classes`, by a hash of the key, with their `place`.
 
