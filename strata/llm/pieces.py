@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,26 +90,20 @@ def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFr
     n, longest = F.length("word"), vocabulary.longest
     # A long word is cut into characters once, a short one needs no array.
     letters = F.when(n > 64, F.split("word", ""))
-
-    def from_start(s: Column) -> Column:
-        def piece(size: Column) -> Column:
-            text = F.when(n <= 64, F.substring("word", s + 1, size)).otherwise(
-                F.array_join(F.slice("letters", s + 1, size), "")
-            )
-            return F.struct(s.alias("start"), (s + size).alias("end"), text.alias("piece"))
-
-        return F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), n - s)), piece)
-
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), from_start))
-    cut = words.where(n > 0).withColumn("letters", letters).select("word", F.explode(spans).alias("span"))
+    text = F.when(F.col("letters").isNull(), F.substring("word", F.col("start") + 1, F.col("size"))).otherwise(
+        F.array_join(F.slice("letters", F.col("start") + 1, F.col("size")), "")
+    )
+    starts = words.where(n > 0).select("word", letters.alias("letters"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("size")
+    cut = starts.select("*", sizes).select("word", "start", "size", text.alias("spelled"))
     # The piece table is the model's vocabulary, a file of fixed size.
-    met = cut.join(F.broadcast(pieces), F.col("span.piece") == F.col("piece"), "left")
+    met = cut.join(F.broadcast(pieces), F.col("spelled") == F.col("piece"), "left")
     known = F.col("id").isNotNull()
-    return met.where(known | (F.col("span.end") == F.col("span.start") + 1)).select(
+    return met.where(known | (F.col("size") == 1)).select(
         "word",
         F.struct(
-            F.col("span.end").alias("end"),
-            F.col("span.start").alias("start"),
+            (F.col("start") + F.col("size")).alias("end"),
+            "start",
             F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"),
             F.coalesce("id", F.lit(-1)).alias("id"),
         ).alias("edge"),
@@ -182,13 +177,14 @@ def lexicon(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> DataFrame:
     """The documents by chunks of one task's texts: a row with the chunk's distinct words, and rows
-    with packed places in that list, 4 bytes for each word of a text."""
+    with the places of a text's words in that list, packed and compressed."""
     kind = docs.schema[key].dataType.simpleString()
     pattern = vocabulary.cutter()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, size = TaskContext.get().partitionId(), 0, 0
         places: dict[str, int] = {}
+        press = zstandard.ZstdCompressor()
 
         def distinct(key_type: pa.DataType) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -214,7 +210,8 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> D
                 for t in piece.column(1):
                     words = pattern.findall(marked(t.as_py() or ""))
                     size += sum(map(len, words))
-                    packed.append(np.array([places.setdefault(w, len(places)) for w in words], "<u4").tobytes())
+                    at = np.array([places.setdefault(w, len(places)) for w in words], "<u4")
+                    packed.append(press.compress(at.tobytes()))
                 n = len(packed)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -249,9 +246,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
-        out = []
+        out, press = [], zstandard.ZstdDecompressor()
         for packed in texts["places"]:
-            at = np.frombuffer(packed.as_py(), "<u4")
+            at = np.frombuffer(press.decompress(packed.as_py()), "<u4")
             n = sizes[at]
             # For each id its place in the flat list: its word's start and the steps since.
             steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
