@@ -54,6 +54,19 @@ def join_settings(spark: SparkSession) -> dict[str, str]:
     }
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session may leave that out; its warehouse folder is used then.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
+
+
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     """`mapInArrow`, with this package on the path of the Python workers.
 

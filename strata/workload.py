@@ -40,6 +40,7 @@ from strata.plans.orders import (
     clean_products,
     orders_pipeline,
 )
+from strata.session import shared_folder
 from strata.streaming.dimensions import merge_dimension
 from strata.streaming.facts import append_fact
 from strata.streaming.ingest import ingest
@@ -53,11 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared folder that the cluster names."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{shared.rstrip('/')}/strata-{uuid4().hex}"
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/strata-{uuid4().hex}"
 
 
 #: Databases of the queries of this process, which their results read until `drop_scratch`.

@@ -43,9 +43,13 @@ def test_query(spark, tables, name):
 
 
 def test_scratch_needs_a_shared_folder():
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    def session(settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
     with pytest.raises(ValueError, match="all executors share"):
-        scratch(session)
+        scratch(session({"spark.master": "yarn"}))
+    local = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "/w/"}
+    assert scratch(session(local)).startswith("/w/strata-")
 
 
 def test_scratch_is_below_the_shared_folder(spark):
