@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.session import map_batches
 
 __all__ = ["crc32_of", "draw", "map_batches", "shared_folder", "table", "written"]
@@ -17,16 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors reach, below `spark.checkpoint.dir`.
-
-    Only a local session may leave that setting out; its warehouse folder is used then.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/llm-{uuid4().hex}"
+    """A new folder that all executors reach."""
+    return f"{session.shared_folder(spark)}/llm-{uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
