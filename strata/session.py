@@ -72,8 +72,16 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
 
     A cluster that has it installed, or gets it by `--py-files`, needs no path; it does no harm.
     """
-    env = df.sparkSession.sparkContext.environment
+    worker_environment(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def worker_environment(spark: SparkSession) -> None:
+    """Settings of the Python workers: where this package is, and to give freed memory back, which
+    counts as they live from task to task."""
+    env = spark.sparkContext.environment
     root, paths = str(Path(__file__).resolve().parents[1]), env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
-    return df.mapInArrow(run, schema)
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "2")
