@@ -22,11 +22,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{session.shared_folder(spark)}/llm-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+#: Rows that pass to a Python worker at a time where this module runs the job: texts are long.
+ROWS_AT_A_TIME = 1000
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}"
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = int(spark.conf.get(key))
+    few = ROWS_AT_A_TIME if own <= 0 else min(own, ROWS_AT_A_TIME)
+    with session.session_conf(spark, {key: str(few)}):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc32_of(column: str) -> Column:

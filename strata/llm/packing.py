@@ -3,31 +3,35 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, written
 
-#: Words whose ids a Python worker remembers; then it begins anew.
-REMEMBERED = 1_000_000
+#: Words whose ids a Python worker remembers at least, if they came up lately; twice as many at most.
+REMEMBERED = 300_000
 #: Words encoded in one call.
 TOGETHER = 5_000
-#: Marks that may follow a word; a token never holds a letter and one of them.
-MARKS = b",.!?;:"
+#: A mark at the end of a word; a token never holds a letter and one of them.
+MARKED = r"([a-z])([,.!?;:])([ \n])"
+#: Fixed value: the parts of an ASCII word in lower case, none of which a token crosses.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 class WordEncoder:
     """Ids of whole texts, by way of the ids of their words.
 
-    Only for tokenizers that ignore case, drop white space, and no token or rule of which crosses
-    ASCII white space or goes from a letter to one of MARKS: the ids of a text are then those of
-    its words, one after the other.
+    Only for tokenizers that ignore case, drop white space, have PARTS with a token at the end of
+    each that is marked so, and no token or rule of which crosses ASCII white space or goes from a letter to a mark: the ids of a text are then those of its
+    words and marks, one after the other.
     """
 
     def __init__(self, path: str):
@@ -35,51 +39,69 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.ends[k] = token.endswith("</w>")
 
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
-        words = text.lower().split()
-        known = self.words
-        if missing := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) > REMEMBERED:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            self.learn(missing)
-        return b"".join(map(known.__getitem__, words))
-
-    def learn(self, missing: list[bytes]) -> None:
-        known = self.words
-        marked: list[tuple[bytes, bytes, bytes]] = []
-        wanted: dict[bytes, None] = {}
-        for word in missing:
-            stem = word.rstrip(MARKS)
-            if len(stem) < len(word) and stem.decode()[-1:].isalpha():
-                marked.append((word, stem, word[len(stem) :]))
-                wanted |= {stem: None, word[len(stem) :]: None}
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; NULL counts as empty."""
+        lower = pc.ascii_lower(pc.fill_null(texts, ""))
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, MARKED, r"\1 \2\3"))
+        coded = words.flatten().dictionary_encode()
+        found = self.words(coded.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        # For each id its place among those of the distinct words: its word's start and the steps since.
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        before = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(starts[at] - before[:-1], n) + np.arange(before[-1])]
+        return np.split(ids, before[words.offsets.to_numpy()[1:-1] - words.offsets[0].as_py()])
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words as little-endian unsigned 32-bit numbers."""
+        known = {w: ids for w in words if (ids := self.recent.get(w)) is not None}
+        again = {w: ids for w in words if w not in known and (ids := self.older.get(w)) is not None}
+        for word, ids in again.items():
+            self.remember(word, ids)
+        known |= again
+        self.learn([w for w in words if w not in known], known)
+        return list(map(known.__getitem__, words))
+
+    def remember(self, word: str, ids: bytes) -> None:
+        if len(self.recent) >= REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        self.recent[word] = ids
+
+    def learn(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Adds the ids of the words to the known ones, and remembers them."""
+        together = []
+        for word in words:
+            if word.isalpha():
+                together.append((word, 1))
+            elif word.isascii():
+                together.append((word, len(PARTS.findall(word))))
             else:
-                wanted[word] = None
-        texts = [w.decode() for w in wanted if w not in known]
-        plain = [w for w in texts if w.isalpha()]
-        for start in range(0, len(plain), TOGETHER):
-            self.learn_plain(plain[start : start + TOGETHER])
-        for word in texts:
-            if not word.isalpha():
-                known[word.encode()] = self.ids(word)
-        for word, stem, mark in marked:
-            known[word] = known[stem] + known[mark]
-
-    def learn_plain(self, words: list[str]) -> None:
-        """Words of letters only are encoded in one call, and told apart by their last tokens."""
-        ids = np.frombuffer(self.ids(" ".join(words)), "<u4")
+                known[word] = self.ids(word)
+        for start in range(0, len(together), TOGETHER):
+            self.learn_together(together[start : start + TOGETHER], known)
+        for word in words:
+            self.remember(word, known[word])
+
+    def learn_together(self, words: list[tuple[str, int]], known: dict[str, bytes]) -> None:
+        """Words with their number of parts are encoded in one call; the last token of each part tells
+        them apart. Should that not come out even, they are encoded one by one."""
+        ids = np.frombuffer(self.ids(" ".join(word for word, _ in words)), "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        apart = len(cuts) == len(words) and cuts[-1] == len(ids)
-        for k, word in enumerate(words):
-            own = ids[cuts[k - 1] if k else 0 : cuts[k]].tobytes() if apart else self.ids(word)
-            self.words[word.encode()] = own
+        parts = np.cumsum([n for _, n in words])
+        apart = len(cuts) == parts[-1] > 0 and cuts[-1] == len(ids)
+        ends = np.concatenate([[0], cuts])[parts] if apart else parts
+        start = 0
+        for (word, _), end in zip(words, ends.tolist(), strict=True):
+            known[word] = ids[start:end].tobytes() if apart else self.ids(word)
+            start = end
 
     def ids(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # keeps no offsets
@@ -105,8 +127,8 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         part, start = TaskContext.get().partitionId(), 0
         own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
-                ids = [own.encode((x.as_py() or "").encode()) + end for x in piece.column(1)]
+            for piece in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
+                ids = [x.tobytes() + end for x in own.encode(piece.column(1))]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 before = start + np.cumsum(n) - n
                 start += int(n.sum())

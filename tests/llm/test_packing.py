@@ -4,12 +4,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from strata.llm import packing
 from strata.llm.packing import WordEncoder, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -65,4 +67,14 @@ def test_empty_table_null_and_repeated_keys(spark):
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("aZé'.,!?<|> \n\tİσΣ1_̧́")), max_size=80))
 def test_word_by_word_is_the_whole_text(tokenizer, word_encoder, text):
     whole = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    assert word_encoder.encode(text.encode()) == whole
+    assert word_encoder.encode(pa.array(["", text, None, "a, b"]))[1].tobytes() == whole
+
+
+def test_forgotten_words_are_learned_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    small = WordEncoder(PATH)
+    texts = ["one two, three", "four five six, one", "one two seven eight, two,"] * 2
+    whole = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [small.encode(pa.array([t]))[0].tobytes() for t in texts] == whole
+    assert [ids.tobytes() for ids in small.encode(pa.array(texts))] == whole
+    assert len(small.recent) <= 3 and len(small.older) <= 3
