@@ -110,8 +110,8 @@ def fit(labelled: DataFrame, key: str, text: str, label: str, params: Params = P
                 out, pa.schema([("label", pa.string()), ("place", pa.int32()), ("at", pa.binary()), ("value", pa.binary())])
             )
 
-    chosen = usable.join(drawn, ["key", "label"]).select("label", "place", "text")
-    # Bounded by rows_per_language.
+    # Bounded by rows_per_language: the drawn keys go to the texts, and their features come here.
+    chosen = usable.join(F.broadcast(drawn), ["key", "label"]).select("label", "place", "text")
     sample = map_batches(chosen, featurise, "label string, place int, at binary, value binary").collect()
     sample.sort(key=lambda r: (r.label, r.place, bytes(r.at)))
     languages = tuple(sorted({r.label for r in sample}))

@@ -57,7 +57,7 @@ def similarity(unequal: Column, params: Params) -> Column:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -10,7 +10,7 @@ import numpy as np
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 LETTER = re.compile(r"[^\W\d_]")
 #: Characters hashed at a time; a longer text is taken in overlapping blocks, so memory is bounded.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Odd multipliers of the hash (fixed values, any odd 64-bit numbers do).
 STEP, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 

@@ -99,9 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params(), key: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(at, pa.binary())], [*batch.schema.names[:-1], "at"])
 
     columns = ["place", *targets]
-    chosen = keyed.join(drawn.dropDuplicates(["key"]), "key").select(*columns, "text")
+    # Bounded by rows_per_combination: the drawn keys go to the texts, and one task learns from all.
+    chosen = keyed.join(F.broadcast(drawn.dropDuplicates(["key"])), "key").select(*columns, "text")
     kinds = f"place int, {', '.join(f'{y} int' for y in targets)}, at binary"
-    # The sample is bounded by rows_per_combination, so one task may learn from it.
     sample = map_batches(chosen, featurise, kinds).repartition(1)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def fit_chain(rows: list[tuple], params: Params) -> Iterator[tuple[Link, np.ndar
     chain, packed buckets)."""
     if not rows:
         return
-    index = [np.frombuffer(r[-1], "<u4").astype(np.int64) for r in rows]
+    index = [np.frombuffer(r[-1], "<u4") for r in rows]
     fold = np.array([r[0] % params.folds for r in rows])
     earlier = np.zeros((len(rows), 0))
     for k in range(len(params.chain)):
@@ -171,17 +171,21 @@ def ratios(index: list[np.ndarray], y: np.ndarray, rows: np.ndarray, params: Par
 def fit_link(index: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, rows: np.ndarray, params: Params) -> Link:
     """A linear model on the telling n-grams, each scaled by its log ratio, and on the probabilities
     of the earlier categories."""
-    features, k = 1 << params.bits, earlier.shape[1]
-    scale = ratios(index, y, rows, params)
+    scale, k = ratios(index, y, rows, params), earlier.shape[1]
+    kept = np.flatnonzero(scale)
+    place = np.full(len(scale), -1)
+    place[kept] = np.arange(len(kept))
+    scale = scale[kept]
     given: list[Row] = []
     for i in rows:
-        at = index[i][scale[index[i]] != 0]
-        given.append((np.append(at, features + np.arange(k)), np.append(scale[at], earlier[i]), int(y[i])))
-    weights = params.ftrl.fit(given, features + k, 2)
+        at = place[index[i]]
+        at = at[at >= 0]
+        given.append((np.append(at, len(kept) + np.arange(k)), np.append(scale[at], earlier[i]), int(y[i])))
+    weights = params.ftrl.fit(given, len(kept) + k, 2)
     w = weights[:, 1] - weights[:, 0]
-    scaled = w[:features] * scale
-    at = np.flatnonzero(scaled)
-    return Link(at, scaled[at], w[features:-1].copy(), float(w[-1]))
+    scaled = w[: len(kept)] * scale
+    used = scaled != 0
+    return Link(kept[used], scaled[used], w[len(kept) : -1].copy(), float(w[-1]))
 
 
 def shift_of(zeros: int, ones: int, shares: dict[tuple, int], k: int) -> float:
