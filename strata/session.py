@@ -84,4 +84,6 @@ def worker_environment(spark: SparkSession) -> None:
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
-    env.setdefault("MALLOC_ARENA_MAX", "2")
+    # Settings of the C library: blocks of 4 MB or more go back when they are freed.
+    for setting, value in (("ARENA_MAX", 2), ("MMAP_THRESHOLD_", 4 << 20), ("TRIM_THRESHOLD_", 4 << 20)):
+        env.setdefault(f"MALLOC_{setting}", str(value))
