@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 from strata import session
 from strata.session import map_batches
 
-__all__ = ["crc32_of", "draw", "map_batches", "shared_folder", "table", "written"]
+__all__ = ["crc32_of", "draw", "map_batches", "remembered", "shared_folder", "table", "written"]
+
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +26,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{session.shared_folder(spark)}/llm-{uuid4().hex}"
 
 
+#: What a Python worker remembers from task to task, by operator.
+REMEMBERED: dict[str, object] = {}
+
+
+def remembered(operator: str, make: Callable[[], T]) -> T:
+    """What this worker remembers for an operator; it then forgets what it did for others."""
+    if operator not in REMEMBERED:
+        REMEMBERED.clear()
+        REMEMBERED[operator] = make()
+    return REMEMBERED[operator]
+
+
 #: Rows that pass to a Python worker at a time where this module runs the job: texts are long.
 ROWS_AT_A_TIME = 1000
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches, written
+from strata.llm.common import map_batches, remembered, written
 from strata.llm.components import components
 
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -63,16 +63,14 @@ class WordHashes(dict):
         return value
 
 
-WORDS = WordHashes()
-
-
 def shingles(text: str | None, words: int) -> np.ndarray:
     """The distinct hashed shingles, ascending: A-Z in lower case, words between ASCII white space;
     a shorter text is one shingle, a text without words has none."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(WORDS.__getitem__, found), np.uint64, len(found))
+    known = remembered("minhash", WordHashes)
+    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     n = min(words, len(hashes))
     rolling = np.full(len(hashes) - n + 1, n, np.uint64)
     for k in range(n):

@@ -14,10 +14,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches, written
+from strata.llm.common import map_batches, remembered, written
 
 #: Words whose ids a Python worker remembers at least, if they came up lately; twice as many at most.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Words encoded in one call.
 TOGETHER = 5_000
 #: A mark at the end of a word; a token never holds a letter and one of them.
@@ -30,8 +30,8 @@ class WordEncoder:
     """Ids of whole texts, by way of the ids of their words.
 
     Only for tokenizers that ignore case, drop white space, have PARTS with a token at the end of
-    each that is marked so, and no token or rule of which crosses ASCII white space or goes from a letter to a mark: the ids of a text are then those of its
-    words and marks, one after the other.
+    each that is marked so, and no token or rule of which crosses ASCII white space or goes from a
+    letter to a mark: the ids of a text are then those of its words and marks, one after the other.
     """
 
     def __init__(self, path: str):
@@ -108,16 +108,6 @@ class WordEncoder:
         return np.array(found[0].ids, "<u4").tobytes()
 
 
-ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One for each Python worker, kept from task to task."""
-    if path not in ENCODERS:
-        ENCODERS[path] = WordEncoder(path)
-    return ENCODERS[path]
-
-
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """First pass, written once: key, ids of the document with `end_id` after them, and its place
     in the stream of its partition (part, local_start)."""
@@ -125,9 +115,10 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        own = remembered(f"packing {tokenizer}", lambda: WordEncoder(tokenizer))
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for piece in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
+            for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
                 ids = [x.tobytes() + end for x in own.encode(piece.column(1))]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 before = start + np.cumsum(n) - n

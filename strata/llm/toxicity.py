@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import ngrams
-from strata.llm.common import draw, map_batches
+from strata.llm.common import draw, map_batches, remembered
 from strata.llm.linear import Ftrl, Row
 
 
@@ -204,7 +204,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     names = [f"p{k}" for k in range(len(chain))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << bits, np.uint8)
+        flags = remembered(f"toxicity {bits}", lambda: np.zeros(1 << bits, np.uint8))
         for batch in batches:
             p = [shared.value.predict(t.as_py(), flags) for t in batch.column(1)]
             own = [pa.array([x[k] for x in p], pa.float64()) for k in range(len(chain))]
@@ -225,7 +225,7 @@ def keep(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at, bits, least = docs.columns.index(text), model.params.bits, model.params.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << bits, np.uint8)
+        flags = remembered(f"toxicity {bits}", lambda: np.zeros(1 << bits, np.uint8))
         for batch in batches:
             yield batch.filter(
                 pa.array([shared.value.predict(t.as_py(), flags)[-1] < least for t in batch.column(at)], pa.bool_())
