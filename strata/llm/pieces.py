@@ -7,7 +7,6 @@ the best path is folded from them. Texts are then put together from the paths of
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,14 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import map_batches, written
+from strata.session import session_conf
 
 SPACE = "▁"
 #: How far an unknown character's score lies below that of any piece (fixed value of the format).
 UNKNOWN_PENALTY = 10.0
-#: Characters of text that share a dictionary of words.
+#: Words of text, in bytes of their places, that share a dictionary.
 CHUNK = 32_000_000
 
 
+#: Distinct words whose lattices a task holds at a time.
+WORDS_TOGETHER = 20_000
+HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """The pieces of a model with their ids and scores, and the ids of bytes for unknown characters."""
@@ -48,21 +53,54 @@ class Vocabulary:
     def rows(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.pieces), "piece string, id int, score double")
 
-    def cutter(self) -> re.Pattern[str]:
-        """Matches words: a text may be cut before a space mark, around control characters and
-        between a letter and a mark, if no piece has such a pair inside."""
+    def cutter(self) -> Cutter:
+        """A text may be cut before a space mark, around control characters and between a letter and
+        a mark, if no piece has such a pair inside."""
         inside = {a + b for p, _, _ in self.pieces for a, b in zip(p, p[1:])}
         known = {c for p, _, _ in self.pieces for c in p}
-        if any(b == SPACE and a != SPACE for a, b in inside):
-            return re.compile(r"(?s).+")
-        control = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in known)
         after_letter = {b for a, b in inside if a.isalpha()}
-        marks = "".join(re.escape(c) for c in ",.!?;:|()\"" if c not in after_letter)
-        other = f"[^{SPACE}{control}]"
-        if not marks:
-            return re.compile(f"(?s)[{control}]|{SPACE}+{other}*|{other}+")
-        body = f"(?:(?:(?<![^\\W\\d_])[{marks}]|[^{SPACE}{control}{marks}])+|[{marks}](?:(?<![^\\W\\d_])[{marks}]|[^{SPACE}{control}{marks}])*)"
-        return re.compile(f"(?s)[{control}]|{SPACE}+{body}?|{body}")
+        return Cutter(
+            spaces=not any(b == SPACE != a for a, b in inside),
+            controls="".join(f"\\x{c:02x}" for c in range(32) if chr(c) not in known),
+            marks="".join(f"\\x{ord(c):02x}" for c in ",.!?;:|()\"" if c not in after_letter),
+        )
+
+
+#: Stands between words while a text is cut; a text that holds it is not cut at all.
+SEPARATOR = "\ufdd0"
+
+
+@dataclass(frozen=True)
+class Cutter:
+    """Where texts are cut: before spaces, around controls, before marks that follow a letter."""
+
+    spaces: bool
+    controls: str
+    marks: str
+
+    def words(self, texts: pa.Array) -> pa.ListArray:
+        """The words of each text, spelled with space marks; NULL and empty texts have none."""
+        texts = pc.fill_null(texts, "")
+        begun = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(SPACE, texts, ""))
+        cut = pc.replace_substring(begun, " ", SPACE)
+        plain = pc.invert(pc.match_substring(cut, SEPARATOR))
+        for wanted, pattern, spelled in (
+            (self.spaces, f"([^{SPACE}])({SPACE})", rf"\1{SEPARATOR}\2"),
+            (self.marks, rf"(\pL)([{self.marks}])", rf"\1{SEPARATOR}\2"),
+            (self.controls, f"([{self.controls}])", rf"{SEPARATOR}\1{SEPARATOR}"),
+        ):
+            if wanted:
+                cut = pc.if_else(plain, pc.replace_substring_regex(cut, pattern, spelled), cut)
+        lists = pc.split_pattern(cut, SEPARATOR)
+        whole = pc.if_else(plain, None, cut)
+        if pc.all(plain).as_py() is False:
+            rows = [[w.as_py()] if w.is_valid else x.as_py() for w, x in zip(whole, lists, strict=True)]
+            lists = pa.array(rows, pa.list_(pa.string()))
+        # Cuts that meet leave empty words; they go.
+        flat, filled = lists.flatten(), pc.not_equal(lists.flatten(), "")
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(before[offsets].astype(np.int32)), flat.filter(filled))
 
 
 def load(path: str) -> Vocabulary:
@@ -80,11 +118,6 @@ def load(path: str) -> Vocabulary:
     )
 
 
-def marked(text: str) -> str:
-    """The text as pieces spell it: a space mark for each space, and one before the text."""
-    return SPACE + text.replace(" ", SPACE) if text else ""
-
-
 def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, edge): each substring of a word that is a piece, and each single unknown character."""
     n, longest = F.length("word"), vocabulary.longest
@@ -179,7 +212,7 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> D
     """The documents by chunks of one task's texts: a row with the chunk's distinct words, and rows
     with the places of a text's words in that list, packed and compressed."""
     kind = docs.schema[key].dataType.simpleString()
-    pattern = vocabulary.cutter()
+    cutter = vocabulary.cutter()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, size = TaskContext.get().partitionId(), 0, 0
@@ -201,17 +234,18 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> D
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
+            for piece in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
                 if size > CHUNK:
                     yield distinct(key_type)
                     chunk, size = chunk + 1, 0
                     places.clear()
-                packed = []
-                for t in piece.column(1):
-                    words = pattern.findall(marked(t.as_py() or ""))
-                    size += sum(map(len, words))
-                    at = np.array([places.setdefault(w, len(places)) for w in words], "<u4")
-                    packed.append(press.compress(at.tobytes()))
+                words = cutter.words(piece.column(1))
+                coded = words.flatten().dictionary_encode()
+                place = [places.setdefault(w, len(places)) for w in coded.dictionary.to_pylist()]
+                at = np.array(place, "<u4")[coded.indices.to_numpy()] if len(place) else np.zeros(0, "<u4")
+                size += at.nbytes
+                bounds = words.offsets.to_numpy()
+                packed = [press.compress(at[i:j].tobytes()) for i, j in zip(bounds, bounds[1:], strict=False)]
                 n = len(packed)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -236,7 +270,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
     cut = written(cut_words(docs, vocabulary, key, text), "words")
     chunk = ["part", "chunk"]
     listed = cut.where("words IS NOT NULL").select(*chunk, F.posexplode("words").alias("place", "word"))
-    paths = written(lexicon(listed.select("word").distinct(), vocabulary), "lexicon")
+    distinct = written(listed.select("word").distinct(), "distinct")
+    # So few words to a partition that their edges are grouped in memory, without a sort.
+    parts = max(1, -(-distinct.count() // WORDS_TOGETHER))
+    with session_conf(docs.sparkSession, {HASHED: str(10 * WORDS_TOGETHER)}):
+        paths = written(lexicon(distinct.repartition(parts, "word"), vocabulary), "lexicon")
     found = listed.join(paths, "word").select(*chunk, "place", "ids")
     kind = docs.schema[key].dataType.simpleString()
 

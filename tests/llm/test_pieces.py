@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -22,9 +23,13 @@ def vocabulary():
     return pieces.load(PATH)
 
 
+def marked(text):
+    return "▁" + text.replace(" ", "▁") if text else ""
+
+
 def viterbi(text, vocabulary):
     best = {p: (s, i) for p, i, s in vocabulary.pieces}
-    s, score, back = pieces.marked(text or ""), [0.0], [None]
+    s, score, back = marked(text), [0.0], [None]
     for end in range(1, len(s) + 1):
         options = []
         for start in range(max(0, end - vocabulary.longest), end):
@@ -65,9 +70,15 @@ def test_random_texts(spark, vocabulary):
 
 
 def test_words_cover_the_text_and_no_piece_crosses_them(vocabulary):
-    pattern = vocabulary.cutter()
-    for text in filter(None, TEXTS):
-        assert "".join(pattern.findall(pieces.marked(text))) == pieces.marked(text)
+    texts = [*TEXTS, "a\ufdd0 b,c", ",,a,,", "▁▁ ▁a▁"]
+    words = vocabulary.cutter().words(pa.array(texts)).to_pylist()
+    assert ["".join(w) for w in words] == [marked(t) for t in texts]
+    assert words[0] == ["▁Hello", "▁world", ",", "▁this", "▁is", "▁a", "▁test", "."]
+    assert words[1] == ["▁▁▁two", "▁▁spaces", "▁"] and words[2][:4] == ["▁tab", "\t", "and", "\n"]
+    known = {p for p, _, _ in vocabulary.pieces}
+    for text in words[:12]:
+        for a, b in zip(text, text[1:]):
+            assert not any(a[-i:] + b[:j] in known for i in range(1, 9) for j in range(1, 9))
 
 
 def test_without_bytes_unknown_characters_are_unknown(spark, vocabulary):
