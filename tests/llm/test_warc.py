@@ -37,7 +37,7 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("params", [Params(), Params(chunk_bytes=7, segment_bytes=101, records_per_file=2), Params(segment_bytes=64, chunk_bytes=1000)])
+@pytest.mark.parametrize("params", [Params(), Params(chunk_bytes=7, segment_bytes=1001, records_per_file=50), Params(segment_bytes=64, chunk_bytes=1000)])
 def test_round_trip(spark, params):
     path, found = round_trip(spark, ROWS, params)
     got = {r.page_id: r for r in found.collect()}
