@@ -10,11 +10,22 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TURN = "array<struct<role:string,text:string>>"
 #: The marks of the template, and the control strings that texts must not hold.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 CONTROL = ("<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+#: The inside of a JSON string; a text value after its name, if it has one; neighbours of one shape in a
+#: list. All are possessive: the matcher does not recurse, so that no text is too long for it.
+INSIDE = r'(?:[^"\\\x00-\x1F]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+'
+BLANK = r"[ \t\r\n]*+"
+VALUE = rf'(?=")((?:"{INSIDE}"{BLANK}:{BLANK})?+)(?:("){INSIDE}("))?+'
+ALIKE = rf"(\{{[^{{}}\[\]]*+\}})(?:{BLANK},{BLANK}\1)++"
+#: Reads what the parser of variants reads, and texts of any length.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
+#: Bytes of a shape beyond which one that cannot be parsed is an error.
+LOUD = 16_000_000
 MARKED = r"(?s)<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n"
 
 
@@ -27,10 +38,13 @@ class Fields:
     def paths(self) -> tuple[str, ...]:
         return ("OBJECT<" + ", ".join(sorted(name for _, name in self.roles)) + ">",)
 
-    def turns(self, record: Column) -> Column:
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(name, T.StringType()) for name in sorted({name for _, name in self.roles})])
+
+    def turns(self, read: Column) -> Column:
         return F.array(
             *[
-                F.struct(F.lit(role).alias("role"), text_at(record, f"$['{name}']").alias("text"))
+                F.struct(F.lit(role).alias("role"), F.coalesce(read[name], F.lit("")).alias("text"))
                 for role, name in self.roles
             ]
         )
@@ -49,16 +63,18 @@ class Messages:
         inside = ", ".join(sorted((self.role, self.text)))
         return (f"OBJECT<{self.list}: ARRAY<OBJECT<{inside}>>>", f"OBJECT<{self.list}: ARRAY<VOID>>")
 
-    def turns(self, record: Column) -> Column:
-        read = F.try_variant_get(record, f"$['{self.list}']", f"array<struct<`{self.role}`:string,`{self.text}`:string>>")
+    def schema(self) -> T.StructType:
+        inside = T.StructType([T.StructField(name, T.StringType()) for name in (self.role, self.text)])
+        return T.StructType([T.StructField(self.list, T.ArrayType(inside))])
 
+    def turns(self, read: Column) -> Column:
         def turn(m: Column) -> Column:
             role = F.coalesce(m[self.role], F.lit(""))
             for given, canonical in self.names.items():
                 role = F.when(m[self.role] == given, F.lit(canonical)).otherwise(role)
             return F.struct(role.alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text"))
 
-        return F.transform(F.coalesce(read, F.array().cast(f"array<struct<`{self.role}`:string,`{self.text}`:string>>")), turn)
+        return F.coalesce(F.transform(read[self.list], turn), F.array().cast(TURN))
 
 
 #: Known layouts. A record of another fingerprint is kept, with no layout and no turns.
@@ -70,10 +86,6 @@ LAYOUTS: dict[str, Fields | Messages] = {
 }
 
 
-def text_at(record: Column, path: str) -> Column:
-    return F.coalesce(F.try_variant_get(record, path, "string"), F.lit(""))
-
-
 def fingerprint(paths: Column) -> Column:
     return F.xxhash64(paths)
 
@@ -83,21 +95,43 @@ def field_paths(record: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(record), r": (?!ARRAY<|OBJECT<)\w+(\([0-9,]+\))?", "")
 
 
+def shape(record: Column) -> Column:
+    """JSON of the same field paths without the texts: values that are strings are empty, and of
+    neighbours of one shape in a list there is one."""
+    bare = F.regexp_replace(record, F.lit(VALUE), F.lit("$1$2$3"))
+    return F.regexp_replace(bare, F.lit(ALIKE), F.lit("$1"))
+
+
+def parsed(shape: Column) -> Column:
+    """The variant of a shape, NULL if it is not JSON. A variant holds 128 MiB, so of a shape that may
+    not fit, a failure is an error."""
+    return F.when(F.octet_length(shape) > LOUD, F.parse_json(shape)).otherwise(F.try_parse_json(shape))
+
+
 def canonical(records: DataFrame, record: str, layouts: Mapping[str, Fields | Messages] = LAYOUTS) -> DataFrame:
     """Adds `layout` and `turns` to rows with JSON in the column `record`.
 
     A NULL record, one that is not JSON, or one with undeclared fields has neither. NULL texts and
-    roles of declared layouts are empty. The given columns must not be named layout or turns.
+    roles of declared layouts are empty. The layout is chosen by the record without its texts; these
+    are read as strings, which may be of any length. The given columns must not be named layout or turns.
     """
-    parsed = F.try_parse_json(record)
-    out = records.withColumn("_parsed", parsed).withColumn("_paths", fingerprint(field_paths(F.col("_parsed"))))
+    out = records.withColumn("_shape", shape(F.col(record)))
+    out = out.withColumn("_paths", fingerprint(field_paths(parsed(F.col("_shape")))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
     for name, mapping in layouts.items():
         known = reduce(or_, [F.col("_paths") == fingerprint(F.lit(p)) for p in mapping.paths()])
         layout = F.when(known, F.lit(name)).otherwise(layout)
-        turns = F.when(known, mapping.turns(F.col("_parsed")).cast(TURN)).otherwise(turns)
-    out = out.withColumns({"layout": layout, "turns": turns})
-    return out.drop("_parsed", "_paths")
+    out = out.withColumn("layout", layout)
+    reads = {name: f"_read_{k}" for k, name in enumerate(layouts)}
+    out = out.withColumns(
+        {
+            reads[name]: F.when(F.col("layout") == name, F.from_json(F.col(record), mapping.schema(), STRICT))
+            for name, mapping in layouts.items()
+        }
+    )
+    for name, mapping in layouts.items():
+        turns = F.when(F.col("layout") == name, mapping.turns(F.col(reads[name])).cast(TURN)).otherwise(turns)
+    return out.withColumn("turns", turns).drop("_shape", "_paths", *reads.values())
 
 
 def pattern(escaped: bool) -> str:

@@ -1,5 +1,6 @@
 """Layouts, the template and its way back."""
 
+import hashlib
 import json
 
 from hypothesis import given, settings
@@ -38,6 +39,37 @@ def test_layouts(spark):
     assert turns[4] == [] and turns[5] is None
 
 
+def test_texts_and_lists_of_any_length(spark):
+    """Beyond the 20,000,000 characters of the parser's strings, and the 128 MiB of a variant."""
+    n = lambda k: (F.col("id") + k).cast("int")
+    message = lambda text: F.struct(F.lit("user").alias("role"), text.alias("content"))
+    cases = {
+        "prompt": F.struct(F.repeat(F.lit('a\\"\n'), n(5_000_025)).alias("prompt"), F.lit("r").alias("response")),
+        "messages": F.struct(F.array_repeat(message(F.repeat(F.lit("b"), n(10_000_000))), n(14)).alias("messages")),
+    }
+    found = {}
+    for name, record in cases.items():
+        rows = chat.canonical(spark.range(1).select(F.to_json(record).alias("record")), "record")
+        length = F.transform("turns", lambda t: F.length(t["text"]))
+        found[name] = rows.select("layout", length, F.sha2(F.col("turns")[0]["text"].cast("binary"), 256)).first()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    assert found["prompt"] == ("prompt", [20_000_100, 1], sha('a\\"\n' * 5_000_025))
+    assert found["messages"] == ("messages", [10_000_000] * 14, sha("b" * 10_000_000))
+
+
+def test_shapes(spark):
+    items = {
+        '{"prompt" : "a\\"b", "response":"c: {"}': '{"prompt" : "", "response":""}',
+        '{"messages":[{"role":"a","content":"}"} , {"role":"b","content":""}]}': '{"messages":[{"role":"","content":""}]}',
+        '["a","b",1,{"x":["y"]}]': '["","",1,{"x":[""]}]',
+        '{"a":{"b":null},"c":"d"}': '{"a":{"b":null},"c":""}',
+    }
+    found = records(spark, list(items)).select("record", chat.shape(F.col("record"))).collect()
+    assert {r[0]: r[1] for r in found} == items
+    wrong = ['{"prompt":"a', '{"prompt":"a\\q","response":""}', '{"prompt":"a\tb","response":""}', "{'prompt':'','response':''}"]
+    assert [r.layout for r in chat.canonical(records(spark, wrong), "record").collect()] == [None] * 4
+
+
 def back(spark, turns):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(turns)], f"id int, turns {chat.TURN}")
     pieces = rows.withColumn("p", chat.segments(F.col("turns")))
