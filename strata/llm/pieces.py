@@ -305,7 +305,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Data
     schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (given.slice(k, 500) for given in batches for k in range(0, given.num_rows, 500)):
             texts = []
             for packed in batch.column(ids):
                 data = b"".join(spelled.get(i, b" \xe2\x81\x87 ") for i in np.frombuffer(packed.as_py() or b"", "<u4").tolist())

@@ -31,12 +31,13 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ids_crc32 is that of the ids as little-endian unsigned 32-bit numbers."""
+    """The ids as little-endian unsigned 32-bit numbers, their number and CRC, and the `text` that
+    decoding them gives."""
     vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     found = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
-    return found.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32")
-    )
+    n_pieces = (F.octet_length("ids") / 4).cast("long").alias("n_pieces")
+    back = pieces.decode(found, vocabulary)
+    return back.select("doc_id", n_pieces, F.crc32("ids").alias("ids_crc32"), "ids", "text")
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

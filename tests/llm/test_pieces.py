@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 
 from strata.llm import pieces
+from strata.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 #: Appended to a model file, this makes the library treat its pieces as those of a unigram model.
@@ -89,3 +90,13 @@ def test_without_bytes_unknown_characters_are_unknown(spark, vocabulary):
 
 def test_empty_table(spark, vocabulary):
     assert encoded(spark, vocabulary, []) == {}
+
+
+def test_query_decodes_every_document(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    found = {r.doc_id: r for r in QUERIES["op4_pieces"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(found) == len(docs)
+    for d in docs:
+        ids = np.frombuffer(found[d.doc_id].ids, "<u4")
+        assert len(ids) == found[d.doc_id].n_pieces
+        assert found[d.doc_id].text == (d.text or "").replace("▁", " ")
