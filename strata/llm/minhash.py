@@ -420,8 +420,23 @@ def by_sets(params: Params) -> Callable[[pa.Table], list[tuple]]:
 
 
 def keep(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, all columns; of rows that repeat a key, one. Documents
-    without a key stay."""
+    """One document of each component, all columns; of rows that repeat a key and its text, one.
+    Documents without a key stay. If a key has different texts, each is a document of its own."""
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    keyed = docs.where(F.col(key).isNotNull())
+    by_key = keyed.select(F.col(key).alias("key"), digest.alias("digest")).groupBy("key")
+    if by_key.agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a < b").isEmpty():
+        return keep_keys(docs, params, key, text)
+    # Numbers in the order of the keys stand for pairs of key and text.
+    nodes = keyed.select(F.col(key).alias("_key"), digest.alias("_digest")).distinct().orderBy("_key", "_digest")
+    nodes = written(nodes.select("*", F.monotonically_increasing_id().alias("_node")), "nodes")
+    named = docs.join(nodes, (docs[key] == nodes["_key"]) & (digest == nodes["_digest"]), "left")
+    named = written(named.select(*[docs[c] for c in docs.columns], "_node"), "named")
+    return keep_keys(named, params, "_node", text).select(*docs.columns)
+
+
+def keep_keys(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`keep` for keys that have one text each."""
     found = written(near_duplicates(docs, params, key, text).select(F.col(key).alias(key), "kept"), "kept")
     dropped = written(found.where("NOT kept").select(key).distinct(), "dropped")
     repeated = found.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)

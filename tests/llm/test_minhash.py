@@ -95,6 +95,14 @@ def test_rows_without_a_key_and_repeated_rows(spark):
     assert kept == [5, None, None]
 
 
+def test_keep_takes_each_text_of_a_key(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(3, one), (5, one), (5, two), (5, two), (6, three), (6, one + " x"), (7, two + " x"), (8, None), (8, three + " x"), (None, one)]
+    kept = minhash.keep(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, one), (5, two), (6, three), (8, None), (None, one)], key=str)
+
+
 def test_long_text(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     assert result(near_duplicates(docs(spark, [long, long + " x", "short"]))) == {0: (59_996, 0), 1: (59_997, 0), 2: (1, 2)}
