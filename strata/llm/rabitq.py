@@ -81,12 +81,13 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
     vec_id, score (in double precision, on the original vectors).
 
     Vectors that are NULL, zero or hold NULL or infinite or undefined components take no part, nor
-    do rows without a key or of another dimension than most; of rows that repeat a key one counts.
+    do rows without a key. A query meets the rows of its dimension. Rows that repeat a key with other
+    vectors all count, as candidates and as queries with k rows each; equal rows count once.
     Every vector is coded and estimated; only ranking is limited, by the error bounds.
     """
     nonzero = F.exists("vector", lambda x: x != 0)
     stored = vectors.usable(rows, key, vector, nonzero)
-    asked = vectors.usable(queries, key, vector, nonzero)
+    asked = vectors.in_turn(vectors.usable(queries, key, vector, nonzero))
     plain = lambda ids, matrix: {"ids": ids.tobytes(), "vectors": matrix.tobytes()}
     coded = lambda ids, matrix: code(ids, matrix, params)
     index = vectors.blocks(
@@ -100,11 +101,9 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
         matrix = np.frombuffer(x["vectors"], "<f8").reshape(len(ids), -1)
         codes = np.frombuffer(x["codes"], "<u8").reshape(len(ids), -1)
         lengths, corrections = (np.frombuffer(x[c], "<f8") for c in ("lengths", "corrections"))
-        if wanted.shape[1] != matrix.shape[1]:
-            return [], [], []
         ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
         out: tuple[list, list, list] = ([], [], [])
-        for own, query in zip(asked_ids, wanted, strict=True):
+        for place, (own, query) in enumerate(zip(asked_ids, wanted, strict=True)):
             cosine, error = estimates(query, codes, ones, corrections, params)
             scale = lengths * np.linalg.norm(query)
             guess, most = cosine * scale, (cosine + error) * scale
@@ -117,7 +116,7 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
             at = np.flatnonzero((most >= bar) & (ids != own))
             scores = matrix[at] @ query
             top = vectors.best(scores, ids[at], params.k)
-            out[0].append(np.full(len(top), own))
+            out[0].append(np.full(len(top), place))
             out[1].append(ids[at][top])
             out[2].append(scores[top])
         return tuple(np.concatenate(c) for c in out)

@@ -55,10 +55,11 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
     query_id, rank, vec_id, score.
 
     Vectors that are NULL or hold NULL or infinite or undefined components take no part, nor do
-    rows without a key or of another dimension than most; of rows that repeat a key one counts. A
-    zero vector takes part, with scores of 0. Scores wrap as Spark's long does.
+    rows without a key. A query meets the rows of its dimension. Rows that repeat a key with other
+    vectors all count, as candidates and as queries with k rows each; equal rows count once. A zero
+    vector takes part, with scores of 0. Scores wrap as Spark's long does.
     """
-    stored, asked = vectors.usable(rows, key, vector), vectors.usable(queries, key, vector)
+    stored, asked = vectors.usable(rows, key, vector), vectors.in_turn(vectors.usable(queries, key, vector))
     index = vectors.blocks(
         stored, params.rows_per_block, lambda i, m: postings(i, m, params), "ids binary, ends binary, places binary, weights binary"
     )
@@ -72,7 +73,7 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
         held = lists(x_ends, np.frombuffer(x["places"], "<i4"), np.frombuffer(x["weights"], "<i8"))
         scores, step = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
         out: tuple[list, list, list] = ([], [], [])
-        for own, (terms, weights) in zip(asked_ids, wanted, strict=True):
+        for place, (own, (terms, weights)) in enumerate(zip(asked_ids, wanted, strict=True)):
             scores[:] = 0
             for term, weight in zip(terms, weights, strict=True):
                 places, values = held[term] if term < len(held) else ((), ())
@@ -82,7 +83,7 @@ def search(rows: DataFrame, queries: DataFrame, params: Params = Params(), key:
                     scores[places] += values * weight
             at = np.flatnonzero(ids != own)
             at = at[vectors.best(scores[at], ids[at], params.k)]
-            out[0].append(np.full(len(at), own))
+            out[0].append(np.full(len(at), place))
             out[1].append(ids[at])
             out[2].append(scores[at])
         return tuple(np.concatenate(c) for c in out)

@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, written
 
-FOUND = "query_id long, vec_id long, score {}"
+FOUND = "query_id long, turn int, vec_id long, score {}"
 
 
 def finite(vector: str) -> Column:
@@ -22,44 +23,57 @@ def finite(vector: str) -> Column:
 
 
 def usable(rows: DataFrame, key: str, vector: str, also: Column | None = None) -> DataFrame:
-    """(id, vector) of the rows that take part, written once: those with a key and a finite vector
-    of the dimension that most rows have; of rows that repeat a key, the smallest vector."""
+    """(id, vector) of the rows that take part, written once: those with a key and a finite vector,
+    of any dimension. Equal rows are one; a key may have several vectors."""
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
     fine = rows.select(F.col(key).cast("long").alias("id"), doubles.alias("vector"))
     fine = fine.where(F.col("id").isNotNull() & finite("vector") & (F.lit(True) if also is None else also))
-    fine = written(fine.groupBy("id").agg(F.min("vector").alias("vector")), "vectors")
-    sizes = fine.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return fine.where(F.size("vector") == (sizes.n if sizes else 0))
+    return written(fine.distinct(), "vectors")
+
+
+def in_turn(queries: DataFrame) -> DataFrame:
+    """Adds `turn`, which tells the vectors of a key apart."""
+    turn = F.row_number().over(Window.partitionBy("id").orderBy("vector"))
+    return written(queries.withColumn("turn", turn), "turns")
 
 
 def blocks(rows: DataFrame, per_block: int, encode: Callable[[np.ndarray, np.ndarray], dict[str, bytes]], columns: str) -> DataFrame:
-    """Rows (id, vector) as blocks of `per_block` or fewer; `encode` makes a block's columns from
-    its ids and its matrix of doubles."""
+    """Rows (id, vector) as blocks of `per_block` or fewer of one dimension; `encode` makes a block's
+    columns from its ids and its matrix of doubles. Besides, a block has its dimension, and for
+    queries their turns, as bytes."""
     parts = max(1, math.ceil(rows.count() / per_block))
+    turns = "turn" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block() -> pa.RecordBatch:
+        def ready() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks()
-            ids = table["id"].to_numpy()
-            matrix = table["vector"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            return pa.RecordBatch.from_pylist([encode(ids.astype("<i8"), matrix.astype("<f8"))])
+            sizes = pc.list_value_length(table["vector"]).to_numpy()
+            for size in np.unique(sizes):
+                alike = table.filter(pa.array(sizes == size)).combine_chunks()
+                ids = alike["id"].to_numpy()
+                matrix = alike["vector"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+                block = encode(ids.astype("<i8"), matrix.astype("<f8")) | {"dimension": int(size).to_bytes(8, "little")}
+                if turns:
+                    block["turns"] = alike["turn"].to_numpy().astype("<i4").tobytes()
+                yield pa.RecordBatch.from_pylist([block])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
             for piece in (batch.slice(k, per_block) for k in range(0, batch.num_rows, per_block)):
                 if held and sum(b.num_rows for b in held) + piece.num_rows > per_block:
-                    yield block()
+                    yield from ready()
                     held = []
                 held.append(piece)
         if held:
-            yield block()
+            yield from ready()
 
-    return map_batches(rows.repartition(parts), run, columns)
+    return map_batches(rows.repartition(parts), run, columns + ", dimension binary" + ", turns binary" * turns)
 
 
 def search(queries: DataFrame, index: DataFrame, compare: Callable[[dict, dict], tuple], k: int, kind: str) -> DataFrame:
-    """The k best of all: each block of queries meets each block of the index, which leaves k rows
-    for a query; these are ranked by score, ties by smaller id.
+    """The k best of all: each block of queries meets each block of the index of its dimension, which
+    leaves k rows for a query; these are ranked by score, ties by smaller id. `compare` tells a query
+    by its place in its block.
 
     The queries are a stated set; the product is one of blocks, not of rows.
     """
@@ -70,12 +84,15 @@ def search(queries: DataFrame, index: DataFrame, compare: Callable[[dict, dict],
         for batch in batches:
             for row in range(batch.num_rows):
                 cells = {c: batch.column(i)[row].as_buffer() for i, c in enumerate(batch.schema.names)}
+                if not cells["q_dimension"].equals(cells["dimension"]):
+                    continue
                 asked = {c: cells[f"q_{c}"] for c in given}
                 q, v, s = compare(asked, {c: cells[c] for c in stored})
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
+                ids, turns = np.frombuffer(asked["ids"], "<i8")[q], np.frombuffer(asked["turns"], "<i4")[q]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, turns, v, s)], ["query_id", "turn", "vec_id", "score"])
 
     found = map_batches(pairs, run, FOUND.format(kind))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "turn").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

@@ -104,6 +104,18 @@ def test_few_or_no_rows(spark):
         assert [r.vec_id for r in search(three, three).where("query_id = 1").orderBy("rank").collect()] == [2, 3]
 
 
+def test_each_dimension_and_each_vector_of_a_key(spark):
+    rows = [(1, [1, 2, 3]), (2, [2, 2, 2]), (3, [3, 1, 1]), (4, [1, 2]), (5, [2, 1]), (5, [4, 4]), (6, [1, 0]), (6, [0, 1])]
+    given = frame(spark, rows)
+    for search, scale in ((rabitq.search, 1), (topk.search, 256 * 256)):
+        found = search(given, given.where("vec_id IN (1, 4, 6)"))
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score / scale) for r in found.collect())
+        assert [(q, k, v, round(s, 9)) for q, k, v, s in got] == sorted(
+            [(1, 1, 2, 12), (1, 2, 3, 8), (4, 1, 5, 12), (4, 2, 5, 4), (4, 3, 6, 2), (4, 4, 6, 1)]
+            + [(6, 1, 5, 4), (6, 2, 5, 2), (6, 3, 4, 1), (6, 1, 5, 4), (6, 2, 4, 2), (6, 3, 5, 1)]
+        )
+
+
 def test_best_breaks_ties_by_id():
     scores, ids = np.array([3, 5, 5, 5, 1]), np.array([9, 8, 2, 4, 1])
     assert ids[vectors.best(scores, ids, 2)].tolist() == [2, 4]
