@@ -22,7 +22,18 @@ from strata.llm.common import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head script style title template noscript noembed noframes iframe object audio video canvas svg math datalist".split()
+    "head script style title template noscript noembed noframes iframe object audio video canvas datalist".split()
+)
+#: In svg and math: what is not shown, what shows the text in it, and the tags that end both.
+FOREIGN = frozenset(("svg", "math"))
+UNDRAWN = frozenset(
+    "desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter annotation annotation-xml".split()
+)
+DRAWN = frozenset(("text", "foreignobject"))
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -48,11 +59,13 @@ ENDS = {
 P_SCOPE = CELLS | frozenset(("caption", "table", "button"))
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A slash that ends an unquoted value closes nothing.
+IN_VALUE = re.compile(r"=\s*[^\s\"'>]+/\Z")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
@@ -129,14 +142,20 @@ class Layout:
         self.spans: list[int] = []
         self.unseen = 0
         self.pre = 0
+        #: Open svg and math elements, and what shows text in them.
+        self.foreign: list[str] = []
 
     @property
     def page(self) -> Page:
         return self.pages[-1]
 
     def open(self, name: str, attrs: dict[str, str]) -> None:
-        if self.unseen or hidden(name, attrs):
+        if self.unseen or hidden(name, attrs) or self.foreign and name in UNDRAWN:
             self.unseen += name not in VOID
+        elif name in FOREIGN or self.foreign and name in DRAWN:
+            self.foreign.append(name)
+            if name in DRAWN:
+                self.page.flow(" ")
         elif name == "br":
             self.page.breaks += bool(self.page.parts)
             self.page.space = False
@@ -176,6 +195,10 @@ class Layout:
     def close(self, name: str) -> None:
         if self.unseen:
             self.unseen -= 1
+        elif name in FOREIGN or self.foreign and name in DRAWN:
+            self.foreign.pop()
+            if name in DRAWN:
+                self.page.flow(" ")
         elif name == "table":
             rows = self.tables.pop()
             for line in aligned(rows):
@@ -196,7 +219,7 @@ class Layout:
             self.page.gap(2 if name in SPACED and not (name in LISTS and self.lists) else 1)
 
     def text(self, text: str) -> None:
-        if not self.unseen:
+        if not self.unseen and not (self.foreign and self.foreign[-1] == "svg"):
             (self.page.exact if self.pre else self.page.flow)(text)
             self.indent_rest()
 
@@ -249,7 +272,19 @@ class Tree:
         if found is not None:
             self.pop_to(found)
 
+    def foreign(self) -> int | None:
+        """The depth of the svg or math element whose content is read now, None in HTML."""
+        if self.opened["svg"] or self.opened["math"]:
+            for depth in range(len(self.stack) - 1, -1, -1):
+                if self.stack[depth] in FOREIGN:
+                    return depth
+                if self.stack[depth] in HTML_INSIDE:
+                    break
+        return None
+
     def start(self, name: str, attrs: dict[str, str]) -> None:
+        if name in BREAKS_OUT and (depth := self.foreign()) is not None:
+            self.pop_to(depth)
         if name in CELLS or name == "tr" or name in SECTIONS:
             if not self.opened["table"]:
                 return self.layout.text(" ")
@@ -289,12 +324,20 @@ def visible_text(page: str) -> str:
             layout.text(html.unescape(page[at : token.start()]))
         at = token.end()
         if not token["name"]:
+            if token[0].startswith("<![CDATA[") and tree.foreign() is not None:
+                layout.text(token[0][9:].removesuffix("]]>"))
             continue
         name = token["name"].lower()
         if token["end"]:
             tree.finish(name)
             continue
+        closed = token["attrs"].endswith("/") and not IN_VALUE.search(token["attrs"])
+        closed = closed and (name in FOREIGN or name not in BREAKS_OUT and tree.foreign() is not None)
         tree.start(name, attributes(token["attrs"]) if token["attrs"] else {})
+        if closed:
+            if name not in VOID:
+                tree.finish(name)
+            continue
         if name == "pre" and page.startswith(("\n", "\r\n"), at):
             at = page.index("\n", at) + 1
         if name in RAW:

@@ -36,6 +36,12 @@ CASES = [
     ("<select><option>a<option>b</select>", "a\nb"),
     ("<p>a<table><tr><td>b</table>", "a\n\nb"),
     ("<h1>H</h1>x<hr>y", "H\n\nx\n\ny"),
+    ("a <svg>no<title>t</title><desc>d</desc><defs/><g><text>one <tspan>two</tspan></text><text>three</text></g></svg> b", "a one two three b"),
+    ("<svg><style/><title/><path d='M0'/><foreignObject><p>in</p></foreignObject><text><![CDATA[<c>]]></text></svg>d", "in\n\n<c> d"),
+    ("<svg><defs><text>no</text></defs><text>yes</text><p>out", "yes\n\nout"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math>.", "x=1."),
+    ("a<!-->b<!--->c<!-- d --!>e<!-- > -->f", "abcef"),
+    ("<desc>d</desc><text>t</text>", "dt"),
 ]
 
 
