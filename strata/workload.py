@@ -500,13 +500,15 @@ def ingest_csv_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eleven files; the schema comes from the ten oldest, so a field of the last one is rescued."""
+    """Ten files or more, then those with a late field; the schema comes from the ten oldest, so the
+    late field is rescued."""
     feed = orders_pipeline(new_layers(spark), scratch(spark)).feeds[1]
     rows = headers(spark, sf_dir)
     late = F.col("order_id") % 11 == 10
-    for n in range(10):
-        write_json(rows.filter(F.col("order_id") % 11 == n).coalesce(1), feed.path)
-    write_json(rows.filter(late).withColumn("late", F.lit(1)).coalesce(1), feed.path)
+    early = rows.filter(F.coalesce(~late, F.lit(True)))
+    parts = early.select(F.spark_partition_id()).distinct().count()
+    write_json(early.repartition(max(10, parts)), feed.path)
+    write_json(rows.filter(late).withColumn("late", F.lit(1)), feed.path)
     ingest(spark, feed)
     return spark.table(feed.table).select("order_id", F.get_json_object("_rescued_data", "$.late").alias("late"))
 

@@ -7,8 +7,11 @@ from types import SimpleNamespace
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from strata import workload
+from strata.session import session_conf
 from strata.workload import QUERIES, drop_scratch, scratch
 
 SF_DIR = os.environ.get("STRATA_SF_DIR", "/root/testdata/sf0.001")
@@ -60,3 +63,22 @@ def test_scratch_is_below_the_shared_folder(spark):
 
 def test_entry(spark):
     assert not contract.entry(spark).isEmpty()
+
+
+def test_sample_of_ten_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    orders = spark.range(4400).select(
+        F.col("id").alias("o_orderkey"), F.lit("2020-01-01").cast("date").alias("o_orderdate")
+    )
+    orders.repartition(16).write.parquet(str(tmp_path / "orders.parquet"))
+    tasks, write = [], workload.write_json
+
+    def counted(rows, path):
+        tasks.append(rows.select(F.spark_partition_id()).distinct().count())
+        write(rows, path)
+
+    monkeypatch.setattr(workload, "write_json", counted)
+    with session_conf(spark, {"spark.sql.files.openCostInBytes": str(2**30)}):
+        found = workload.sample_of_ten(spark, str(tmp_path)).collect()
+    assert tasks == [16, 16]
+    assert {(r.order_id, r.late) for r in found} == {(i, "1" if i % 11 == 10 else None) for i in range(4400)}
+    drop_scratch(spark)
