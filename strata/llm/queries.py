@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, html_text, langid, minhash, packing, pieces, rabitq, topk, toxicity, warc
+from strata.llm import (
+    chat, collocations, html_text, langid, minhash, packing, pieces, rabitq, secrets, topk, toxicity, warc, whitening,
+)
 from strata.llm.common import crc32_of, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +130,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    names = [*secrets.STRONG, *secrets.WEAK]
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.STRONG],
+        F.sha2(secrets.told(F.col("base"), names).cast("binary"), 256).alias("base_sha256"),
+        secrets.told(F.col("spans"), names).alias("spans"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_warc": op2_warc,
@@ -139,6 +161,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
+    "op11_secrets": op11_secrets,
+    "op12_whitening": op12_whitening,
+    "op13_collocations": op13_collocations,
 }
 
 #: Escaping in SQL: a backslash after the first character of each control string.
@@ -146,6 +171,34 @@ ESCAPED = r"""regexp_replace(text,
     '(<)(\\*(?:\|im_start\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>))|(\[)(\\*(?:INST\]|/INST\]))',
     '\1\3\\\2\4', 'g')"""
 
+
+def placed_in_sql(pattern: str, group: int) -> str:
+    """Of each document the matches of a pattern in SQL, as (start, size, inside, found)."""
+    p = pattern.replace("'", "''")
+    inside = f"length(regexp_extract(found[i], '{p}', {group}))" if group else "length(found[i])"
+    return f"""
+        SELECT rid, unnest(list_transform(range(1, len(found) + 1), lambda i: {{
+            'start': list_sum(list_transform(gaps[:i], lambda g: length(g)))
+                     + coalesce(list_sum(list_transform(found[:i - 1], lambda m: length(m))), 0),
+            'size': length(found[i]), 'inside': {inside}, 'found': found[i]}}), recursive := true)
+        FROM (SELECT rid, regexp_extract_all(text, '{p}') AS found, string_split_regex(text, '{p}') AS gaps FROM docs)
+    """
+
+
+def kind_in_sql(number: int, name: str, kind: secrets.Kind) -> str:
+    enough = f"inside {'<' if kind.short else '>='} {kind.least}"
+    needs = "".join(f" AND regexp_matches(found, '{n}')" for n in kind.needs)
+    return f"""
+        SELECT rid, start, start + size AS stop, {number} AS kind, '{name}' AS name, {kind.part} AS part,
+               {name not in secrets.STRONG} AS weak
+        FROM ({placed_in_sql(kind.pattern, kind.group)}) WHERE {enough}{needs}
+    """
+
+
+KINDS_IN_SQL = " UNION ALL ".join(
+    kind_in_sql(i, name, kind) for i, (name, kind) in enumerate({**secrets.STRONG, **secrets.WEAK}.items())
+)
+
 ORACLES: dict[str, str] = {
     "op1_minhash": r"""
         WITH RECURSIVE words AS (
@@ -219,4 +272,92 @@ ORACLES: dict[str, str] = {
                CAST(sum(24 + length(role) + length({ESCAPED})) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id
     """,
+    "op11_secrets": f"""
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+        found AS ({KINDS_IN_SQL}),
+        breaks AS (SELECT rid, start FROM ({placed_in_sql(secrets.SCOPE, 0)})),
+        scoped AS (
+            SELECT *, (SELECT count(*) FROM breaks b WHERE b.rid = f.rid AND b.start <= f.start) AS scope FROM found f
+        ), seen AS (
+            SELECT w.rid, w.start, w.stop, w.kind, w.name, w.part,
+                   bool_or(o.part = 1) AS ids, bool_or(o.part = 2) AS keys, bool_or(o.part = 3) AS ends,
+                   bool_or(NOT o.weak AND greatest(w.start, o.start) < least(w.stop, o.stop)) AS covered
+            FROM scoped w JOIN scoped o ON w.rid = o.rid AND w.scope = o.scope
+                 AND greatest(w.start, o.start) - least(w.stop, o.stop) <= {secrets.REACH}
+            WHERE w.weak GROUP BY ALL
+        ), told AS (
+            SELECT rid, start, stop, kind, name, true AS base FROM found WHERE NOT weak
+            UNION ALL
+            SELECT rid, start, stop, kind, name, false FROM seen
+            WHERE NOT covered AND ((part = 1 AND keys) OR (part = 2 AND (ids OR ends)) OR (part = 3 AND ids AND keys))
+        ), lists AS (
+            SELECT rid, count(*) FILTER (name = 'assign') AS n_assign, count(*) FILTER (name = 'access') AS n_access,
+                   count(*) FILTER (name = 'hex') AS n_hex,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (base) AS base,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans
+            FROM told GROUP BY rid
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN lists ON docs.rid = lists.rid
+    """,
+    "op13_collocations": r"""
+        WITH RECURSIVE pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        grams AS (
+            SELECT lang, 1 AS k, unnest(w) AS gram FROM words
+            UNION ALL
+            SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+            UNION ALL
+            SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1),
+                                                  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+        ), f AS (SELECT lang, k, gram, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+        held AS (
+            SELECT lang, unnest([regexp_replace(gram, ' [^ ]+$', ''), regexp_replace(gram, '^[^ ]+ ', '')]) AS gram, f
+            FROM f WHERE k = 3
+        ), kept AS (
+            SELECT f.lang, f.k, f.gram, f.f AS a FROM f LEFT JOIN held ON held.lang = f.lang AND held.gram = f.gram
+            WHERE f.k > 1 GROUP BY ALL HAVING coalesce(100 * max(held.f) < 50 * a, true)
+        ), cuts AS (
+            SELECT lang, gram, a, 1 AS cut, regexp_replace(gram, ' .*$', '') AS l, regexp_replace(gram, '^[^ ]+ ', '') AS r
+            FROM kept
+            UNION ALL
+            SELECT lang, gram, a, 2, regexp_replace(gram, ' [^ ]+$', ''), regexp_replace(gram, '^.* ', '')
+            FROM kept WHERE k = 3
+        ), scored AS (
+            SELECT cuts.lang, cuts.gram, a, cut, x.f AS l, y.f AS r,
+                   CAST((1000000 * a::HUGEINT * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM cuts JOIN f x ON x.lang = cuts.lang AND x.gram = cuts.l JOIN f y ON y.lang = cuts.lang AND y.gram = cuts.r
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank FROM best
+        ), leaving AS (
+            SELECT lang, regexp_replace(gram, ' [^ ]+$', '') AS node, count(*) AS n, max(f) AS w, max(gram) AS edge
+            FROM f WHERE k = 3 GROUP BY 1, 2
+        ), reaching AS (
+            SELECT lang, regexp_replace(gram, '^[^ ]+ ', '') AS node, count(*) AS n, max(f) AS w, max(gram) AS edge
+            FROM f WHERE k = 3 GROUP BY 1, 2
+        ), inner_nodes AS (
+            SELECT o.lang, i.edge AS prev, o.edge AS next
+            FROM leaving o JOIN reaching i ON i.lang = o.lang AND i.node = o.node
+                 JOIN f ON f.lang = o.lang AND f.gram = o.node
+            WHERE o.n = 1 AND i.n = 1 AND o.w = i.w AND f.f = o.w
+        ), walk AS (
+            SELECT lang, gram AS edge, gram AS path FROM f
+            WHERE k = 3 AND NOT EXISTS (SELECT 1 FROM inner_nodes i WHERE i.lang = f.lang AND i.next = f.gram)
+            UNION ALL
+            SELECT i.lang, i.next, walk.path FROM walk JOIN inner_nodes i ON i.lang = walk.lang AND i.prev = walk.edge
+        ), sizes AS (SELECT lang, path, count(*) + 2 AS path_words FROM walk GROUP BY lang, path)
+        SELECT ranked.lang, rank, gram AS phrase, a, l, r, n, score, path_words
+        FROM ranked JOIN totals USING (lang)
+             LEFT JOIN walk ON walk.lang = ranked.lang AND walk.edge = gram
+             LEFT JOIN sizes ON sizes.lang = walk.lang AND sizes.path = walk.path
+        WHERE rank <= 2000
+    """,
 }

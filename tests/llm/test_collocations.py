@@ -1,0 +1,121 @@
+"""Collocations against counting by hand, and paths of the graph."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import collocations
+from strata.llm.collocations import Params, compact, counts, mine, paths
+
+SCHEMA = "lang string, text string"
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def by_hand(rows, most=2000, longest=3, least=10, percent=50):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                f[lang].update(zip(*[words[i:] for i in range(k)], strict=False))
+    found = []
+    for lang, c in f.items():
+        frequent = {g for g, a in c.items() if len(g) > 1 and a >= least}
+        parts = {
+            g[i : i + k]
+            for g in frequent
+            for k in range(2, len(g))
+            for i in range(len(g) - k + 1)
+            if 100 * c[g] >= percent * c[g[i : i + k]]
+        }
+        ranked = []
+        for g in frequent - parts:
+            score, k = min((10**6 * c[g] ** 2 // (c[g[:k]] * c[g[k:]]), k) for k in range(1, len(g)))
+            ranked.append((-score, -c[g], " ".join(g).encode(), c[g[:k]], c[g[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(ranked)[:most], 1):
+            found.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(found)
+
+
+def rows_of(found):
+    return sorted(tuple(r) for r in found.select(COLUMNS).collect())
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(4)
+    words = ["a", "B", "c", "d.", "é,", "x y", "\t", "  ", "?!", "İ", "\x1c", "q\r\n"]
+    texts = [(rng.choice(["en", "a\tb", None, ""]), " ".join(rng.choice(words) for _ in range(rng.randrange(300)))) for _ in range(150)]
+    return texts + [("en", None), ("en", ""), ("en", " . ."), ("empty", "..."), ("x", "q w e " * 40)] + [("en", "One two. ")] * 30
+
+
+@pytest.mark.parametrize("together", [3_000, 8 << 20])
+def test_like_by_hand(spark, rows, monkeypatch, together):
+    monkeypatch.setattr(collocations, "TOGETHER", together)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert rows_of(mine(docs)) == by_hand(rows)
+
+
+@pytest.mark.parametrize(("longest", "least", "percent", "most"), [(2, 10, 50, 2000), (4, 7, 60, 50), (5, 2, 100, 9)])
+def test_other_lengths(spark, rows, longest, least, percent, most):
+    docs = spark.createDataFrame(rows[100:], SCHEMA).repartition(3)
+    expected = by_hand(rows[100:], most, longest, least, percent)
+    assert rows_of(mine(docs, Params(longest, least, percent), most)) == expected
+
+
+def test_graph_of_parts_adds_up(rows):
+    import pyarrow as pa
+
+    langs = pa.array([lang or "" for lang, _ in rows])
+    texts = pa.array([text or "" for _, text in rows])
+
+    def total(pieces):
+        c = Counter()
+        for start, end in pieces:
+            for b in collocations.graph_of(langs[start:end], texts[start:end], 3):
+                c.update(dict(zip(b["gram"].to_pylist(), b["f"].to_pylist(), strict=True)))
+        return +c
+
+    assert total([(0, len(rows))]) == total([(k, k + 1) for k in range(len(rows))])
+
+
+def test_a_passage_is_one_path(spark):
+    rng = random.Random(5)
+    passage = " ".join(f"w{k}" for k in range(200))
+    rows = [("en", " ".join(rng.choice("abc") for _ in range(30)) + f". {passage} {rng.choice('xyz')}") for _ in range(12)]
+    found = counts(spark.createDataFrame(rows, SCHEMA), Params())
+    longest = paths(found, 3).orderBy(F.desc("n_words")).first()
+    assert (longest.phrase, longest.n_words, longest.f) == (passage, 200, 12)
+    placed = compact(found, 3)
+    assert placed.count() == found.where("k = 3").count() == placed.select("lang", "edge").distinct().count()
+    ours = sorted((r.place, r.edge) for r in placed.where("path = 'w0 w1 w2'").collect())
+    assert ours == [(k, f"w{k} w{k + 1} w{k + 2}") for k in range(198)]
+    top = mine(spark.createDataFrame(rows, SCHEMA))
+    assert {r.path_words for r in top.where("phrase LIKE 'w%'").collect()} == {200}
+
+
+def test_empty_and_clashing_columns(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert mine(empty).collect() == [] and paths(counts(empty, Params()), 3).collect() == []
+    named = spark.createDataFrame([("en", "a b c " * 20, 1, "x", 2)], "lang string, text string, f int, gram string, k int")
+    assert rows_of(mine(named)) == by_hand([("en", "a b c " * 20)])
+
+
+def test_products_beyond_64_bits(spark):
+    found = spark.createDataFrame(
+        [("en", "a", 1, 4 * 10**14), ("en", "b", 1, 5 * 10**14), ("en", "a b", 2, 3 * 10**14 + 1), ("en", "", 0, 10**16)],
+        "lang string, gram string, k int, f long",
+    )
+    original = collocations.counts
+    collocations.counts = lambda *_: found
+    try:
+        row = mine(spark.createDataFrame([], SCHEMA)).first()
+    finally:
+        collocations.counts = original
+    assert row.score == 10**6 * (3 * 10**14 + 1) ** 2 // (20 * 10**28)
