@@ -10,6 +10,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ from strata.llm.common import map_batches, written
 
 #: What ends a piece; a word that no text has, since it ends pieces.
 MARKS, END = r"[.,;:!?\x0A-\x0D]+", "."
-#: Characters of text whose graph a task holds at a time.
-TOGETHER = 8 << 20
+#: Bytes of text whose graph a task holds at a time, and whose grams, spread over all, a bucket holds.
+TOGETHER, PER_BUCKET = 4 << 20, 12 << 20
 
 
 @dataclass(frozen=True)
@@ -31,9 +32,10 @@ class Params:
     percent: int = 50
 
 
-def graph_of(langs: pa.Array, texts: pa.Array, longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, f) of the texts' grams of 1 to `longest` words, as `lang`, a tab and the words, and
-    of each language's number of words, as `lang` and a tab.
+def graph_of(langs: pa.Array, texts: pa.Array, longest: int, buckets: int = 1) -> pa.RecordBatch:
+    """Rows (bucket, grams, f) of the texts' grams of 1 to `longest` words, each as `lang`, a tab and
+    the words, and of each language's number of words, as `lang` and a tab; a row for each bucket, its
+    grams on a line each and their counts as longs.
 
     Only the longest grams are counted. A shorter one occurs as often as edges leave its node, and
     once more for each piece that ends with it.
@@ -45,87 +47,115 @@ def graph_of(langs: pa.Array, texts: pa.Array, longest: int) -> Iterator[pa.Reco
     words, codes = coded.dictionary, coded.indices.to_numpy()
     kinds = langs.dictionary_encode()
     lang = np.repeat(kinds.indices.to_numpy(), np.diff(split.offsets.to_numpy()))
-    real = codes != words.index("").as_py() if words.index("").as_py() >= 0 else np.ones(len(codes), bool)
-    codes, lang = codes[real].astype(np.int64), lang[real].astype(np.int64)
-    ends = words.index(END).as_py()
+    if (empty := words.index("").as_py()) >= 0:
+        codes, lang = codes[codes != empty], lang[codes != empty]
+    ends, size = words.index(END).as_py(), len(words)
     inside = codes != ends
-    # Per length the gram that starts at each place (or -1), and its strings by number.
-    size = len(words)
-    number = np.where(inside, lang * size + codes, -1)
-    at, strings = [], []
+    totals = np.bincount(lang[inside], minlength=len(kinds.dictionary))
+    hashes = hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
+    own_hash = hash_array(kinds.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+    number = np.where(inside, lang * np.int64(size) + codes, -1)
+    del marked, split, coded, lang, inside
+    # Per length the gram that starts at each place, or -1, and of each gram its string and hash.
+    at, strings, hashed = [], [kinds.dictionary], [own_hash]
     for k in range(longest):
         if k:
-            after = np.full(len(codes), ends)
+            after = np.full(len(codes), ends, codes.dtype)
             after[:-k] = codes[k:]
-            number = np.where((at[-1] >= 0) & (after != ends), at[-1] * size + after, -1)
-            # A gram of k words goes on only if its last word is followed by one, so nothing is skipped.
+            number = np.where((at[-1] >= 0) & (after != ends), at[-1] * np.int64(size) + after, -1)
         keys, own = np.unique(number, return_inverse=True)
         skip = int(len(keys) > 0 and keys[0] < 0)
-        keys = keys[skip:]
-        first, last = keys // size, words.take(pa.array(keys % size))
-        head = kinds.dictionary.take(pa.array(first)) if k == 0 else strings[-1].take(pa.array(first))
-        strings.append(pc.binary_join_element_wise(head, last, " " if k else "\t"))
-        at.append(own - skip)
+        first, last = np.divmod(keys[skip:], size)
+        head, word = strings[-1].take(pa.array(first)), words.take(pa.array(last))
+        strings.append(pc.binary_join_element_wise(head, word, " " if k else "\t"))
+        hashed.append(hashed[-1][first] * np.uint64(0x9E3779B97F4A7C15) + hashes[last])
+        at.append((own - skip).astype(np.int32))
     flow = np.bincount(at[-1][at[-1] >= 0], minlength=len(strings[-1]))
     flows = [flow]
     for k in range(longest - 2, -1, -1):
         here, longer = at[k], at[k + 1]
         # Edges leave the node of their first words; pieces end at places that no longer gram starts from.
-        starts = np.zeros(len(strings[k + 1]), np.int64)
-        starts[longer[longer >= 0]] = here[longer >= 0]
-        out = np.zeros(len(strings[k]), np.int64)
-        np.add.at(out, starts, flow)
-        flow = out + np.bincount(here[(here >= 0) & (longer < 0)], minlength=len(out))
+        node = np.zeros(len(flow), np.int64)
+        node[longer[longer >= 0]] = here[longer >= 0]
+        left = np.bincount(node, flow, len(strings[k + 1])).astype(np.int64)
+        flow = left + np.bincount(here[(here >= 0) & (longer < 0)], minlength=len(left))
         flows.append(flow)
-    totals = np.bincount(lang[inside], minlength=len(kinds.dictionary))
-    strings.append(pc.binary_join_element_wise(kinds.dictionary, "", "\t"))
-    for gram, f in zip(strings, [*flows[::-1], totals], strict=True):
-        yield pa.RecordBatch.from_arrays([gram.cast(pa.string()), pa.array(f.astype(np.int64))], ["gram", "f"])
+    del at
+    strings[0] = pc.binary_join_element_wise(kinds.dictionary, "", "\t")
+    f = np.concatenate([totals, *flows[::-1]]).astype("<i8")
+    bucket = np.concatenate(hashed)
+    bucket = ((bucket ^ bucket >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    lines = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.concat_arrays(strings).take(pa.array(order)))
+    f = f[order]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[order][edges[:-1]]),
+            pc.binary_join(lines, "\n"),
+            pa.array([f[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+        ],
+        ["bucket", "grams", "f"],
+    )
+
+
+def merged(blocks: pa.Table, least: int) -> pa.Table:
+    """(lang, gram, k, f) of the grams of a bucket that occur often enough, and the languages' numbers
+    of words."""
+    grams = pc.split_pattern(blocks["grams"], "\n").combine_chunks().flatten()
+    f = np.frombuffer(b"".join(blocks["f"].to_pylist()), "<i8")
+    summed = pa.table({"gram": grams, "f": f}).group_by("gram").aggregate([("f", "sum")])
+    total = pc.ends_with(summed["gram"], "\t")
+    kept = summed.filter(pc.or_(total, pc.greater_equal(summed["f_sum"], least)))
+    # A language may hold tabs, a gram does not.
+    cut = [gram.rpartition("\t") for gram in kept["gram"].to_pylist()]
+    k = [gram.count(" ") + 1 if gram else 0 for _, _, gram in cut]
+    columns = [pa.array([c[0] for c in cut], pa.string()), pa.array([c[2] for c in cut], pa.string()), pa.array(k, pa.int32())]
+    return pa.table([*columns, kept["f_sum"]], ["lang", "gram", "k", "f"])
 
 
 def counts(docs: DataFrame, params: Params, lang: str = "lang", text: str = "text") -> DataFrame:
     """(lang, gram, k, f) of the grams of k words, 1 to the longest, that occur often enough, and with
     k 0 each language's number of words; written once.
 
-    Flows of parts of the corpus add up, so a row for each gram of some texts' graph is all that is
-    shuffled, and one gram, word or language, however frequent, is a row of them.
+    Flows of parts of the corpus add up, so the graph of some texts at a time is all that a task holds,
+    and a gram of it, however frequent, is one line that is shuffled. Lines travel by the bucket of
+    their hash; there are as many buckets as the texts' size asks for, each of bounded size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            lengths = pc.binary_length(batch.column(1)).to_numpy()
+            lengths = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
             start = 0
             while start < batch.num_rows:
-                room = np.searchsorted(np.cumsum(lengths[start:]), TOGETHER - size)
-                end = min(batch.num_rows, start + max(int(room), 1))
+                before = lengths[start - 1] if start else 0
+                end = int(np.searchsorted(lengths, before + TOGETHER - size)) + 1
                 held.append(batch.slice(start, end - start))
-                size += int(lengths[start:end].sum())
+                size += int(lengths[min(end, batch.num_rows) - 1] - before)
                 start = end
-                if size >= TOGETHER or start < batch.num_rows:
-                    yield from graph(held)
+                if size >= TOGETHER:
+                    yield graph(held)
                     held, size = [], 0
         if held:
-            yield from graph(held)
+            yield graph(held)
 
-    def graph(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def graph(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        yield from graph_of(table["lang"].combine_chunks(), table["text"].combine_chunks(), params.longest)
+        columns = [table[c].combine_chunks() for c in ("lang", "text")]
+        return graph_of(*columns, params.longest, buckets)
 
     given = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    grams = map_batches(given.where("text <> ''"), run, "gram string, f long")
-    summed = grams.groupBy("gram").agg(F.sum("f").alias("f"))
-    words = F.substring_index("gram", "\t", -1)
-    named = summed.select(
-        F.substring("gram", F.lit(1), F.length("gram") - F.length(words) - 1).alias("lang"),
-        words.alias("gram"),
-        F.when(words == "", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "))) + 1).alias("k"),
-        "f",
+    given = given.where("text <> ''")
+    buckets = 1 + (given.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PER_BUCKET
+    blocks = map_batches(given, run, "bucket int, grams string, f binary")
+    kept = blocks.groupBy("bucket").applyInArrow(
+        lambda t: merged(t, params.least), "lang string, gram string, k int, f long"
     )
-    return written(named.where((F.col("k") == 0) | (F.col("f") >= params.least)), "grams")
+    return written(kept, "grams")
 
 
 def part(words: Column) -> Column:

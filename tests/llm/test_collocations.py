@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +60,7 @@ def rows():
 @pytest.mark.parametrize("together", [3_000, 8 << 20])
 def test_like_by_hand(spark, rows, monkeypatch, together):
     monkeypatch.setattr(collocations, "TOGETHER", together)
+    monkeypatch.setattr(collocations, "PER_BUCKET", together)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
     assert rows_of(mine(docs)) == by_hand(rows)
 
@@ -70,16 +73,18 @@ def test_other_lengths(spark, rows, longest, least, percent, most):
 
 
 def test_graph_of_parts_adds_up(rows):
-    import pyarrow as pa
-
+    place = {}
     langs = pa.array([lang or "" for lang, _ in rows])
     texts = pa.array([text or "" for _, text in rows])
 
     def total(pieces):
         c = Counter()
         for start, end in pieces:
-            for b in collocations.graph_of(langs[start:end], texts[start:end], 3):
-                c.update(dict(zip(b["gram"].to_pylist(), b["f"].to_pylist(), strict=True)))
+            for row in collocations.graph_of(langs[start:end], texts[start:end], 3, 5).to_pylist():
+                lines = row["grams"].split("\n")
+                for gram, f in zip(lines, np.frombuffer(row["f"], "<i8").tolist(), strict=True):
+                    c[gram] += f
+                    assert place.setdefault(gram, row["bucket"]) == row["bucket"] in range(5)
         return +c
 
     assert total([(0, len(rows))]) == total([(k, k + 1) for k in range(len(rows))])
