@@ -3,6 +3,7 @@ the parts of a credential, an identifier, a secret and an endpoint, come togethe
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -33,6 +34,8 @@ class Kind:
 
     Spans are the matches of the pattern, leftmost first and apart; those whose group is too short,
     or that lack one of `needs`, are dropped, or with `short` the others. None may hold a line feed.
+    A text has matches only if it holds one of `hints` in lower case and a match of `run`, both
+    cheaper to look for in the many texts that have none.
     """
 
     pattern: str
@@ -41,27 +44,38 @@ class Kind:
     group: int = 0
     short: bool = False
     needs: tuple[str, ...] = ()
+    hints: tuple[str, ...] = ()
+    run: str | None = None
+
+
+def words(names: str) -> tuple[str, ...]:
+    """The alternatives of names, with and without what is optional, a character or an underline."""
+    out: list[str] = []
+    for name in names.split("|"):
+        out += {re.sub(r".\?", "", name), name.replace("?", "")}
+    return tuple(out)
 
 
 VALUE = "[A-Za-z0-9+/_.=-]+"
 NAMES = "password|passwd|secret|token|api_?key"
+IDS = "client_?id|key_?id|account|user_?name|user|login"
+HOSTS = "hostname|host|server|endpoint"
+SCHEMES = "https?|ftp|sftp|ssh|postgres|postgresql|mysql|mongodb|redis|amqp"
+#: What a long run of letters and digits has.
+RUN = "[A-Za-z0-9+/_-]{20}"
 #: Always reported, in this order.
 STRONG: dict[str, Kind] = {
-    "assign": Kind(assigned(NAMES, VALUE), SECRET, 8, 2),
-    "access": Kind("AKIA[A-Z0-9]+", IDENTIFIER, 16),
-    "hex": Kind("[0-9a-f]+", SECRET, 32),
+    "assign": Kind(assigned(NAMES, VALUE), SECRET, 8, 2, hints=words(NAMES)),
+    "access": Kind("AKIA[A-Z0-9]+", IDENTIFIER, 16, hints=("akia",)),
+    "hex": Kind("[0-9a-f]{32,}", SECRET, 32, run=RUN),
 }
 #: Reported with their complements only. A short value is too common alone, and so are the others.
 WEAK: dict[str, Kind] = {
-    "identifier": Kind(assigned("client_?id|key_?id|account|user_?name|user|login", "[A-Za-z0-9._@+-]+"), IDENTIFIER, 3, 2),
-    "short": Kind(assigned(NAMES, VALUE), SECRET, 8, 2, short=True),
-    "key": Kind("[A-Za-z0-9+/_-]{20,}={0,2}", SECRET, 20, needs=("[A-Z]", "[a-z]", "[0-9]")),
-    "endpoint": Kind(
-        f"(?:{'|'.join(map(either_case, ('https?', 'ftp', 'sftp', 'ssh', 'postgres', 'postgresql', 'mysql', 'mongodb', 'redis', 'amqp')))})"
-        "://[^\\x00-\\x20\"'<>]+",
-        ENDPOINT,
-    ),
-    "host": Kind(assigned("hostname|host|server|endpoint", "[A-Za-z0-9.-]+"), ENDPOINT, 3, 2),
+    "identifier": Kind(assigned(IDS, "[A-Za-z0-9._@+-]+"), IDENTIFIER, 3, 2, hints=words(IDS)),
+    "short": Kind(assigned(NAMES, VALUE), SECRET, 8, 2, short=True, hints=words(NAMES)),
+    "key": Kind("[A-Za-z0-9+/_-]{20,}={0,2}", SECRET, 20, needs=("[A-Z]", "[a-z]", "[0-9]"), run=RUN),
+    "endpoint": Kind(f"(?:{either_case(SCHEMES)})://[^\\x00-\\x20\"'<>]+", ENDPOINT, hints=("://",)),
+    "host": Kind(assigned(HOSTS, "[A-Za-z0-9.-]+"), ENDPOINT, 3, 2, hints=words(HOSTS)),
 }
 #: Which parts must be near for a weak part to be told: all of one of these sets.
 COMPLEMENTS: dict[int, tuple[tuple[int, ...], ...]] = {
@@ -96,10 +110,11 @@ def starts(sizes: str) -> Column:
     return F.coalesce(sums, F.array().cast("array<bigint>"))
 
 
-def matches(text: Column, pattern: str, group: int, needs: tuple[str, ...] = ()) -> Column:
+def matches(text: Column, kind: Kind, hinted: Column) -> Column:
     """Of each match: the characters before it since the last, its own, those of its group, and
     whether all needs are in it."""
-    fine = lambda m: reduce(lambda a, n: a & m.rlike(n), needs, F.lit(True))
+    pattern, group = kind.pattern, kind.group
+    fine = lambda m: reduce(lambda a, n: a & m.rlike(n), kind.needs, F.lit(True))
     inside = lambda m: F.length(F.regexp_extract(m, pattern, group)) if group else F.length(m)
     found = F.zip_with(
         F.split(text, pattern, -1),
@@ -111,7 +126,7 @@ def matches(text: Column, pattern: str, group: int, needs: tuple[str, ...] = ())
     )
     # Behind the last match there is one more gap.
     none = F.array().cast("array<struct<gap:bigint,size:bigint,inside:int,fine:boolean>>")
-    return F.when(text.rlike(pattern), F.filter(found, lambda m: m["size"].isNotNull())).otherwise(none)
+    return F.when(hinted & text.rlike(pattern), F.filter(found, lambda m: m["size"].isNotNull())).otherwise(none)
 
 
 def placed(found: str, at: str, number: int, kind: Kind) -> Column:
@@ -136,14 +151,25 @@ def spans(docs: DataFrame, text: str, kinds: Mapping[str, Kind], columns: Mappin
 
     Each step is a column of its own, as a lambda would work out an expression for every element.
     """
-    found = docs.withColumns({columns[k]: matches(F.col(text), v.pattern, v.group, v.needs) for k, v in kinds.items()})
+    out = docs.withColumn("lower", F.lower(text))
+    asked = {hint: F.col("lower").contains(hint) for v in kinds.values() for hint in v.hints}
+    asked |= {v.run: F.col(text).rlike(v.run) for v in kinds.values() if v.run}
+    known = {question: f"hint_{i}" for i, question in enumerate(asked)}
+    out = out.withColumns({known[question]: answer for question, answer in asked.items()}).drop("lower")
+
+    def hinted(kind: Kind) -> Column:
+        some = reduce(lambda a, h: a | F.col(known[h]), kind.hints, F.lit(not kind.hints))
+        return some & F.col(known[kind.run]) if kind.run else some
+
+    found = out.withColumns({columns[k]: matches(F.col(text), v, hinted(v)) for k, v in kinds.items()})
+    found = found.drop(*known.values())
     step = lambda m: m["gap"] + m["size"]
     found = found.withColumns({f"{c}_step": F.transform(c, step) for c in columns.values()})
     found = found.withColumns({f"{c}_at": starts(f"{c}_step") for c in columns.values()})
-    out = found.withColumns(
+    found = found.withColumns(
         {columns[k]: placed(columns[k], f"{columns[k]}_at", first + i, v) for i, (k, v) in enumerate(kinds.items())}
     )
-    return out.drop(*[f"{c}_{end}" for c in columns.values() for end in ("step", "at")])
+    return found.drop(*[f"{c}_{end}" for c in columns.values() for end in ("step", "at")])
 
 
 def told(spans: Column, names: list[str]) -> Column:
