@@ -1,14 +1,19 @@
-"""JSON lines to typed rows with a rescue column."""
+"""JSON lines to typed rows with a rescue column.
+
+Most lines are plain objects, which patterns of the JVM take apart as they are spelled. Only the
+others, with escapes, white space inside nested values, arrays of records, repeated names or what is
+no JSON, go to a decoder in Python.
+"""
 
 from __future__ import annotations
 
 import json
 import re
 from collections.abc import Iterator
-from decimal import Decimal, InvalidOperation
+from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -29,10 +34,13 @@ from pyspark.sql.types import (
 from strata.catalog import quoted_text
 from strata.functions.rescue import CORRUPT, NESTED, PLAIN_DATE, PLAIN_TIME, TOO_FINE, as_map, with_rescue
 from strata.functions.scalars import SOURCE_FILE
-from strata.session import map_batches
+from strata.session import worker_environment
 
 INTEGER = re.compile(r"-?[0-9]+")
-PARSED = "fields map<string,string>, unfit array<string>, corrupt string"
+NUMBER = re.compile(r"-?([0-9]+)(?:\.([0-9]+))?(?:[eE]([-+]?[0-9]+))?")
+#: Characters of a number, and of a text, inside a nested value beyond which Spark's parser refuses it.
+LONGEST_NUMBER, LONGEST_TEXT = 300, 10_000_000
+RECORD = "struct<fields:map<string,string>,unfit:array<string>,corrupt:string>"
 
 
 class Number(str):
@@ -104,27 +112,48 @@ def holds(kind: DataType, value: object) -> bool:
 
 
 def holds_number_text(value: str) -> bool:
-    return not isinstance(value, Number) or INTEGER.fullmatch(value) is not None
+    if isinstance(value, Number):
+        return len(value) <= LONGEST_NUMBER and INTEGER.fullmatch(value) is not None
+    return len(value) <= LONGEST_TEXT
+
+
+def digits_and_exponent(value: str) -> tuple[str, int] | None:
+    """The digits of a number from the first to the last that is not zero, none for zero, and the
+    power of ten they are times; None if the exponent is beyond all types."""
+    whole, fraction, exponent = NUMBER.fullmatch(value).groups(default="")
+    if len(exponent) > 6:
+        return None
+    digits = (whole + fraction).lstrip("0")
+    kept = digits.rstrip("0")
+    return kept, int(exponent or 0) - len(fraction) + len(digits) - len(kept)
 
 
 def holds_number(kind: DataType, value: Number) -> bool:
+    """By the digits as they are spelled, so that no arithmetic rounds or overflows."""
+    parts = digits_and_exponent(value) if len(value) <= LONGEST_NUMBER else None
+    if parts is None:
+        return False
+    digits, exponent = parts
     if isinstance(kind, IntegralType):
         bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}[kind.simpleString()]
         return INTEGER.fullmatch(value) is not None and -(2 ** (bits - 1)) <= int(value) < 2 ** (bits - 1)
-    try:
-        exact = Decimal(value)
-    except InvalidOperation:
-        return False
     if isinstance(kind, DoubleType):
-        return exact == Decimal(repr(float(value)))
+        return Decimal(value) == Decimal(repr(float(value)))
     if isinstance(kind, FloatType):
-        return len(exact.as_tuple().digits) <= 6 and (not exact or Decimal("1e-30") < abs(exact) < Decimal("1e30"))
+        return len(digits) <= 6 and (not digits or -30 < exponent + len(digits) <= 30)
     if isinstance(kind, DecimalType):
-        _, digits, exponent = exact.normalize().as_tuple()
-        return -exponent <= kind.scale and len(digits) + exponent <= kind.precision - kind.scale
+        return not digits or -exponent <= kind.scale and len(digits) + exponent <= kind.precision - kind.scale
     return False
 
 
+def fits(kind: DataType, value: object) -> bool:
+    """Whether a type holds a value; one that cannot be told is rescued, so that none stops a feed."""
+    try:
+        return holds(kind, value)
+    except (ArithmeticError, ValueError, RecursionError):
+        return False
+
+
 def records(line: str) -> list[Members] | None:
     """The objects of a line; None if it is neither an object nor an array of objects, or if a name
     repeats in one."""
@@ -139,6 +168,114 @@ def records(line: str) -> list[Members] | None:
     return found
 
 
+#: Patterns of what JSON is made of, without escapes and, but between the parts of a record, without
+#: white space. All are possessive: the matcher neither recurses nor goes back, however long a line.
+BLANK, PLAIN = r"[ \t\r\n]*+", r'[^"\\\x00-\x1F]*+'
+SCALAR = rf'(?:"{PLAIN}"|-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?+[0-9]++)?+|true|false|null)'
+
+
+def nested_value(depth: int) -> str:
+    """A value whose objects and arrays go so deep."""
+    if not depth:
+        return SCALAR
+    inner = nested_value(depth - 1)
+    members = rf'\{{(?:"{PLAIN}":{inner}(?:,"{PLAIN}":{inner})*+)?+\}}'
+    return rf"(?:{SCALAR}|{members}|\[(?:{inner}(?:,{inner})*+)?+\])"
+
+
+VALUE = nested_value(2)
+MEMBER = rf'"{PLAIN}"{BLANK}:{BLANK}{VALUE}'
+PLAIN_RECORD = rf"\A{BLANK}\{{{BLANK}(?:{MEMBER}(?:{BLANK},{BLANK}{MEMBER})*+)?+{BLANK}\}}{BLANK}\z"
+#: The name, the text and the other value of a member, one of the latter two.
+PARTS = rf'"({PLAIN})"{BLANK}:{BLANK}(?:"({PLAIN})"|({VALUE}))'
+#: Types inside nested ones that Spark writes as they were spelled, if it holds them.
+EXACT = (StructType, ArrayType, MapType, StringType, BooleanType, IntegralType, DoubleType, DateType)
+
+
+def written_exactly(kind: DataType) -> bool:
+    if not isinstance(kind, EXACT):
+        return False
+    if isinstance(kind, StructType):
+        return all(written_exactly(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return written_exactly(kind.elementType)
+    return not isinstance(kind, MapType) or isinstance(kind.keyType, StringType) and written_exactly(kind.valueType)
+
+
+def with_plain_fields(lines: DataFrame, nested: dict[str, DataType]) -> DataFrame:
+    """Adds ``plain``, the fields of a line that is a plain record without repeated names, as the
+    decoder would give them; else NULL. The value of a nested column must come out as it went in."""
+    line = F.col("value")
+    names, texts, others = (F.regexp_extract_all(line, F.lit(PARTS), F.lit(k)) for k in (1, 2, 3))
+    simple = F.is_valid_utf8(line) & line.rlike(PLAIN_RECORD)
+    found = lines.withColumn("names", F.when(simple, names))
+    found = found.withColumn(
+        "names", F.when(F.size(F.array_distinct("names")) == F.size("names"), F.col("names"))
+    )
+    values = F.zip_with(texts, others, lambda t, o: F.when(o != "null", F.concat(t, o)))
+    # A text that says null has no other value, so it stays one.
+    fields = F.map_filter(F.map_from_arrays("names", values), lambda _, v: v.isNotNull())
+    found = found.withColumn("plain", F.when(F.col("names").isNotNull(), fields)).drop("names")
+    for name, kind in nested.items():
+        raw = F.col("plain")[name]
+        same = F.to_json(F.from_json(raw, kind)) == raw if written_exactly(kind) else F.lit(False)
+        found = found.withColumn("plain", F.when(raw.isNull() | same, F.col("plain")))
+    return found
+
+
+def decoded(nested: dict[str, DataType]) -> object:
+    """A function of Arrow columns: the records of each line that is not NULL."""
+    from pyspark.sql.functions import arrow_udf
+
+    kind = pa.list_(
+        pa.struct(
+            [("fields", pa.map_(pa.string(), pa.string())), ("unfit", pa.list_(pa.string())), ("corrupt", pa.string())]
+        )
+    )
+
+    def of(line: str) -> list[dict]:
+        found = records(line)
+        if found is None:
+            return [{"fields": None, "unfit": [], "corrupt": line.encode("utf-8", "backslashreplace").decode()}]
+        return [
+            {
+                "fields": [(k, text_of(v)) for k, v in record if v is not None],
+                "unfit": [k for k, v in record if k in nested and not fits(nested[k], v)],
+                "corrupt": None,
+            }
+            for record in found
+        ]
+
+    @arrow_udf(f"array<{RECORD}>")
+    def run(lines: pa.Array) -> pa.Array:
+        if lines.null_count == len(lines):
+            return pa.nulls(len(lines), kind)
+        rows = [None if raw is None else of(raw.decode("utf-8", "backslashreplace")) for raw in lines.to_pylist()]
+        return pa.array(rows, kind)
+
+    return run
+
+
+def parsed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of ``value``, ``source_file`` as records: ``fields``, ``unfit``, the nested columns that do
+    not hold their value, and ``corrupt``, a line that is no record. One pass: a plain line is NULL to
+    the decoder."""
+    worker_environment(lines.sparkSession)
+    nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
+    plain = F.array(
+        F.struct(
+            F.col("plain").alias("fields"),
+            F.array().cast("array<string>").alias("unfit"),
+            F.lit(None).cast("string").alias("corrupt"),
+        )
+    )
+    hard: Column = F.when(F.col("plain").isNull(), F.col("value").cast("binary"))
+    rows = with_plain_fields(lines.filter(F.length(F.trim("value")) > 0), nested)
+    rows = rows.withColumn("decoded", decoded(nested)(hard))
+    found = F.when(F.col("plain").isNotNull(), plain).otherwise(F.col("decoded"))
+    return rows.select(SOURCE_FILE, F.inline(found))
+
+
 def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Rows of ``value``, ``source_file`` to the columns of ``schema`` plus the rescue column.
 
@@ -146,35 +283,8 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     numbers keep their spelling. A line that is not JSON, or in which an object repeats a name,
     gives a row of NULLs with the whole line in the rescue column.
     """
-    nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple[int, list | None, list, str | None]] = []
-            for i, raw in enumerate(batch.column(0).to_pylist()):
-                line = raw.decode("utf-8", "backslashreplace")
-                found = records(line)
-                if found is None:
-                    rows.append((i, None, [], line.encode("utf-8", "backslashreplace").decode()))
-                for record in found or ():
-                    fields = [(k, text_of(v)) for k, v in record if v is not None]
-                    unfit = [k for k, v in record if k in nested and not holds(nested[k], v)]
-                    rows.append((i, fields, unfit, None))
-            at, fields, unfit, corrupt = zip(*rows, strict=True) if rows else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1).take(pa.array(at, pa.int64())),
-                    pa.array(fields, pa.map_(pa.string(), pa.string())),
-                    pa.array(unfit, pa.list_(pa.string())),
-                    pa.array(corrupt, pa.string()),
-                ],
-                [SOURCE_FILE, "fields", "unfit", "corrupt"],
-            )
-
-    rows = lines.filter(F.length(F.trim("value")) > 0)
-    parsed = map_batches(
-        rows.select(F.col("value").cast("binary"), SOURCE_FILE), run, f"{SOURCE_FILE} string, {PARSED}"
-    )
+    nested = {f.name for f in schema if isinstance(f.dataType, NESTED)}
+    parsed = parsed_lines(lines, schema)
 
     def raw(name: str) -> str:
         return f"fields[{quoted_text(name)}]"
