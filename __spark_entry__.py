@@ -230,6 +230,25 @@ ORACLES: dict[str, str] = {
                CASE WHEN p_partkey % 4 = 3 THEN CAST(p_size AS VARCHAR) END AS with_space
         FROM part
     """,
+    "rescue_nested_numbers": """
+        WITH o AS (
+            SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN -1 ELSE o_orderkey % 5 END AS turn FROM orders
+        )
+        SELECT k AS order_id,
+               CAST(CASE turn WHEN -1 THEN '1.5' WHEN 3 THEN '12345678901234567890.123456789012345678'
+                              WHEN 4 THEN '0.000000000000000025' END AS DECIMAL(38,18)) AS net,
+               CAST(CASE turn WHEN -1 THEN 0.25 WHEN 3 THEN 0.1 END AS DOUBLE) AS rate,
+               CAST(CASE turn WHEN -1 THEN '7' WHEN 4 THEN '-9223372036854775808' END AS BIGINT) AS count,
+               CASE turn WHEN 0 THEN '{"count":' || repeat('9', 5000) || '}'
+                         WHEN 1 THEN '{"rate":1e1000000}'
+                         WHEN 2 THEN '{"net":1234567890.12345678901234567890123}' END AS rescued
+        FROM o
+    """,
+    "ingest_csv_wide_rows": """
+        SELECT CAST(p_partkey AS INTEGER) AS product_id, p_size AS size,
+               CASE WHEN p_partkey % 100 = 7 THEN md5(p_partkey || ',' || p_size || repeat(',', 30000)) END AS rescued_md5
+        FROM part
+    """,
     "sample_of_ten": """
         SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 11 = 10 THEN '1' END AS late FROM orders
     """,

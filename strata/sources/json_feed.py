@@ -171,23 +171,33 @@ def records(line: str) -> list[Members] | None:
 #: Patterns of what JSON is made of, without escapes and, but between the parts of a record, without
 #: white space. All are possessive: the matcher neither recurses nor goes back, however long a line.
 BLANK, PLAIN = r"[ \t\r\n]*+", r'[^"\\\x00-\x1F]*+'
-SCALAR = rf'(?:"{PLAIN}"|-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?+[0-9]++)?+|true|false|null)'
+ANY_NUMBER = r"-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?+[0-9]++)?+"
+#: A whole number as the built-in parser writes it.
+SHORT_NUMBER = r"(?:0|-?+[1-9][0-9]{0,17}+)(?![0-9.eE])"
 
 
 def nested_value(depth: int) -> str:
-    """A value whose objects and arrays go so deep."""
+    """A value whose objects and arrays go so deep, with numbers that keep their spelling."""
+    scalar = rf'"{PLAIN}"|{SHORT_NUMBER}|true|false|null'
     if not depth:
-        return SCALAR
+        return f"(?:{scalar})"
     inner = nested_value(depth - 1)
     members = rf'\{{(?:"{PLAIN}":{inner}(?:,"{PLAIN}":{inner})*+)?+\}}'
-    return rf"(?:{SCALAR}|{members}|\[(?:{inner}(?:,{inner})*+)?+\])"
+    return rf"(?:{scalar}|{members}|\[(?:{inner}(?:,{inner})*+)?+\])"
 
 
-VALUE = nested_value(2)
-MEMBER = rf'"{PLAIN}"{BLANK}:{BLANK}{VALUE}'
-PLAIN_RECORD = rf"\A{BLANK}\{{{BLANK}(?:{MEMBER}(?:{BLANK},{BLANK}{MEMBER})*+)?+{BLANK}\}}{BLANK}\z"
-#: The name, the text and the other value of a member, one of the latter two.
-PARTS = rf'"({PLAIN})"{BLANK}:{BLANK}(?:"({PLAIN})"|({VALUE}))'
+def record_of(value: str) -> str:
+    member = rf'"{PLAIN}"{BLANK}:{BLANK}{value}'
+    return rf"\A{BLANK}\{{{BLANK}(?:{member}(?:{BLANK},{BLANK}{member})*+)?+{BLANK}\}}{BLANK}\z"
+
+
+NESTED_VALUE = nested_value(2)
+#: A record whose numbers the built-in parser spells as they are, and one whose own may be spelled otherwise.
+SHORT_RECORD = record_of(NESTED_VALUE)
+PLAIN_RECORD = record_of(rf"(?:{NESTED_VALUE}|{ANY_NUMBER})")
+#: The numbers of such a record, to put between the quotes that their names have, when all members are
+#: gone through.
+NUMBERS = rf'("{PLAIN}"{BLANK}:{BLANK}{NESTED_VALUE})|("{PLAIN}("){BLANK}:{BLANK})({ANY_NUMBER})'
 #: Types inside nested ones that Spark writes as they were spelled, if it holds them.
 EXACT = (StructType, ArrayType, MapType, StringType, BooleanType, IntegralType, DoubleType, DateType)
 
@@ -206,16 +216,13 @@ def with_plain_fields(lines: DataFrame, nested: dict[str, DataType]) -> DataFram
     """Adds ``plain``, the fields of a line that is a plain record without repeated names, as the
     decoder would give them; else NULL. The value of a nested column must come out as it went in."""
     line = F.col("value")
-    names, texts, others = (F.regexp_extract_all(line, F.lit(PARTS), F.lit(k)) for k in (1, 2, 3))
-    simple = F.is_valid_utf8(line) & line.rlike(PLAIN_RECORD)
-    found = lines.withColumn("names", F.when(simple, names))
-    found = found.withColumn(
-        "names", F.when(F.size(F.array_distinct("names")) == F.size("names"), F.col("names"))
+    text = F.when(line.rlike(SHORT_RECORD), line).when(
+        line.rlike(PLAIN_RECORD), F.regexp_replace(line, F.lit(NUMBERS), F.lit("$1$2$3$4$3"))
     )
-    values = F.zip_with(texts, others, lambda t, o: F.when(o != "null", F.concat(t, o)))
-    # A text that says null has no other value, so it stays one.
-    fields = F.map_filter(F.map_from_arrays("names", values), lambda _, v: v.isNotNull())
-    found = found.withColumn("plain", F.when(F.col("names").isNotNull(), fields)).drop("names")
+    found = lines.withColumn("plain", F.when(F.is_valid_utf8(line), F.from_json(text, "map<string,string>")))
+    # The parser keeps what repeats, and NULLs.
+    once = F.size(F.array_distinct(F.map_keys("plain"))) == F.size("plain")
+    found = found.withColumn("plain", F.when(once, F.map_filter("plain", lambda _, v: v.isNotNull())))
     for name, kind in nested.items():
         raw = F.col("plain")[name]
         same = F.to_json(F.from_json(raw, kind)) == raw if written_exactly(kind) else F.lit(False)

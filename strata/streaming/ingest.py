@@ -11,9 +11,9 @@ from pyspark.sql.types import StructType
 from strata.catalog import STORED_IN, create_table, overwrite_partitions, publish_view, quoted
 from strata.functions.scalars import BATCH_ID, CREATED_AT, RESCUED, SOURCE_FILE, with_created_at
 from strata.session import session_conf
-from strata.sources.csv_feed import read_any_header
+from strata.sources.csv_feed import read_any_header, too_wide, widest_row
 from strata.sources.json_feed import parse_json_lines
-from strata.sources.schema import FILE_LISTING, frozen_schema
+from strata.sources.schema import FILE_LISTING, WIDEST_ROW, frozen_schema
 from strata.streaming.drain import drain, stream_identity
 
 
@@ -103,10 +103,19 @@ def ingest_csv(spark: SparkSession, feed: FeedSpec) -> None:
         # Bounded by files_per_batch: the names of this batch's files.
         paths = [row["path"] for row in batch.collect()]
         with session_conf(stream_spark, {"spark.sql.caseSensitive": "true"}):
-            rows = read_any_header(stream_spark, paths, schema) if paths else None
-            if rows is not None:
-                bronze = bronze_rows(rows, schema).withColumn(BATCH_ID, F.lit(partition))
-                overwrite_partitions(bronze, stored)
+            try:
+                write(stream_spark, paths, partition)
+            except Exception as failure:
+                if not too_wide(failure):
+                    raise
+                # Some row has more fields than the reader made room for; such a batch is read again.
+                write(stream_spark, paths, partition, widest_row(stream_spark, paths))
+
+    def write(stream_spark: SparkSession, paths: list[str], partition: str, widest: int = WIDEST_ROW) -> None:
+        rows = read_any_header(stream_spark, paths, schema, widest) if paths else None
+        if rows is not None:
+            bronze = bronze_rows(rows, schema).withColumn(BATCH_ID, F.lit(partition))
+            overwrite_partitions(bronze, stored)
 
     drain(files, feed.name, feed.checkpoint, stored, load)
 

@@ -499,6 +499,59 @@ def ingest_csv_odd_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rescue_nested_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose nested column has, in turn, a count of 5,000 digits, a rate of 10 to the power of
+    a million, an amount with more decimals than its type, one of exactly 38 digits, and one spelled
+    with an exponent. Each is typed exactly or rescued as it is spelled, and a second run goes through."""
+    feed = replace(
+        orders_pipeline(new_layers(spark), scratch(spark)).feeds[1],
+        sample=None,
+        hints="order_id BIGINT, money STRUCT<net: DECIMAL(38,18), rate: DOUBLE, count: BIGINT>",
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+
+    def line(money: Column) -> Column:
+        return F.concat(F.lit('{"order_id":'), "o_orderkey", F.lit(',"money":{'), money, F.lit("}}")).alias("value")
+
+    finished = F.col("o_orderstatus") == "F"
+    orders.filter(finished).select(line(F.lit('"net":1.5,"rate":0.25,"count":7'))).write.text(feed.path)
+    ingest(spark, feed)
+    turn = F.col("o_orderkey") % 5
+    odd = (
+        F.when(turn == 0, F.concat(F.lit('"count":'), F.rpad(F.lit("9"), 5000, "9")))
+        .when(turn == 1, F.lit('"rate":1e1000000'))
+        .when(turn == 2, F.lit('"net":1234567890.12345678901234567890123'))
+        .when(turn == 3, F.lit('"net":12345678901234567890.123456789012345678,"rate":0.1'))
+        .otherwise(F.lit('"net":25e-18,"count":-9223372036854775808'))
+    )
+    orders.filter(~finished).select(line(odd)).write.mode("append").text(feed.path)
+    ingest(spark, feed)
+    ingest(spark, feed)
+    return spark.table(feed.table).select(
+        "order_id",
+        F.col("money.net").alias("net"),
+        F.col("money.rate").alias("rate"),
+        F.col("money.count").alias("count"),
+        F.from_json("_rescued_data", "map<string,string>")["money"].alias("rescued"),
+    )
+
+
+def ingest_csv_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as CSV, some rows of which have 30,000 fields too many; these are rescued whole, and
+    another run goes through."""
+    feed = orders_pipeline(new_layers(spark), scratch(spark)).feeds[0]
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("string").alias("p_size"))
+    more = F.when(F.col("p_partkey") % 100 == 7, F.repeat(F.lit(","), 30_000)).otherwise("")
+    rows = parts.select(F.concat(F.concat_ws(",", "p_partkey", "p_size"), more).alias("value"), "p_partkey")
+    write_lines(rows.filter("p_partkey % 2 = 0"), "product_id,size", feed.path)
+    ingest(spark, feed)
+    write_lines(rows.filter("p_partkey % 2 = 1"), "product_id,size", feed.path)
+    ingest(spark, feed)
+    ingest(spark, feed)
+    whole = F.from_json("_rescued_data", "map<string,string>")["_corrupt_record"]
+    return spark.table(feed.table).select("product_id", "size", F.md5(whole.cast("binary")).alias("rescued_md5"))
+
+
 def sample_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten files or more, then those with a late field; the schema comes from the ten oldest, so the
     late field is rescued."""
@@ -644,6 +697,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_csv_rescue": ingest_csv_rescue,
     "rescue_lossless": rescue_lossless,
     "ingest_csv_odd_headers": ingest_csv_odd_headers,
+    "rescue_nested_numbers": rescue_nested_numbers,
+    "ingest_csv_wide_rows": ingest_csv_wide_rows,
     "sample_of_ten": sample_of_ten,
     "audit_columns": audit_columns,
     "stream_name": stream_name,

@@ -1,13 +1,18 @@
 import json
+import re
 from datetime import date
 from decimal import Decimal
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql.types import DecimalType, StructType
 
-from strata.functions.rescue import with_rescue
-from strata.sources.csv_feed import read_any_header
+from strata.functions.rescue import NESTED, with_rescue
+from strata.sources import json_feed
+from strata.sources.csv_feed import read_any_header, widest_row
 from strata.sources.json_feed import parse_json_lines
+from strata.streaming.ingest import FeedSpec, ingest
 
 JSON_SCHEMA = (
     StructType()
@@ -238,3 +243,119 @@ def test_json_lines_that_are_not_utf8(spark, tmp_path):
     (tmp_path / "x.json").write_bytes(b'{"id":1,"tag":"\xff"}\n{"id":2}\n')
     lines = spark.read.text(str(tmp_path / "x.json")).selectExpr("value", "'f' AS source_file")
     assert sorted(r.id or 0 for r in parse_json_lines(lines, JSON_SCHEMA).collect())[-1] == 2
+
+
+WIDE = "a BIGINT, b STRING, c STRUCT<x: BIGINT, y: DOUBLE>, d DECIMAL(10,2), e ARRAY<BIGINT>, f STRUCT<m: DECIMAL(38,18), r: FLOAT>"
+PLAIN = [
+    '{"a":1,"b":"x"}',
+    ' { "a" : 12.50 ,\t"b":null,"z":1e3 }\r',
+    '{"c":{"x":5}}',
+    '{}',
+    '{"b":":5","q":"x"}',
+    '{"b":"null","a":-0}',
+    '{"":3,"é":"𝒳"}',
+    '{"b":true,"a":"7"}',
+    '{"d":' + "9" * 5000 + "}",
+    '{"b":{"k":1,"k":[-15,true]}}',
+    '{"a":-12345678901234567890123,"b":1E400,"k": -0.0 ,"l":0.1,"m":[],"n":":7.5","o":null,"p":{"q":":1.5,"}}',
+    '{"e":[1,2,3],"q":[]}',
+    "{" + ",".join(f'"k{i}":"{i}"' for i in range(20_000)) + "}",
+    '{"b":"' + "x" * 200_000 + '"}',
+]
+HARD = [
+    '{"a":1,"a":2}', '{"c":{"x":5,"y":1.5}}', '{"q":{"x":1.50}}', '{"q":[-0]}', '{"q":[12345678901234567890]}', '{"c":{"x":5, "y":1.5}}', '{"b":"\\u00e9"}', '[{"a":1},{"a":2}]', '{"a":01}',
+    '{"e":[1,2.0]}', '{"a":1}x', "nope", '{"c":{"x":' + "9" * 5000 + "}}", '{"c":{"y":1e1000000}}', '{"c":{"x":1,"x":1}}',
+    '{"c":{"x":null}}', '{"c":"x"}', '{"b":{"k":[{"l":1}]}}', '{"f":{"r":0.5}}', "[" * 3000, "\ufeff{}", '{"a":+1}', '{"a":NaN}', "{'a':1}", '{"a":1,}',
+]
+
+
+def test_plain_lines_do_not_reach_the_decoder(spark):
+    schema = StructType.fromDDL(WIDE)
+    nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
+    lines = spark.createDataFrame([(k, line, "f") for k, line in enumerate(PLAIN + HARD)], "k int, value string, source_file string")
+    plain = {r.k: r.plain for r in json_feed.with_plain_fields(lines, nested).collect()}
+    assert {k for k, fields in plain.items() if fields is not None} == set(range(len(PLAIN)))
+    # What the patterns take apart is what the decoder would have given.
+    for k, line in enumerate(PLAIN):
+        (record,) = json_feed.records(line)
+        assert plain[k] == {name: json_feed.text_of(v) for name, v in record if v is not None}
+        assert all(json_feed.fits(nested[name], v) for name, v in record if name in nested)
+
+
+@given(
+    st.recursive(
+        st.one_of(st.none(), st.booleans(), st.integers(), st.floats(allow_nan=False, allow_infinity=False), st.text(max_size=5)),
+        lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=3), inner, max_size=3)),
+        max_leaves=6,
+    ),
+    st.booleans(),
+)
+def test_patterns_accept_json_only(value, compact):
+    """What the pattern of plain records accepts, the decoder reads as one record."""
+    line = json.dumps({"k": value}, ensure_ascii=False, separators=(",", ":") if compact else None)
+    pattern = re.compile(json_feed.PLAIN_RECORD.replace(r"\z", r"\Z"))
+    for odd in (line, line.replace(":", "::", 1), line[:-1], line + "}", line.replace("1", "01"), line.replace('"', "", 1)):
+        if pattern.match(odd):
+            assert len(json_feed.records(odd) or [1]) == 1 and (json_feed.records(odd) is not None or odd.count('"k"') > 1)
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "held"),
+    [
+        ("decimal(38,18)", "1234567890.12345678901234567890123", False),
+        ("decimal(38,18)", "12345678901234567890.123456789012345678", True),
+        ("decimal(38,18)", "1e-18", True),
+        ("decimal(38,18)", "1e-19", False),
+        ("decimal(38,18)", "0.000", True),
+        ("decimal(38,18)", "0e9999999999", False),
+        ("decimal(38,18)", "1e1000000", False),
+        ("decimal(38,18)", "1" + "0" * 400, False),
+        ("decimal(4,2)", "99.990", True),
+        ("decimal(4,2)", "100", False),
+        ("decimal(4,2)", "1e1", True),
+        ("bigint", "9" * 5000, False),
+        ("bigint", "9223372036854775807", True),
+        ("bigint", "9223372036854775808", False),
+        ("bigint", "1.0", False),
+        ("float", "1e1000000", False),
+        ("float", "1e-1000000", False),
+        ("float", "123456e3", True),
+        ("double", "1e1000000", False),
+        ("double", "1e-400", False),
+        ("double", "0.1", True),
+        ("double", "0.1000000000000000055511151231257827", False),
+        ("string", "9" * 5000, False),
+    ],
+)
+def test_nested_numbers_are_held_exactly_or_rescued(spark, kind, value, held):
+    line = '{"n":{"v":%s}}' % value
+    schema = StructType.fromDDL(f"n STRUCT<v: {kind}>")
+    row = json_feed.parse_json_lines(spark.createDataFrame([(line, "f")], "value string, source_file string"), schema).first()
+    if held:
+        assert row._rescued_data is None
+        assert kind == "string" or Decimal(str(row.n.v)) == Decimal(value)
+    else:
+        assert row.n is None and json.loads(row._rescued_data)["n"] == line[5:-1]
+
+
+def test_csv_rows_of_any_width(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text("id,name\n1,x\n" + ",".join(["7"] * 30_000) + "\n2,y\n")
+    rows = sorted(read_any_header(spark, [str(path)], StructType.fromDDL("id BIGINT, name STRING")).collect(), key=lambda r: r.id)
+    assert [(r.id, r.name) for r in rows] == [(1, "x"), (2, "y"), (7, "7")]
+    assert json.loads(rows[2]._rescued_data)["_corrupt_record"] == ",".join(["7"] * 30_000)
+    assert widest_row(spark, [str(path)]) == 30_000
+
+
+def test_a_row_beyond_the_readers_room_is_read_again(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name\n1,x\n")
+    feed = FeedSpec("csv", str(folder), "default.any_width", str(tmp_path / "progress"), "any width")
+    ingest(spark, feed)
+    (folder / "b.csv").write_text("id,name\n2,y\n" + "," * 150_000 + "\n")
+    ingest(spark, feed)
+    ingest(spark, feed)
+    rows = spark.table(feed.table).collect()
+    assert sorted(r.id for r in rows if r.id) == [1, 2]
+    assert [json.loads(r._rescued_data)["_corrupt_record"] for r in rows if r._rescued_data] == ["," * 150_000]
