@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,20 +20,32 @@ from strata.llm.common import map_batches, remembered, written
 
 #: Words whose ids a Python worker remembers at least, if they came up lately; twice as many at most.
 REMEMBERED = 200_000
-#: Words encoded in one call.
-TOGETHER = 5_000
+#: Words encoded in one call, and bytes of texts whose words are looked up at a time.
+TOGETHER, PIECE = 5_000, 4 << 20
 #: A mark at the end of a word; a token never holds a letter and one of them.
 MARKED = r"([a-z])([,.!?;:])([ \n])"
 #: Fixed value: the parts of an ASCII word in lower case, none of which a token crosses.
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
+#: Texts by which a tokenizer shows whether it is of the kind that WordEncoder takes.
+TRIALS = [
+    "Two words, and don't; it's 12.5%... (x_1) A.B! we'll--ok?",
+    "tab\tline\nfeed  two\r\n end. a,b;c:d!e?f 's 't ''re",
+    "été ÉTÉ naïve İstanbul ΣΟΦΟΣ 中文 字。 e\u0301 𝒳1 \u00a0x\u3000y ſ K",
+    "<|endof text|> <s> [INST] </w> a</w>b #$%^&*()~`{}|\\",
+]
+
+
 class WordEncoder:
     """Ids of whole texts, by way of the ids of their words.
 
     Only for tokenizers that ignore case, drop white space, have PARTS with a token at the end of
     each that is marked so, and no token or rule of which crosses ASCII white space or goes from a
     letter to a mark: the ids of a text are then those of its words and marks, one after the other.
+    What can be checked of that is, at load: how the tokenizer is declared, and that it gives trial
+    texts the same ids; another one is refused. Added tokens are found before case is dropped, so a
+    text that holds one in any case is encoded whole, as it is spelled.
     """
 
     def __init__(self, path: str):
@@ -44,68 +58,102 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.ends[k] = token.endswith("</w>")
+        declared = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"].lower() for t in declared["added_tokens"]]
+        self.check(declared)
+
+    def check(self, declared: dict) -> None:
+        normalizer = json.dumps(declared["normalizer"])
+        fine = (
+            declared["model"]["type"] == "BPE"
+            and declared["model"].get("end_of_word_suffix") == "</w>"
+            and '"Lowercase"' in normalizer
+            and not declared["truncation"]
+            and not declared["padding"]
+        )
+        trials = [*TRIALS, *(f"a {t} {t.upper()} {t.title()}b" for t in self.added)]
+        if not fine or [x.tobytes() for x in self.encode(pa.array(trials))] != self.whole(trials):
+            raise ValueError("words and marks of this tokenizer are not encoded apart")
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; NULL counts as empty."""
         lower = pc.ascii_lower(pc.fill_null(texts, ""))
+        spelled = np.zeros(len(texts), bool)
+        for token in self.added:
+            spelled |= pc.match_substring(lower, token).to_numpy(zero_copy_only=False)
+        if spelled.any():
+            lower = pc.if_else(pa.array(spelled), "", lower)
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, MARKED, r"\1 \2\3"))
         coded = words.flatten().dictionary_encode()
         found = self.words(coded.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         # For each id its place among those of the distinct words: its word's start and the steps since.
         at = coded.indices.to_numpy()
         n = sizes[at]
         before = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.repeat(starts[at] - before[:-1], n) + np.arange(before[-1])]
-        return np.split(ids, before[words.offsets.to_numpy()[1:-1] - words.offsets[0].as_py()])
+        out = np.split(ids, before[words.offsets.to_numpy()[1:-1] - words.offsets[0].as_py()])
+        places = np.flatnonzero(spelled)
+        for k, own in zip(places, self.whole(texts.take(pa.array(places)).to_pylist()), strict=True):
+            out[k] = np.frombuffer(own, "<u4")
+        return out
 
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words as little-endian unsigned 32-bit numbers."""
-        known = {w: ids for w in words if (ids := self.recent.get(w)) is not None}
-        again = {w: ids for w in words if w not in known and (ids := self.older.get(w)) is not None}
-        for word, ids in again.items():
-            self.remember(word, ids)
-        known |= again
-        self.learn([w for w in words if w not in known], known)
-        return list(map(known.__getitem__, words))
-
-    def remember(self, word: str, ids: bytes) -> None:
-        if len(self.recent) >= REMEMBERED:
+        found = list(map(self.recent.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        again = {words[k]: ids for k in missing if (ids := self.older.get(words[k])) is not None}
+        known = again | self.learn([word for k in missing if (word := words[k]) not in again])
+        for k in missing:
+            found[k] = known[words[k]]
+        self.remember(known)
+        return found
+
+    def remember(self, known: dict[str, bytes]) -> None:
+        if len(self.recent) + len(known) > REMEMBERED:
             self.older, self.recent = self.recent, {}
-        self.recent[word] = ids
-
-    def learn(self, words: list[str], known: dict[str, bytes]) -> None:
-        """Adds the ids of the words to the known ones, and remembers them."""
-        together = []
-        for word in words:
-            if word.isalpha():
-                together.append((word, 1))
-            elif word.isascii():
-                together.append((word, len(PARTS.findall(word))))
-            else:
-                known[word] = self.ids(word)
+        self.recent.update(islice(known.items(), REMEMBERED))
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words: those of ASCII words and of letters together, the others each for itself."""
+        together = [(word, 1 if word.isalpha() else len(PARTS.findall(word))) for word in words if word.isalpha() or word.isascii()]
+        alone = [word for word in words if not (word.isalpha() or word.isascii())]
+        known = dict(zip(alone, self.whole(alone), strict=True))
         for start in range(0, len(together), TOGETHER):
             self.learn_together(together[start : start + TOGETHER], known)
-        for word in words:
-            self.remember(word, known[word])
+        return known
 
     def learn_together(self, words: list[tuple[str, int]], known: dict[str, bytes]) -> None:
         """Words with their number of parts are encoded in one call; the last token of each part tells
-        them apart. Should that not come out even, they are encoded one by one."""
-        ids = np.frombuffer(self.ids(" ".join(word for word, _ in words)), "<u4")
+        them apart. Should that not come out even, each is encoded for itself."""
+        ids = np.frombuffer(self.whole([" ".join(word for word, _ in words)])[0], "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         parts = np.cumsum([n for _, n in words])
-        apart = len(cuts) == parts[-1] > 0 and cuts[-1] == len(ids)
-        ends = np.concatenate([[0], cuts])[parts] if apart else parts
-        start = 0
-        for (word, _), end in zip(words, ends.tolist(), strict=True):
-            known[word] = ids[start:end].tobytes() if apart else self.ids(word)
+        if not (len(cuts) == parts[-1] > 0 and cuts[-1] == len(ids)):
+            each = [word for word, _ in words]
+            known.update(zip(each, self.whole(each), strict=True))
+            return
+        whole, start = ids.tobytes(), 0
+        for (word, _), end in zip(words, (4 * cuts[parts - 1]).tolist(), strict=True):
+            known[word] = whole[start:end]
             start = end
 
-    def ids(self, text: str) -> bytes:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # keeps no offsets
-        return np.array(found[0].ids, "<u4").tobytes()
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """The tokenizer's own ids of each text."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # keeps no offsets
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+
+def by_bytes(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have so many bytes, or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,7 +166,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         own = remembered(f"packing {tokenizer}", lambda: WordEncoder(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
+            for piece in by_bytes(batch, 1, PIECE):
                 ids = [x.tobytes() + end for x in own.encode(piece.column(1))]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 before = start + np.cumsum(n) - n

@@ -1,7 +1,9 @@
 """Packing against the tokenizer itself, put together by hand."""
 
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +72,38 @@ def test_word_by_word_is_the_whole_text(tokenizer, word_encoder, text):
     assert word_encoder.encode(pa.array(["", text, None, "a, b"]))[1].tobytes() == whole
 
 
+def variants(token):
+    return [token, token.upper(), token.title(), token[:-1], token[0].upper() + token[1:-2] + token[-2:].upper(), token.replace("|", " |")]
+
+
+def test_added_tokens_in_any_case(tokenizer, word_encoder):
+    """Only the spelling of an added token itself is a control token; other cases are text."""
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    texts = [form.format(v) for token in added for v in variants(token) for form in ("{}", "a{}b", "One, {} two {}.".replace("{} two {}", "{0} two {0}"))]
+    texts += ["".join(rng.choice("<|EnDoFtExT|>") for _ in range(30)) for rng in map(random.Random, range(50))]
+    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [ids.tobytes() for ids in word_encoder.encode(pa.array(texts))] == expected
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    whole = json.loads(Path(PATH).read_text())
+    cased = {**whole, "normalizer": None}
+    crossing = {**whole, "pre_tokenizer": None}
+    for k, other in enumerate((cased, crossing)):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(other))
+        with pytest.raises(ValueError, match="not encoded apart"):
+            WordEncoder(str(path))
+    with pytest.raises(ValueError, match="not encoded apart"):
+        WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_parts_of_a_batch_are_bounded_in_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 5, None, "", "b" * 20, "c", "d" * 4])], ["k", "t"])
+    assert [p.column(0).to_pylist() for p in packing.by_bytes(batch, 1, 5)] == [[0, 1, 2], [3], [4, 5]]
+
+
 def test_forgotten_words_are_learned_again(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     small = WordEncoder(PATH)
