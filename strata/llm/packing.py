@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -85,15 +86,13 @@ class WordEncoder:
             lower = pc.if_else(pa.array(spelled), "", lower)
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, MARKED, r"\1 \2\3"))
         coded = words.flatten().dictionary_encode()
-        found = self.words(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
-        # For each id its place among those of the distinct words: its word's start and the steps since.
-        at = coded.indices.to_numpy()
-        n = sizes[at]
-        before = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(starts[at] - before[:-1], n) + np.arange(before[-1])]
-        out = np.split(ids, before[words.offsets.to_numpy()[1:-1] - words.offsets[0].as_py()])
+        found = pa.array(self.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        # The ids of all words, one after the other, and where each begins.
+        taken = found.take(coded.indices)
+        starts = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset) // 4
+        ids = np.frombuffer(taken.buffers()[2] or b"", "<u4")
+        ends = starts[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        out = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
         places = np.flatnonzero(spelled)
         for k, own in zip(places, self.whole(texts.take(pa.array(places)).to_pylist()), strict=True):
             out[k] = np.frombuffer(own, "<u4")
@@ -102,13 +101,11 @@ class WordEncoder:
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words as little-endian unsigned 32-bit numbers."""
         found = list(map(self.recent.get, words))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        again = {words[k]: ids for k in missing if (ids := self.older.get(words[k])) is not None}
-        known = again | self.learn([word for k in missing if (word := words[k]) not in again])
-        for k in missing:
-            found[k] = known[words[k]]
+        missing = [word for word, ids in zip(words, found, strict=True) if ids is None]
+        known = {word: ids for word in missing if (ids := self.older.get(word)) is not None} if self.older else {}
+        known |= self.learn([word for word in missing if word not in known] if known else missing)
         self.remember(known)
-        return found
+        return [known[word] if ids is None else ids for word, ids in zip(words, found, strict=True)]
 
     def remember(self, known: dict[str, bytes]) -> None:
         if len(self.recent) + len(known) > REMEMBERED:
@@ -116,28 +113,31 @@ class WordEncoder:
         self.recent.update(islice(known.items(), REMEMBERED))
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words: those of ASCII words and of letters together, the others each for itself."""
-        together = [(word, 1 if word.isalpha() else len(PARTS.findall(word))) for word in words if word.isalpha() or word.isascii()]
-        alone = [word for word in words if not (word.isalpha() or word.isascii())]
-        known = dict(zip(alone, self.whole(alone), strict=True))
-        for start in range(0, len(together), TOGETHER):
-            self.learn_together(together[start : start + TOGETHER], known)
+        """The ids of words. Parts of printable ASCII words go to the model as they are; what else is all
+        letters goes to the tokenizer together, the rest each for itself."""
+        model, known = self.tokenizer.model, {}
+        letters, others = [], []
+        for word in words:
+            if word.isascii() and word.isprintable():
+                parts = (word,) if word.isalpha() else PARTS.findall(word)
+                ids = [token.id for part in parts for token in model.tokenize(part)]
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                (letters if word.isalpha() else others).append(word)
+        for start in range(0, len(letters), TOGETHER):
+            some = letters[start : start + TOGETHER]
+            known.update(zip(some, self.learn_together(some), strict=True))
+        known.update(zip(others, self.whole(others), strict=True))
         return known
 
-    def learn_together(self, words: list[tuple[str, int]], known: dict[str, bytes]) -> None:
-        """Words with their number of parts are encoded in one call; the last token of each part tells
-        them apart. Should that not come out even, each is encoded for itself."""
-        ids = np.frombuffer(self.whole([" ".join(word for word, _ in words)])[0], "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        parts = np.cumsum([n for _, n in words])
-        if not (len(cuts) == parts[-1] > 0 and cuts[-1] == len(ids)):
-            each = [word for word, _ in words]
-            known.update(zip(each, self.whole(each), strict=True))
-            return
-        whole, start = ids.tobytes(), 0
-        for (word, _), end in zip(words, (4 * cuts[parts - 1]).tolist(), strict=True):
-            known[word] = whole[start:end]
-            start = end
+    def learn_together(self, words: list[str]) -> list[bytes]:
+        """Words of one part each are encoded in one call; the last token of each tells them apart.
+        Should that not come out even, each is encoded for itself."""
+        whole = self.whole([" ".join(words)])[0]
+        ends = 4 * (np.flatnonzero(self.ends[np.frombuffer(whole, "<u4")]) + 1)
+        if len(ends) != len(words) or ends[-1] != len(whole):
+            return self.whole(words)
+        return [whole[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The tokenizer's own ids of each text."""
