@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,7 +56,6 @@ ENDS = {
     "td": (CELLS, frozenset(("tr", "table"))),
     "th": (CELLS, frozenset(("tr", "table"))),
     "tr": (CELLS | {"tr", "caption"}, frozenset(("table",))),
-    "body": (frozenset(("head",)), frozenset()),
 } | {name: (CELLS | SECTIONS | {"tr"}, frozenset(("table",))) for name in SECTIONS}
 P_SCOPE = CELLS | frozenset(("caption", "table", "button"))
 
@@ -66,7 +67,12 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: A slash that ends an unquoted value closes nothing.
 IN_VALUE = re.compile(r"=\s*[^\s\"'>]+/\Z")
-INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("html head base link meta title style script noscript template".split())
+#: Characters at which lines of a cell are wrapped, and beyond which a table's columns are not aligned.
+CELL, TABLE = 80, 400
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -79,10 +85,13 @@ def attributes(source: str) -> dict[str, str]:
 
 
 def hidden(name: str, attrs: dict[str, str]) -> bool:
-    return (
-        name in UNSEEN
-        or bool(attrs) and ("hidden" in attrs or INVISIBLE.search(attrs.get("style", "")) is not None)
-    )
+    if name in UNSEEN or name == "dialog" and "open" not in attrs:
+        return True
+    return bool(attrs) and ("hidden" in attrs or NO_DISPLAY.search(attrs.get("style", "")) is not None)
+
+
+def number(text: str, most: int) -> int | None:
+    return int(text) if text.isdecimal() and len(text) <= len(str(most)) and int(text) <= most else None
 
 
 class Page:
@@ -138,8 +147,11 @@ class Layout:
     def __init__(self) -> None:
         self.pages = [Page()]
         self.lists: list[list] = []
-        self.tables: list[list[list[tuple[str, int]]]] = []
-        self.spans: list[int] = []
+        self.tables: list[list[list[Cell]]] = []
+        self.spans: list[tuple[int, int]] = []
+        #: Of each open element that is seen: whether its text shows, and whether it is a closed
+        #: details element that still waits for its summary (1) or has had it (2).
+        self.state: list[list] = [[True, 0]]
         self.unseen = 0
         self.pre = 0
         #: Open svg and math elements, and what shows text in them.
@@ -150,9 +162,17 @@ class Layout:
         return self.pages[-1]
 
     def open(self, name: str, attrs: dict[str, str]) -> None:
-        if self.unseen or hidden(name, attrs) or self.foreign and name in UNDRAWN:
+        shows, folded = self.state[-1]
+        if self.unseen or hidden(name, attrs) or self.foreign and name in UNDRAWN or folded and (folded == 2 or name != "summary"):
             self.unseen += name not in VOID
-        elif name in FOREIGN or self.foreign and name in DRAWN:
+            return
+        if folded:
+            self.state[-1][1] = 2
+        if name not in VOID:
+            own = VISIBILITY.search(attrs["style"]) if "style" in attrs else None
+            shows = own[1].lower() == "visible" if own else shows
+            self.state.append([shows, int(name == "details" and "open" not in attrs)])
+        if name in FOREIGN or self.foreign and name in DRAWN:
             self.foreign.append(name)
             if name in DRAWN:
                 self.page.flow(" ")
@@ -167,20 +187,22 @@ class Layout:
         elif name in CELLS:
             if not self.tables[-1]:
                 self.tables[-1].append([])
-            span = attrs.get("colspan", "")
-            self.spans.append(min(max(int(span), 1), 1000) if span.isdecimal() and len(span) < 5 else 1)
+            down = number(attrs.get("rowspan", ""), 65534)
+            self.spans.append((number(attrs.get("colspan", ""), 1000) or 1, 1 if down is None else down or 65534))
             self.pages.append(Page())
         elif name in BLOCKS:
             self.page.gap(2 if name in SPACED and not (name in LISTS and self.lists) else 1)
             if name in LISTS:
-                first = attrs.get("start", "1")
-                self.lists.append([name, int(first) if first.isdecimal() and len(first) < 10 else 1, self.page.indent])
+                first = number(attrs.get("start", ""), 10**9)
+                self.lists.append([name, 1 if first is None else first, self.page.indent])
             elif name == "li":
-                self.item()
+                self.item(number(attrs.get("value", ""), 10**9))
             elif name == "pre":
                 self.pre += 1
 
-    def item(self) -> None:
+    def item(self, value: int | None) -> None:
+        if self.lists and value is not None:
+            self.lists[-1][1] = value
         ordered = self.lists and self.lists[-1][0] == "ol"
         self.page.indent = self.lists[-1][2] if self.lists else ""
         self.page.marker = f"{self.lists[-1][1]}. " if ordered else "- "
@@ -195,7 +217,9 @@ class Layout:
     def close(self, name: str) -> None:
         if self.unseen:
             self.unseen -= 1
-        elif name in FOREIGN or self.foreign and name in DRAWN:
+            return
+        self.state.pop()
+        if name in FOREIGN or self.foreign and name in DRAWN:
             self.foreign.pop()
             if name in DRAWN:
                 self.page.flow(" ")
@@ -208,7 +232,7 @@ class Layout:
             self.page.gap(2)
         elif name in CELLS:
             cell = self.pages.pop().text()
-            self.tables[-1][-1].append((cell, self.spans.pop()))
+            self.tables[-1][-1].append(Cell(cell.split("\n"), *self.spans.pop()))
         elif name in BLOCKS:
             if name == "li":
                 self.page.marker = ""
@@ -219,99 +243,157 @@ class Layout:
             self.page.gap(2 if name in SPACED and not (name in LISTS and self.lists) else 1)
 
     def text(self, text: str) -> None:
-        if not self.unseen and not (self.foreign and self.foreign[-1] == "svg"):
+        if not self.unseen and self.state[-1] == [True, 0] and not (self.foreign and self.foreign[-1] == "svg"):
             (self.page.exact if self.pre else self.page.flow)(text)
             self.indent_rest()
 
 
-def aligned(rows: list[list[tuple[str, int]]]) -> Iterator[str]:
-    """Lines of a table: each column as wide as its widest cell, cells of several lines side by side.
-    A cell over several columns takes their room and widens none."""
-    widths: Counter[int] = Counter()
-    cells = [[(text.split("\n"), span) for text, span in row] for row in rows]
-    for row in cells:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                widths[at] = max(widths[at], *map(len, lines))
-            at += span
-    for row in cells:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            at, line = 0, []
-            for lines, span in row:
-                room = sum(widths[c] for c in range(at, at + span)) + 3 * (span - 1)
-                line.append((lines[k] if k < len(lines) else "").ljust(room))
-                at += span
-            yield " | ".join(line).rstrip(" ")
+def wrapped(lines: list[str]) -> list[str]:
+    """Lines cut at spaces so that none is longer than CELL, but for longer words."""
+    out = []
+    for line in lines:
+        start = 0
+        while len(line) - start > CELL:
+            cut = line.rfind(" ", start + 1, start + CELL + 1)
+            cut = cut if cut > 0 else line.find(" ", start + CELL)
+            if cut < 0:
+                break
+            out.append(line[start:cut])
+            start = cut + 1
+        out.append(line[start:])
+    return out
+
+
+@dataclass
+class Cell:
+    lines: list[str]
+    across: int
+    down: int
+
+
+def in_columns(rows: list[list[Cell]]) -> list[list[tuple[int, Cell]]]:
+    """Each row's cells with their columns, past those that cells of rows above reach down into."""
+    taken: dict[int, int] = {}
+    out = []
+    for row in rows:
+        at, placed = 0, []
+        for cell in row:
+            while taken.get(at, 0):
+                at += 1
+            placed.append((at, cell))
+            at += cell.across
+        taken = {c: n - 1 for c, n in taken.items() if n > 1}
+        for at, cell in placed:
+            if cell.down > 1:
+                # What a cell over very many columns reaches into counts as far as there are cells.
+                taken.update(dict.fromkeys(range(at, at + min(cell.across, len(row))), cell.down - 1))
+        out.append(placed)
+    return out
+
+
+def aligned(rows: list[list[Cell]]) -> Iterator[str]:
+    """Lines of a table: each column as wide as its widest cell, cells of several lines side by side,
+    longer lines wrapped. A cell over several columns takes their room and widens none. In a table
+    that is too wide for that, cells follow one another."""
+    widths: dict[int, int] = {}
+    placed = in_columns(rows)
+    for row in placed:
+        for at, cell in row:
+            cell.lines = wrapped(cell.lines)
+            own = max(map(len, cell.lines)) if cell.across == 1 else 0
+            widths[at] = max(widths.get(at, 0), own)
+    columns = sorted(widths)
+    total = sum(widths.values()) + 3 * len(columns)
+    if total > TABLE:
+        for row in placed:
+            yield " | ".join(" ".join(cell.lines) for _, cell in row).rstrip(" ")
+        return
+    # Where each column begins, for those that some cell begins in.
+    begins, room = {}, 0
+    for c in columns:
+        begins[c] = room
+        room += widths[c] + 3
+    for row in placed:
+        for k in range(max((len(cell.lines) for _, cell in row), default=0)):
+            line, reached = "", 0
+            for at, cell in row:
+                # Columns before it that cells from above reach into are empty here.
+                for c in columns[bisect_left(columns, reached) : bisect_right(columns, at)]:
+                    if begins[c]:
+                        line = line.ljust(begins[c] - 3) + " | "
+                line += cell.lines[k] if k < len(cell.lines) else ""
+                reached = at + cell.across
+            yield line.rstrip(" ")
 
 
 class Tree:
-    """The stack of open elements."""
+    """The stack of open elements, and the places of each name in it."""
 
     def __init__(self, layout: Layout) -> None:
         self.layout = layout
         self.stack: list[str] = []
-        self.opened: Counter[str] = Counter()
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+
+    def last(self, names: frozenset[str]) -> int:
+        """The place of the innermost open element of some names, -1 if there is none."""
+        return max((own[-1] for n in names if (own := self.places[n])), default=-1)
 
     def pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
             name = self.stack.pop()
-            self.opened[name] -= 1
+            self.places[name].pop()
             self.layout.close(name)
 
     def end(self, names: frozenset[str], scope: frozenset[str]) -> None:
         """Ends the outermost open element of `names` this side of `scope`, with all in it."""
-        if not any(self.opened[n] for n in names):
-            return
-        found = None
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth] in scope:
-                break
-            if self.stack[depth] in names:
-                found = depth
-        if found is not None:
-            self.pop_to(found)
+        stop = self.last(scope)
+        found = [own[k] for n in names if (k := bisect_right(own := self.places[n], stop)) < len(own)]
+        if found:
+            self.pop_to(min(found))
 
     def foreign(self) -> int | None:
         """The depth of the svg or math element whose content is read now, None in HTML."""
-        if self.opened["svg"] or self.opened["math"]:
-            for depth in range(len(self.stack) - 1, -1, -1):
-                if self.stack[depth] in FOREIGN:
-                    return depth
-                if self.stack[depth] in HTML_INSIDE:
-                    break
-        return None
+        depth = self.last(FOREIGN)
+        return depth if depth > self.last(HTML_INSIDE) else None
+
+    def text(self, text: str) -> None:
+        if text:
+            if self.stack and self.stack[-1] == "head" and not text.isspace():
+                self.pop_to(len(self.stack) - 1)
+            self.layout.text(text)
 
     def start(self, name: str, attrs: dict[str, str]) -> None:
+        if self.stack and self.stack[-1] == "head" and name not in IN_HEAD:
+            self.pop_to(len(self.stack) - 1)
+        if name == "head" and self.stack not in ([], ["html"]):
+            return
         if name in BREAKS_OUT and (depth := self.foreign()) is not None:
             self.pop_to(depth)
         if name in CELLS or name == "tr" or name in SECTIONS:
-            if not self.opened["table"]:
+            if not self.places["table"]:
                 return self.layout.text(" ")
         if name in ENDS:
             self.end(*ENDS[name])
-        if name in CLOSES_P and self.opened["p"]:
+        if name in CLOSES_P and self.places["p"]:
             self.end(frozenset(("p",)), P_SCOPE)
         if name in CELLS and self.stack[-1] != "tr":
             self.start("tr", {})
         if name not in VOID:
+            self.places[name].append(len(self.stack))
             self.stack.append(name)
-            self.opened[name] += 1
         self.layout.open(name, attrs)
 
     def finish(self, name: str) -> None:
         if name == "br":
             return self.start("br", {})
-        if name == "p" and not self.opened["p"]:
+        if name == "p" and not self.places["p"]:
             self.start("p", {})
-        if self.opened[name]:
+        if self.places[name]:
             # A cell keeps what is open outside it, unless its own table or row ends.
-            scope = frozenset() if name in CELLS | SECTIONS | {"table", "tr", "body", "html"} else CELLS
-            for depth in range(len(self.stack) - 1, -1, -1):
-                if self.stack[depth] == name:
-                    return self.pop_to(depth)
-                if self.stack[depth] in scope:
-                    return None
+            outer = name in CELLS | SECTIONS | {"table", "tr", "body", "html"}
+            depth = self.places[name][-1]
+            if outer or self.last(CELLS) < depth:
+                self.pop_to(depth)
         return None
 
 
@@ -321,11 +403,11 @@ def visible_text(page: str) -> str:
     at = 0
     while token := TOKEN.search(page, at):
         if token.start() > at:
-            layout.text(html.unescape(page[at : token.start()]))
+            tree.text(html.unescape(page[at : token.start()]))
         at = token.end()
         if not token["name"]:
             if token[0].startswith("<![CDATA[") and tree.foreign() is not None:
-                layout.text(token[0][9:].removesuffix("]]>"))
+                tree.text(token[0][9:].removesuffix("]]>"))
             continue
         name = token["name"].lower()
         if token["end"]:
@@ -344,16 +426,21 @@ def visible_text(page: str) -> str:
             close = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, at)
             stop = close.start() if close else len(page)
             if name not in UNSEEN:
-                layout.text(html.unescape(page[at:stop]))
+                tree.text(html.unescape(page[at:stop]))
             at = stop
-    layout.text(html.unescape(page[at:]))
+    tree.text(html.unescape(page[at:]))
     tree.pop_to(0)
     return layout.page.text()
 
 
 def extract(pages: DataFrame, key: str = "page_id", source: str = "html") -> DataFrame:
     """For each page its key and `text`; a NULL page has a NULL text, one without text an empty one.
-    Map-only, and a row for each given row."""
+    Map-only, and a row for each given row.
+
+    Style sheets are not read, only `hidden` and `style` of an element. Lines of table cells wrap at
+    CELL characters, and a table wider than TABLE has its cells one after the other, so that a text
+    is never much longer than its page. A reversed list counts upwards.
+    """
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
