@@ -5,8 +5,10 @@ Layout: one table ``<name>__versions`` partitioned by batch, status and bucket,
 buckets of its keys, as partitions of batch *n*; all other rows are appended to bucket -1 and never
 joined again: the versions the batch closed, and rows without a key, which nothing can close. When
 some batches have come together, their rows in bucket -1 are folded into bucket -2, so that
-partitions do not pile up. Replacing the view then publishes all of it at once, and its properties
-record which batch of which checkpoint it shows, and at which batch it was folded.
+partitions do not pile up. A batch that finds another number of buckets declared rewrites them all.
+Replacing the view then publishes all of it at once, and its properties
+record which batch of which checkpoint it shows, at which batch it was folded, and how many buckets it has
+since which batch.
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ BATCH_MARK = "strata.batch"
 STREAM_MARK = "strata.stream"
 BUCKETS_MARK = "strata.buckets"
 FOLD_MARK = "strata.folded"
+SPLIT_MARK = "strata.split"
 NO_BATCH = -1
 FINAL = -1
 FOLDED = -2
@@ -56,8 +59,8 @@ class DimensionSpec:
     """A dimension fed by a bronze table. ``clean`` prepares the business columns.
 
     A batch rewrites the active versions in the buckets of its keys. One bucket suits dimensions
-    whose batches touch keys all over; a large one with narrow batches takes some hundred. The
-    number must not change later.
+    whose batches touch keys all over; a large one with narrow batches takes some hundred. As it
+    grows, declare more: the next batch with rows deals its active versions anew, a copy of them all.
 
     ``files_per_batch`` has a say in the outcome: an active key that comes twice within one batch
     is refused, in two batches it makes two versions.
@@ -92,8 +95,9 @@ class Copies:
 
     batches: dict[int, list[int]]
 
-    def newest(self, bucket: int, batch_id: int) -> int | None:
-        return max((b for b in self.batches.get(bucket, []) if b <= batch_id), default=None)
+    def newest(self, bucket: int, batch_id: int, since: int = NO_BATCH) -> int | None:
+        """The last batch that wrote a bucket, of those since the buckets are as many as they are."""
+        return max((b for b in self.batches.get(bucket, []) if since <= b <= batch_id), default=None)
 
 
 def stored_partitions(spark: SparkSession, dim: DimensionSpec, spec: str = "") -> list[tuple[int, str, int]]:
@@ -129,12 +133,12 @@ def bucket_copies(spark: SparkSession, dim: DimensionSpec) -> dict[int, list[int
     return {bucket: batches for bucket, batches in found.items() if bucket >= 0}
 
 
-def current_buckets(dim: DimensionSpec, copies: Copies, batch_id: int, buckets: Iterable[int]) -> str:
+def current_buckets(copies: Copies, batch_id: int, buckets: Iterable[int], since: int) -> str:
     """SQL that picks the copies of the buckets that are current at a batch; plain comparisons,
     which a metastore can prune by."""
     by_batch = defaultdict(list)
     for bucket in buckets:
-        newest = copies.newest(bucket, batch_id)
+        newest = copies.newest(bucket, batch_id, since)
         if newest is not None:
             by_batch[newest].append(str(bucket))
     picks = [f"({BATCH_ID} = {b} AND {BUCKET} IN ({', '.join(own)}))" for b, own in sorted(by_batch.items())]
@@ -151,10 +155,11 @@ def publish(spark: SparkSession, dim: DimensionSpec, batch_id: int, marks: dict[
     columns = ", ".join(quoted(f.name) for f in as_schema(dim.schema))
     copies = copies_of(stored_partitions(spark, dim))
     folded = int(marks.get(FOLD_MARK, NO_BATCH))
-    active = current_buckets(dim, copies, batch_id, range(dim.buckets))
+    buckets, since = int(marks.get(BUCKETS_MARK, dim.buckets)), int(marks.get(SPLIT_MARK, NO_BATCH))
+    active = current_buckets(copies, batch_id, range(buckets), since)
     query = f"SELECT {columns} FROM {dim.versions} WHERE {history(folded, batch_id)} OR {active}"
-    own = {BATCH_MARK: str(batch_id), BUCKETS_MARK: str(dim.buckets), FOLD_MARK: str(folded)}
-    publish_view(spark, dim.table, query, {**marks, **own})
+    own = {BATCH_MARK: batch_id, BUCKETS_MARK: buckets, FOLD_MARK: folded, SPLIT_MARK: since}
+    publish_view(spark, dim.table, query, {**marks, **{mark: str(value) for mark, value in own.items()}})
 
 
 def create_dimension(spark: SparkSession, dim: DimensionSpec) -> None:
@@ -182,15 +187,14 @@ def merge_batch(
             f"{dim.table} was built from another checkpoint; merging from a new one would "
             "deliver every row again"
         )
-    if marks[BUCKETS_MARK] != str(dim.buckets):
-        raise ValueError(f"{dim.table} has {marks[BUCKETS_MARK]} buckets, not {dim.buckets}")
     if batch_id <= committed:
         return
     if committed == NO_BATCH and batch_id > 0 and STREAM_MARK not in marks:
         raise RuntimeError(f"{dim.table} is empty but its checkpoint is at batch {batch_id}")
     folded = int(marks.get(FOLD_MARK, NO_BATCH))
+    buckets, since = int(marks[BUCKETS_MARK]), int(marks.get(SPLIT_MARK, NO_BATCH))
     if batch.isEmpty():
-        publish(spark, dim, committed, {STREAM_MARK: stream, FOLD_MARK: str(folded)})
+        publish(spark, dim, committed, {**marks, STREAM_MARK: stream})
         return
 
     drop_partitions(spark, dim, stored_partitions(spark, dim, f"{BATCH_ID} = {batch_id}"))
@@ -204,14 +208,18 @@ def merge_batch(
             # At most one row per bucket; this also fills the cache, so its size is known.
             touched = [row[0] for row in delivered.select(dim.bucket("_key0")).distinct().collect()]
             copies = copies_of(stored_partitions(spark, dim))
-            active = stored.filter(f"{STATUS} = '{ACTIVE}'").filter(current_buckets(dim, copies, committed, touched))
+            # Where the number changes, every active version moves, with this batch's.
+            read = touched if buckets == dim.buckets else range(buckets)
+            active = stored.filter(f"{STATUS} = '{ACTIVE}'").filter(current_buckets(copies, committed, read, since))
             merged = scd2_merge(active.drop(BATCH_ID, BUCKET), batch, [dim.key], effective_date, delivered)
             write_versions(dim, merged, batch_id)
         finally:
             delivered.unpersist()
     now_folded = fold(spark, dim, folded, batch_id)
-    publish(spark, dim, batch_id, {STREAM_MARK: stream, FOLD_MARK: str(now_folded)})
-    drop_superseded(spark, dim, folded, now_folded)
+    now_since = since if buckets == dim.buckets else batch_id
+    own = {STREAM_MARK: stream, FOLD_MARK: now_folded, BUCKETS_MARK: dim.buckets, SPLIT_MARK: now_since}
+    publish(spark, dim, batch_id, {mark: str(value) for mark, value in own.items()})
+    drop_superseded(spark, dim, folded, now_folded, batch_id, now_since)
 
 
 def fold(spark: SparkSession, dim: DimensionSpec, folded: int, batch_id: int) -> int:
@@ -241,8 +249,11 @@ def write_versions(dim: DimensionSpec, versions: DataFrame, batch_id: int) -> No
         overwrite_partitions(rows.select(*spark.table(dim.versions).columns), dim.versions)
 
 
-def drop_superseded(spark: SparkSession, dim: DimensionSpec, folded: int, now_folded: int) -> None:
-    """Drops copies of buckets that no reader of the last ``keep`` versions needs.
+def drop_superseded(
+    spark: SparkSession, dim: DimensionSpec, folded: int, now_folded: int, batch_id: int, since: int
+) -> None:
+    """Drops copies of buckets that no reader of the last ``keep`` versions needs, also those from
+    before the buckets became as many as they are.
 
     Rows folded just now stay where they were until the next fold, for the same readers.
     """
@@ -252,6 +263,8 @@ def drop_superseded(spark: SparkSession, dim: DimensionSpec, folded: int, now_fo
     def needed(batch: int, bucket: int) -> bool:
         if bucket == FINAL:
             return batch > folded or now_folded == folded == NO_BATCH
+        if bucket >= 0 and batch < since <= batch_id - dim.keep:
+            return False
         return batch in copies[bucket][-(dim.keep + 1) :]
 
     drop_partitions(spark, dim, [p for p in partitions if not needed(p[0], p[2])])

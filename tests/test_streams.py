@@ -415,13 +415,50 @@ def test_lost_checkpoint_is_refused(spark, dim):
     assert bag(spark.table(dim.table), "*") == AFTER_FIRST
 
 
-def test_other_number_of_buckets_is_refused(spark, dim):
+def with_buckets(dim, buckets):
+    return DimensionSpec(**{**vars(dim), "buckets": buckets})
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_buckets_are_split_and_merged_within_a_batch(spark, dim, buckets):
     deliver(spark, dim, FIRST, D1)
-    other = DimensionSpec(**{**vars(dim), "buckets": 7})
-    with pytest.raises(Exception, match="buckets, not 7"):
-        deliver(spark, other, SECOND, D2)
-    deliver(spark, dim, [], D2)
+    other = with_buckets(dim, buckets)
+    deliver(spark, other, [], D2)
+    assert bag(spark.table(dim.table), "*") == AFTER_FIRST
+    before = spark.table(dim.table)
+    deliver(spark, other, SECOND, D2)
     assert bag(spark.table(dim.table), "*") == AFTER_SECOND
+    assert bag(before, "*") == AFTER_FIRST
+    # Not delivered, and in a bucket of its own number all the same.
+    deliver(spark, other, [("b", 5)], D3)
+    assert bag(spark.table(dim.table).filter("k = 'b'"), "v", "status") == Counter([(1, "i"), (5, "a")])
+    deliver(spark, other, [("z", 1)], D3)
+    wanted = {r[0] for r in spark.table(dim.table).filter("status = 'a' AND k IS NOT NULL").select(other.bucket()).collect()}
+    assert dimensions.bucket_copies(spark, other).keys() == wanted
+
+
+@pytest.mark.parametrize(("name", "after"), [("overwrite_partitions", False), ("overwrite_partitions", True), ("publish_view", False), ("publish_view", True)])
+def test_crash_while_splitting(spark, config, monkeypatch, name, after):
+    dim = DimensionSpec(
+        config.table("bronze", "d"), config.table("silver", "d"), DIM_SCHEMA, "k",
+        config.checkpoint("silver", "d"), "d silver", buckets=16,
+    )
+    rows = [(str(i), 0) for i in range(500)]
+    deliver(spark, dim, rows, D1)
+    other = with_buckets(dim, 64)
+    bronze(spark, dim.source, [("7", 1), ("new", 1)], IN_SCHEMA, D2)
+    crash_once(monkeypatch, dimensions, name, after)
+    with pytest.raises(Exception, match="crash"):
+        merge_dimension(spark, other, D2)
+    if not (name == "publish_view" and after):
+        assert spark.table(dim.table).count() == 500
+    merge_dimension(spark, other, D2)
+    merge_dimension(spark, other, D3)
+    table = spark.table(dim.table)
+    assert table.filter("status = 'a'").count() == 501 and table.count() == 502
+    assert bag(table.filter("k = '7'"), "v", "start_date", "end_date", "status") == Counter([(0, D1, D2, "i"), (1, D2, None, "a")])
+    deliver(spark, other, [("8", 1)], D3)
+    assert len(dimensions.bucket_copies(spark, other)) == 64 and spark.table(dim.table).count() == 503
 
 
 def test_lost_table_is_refused(spark, dim):
