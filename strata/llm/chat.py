@@ -24,8 +24,8 @@ VALUE = rf'(?=")((?:"{INSIDE}"{BLANK}:{BLANK})?+)(?:("){INSIDE}("))?+'
 ALIKE = rf"(\{{[^{{}}\[\]]*+\}})(?:{BLANK},{BLANK}\1)++"
 #: Reads what the parser of variants reads, and texts of any length.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
-#: Bytes of a shape beyond which one that cannot be parsed is an error.
-LOUD = 16_000_000
+#: Bytes of a shape that no variant holds; beyond them it is an error, whatever it says.
+MOST = 1 << 27
 MARKED = r"(?s)<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n"
 
 
@@ -103,9 +103,8 @@ def shape(record: Column) -> Column:
 
 
 def parsed(shape: Column) -> Column:
-    """The variant of a shape, NULL if it is not JSON. A variant holds 128 MiB, so of a shape that may
-    not fit, a failure is an error."""
-    return F.when(F.octet_length(shape) > LOUD, F.parse_json(shape)).otherwise(F.try_parse_json(shape))
+    """The variant of a shape, NULL if it is not JSON, of whatever size up to MOST."""
+    return F.when(F.octet_length(shape) > MOST, F.parse_json(shape)).otherwise(F.try_parse_json(shape))
 
 
 def canonical(records: DataFrame, record: str, layouts: Mapping[str, Fields | Messages] = LAYOUTS) -> DataFrame:
@@ -113,16 +112,18 @@ def canonical(records: DataFrame, record: str, layouts: Mapping[str, Fields | Me
 
     A NULL record, one that is not JSON, or one with undeclared fields has neither. NULL texts and
     roles of declared layouts are empty. The layout is chosen by the record without its texts; these
-    are read as strings, which may be of any length. The given columns must not be named layout or turns.
+    are read as strings, which may be of any length. Columns called layout or turns are replaced, all
+    others stay. A record whose text outside of strings is over MOST bytes is an error.
     """
-    out = records.withColumn("_shape", shape(F.col(record)))
-    out = out.withColumn("_paths", fingerprint(field_paths(parsed(F.col("_shape")))))
+    held, paths = unused(records, "_shape"), unused(records, "_paths")
+    out = records.withColumn(held, shape(F.col(record)))
+    out = out.withColumn(paths, fingerprint(field_paths(parsed(F.col(held)))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
     for name, mapping in layouts.items():
-        known = reduce(or_, [F.col("_paths") == fingerprint(F.lit(p)) for p in mapping.paths()])
+        known = reduce(or_, [F.col(paths) == fingerprint(F.lit(p)) for p in mapping.paths()])
         layout = F.when(known, F.lit(name)).otherwise(layout)
     out = out.withColumn("layout", layout)
-    reads = {name: f"_read_{k}" for k, name in enumerate(layouts)}
+    reads = {name: unused(records, f"_read_{k}") for k, name in enumerate(layouts)}
     out = out.withColumns(
         {
             reads[name]: F.when(F.col("layout") == name, F.from_json(F.col(record), mapping.schema(), STRICT))
@@ -131,7 +132,15 @@ def canonical(records: DataFrame, record: str, layouts: Mapping[str, Fields | Me
     )
     for name, mapping in layouts.items():
         turns = F.when(F.col("layout") == name, mapping.turns(F.col(reads[name])).cast(TURN)).otherwise(turns)
-    return out.withColumn("turns", turns).drop("_shape", "_paths", *reads.values())
+    return out.withColumn("turns", turns).drop(held, paths, *reads.values())
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """A column name that the rows do not have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def pattern(escaped: bool) -> str:
@@ -195,5 +204,6 @@ def read_turns(text: Column) -> Column:
 
 
 def format_records(records: DataFrame, record: str) -> DataFrame:
-    """Adds layout, turns and `segments` to the rows; NULL segments where no layout is known."""
+    """Adds layout, turns and `segments` to the rows, or replaces them; NULL segments where no layout is
+    known."""
     return canonical(records, record).withColumn("segments", segments(F.col("turns")))

@@ -57,6 +57,21 @@ def test_texts_and_lists_of_any_length(spark):
     assert found["messages"] == ("messages", [10_000_000] * 14, sha("b" * 10_000_000))
 
 
+def test_bad_records_of_any_size_have_no_layout(spark):
+    """One rule below and above what was once a bound of 16 MB; a good record beside them keeps its own."""
+    bad = ["{" + "x" * n for n in (10, 17_000_000)] + ["[" + "1," * n for n in (10, 9_000_000)]
+    found = sorted(chat.canonical(records(spark, [*bad, {"prompt": "p", "response": "r"}]), "record").select("id", "layout", "turns").collect())
+    assert [r.layout for r in found] == [None] * 4 + ["prompt"] and [r.turns for r in found[:4]] == [None] * 4
+
+
+def test_columns_called_like_helpers_stay(spark):
+    row = [(1, '{"prompt":"p","response":"r"}', "s", "p", 7, 8, "old")]
+    docs = spark.createDataFrame(row, "id int, record string, _shape string, _paths string, _read_0 int, __read_0 int, layout string")
+    (found,) = chat.format_records(docs, "record").collect()
+    assert (found["_shape"], found["_paths"], found["_read_0"], found["__read_0"], found["layout"]) == ("s", "p", 7, 8, "prompt")
+    assert set(found.asDict()) == {*docs.columns, "turns", "segments"}
+
+
 def test_shapes(spark):
     items = {
         '{"prompt" : "a\\"b", "response":"c: {"}': '{"prompt" : "", "response":""}',
