@@ -19,7 +19,7 @@ from strata.llm.common import map_batches, written
 #: What ends a piece; a word that no text has, since it ends pieces.
 MARKS, END = r"[.,;:!?\x0A-\x0D]+", "."
 #: Bytes of text whose graph a task holds at a time, and whose grams, spread over all, a bucket holds.
-TOGETHER, PER_BUCKET = 4 << 20, 12 << 20
+TOGETHER, PER_BUCKET = 4 << 20, 5 << 20
 
 
 @dataclass(frozen=True)
