@@ -273,12 +273,13 @@ def mine(docs: DataFrame, params: Params = Params(), most: int = 2000, lang: str
     cuts = cuts.withColumns({"aa": F.lit(1000000).cast("decimal(7,0)") * (exact("a") * exact("a")), "lr": exact("l") * exact("r")})
     cuts = cuts.withColumn("score", F.expr("aa div lr"))
     best = cuts.groupBy("lang", "gram", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = (
-        best.select("lang", F.col("gram").alias("phrase"), "a", "best.l", "best.r", "best.score")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= most)
-    )
+    # A language's phrases are ranked in parts first, so that no task has all of them.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    first = best.select("lang", F.col("gram").alias("phrase"), "a", "best.l", "best.r", "best.score")
+    for own in (("lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*own).orderBy(*order))
+        first = first.withColumn("rank", rank).where(F.col("rank") <= most)
     total = found.where("k = 0").select("lang", F.col("f").alias("n"))
     placed = compact(found, params.longest)
     sizes = placed.groupBy("lang", "path").agg((F.count("*") + params.longest - 1).alias("path_words"))
