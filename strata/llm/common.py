@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata import session
 from strata.session import map_batches
 
-__all__ = ["crc32_of", "draw", "map_batches", "remembered", "shared_folder", "table", "written"]
+__all__ = ["bucketed", "crc32_of", "draw", "map_batches", "remembered", "shared_folder", "table", "written"]
 
 T = TypeVar("T")
 
@@ -42,18 +42,38 @@ def remembered(operator: str, make: Callable[[], T]) -> T:
 ROWS_AT_A_TIME = 1000
 
 
+def few_rows(spark: SparkSession) -> dict[str, str]:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = int(spark.conf.get(key))
+    return {key: str(ROWS_AT_A_TIME if own <= 0 else min(own, ROWS_AT_A_TIME))}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    own = int(spark.conf.get(key))
-    few = ROWS_AT_A_TIME if own <= 0 else min(own, ROWS_AT_A_TIME)
-    with session.session_conf(spark, {key: str(few)}):
+    with session.session_conf(spark, few_rows(spark)):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """`written`, in buckets by `key`: groups and joins by it need no shuffle of these rows. The
+    catalog knows the table only until it is read."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}"
+    known = f"llm_{name}_{uuid4().hex}"
+    with session.session_conf(spark, few_rows(spark)):
+        df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(known, format="parquet")
+    try:
+        rows = spark.table(known)
+        rows.schema  # noqa: B018 (resolves the table)
+        return rows
+    finally:
+        # An external table: its files stay.
+        spark.sql(f"DROP TABLE {known}")
+
+
 def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string"))
 

@@ -3,6 +3,9 @@
 Texts are cut into words where no piece can cross. The distinct words of all texts get a lattice:
 their substrings of bounded length are joined to the piece table, the edges grouped by word, and
 the best path is folded from them. Texts are then put together from the paths of their words.
+
+Words travel once, packed by chunk of text and hash bucket; from there on numbers stand for them.
+Tables that are met by the same key again are bucketed by it, so that they need no shuffle.
 """
 
 from __future__ import annotations
@@ -13,25 +16,34 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import map_batches, written
-from strata.session import session_conf
+from strata.llm.common import bucketed, map_batches, written
+from strata.session import INITIAL_PARTITIONS, session_conf
 
 SPACE = "▁"
 #: How far an unknown character's score lies below that of any piece (fixed value of the format).
 UNKNOWN_PENALTY = 10.0
 #: Words of text, in bytes of their places, that share a dictionary.
 CHUNK = 32_000_000
+#: Bytes of text for each hash bucket of words.
+PER_BUCKET = 4_000_000
+#: Characters of a word that begin in one stretch of it.
+STRETCH = 64
+#: Texts that are packed together.
+TOGETHER = 1000
+#: Entries of a list that an inner fold runs over.
+INNER = 256
 
-
-#: Distinct words whose lattices a task holds at a time.
-WORDS_TOGETHER = 20_000
 HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+AUTO_BUCKETED = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+#: The most buckets a table may have, by Spark's default.
+MOST_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -118,125 +130,166 @@ def load(path: str) -> Vocabulary:
     )
 
 
-def edges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, edge): each substring of a word that is a piece, and each single unknown character."""
+def edges(stretches: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(bucket, number, edge) from the stretches (bucket, number, base, word) of words: each substring
+    that is a piece, and each single unknown character, whose id is -1 less its code point."""
     n, longest = F.length("word"), vocabulary.longest
-    # A long word is cut into characters once, a short one needs no array.
-    letters = F.when(n > 64, F.split("word", ""))
-    text = F.when(F.col("letters").isNull(), F.substring("word", F.col("start") + 1, F.col("size"))).otherwise(
-        F.array_join(F.slice("letters", F.col("start") + 1, F.col("size")), "")
-    )
-    starts = words.where(n > 0).select("word", letters.alias("letters"), F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    starts = stretches.withColumn("start", F.explode(F.sequence(F.lit(0), F.least(n, F.lit(STRETCH)) - 1)))
     sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("size")
-    cut = starts.select("*", sizes).select("word", "start", "size", text.alias("spelled"))
+    cut = starts.select("bucket", "number", "base", "word", "start", sizes).select(
+        "bucket",
+        "number",
+        (F.col("base") + F.col("start")).alias("start"),
+        "size",
+        F.substring("word", F.col("start") + 1, F.col("size")).alias("spelled"),
+    )
     # The piece table is the model's vocabulary, a file of fixed size.
     met = cut.join(F.broadcast(pieces), F.col("spelled") == F.col("piece"), "left")
     known = F.col("id").isNotNull()
     return met.where(known | (F.col("size") == 1)).select(
-        "word",
+        "bucket",
+        "number",
         F.struct(
             (F.col("start") + F.col("size")).alias("end"),
             "start",
             F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"),
-            F.coalesce("id", F.lit(-1)).alias("id"),
+            F.coalesce("id", -1 - F.ascii("spelled")).alias("id"),
         ).alias("edge"),
     )
 
 
-def best_paths(lattice: DataFrame) -> DataFrame:
-    """(word, path): the edges (start, id) of the path with the largest sum of scores, in order; of
-    equal ones that with the longer last piece, as the reference encoders choose."""
-    grouped = lattice.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    # Forward: the best score and the incoming edge of every position, one edge after the other.
-    start = F.expr(
-        "named_struct('scores', array(0D), 'back', cast(array() as array<struct<start:int,id:int>>),"
-        " 'at', 1, 'best', cast(null as double), 'edge', cast(null as struct<start:int,id:int>))"
-    )
+def best_paths(lattice: DataFrame, longest: int) -> DataFrame:
+    """(bucket, number, path): the ids on the path with the largest sum of scores, in order; of equal
+    ones that with the longer last piece, as the reference encoders choose.
 
+    A fold copies its state at each step. It runs over blocks of entries, and inside a block it
+    remembers the scores of the last `longest` positions and the block's own back pointers only.
+    """
+    grouped = lattice.groupBy("bucket", "number").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    edge_type = "struct<start:int,id:int>"
+    none = F.expr(f"cast(array() as array<{edge_type}>)")
+
+    # Forward: the best score and the incoming edge of every position, one edge after the other.
     def step(state: Column, edge: Column) -> Column:
-        on = edge["end"] > state["at"]
-        scores = F.when(on, F.array_append(state["scores"], state["best"])).otherwise(state["scores"])
-        back = F.when(on, F.array_append(state["back"], state["edge"])).otherwise(state["back"])
-        before = F.when(on & (edge["start"] == state["at"]), state["best"]).otherwise(F.get(state["scores"], edge["start"]))
-        total = before + edge["score"]
-        better = on | state["best"].isNull() | (total > state["best"])
+        at, scores = state["at"], state["scores"]
+        before = F.when(edge["start"] == at, state["best"]).otherwise(F.element_at(scores, edge["start"] - at))
+        seen = F.array(F.struct((edge["end"] > at).alias("on"), (before + edge["score"]).alias("total")))
+        return F.aggregate(seen, state, lambda s, x: moved(s, x["on"], x["total"], edge))
+
+    def moved(state: Column, on: Column, total: Column, edge: Column) -> Column:
+        best, scores = state["best"], state["scores"]
+        better = on | (total > best)
+        longer = F.array_append(scores, best)
+        kept = F.when(F.size(scores) >= longest, F.slice(longer, 2, longest)).otherwise(longer)
         return F.struct(
-            scores.alias("scores"),
-            back.alias("back"),
+            F.when(on, kept).otherwise(scores).alias("scores"),
+            F.when(on, F.array_append(state["back"], state["edge"])).otherwise(state["back"]).alias("back"),
             edge["end"].alias("at"),
-            F.when(better, total).otherwise(state["best"]).alias("best"),
+            F.when(better, total).otherwise(best).alias("best"),
             F.when(better, F.struct(edge["start"].alias("start"), edge["id"].alias("id"))).otherwise(state["edge"]).alias("edge"),
         )
 
-    folded = F.aggregate("edges", start, step, lambda s: F.array_append(s["back"], s["edge"]))
+    start = F.expr(
+        f"named_struct('full', cast(array() as array<array<{edge_type}>>), 'scores', array(0D), 'at', 1,"
+        f" 'best', double('-Infinity'), 'edge', cast(null as {edge_type}))"
+    )
+
+    def some_edges(state: Column, block: Column) -> Column:
+        own = F.struct(state["scores"].alias("scores"), none.alias("back"), *(state[c].alias(c) for c in ("at", "best", "edge")))
+        rest = ("scores", "at", "best", "edge")
+        done = F.array(F.aggregate(block, own, step))
+        return F.aggregate(
+            done, state, lambda s, x: F.struct(F.array_append(s["full"], x["back"]).alias("full"), *(x[c].alias(c) for c in rest))
+        )
+
+    def all_back(s: Column) -> Column:
+        return F.flatten(F.array_append(s["full"], F.array(s["edge"])))
+
+    folded = F.aggregate(blocks("edges"), start, some_edges, all_back)
 
     # Backward: from the last position along the incoming edges.
-    def follow(state: Column, at: Column) -> Column:
-        here = at == state["at"]
-        edge = F.get(F.col("back"), at - 1)
+    def follow(state: Column, edge: Column) -> Column:
+        here = edge["end"] == state["at"]
         return F.struct(
             F.when(here, edge["start"]).otherwise(state["at"]).alias("at"),
-            F.when(here, F.array_append(state["path"], edge)).otherwise(state["path"]).alias("path"),
+            F.when(here, F.array_append(state["path"], edge["id"])).otherwise(state["path"]).alias("path"),
+        )
+
+    def some_back(state: Column, block: Column) -> Column:
+        done = F.array(F.aggregate(block, F.struct(state["at"].alias("at"), F.expr("cast(array() as array<int>)").alias("path")), follow))
+        return F.aggregate(
+            done, state, lambda s, x: F.struct(x["at"].alias("at"), F.array_append(s["full"], x["path"]).alias("full"))
         )
 
-    end = F.struct(F.size("back").alias("at"), F.expr("cast(array() as array<struct<start:int,id:int>>)").alias("path"))
-    positions = F.sequence(F.size("back"), F.lit(1))
-    path = F.aggregate(positions, end, follow, lambda s: F.reverse(s["path"]))
-    return grouped.select("word", folded.alias("back")).select("word", path.alias("path"))
+    end = F.struct(F.size("ended").alias("at"), F.expr("cast(array() as array<array<int>>)").alias("full"))
+    ended = F.reverse(F.transform("back", lambda e, k: F.struct((k + 1).alias("end"), e["start"].alias("start"), e["id"].alias("id"))))
+    path = F.aggregate(blocks("ended"), end, some_back, lambda s: F.reverse(F.flatten(s["full"])))
+    found = grouped.select("bucket", "number", folded.alias("back")).select("bucket", "number", ended.alias("ended"))
+    return found.select("bucket", "number", path.alias("path"))
 
 
-def ids_of(vocabulary: Vocabulary) -> Column:
-    """Ids of the path: an unknown character gives those of its bytes, or else the unknown id."""
+def blocks(column: str) -> Column:
+    """The entries of a list that is not empty, in lists of `INNER`."""
+    firsts = F.sequence(F.lit(0), F.floor((F.size(column) - 1) / INNER).cast("int"))
+    return F.transform(firsts, lambda k: F.slice(column, k * INNER + 1, F.lit(INNER)))
 
-    def unknown(start: Column) -> Column:
-        if not vocabulary.byte_ids:
-            return F.array(F.lit(vocabulary.unknown_id))
-        code = F.hex(F.substring("word", start + 1, F.lit(1)).cast("binary"))
-        table = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
-        return F.transform(
-            F.sequence(F.lit(1), F.length(code) - 1, F.lit(2)),
-            lambda k: F.get(table, F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")),
-        )
 
-    return F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(unknown(e["start"]))))
+def pack(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, a plane of bytes after the other, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor().compress(planes.tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
 
+def pack_words(words: list[str]) -> tuple[bytes, bytes]:
+    spelled = [w.encode() for w in words]
+    sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+    return pack(sizes), zstandard.ZstdCompressor().compress(b"".join(spelled))
 
-def lexicon(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, ids) for distinct words."""
-    pieces = vocabulary.rows(words.sparkSession)
-    paths = best_paths(edges(words, pieces, vocabulary))
-    return paths.select("word", ids_of(vocabulary).alias("ids"))
 
+def unpack_words(sizes: bytes, data: bytes) -> list[str]:
+    ends = np.cumsum(unpack(sizes).astype(np.int64)).tolist()
+    spelled = zstandard.ZstdDecompressor().decompress(data)
+    return [spelled[i:j].decode() for i, j in zip([0, *ends], ends, strict=False)]
 
-def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> DataFrame:
-    """The documents by chunks of one task's texts: a row with the chunk's distinct words, and rows
-    with the places of a text's words in that list, packed and compressed."""
+
+def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, buckets: int, most: int) -> DataFrame:
+    """The documents by chunks of one task's texts, in rows of three kinds: the keys of some texts,
+    how many words each has and the words' places in the chunk's list; the words of the list that
+    fall into one bucket; and the buckets of the whole list, by which these are put together again."""
     kind = docs.schema[key].dataType.simpleString()
     cutter = vocabulary.cutter()
+    names = ["chunk", "keys", "counts", "places", "bucket", "sizes", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, chunk, size = TaskContext.get().partitionId(), 0, 0
+        first, size = TaskContext.get().partitionId() << 32, 0
+        chunk = first
         places: dict[str, int] = {}
-        press = zstandard.ZstdCompressor()
-
-        def distinct(key_type: pa.DataType) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()),
-                    pa.array([chunk], pa.int32()),
-                    pa.nulls(1, key_type),
-                    pa.array([list(places)], pa.list_(pa.string())),
-                    pa.array([None], pa.binary()),
-                ],
-                ["part", "chunk", "key", "words", "places"],
-            )
-
-        key_type = None
+        types: list[pa.DataType] = []
+
+        def rows(*columns: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+        def distinct() -> Iterator[pa.RecordBatch]:
+            words = np.array(list(places), object)
+            at = np.fromiter((xxhash.xxh32_intdigest(w.encode()) % buckets for w in places), np.int64, len(places))
+            yield rows([chunk], [None], [None], [pack(at)], [None], [None], [None])
+            order = np.argsort(at, kind="stable")
+            starts = np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))
+            for i, j in zip(starts, [*starts[1:], len(order)], strict=True):
+                sizes, data = pack_words(words[order[i:j]].tolist())
+                yield rows([chunk], [None], [None], [None], [int(at[order[i]])], [sizes], [data])
+
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for piece in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
-                if size > CHUNK:
-                    yield distinct(key_type)
+            types = [pa.int64(), pa.list_(key_type), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+            for piece in (batch.slice(k, TOGETHER) for k in range(0, batch.num_rows, TOGETHER)):
+                if size > most:
+                    yield from distinct()
                     chunk, size = chunk + 1, 0
                     places.clear()
                 words = cutter.words(piece.column(1))
@@ -244,72 +297,163 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> D
                 place = [places.setdefault(w, len(places)) for w in coded.dictionary.to_pylist()]
                 at = np.array(place, "<u4")[coded.indices.to_numpy()] if len(place) else np.zeros(0, "<u4")
                 size += at.nbytes
-                bounds = words.offsets.to_numpy()
-                packed = [press.compress(at[i:j].tobytes()) for i, j in zip(bounds, bounds[1:], strict=False)]
-                n = len(packed)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part] * n, pa.int32()),
-                        pa.array([chunk] * n, pa.int32()),
-                        piece.column(0),
-                        pa.nulls(n, pa.list_(pa.string())),
-                        pa.array(packed, pa.binary()),
-                    ],
-                    ["part", "chunk", "key", "words", "places"],
-                )
+                keys = pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), piece.column(0))
+                yield rows([chunk], keys, [pack(np.diff(words.offsets.to_numpy()))], [pack(at)], [None], [None], [None])
         if places:
-            yield distinct(key_type)
+            yield from distinct()
 
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return map_batches(given, run, f"part int, chunk int, key {kind}, words array<string>, places binary")
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    schema = f"chunk long, keys array<{kind}>, counts binary, places binary, bucket int, sizes binary, words binary"
+    return map_batches(given, run, schema)
+
+
+def numbered(lists: DataFrame, longest: int) -> DataFrame:
+    """The lists (chunk, bucket, sizes, words) bucket by bucket: a number for each distinct word, with
+    its stretches (number, base, word), and for each list the numbers of its words.
+
+    A stretch has up to `STRETCH` characters that pieces may begin with, and what they may end with.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        known: dict[str, int] = {}
+        packed = []
+        for sizes, words in zip(group["sizes"], group["words"], strict=True):
+            found = [known.setdefault(w, len(known)) for w in unpack_words(sizes.as_py(), words.as_py())]
+            packed.append(pack(np.array(found, np.uint32)))
+        if max(map(len, known)) <= STRETCH:
+            number, base, word = list(range(len(known))), [0] * len(known), list(known)
+        else:
+            cuts = [(i, k, w[k : k + STRETCH + longest - 1]) for w, i in known.items() for k in range(0, len(w), STRETCH)]
+            number, base, word = map(list, zip(*cuts, strict=True))
+        n, m = len(number), len(packed)
+        return pa.table({
+            "bucket": pa.array([group["bucket"][0].as_py()] * (n + m), pa.int32()),
+            "number": pa.array(number + [None] * m, pa.int32()),
+            "base": pa.array(base + [None] * m, pa.int32()),
+            "word": pa.array(word + [None] * m, pa.string()),
+            "chunk": pa.concat_arrays([pa.nulls(n, pa.int64()), *group["chunk"].chunks]),
+            "numbers": pa.array([None] * n + packed, pa.binary()),
+        })
+
+    schema = "bucket int, number int, base int, word string, chunk long, numbers binary"
+    return lists.groupBy("bucket").applyInArrow(run, schema)
+
+
+def lists_of(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists at the places `at` of those that lie one after the other in `flat`, and their sizes."""
+    starts, n = np.cumsum(sizes) - sizes, sizes[at]
+    # For each entry its place in the flat list: its list's start and the steps since.
+    steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return flat[np.repeat(starts[at], n) + steps], n
+
+
+def with_bytes(flat: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of paths, where an unknown character gives those of its bytes, or else the unknown id."""
+    unknown = np.flatnonzero(flat < 0)
+    if not len(unknown):
+        return flat, sizes
+    if not vocabulary.byte_ids:
+        return np.where(flat < 0, vocabulary.unknown_id, flat), sizes
+    table = np.array(vocabulary.byte_ids)
+    spelled = {c: table[np.frombuffer(chr(-1 - c).encode("utf-8", "surrogatepass"), np.uint8)] for c in np.unique(flat[unknown]).tolist()}
+    n = np.ones(len(flat), np.int64)
+    n[unknown] = [len(spelled[c]) for c in flat[unknown].tolist()]
+    out = np.repeat(flat, n)
+    ends = np.cumsum(n)
+    for k in unknown.tolist():
+        out[ends[k] - n[k] : ends[k]] = spelled[int(flat[k])]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return out, np.bincount(owner, n, len(sizes)).astype(np.int64)
+
+
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    key: str = "doc_id",
+    text: str = "text",
+    per_bucket: int = PER_BUCKET,
+    chunk: int = CHUNK,
+) -> DataFrame:
     """(key, ids): the ids of each whole text as little-endian unsigned 32-bit numbers, a row for
-    each given row. A NULL or empty text has none."""
-    cut = written(cut_words(docs, vocabulary, key, text), "words")
-    chunk = ["part", "chunk"]
-    listed = cut.where("words IS NOT NULL").select(*chunk, F.posexplode("words").alias("place", "word"))
-    distinct = written(listed.select("word").distinct(), "distinct")
-    # So few words to a partition that their edges are grouped in memory, without a sort.
-    parts = max(1, -(-distinct.count() // WORDS_TOGETHER))
-    with session_conf(docs.sparkSession, {HASHED: str(10 * WORDS_TOGETHER)}):
-        paths = written(lexicon(distinct.repartition(parts, "word"), vocabulary), "lexicon")
-    found = listed.join(paths, "word").select(*chunk, "place", "ids")
+    each given row, also if its key is NULL or repeats. A NULL or empty text has none. Other columns
+    take no part, whatever their names."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = 1 + size // per_bucket
+    wide = max(int(spark.conf.get(k, None) or 1) for k in ("spark.sql.shuffle.partitions", INITIAL_PARTITIONS))
+    cut = bucketed(cut_words(docs, vocabulary, key, text, buckets, chunk), "words", "chunk", min(wide, MOST_BUCKETS))
+    lists = cut.where("bucket IS NOT NULL").select("chunk", "bucket", "sizes", "words")
+    words = bucketed(numbered(lists, vocabulary.longest), "numbers", "bucket", min(buckets, MOST_BUCKETS))
+
+    def spell(paths: pa.Table, lists: pa.Table) -> pa.Table:
+        order = np.argsort(paths["number"].to_numpy())
+        listed = paths["path"].combine_chunks()
+        flat = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, sizes = with_bytes(*lists_of(flat, sizes, order), vocabulary)
+        found = [lists_of(flat, sizes, unpack(packed.as_py())) for packed in lists["numbers"]]
+        return pa.table({
+            "chunk": lists["chunk"],
+            "bucket": lists["b"],
+            "counts": pa.array([pack(n) for _, n in found], pa.binary()),
+            "ids": pa.array([pack(ids) for ids, _ in found], pa.binary()),
+        })
+
+    # So few words to a bucket that their edges are grouped in memory, without a sort.
+    with session_conf(spark, {HASHED: str(PER_BUCKET), AUTO_BUCKETED: "false"}):
+        stretches = words.where("word IS NOT NULL").select("bucket", "number", "base", "word")
+        paths = best_paths(edges(stretches, vocabulary.rows(spark), vocabulary), vocabulary.longest)
+        used = words.where("numbers IS NOT NULL").select(F.col("bucket").alias("b"), "chunk", "numbers")
+        spelled = paths.groupBy("bucket").cogroup(used.groupBy("b"))
+        found = written(spelled.applyInArrow(spell, "chunk long, bucket int, counts binary, ids binary"), "paths")
+
     kind = docs.schema[key].dataType.simpleString()
 
     def put_together(texts: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("place")
-        lists = words["ids"].combine_chunks()
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        out, press = [], zstandard.ZstdDecompressor()
-        for packed in texts["places"]:
-            at = np.frombuffer(press.decompress(packed.as_py()), "<u4")
-            n = sizes[at]
-            # For each id its place in the flat list: its word's start and the steps since.
-            steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out.append(flat[np.repeat(starts[at], n) + steps].tobytes())
-        return pa.table({"key": texts["key"], "ids": pa.array(out, pa.binary())})
-
-    texts = cut.where("places IS NOT NULL").select(F.col("part").alias("p"), F.col("chunk").alias("c"), "key", "places")
-    joined = texts.groupBy("p", "c").cogroup(found.groupBy(*chunk)).applyInArrow(put_together, f"key {kind}, ids binary")
+        # The words of each bucket are in the order of the list, whose buckets are a row without keys.
+        is_list = pc.is_null(texts["keys"])
+        packed = texts.filter(is_list)["places"].to_pylist()
+        words = words.sort_by("bucket")
+        parts = [unpack(c.as_py()) for c in words["counts"]]
+        sizes = np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, "<u4"), *(unpack(c.as_py()) for c in words["ids"])]).astype("<u4")
+        place = np.empty(len(sizes), np.int64)
+        place[np.argsort(unpack(packed[0]) if packed else place, kind="stable")] = np.arange(len(sizes))
+        texts = texts.filter(pc.invert(is_list))
+        keys, out = texts["keys"].combine_chunks().flatten(), []
+        for counts, places in zip(texts["counts"], texts["places"], strict=True):
+            ids, n = lists_of(flat, sizes, place[unpack(places.as_py())])
+            # Where each text ends, in words and then in ids.
+            ends = np.cumsum(unpack(counts.as_py()).astype(np.int64))
+            bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])].tolist()
+            out += [ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False)]
+        return pa.table({"key": keys, "ids": pa.array(out, pa.binary())})
+
+    texts = cut.where("bucket IS NULL").select(F.col("chunk").alias("c"), "keys", "counts", "places")
+    joined = texts.groupBy("c").cogroup(found.groupBy("chunk")).applyInArrow(put_together, f"key {kind}, ids binary")
     return joined.withColumnRenamed("key", key)
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
-    """Adds `text`: pieces put together, bytes as UTF-8, space marks as spaces but the first."""
+def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text") -> DataFrame:
+    """Adds `text`: pieces put together, bytes as UTF-8, space marks as spaces but the first. A column
+    of that name is replaced. NULL has the empty text."""
     spelled = {i: p.replace(SPACE, " ").encode() for p, i, _ in vocabulary.pieces}
     spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
-    schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
+    table = pa.array([spelled.get(i, b" \xe2\x81\x87 ") for i in range(max(spelled) + 2)], pa.large_binary())
+    kept = [f for f in encoded.schema.fields if f.name != text]
+    names = [f.name for f in kept]
+    schema = T.StructType([*kept, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (given.slice(k, 500) for given in batches for k in range(0, given.num_rows, 500)):
-            texts = []
-            for packed in batch.column(ids):
-                data = b"".join(spelled.get(i, b" \xe2\x81\x87 ") for i in np.frombuffer(packed.as_py() or b"", "<u4").tolist())
-                texts.append(data.decode("utf-8", "replace").removeprefix(" "))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+        for batch in (given.slice(k, 100) for given in batches for k in range(0, given.num_rows, 100)):
+            packed = [p.as_py() or b"" for p in batch.column(ids)]
+            at = np.minimum(np.frombuffer(b"".join(packed), "<u4"), len(table) - 1)
+            found = table.take(pa.array(at))
+            # The bytes of each text lie one after the other.
+            places = np.frombuffer(found.buffers()[1], np.int64, len(at) + 1)
+            data = found.buffers()[2].to_pybytes() if len(at) else b""
+            ends = places[np.cumsum([0, *(len(p) // 4 for p in packed)])].tolist()
+            texts = [data[i:j].decode("utf-8", "replace").removeprefix(" ") for i, j in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, text])
 
     return map_batches(encoded, run, schema)

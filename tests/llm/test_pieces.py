@@ -1,12 +1,14 @@
 """The lattice against a plain Viterbi, the library's own unigram encoder, and round trips."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from strata.llm import pieces
 from strata.llm.queries import QUERIES
@@ -70,6 +72,50 @@ def test_random_texts(spark, vocabulary):
     assert {i: ids for i, (ids, _) in found.items()} == {i: viterbi(t, vocabulary) for i, t in enumerate(texts + texts[:5])}
 
 
+def test_many_chunks_and_buckets(spark, vocabulary):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abehint ,.é\n▁中") for _ in range(rng.randrange(80))) for _ in range(2500)]
+    texts[7] = texts[1200] = None
+    docs = spark.createDataFrame([(i % 2400, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    found = pieces.encode(docs, vocabulary, per_bucket=20_000, chunk=1000).collect()
+    assert sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in found) == sorted(
+        (i % 2400, viterbi(t, vocabulary)) for i, t in enumerate(texts)
+    )
+
+
+def test_long_words(spark, vocabulary):
+    rng = random.Random(4)
+    sizes = [63, 64, 65, 78, 79, 80, 128, 129, 255, 256, 257, 511, 513, 4000]
+    texts = ["".join(rng.choice("abehinté中") for _ in range(n)) for n in sizes] + ["e" * 3000, "中" * 1000]
+    found = encoded(spark, vocabulary, texts)
+    assert {i: ids for i, (ids, _) in found.items()} == {i: viterbi(t, vocabulary) for i, t in enumerate(texts)}
+
+
+def test_time_grows_as_a_word_does(spark, vocabulary):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(200_000))
+    began = time.monotonic()
+    found = encoded(spark, vocabulary, [text])
+    assert time.monotonic() - began < 60
+    assert found[0][0] == viterbi(text, vocabulary) and found[0][1] == text
+
+
+def test_rows_without_key_and_columns_of_that_name(spark, vocabulary):
+    rows = [(None, "a b", 1), (None, "c", 2), (3, None, 3), (3, "", 4), (3, "d", 5)]
+    docs = spark.createDataFrame(rows, "chunk long, text string, bucket long")
+    found = pieces.encode(docs, vocabulary, "chunk", "text")
+    back = pieces.decode(found.withColumn("text", F.lit(7)), vocabulary)
+    assert back.columns == ["chunk", "ids", "text"]
+    assert sorted(((r.chunk or 0), r.text) for r in back.collect()) == [(0, "a b"), (0, "c"), (3, ""), (3, ""), (3, "d")]
+
+
+def test_numbers_and_words_are_packed_and_unpacked():
+    for numbers in ([], [0], [1, 2**32 - 1, 256, 65536]):
+        assert pieces.unpack(pieces.pack(np.array(numbers, np.int64))).tolist() == numbers
+    for words in ([], ["a"], ["▁中", "\n", "𐍈x"]):
+        assert pieces.unpack_words(*pieces.pack_words(words)) == words
+
+
 def test_words_cover_the_text_and_no_piece_crosses_them(vocabulary):
     texts = [*TEXTS, "a\ufdd0 b,c", ",,a,,", "▁▁ ▁a▁"]
     words = vocabulary.cutter().words(pa.array(texts)).to_pylist()
