@@ -30,13 +30,16 @@ def marked(text):
     return "▁" + text.replace(" ", "▁") if text else ""
 
 
-def viterbi(text, vocabulary):
-    best = {p: (s, i) for p, i, s in vocabulary.pieces}
+def viterbi(text, vocabulary, tables={}):  # noqa: B006 (one table for each vocabulary)
+    if id(vocabulary) not in tables:
+        scores = {p: (s, i) for p, i, s in vocabulary.pieces}
+        tables[id(vocabulary)] = scores, vocabulary.longest, vocabulary.unknown_score
+    best, longest, unknown_score = tables[id(vocabulary)]
     s, score, back = marked(text), [0.0], [None]
     for end in range(1, len(s) + 1):
         options = []
-        for start in range(max(0, end - vocabulary.longest), end):
-            found = best.get(s[start:end]) or ((vocabulary.unknown_score, -1) if end - start == 1 else None)
+        for start in range(max(0, end - longest), end):
+            found = best.get(s[start:end]) or ((unknown_score, -1) if end - start == 1 else None)
             if found:
                 options.append((score[start] + found[0], -start, found[1]))
         top = max(options)
