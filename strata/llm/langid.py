@@ -155,7 +155,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 
 def keep(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents, all columns, whose language is determined with a score of `least` or more."""
+    """The documents, all columns, whose language is determined with a score of `least` or more. NULL
+    texts and those without a letter are undetermined and go."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -197,7 +197,8 @@ def shift_of(zeros: int, ones: int, shares: dict[tuple, int], k: int) -> float:
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each document its key, a column p_<category> for each category, and `toxic`: whether the
-    last category's probability reaches the threshold. Map-only; whole texts."""
+    last category's probability reaches the threshold. Map-only; whole texts. NULL and empty texts
+    and those without a letter have probability 0."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the weights that are not zero
     chain, bits, least = model.params.chain, model.params.bits, model.params.threshold
     kind = docs.schema[key].dataType.simpleString()
@@ -220,7 +221,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 
 def keep(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents, all columns, that are not toxic."""
+    """The documents, all columns, that are not toxic. A NULL or empty text, or one without a letter,
+    has probability 0 and stays."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at, bits, least = docs.columns.index(text), model.params.bits, model.params.threshold
 
