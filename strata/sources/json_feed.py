@@ -1,8 +1,9 @@
 """JSON lines to typed rows with a rescue column.
 
-Most lines are plain objects, which patterns of the JVM take apart as they are spelled. Only the
-others, with escapes, white space inside nested values, arrays of records, repeated names or what is
-no JSON, go to a decoder in Python.
+Most lines are plain objects, which patterns of the JVM take apart as they are spelled: one pattern
+those of nothing but scalars under names of the schema, others and Spark's parser the rest. Only what
+is left, with escapes, white space inside nested values, arrays of records, repeated names or what
+is no JSON, goes to a decoder in Python.
 """
 
 from __future__ import annotations
@@ -212,6 +213,39 @@ def written_exactly(kind: DataType) -> bool:
     return not isinstance(kind, MapType) or isinstance(kind.keyType, StringType) and written_exactly(kind.valueType)
 
 
+#: Stands between the values of a flat record while it is taken apart; no plain text holds it.
+SEPARATOR = "\u0001"
+
+
+def flat_names(schema: StructType) -> list[str]:
+    """The columns that a flat record may have: no nested ones, and none whose name has to be escaped."""
+    return [f.name for f in schema if not isinstance(f.dataType, NESTED) and re.fullmatch(PLAIN, f.name)]
+
+
+def with_flat_values(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Adds ``flat``, the values under ``names`` as they are spelled, texts with their quotes and ''
+    for those not there, of a line that has no other members, none twice, and no white space between
+    them; else NULL. One match both tells and takes apart."""
+    line = F.col("value")
+    if not names:
+        return lines.withColumn("flat", F.lit(None).cast("array<string>"))
+    members = "|".join(rf'"{literal_pattern(n)}":("{PLAIN}"|{SHORT_NUMBER}|true|false)' for n in names)
+    record = rf'\A\{{(?:(?:{members})(?:,(?=")|(?=\}}\z)))++\}}\z'
+    values = SEPARATOR + SEPARATOR.join(f"${i + 1}" for i in range(len(names)))
+    taken = F.regexp_replace(line, F.lit(record), F.lit(values))
+    found = lines.withColumn("flat", F.when(line.startswith("{") & F.is_valid_utf8(line), taken))
+    # What is no such record still begins as it did.
+    found = found.withColumn("flat", F.when(F.col("flat").startswith(SEPARATOR), F.split(F.substr("flat", F.lit(2)), SEPARATOR)))
+    # A name that repeats has one value. A text that begins with a colon counts as a member more.
+    members = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('":'), F.lit("")))) / 2
+    there = sum((F.when(F.col("flat")[i] == "", 0).otherwise(1) for i in range(len(names))), F.lit(0))
+    return found.withColumn("flat", F.when(members == there, F.col("flat")))
+
+
+def literal_pattern(text: str) -> str:
+    return "".join(c if c.isalnum() or c in "_ " else f"\\x{{{ord(c):x}}}" for c in text)
+
+
 def with_plain_fields(lines: DataFrame, nested: dict[str, DataType]) -> DataFrame:
     """Adds ``plain``, the fields of a line that is a plain record without repeated names, as the
     decoder would give them; else NULL. The value of a nested column must come out as it went in."""
@@ -264,9 +298,9 @@ def decoded(nested: dict[str, DataType]) -> object:
 
 
 def parsed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Rows of ``value``, ``source_file`` as records: ``fields``, ``unfit``, the nested columns that do
-    not hold their value, and ``corrupt``, a line that is no record. One pass: a plain line is NULL to
-    the decoder."""
+    """Rows of ``value``, ``source_file`` as records: ``flat``, the values of a flat one; of others
+    ``fields``, ``unfit``, the nested columns that do not hold their value, and ``corrupt``, a line that
+    is no record. One pass: a flat line is NULL to Spark's parser, and a plain one to the decoder."""
     worker_environment(lines.sparkSession)
     nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
     plain = F.array(
@@ -277,10 +311,13 @@ def parsed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
         )
     )
     hard: Column = F.when(F.col("plain").isNull(), F.col("value").cast("binary"))
-    rows = with_plain_fields(lines.filter(F.length(F.trim("value")) > 0), nested)
+    rows = with_flat_values(lines.filter(F.length(F.trim("value")) > 0), flat_names(schema))
+    rows = rows.withColumn("value", F.when(F.col("flat").isNull(), F.col("value")))
+    rows = with_plain_fields(rows, nested)
     rows = rows.withColumn("decoded", decoded(nested)(hard))
-    found = F.when(F.col("plain").isNotNull(), plain).otherwise(F.col("decoded"))
-    return rows.select(SOURCE_FILE, F.inline(found))
+    # A flat record has its values beside it, and a record of nothing in the list.
+    found = F.when(F.col("flat").isNotNull() | F.col("plain").isNotNull(), plain).otherwise(F.col("decoded"))
+    return rows.select(SOURCE_FILE, "flat", F.inline(found))
 
 
 def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
@@ -292,9 +329,15 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """
     nested = {f.name for f in schema if isinstance(f.dataType, NESTED)}
     parsed = parsed_lines(lines, schema)
+    places = {name: i for i, name in enumerate(flat_names(schema))}
 
     def raw(name: str) -> str:
-        return f"fields[{quoted_text(name)}]"
+        field = f"fields[{quoted_text(name)}]"
+        if name not in places:
+            return field
+        value = f"flat[{places[name]}]"
+        flat = f"IF({value} = '', NULL, trim(BOTH '\"' FROM {value}))"
+        return f"IF(flat IS NULL, {field}, {flat})"
 
     def kept(field: StructField) -> str | None:
         return f"NOT array_contains(unfit, {quoted_text(field.name)})" if field.name in nested else None
@@ -306,6 +349,6 @@ def parse_json_lines(lines: DataFrame, schema: StructType) -> DataFrame:
         schema,
         raw,
         extras=f"coalesce({unknown}, {as_map({CORRUPT: 'corrupt'})})",
-        found="size(fields)",
+        found="IF(flat IS NULL, size(fields), size(filter(flat, value -> value <> '')))",
         kept=kept,
     )

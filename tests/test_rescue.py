@@ -282,6 +282,35 @@ def test_plain_lines_do_not_reach_the_decoder(spark):
         assert all(json_feed.fits(nested[name], v) for name, v in record if name in nested)
 
 
+FLAT = [
+    '{"a":1,"b":"x"}', '{"b":"x, y}","a":-15}', '{"b":""}', '{"b":true}', '{"b":"null","a":"7"}', '{"d":12,"é \U0001d4b3":"z"}', '{"b":"' + "x" * 200_000 + '"}',
+]
+NOT_FLAT = [
+    '{}', '{"a":1,"a":1}', '{"a":1,"q":2}', '{"a":1.5}', '{"a": 1}', '{"a":1,}', '{"a":1', '{"a":1}}', '{"a":1{"b":2}', '{"a":1"b":"x"}', '{"a":01}',
+    '{"b":null}', '{"b":":5"}', '{"c":"x"}', '{"b":"\\u00e9"}', '\u0001"x"\u0001\u0001', '[{"a":1}]', '{"b":{"k":1}}', '{"b":"x"}\u0001',
+]
+
+
+def test_flat_lines_are_taken_apart_by_one_pattern(spark):
+    """What is flat has the values that the decoder would have given, and nothing else is flat."""
+    names = ["a", "b", "d", "é \U0001d4b3"]
+    schema = StructType.fromDDL(f"a BIGINT, b STRING, c STRUCT<x: BIGINT>, d DECIMAL(10,2), `{names[3]}` STRING, `q\"` STRING")
+    assert json_feed.flat_names(schema) == names
+    lines = spark.createDataFrame([(k, line, f"{k}") for k, line in enumerate(FLAT + NOT_FLAT)], "k int, value string, source_file string")
+    flat = {r.k: r.flat for r in json_feed.with_flat_values(lines, names).collect()}
+    assert {k for k, values in flat.items() if values is not None} == set(range(len(FLAT)))
+    for k, line in enumerate(FLAT):
+        (record,) = json_feed.records(line)
+        assert {n: v.strip('"') for n, v in zip(names, flat[k], strict=True) if v} == {n: json_feed.text_of(v) for n, v in record}
+    rows = {int(r.source_file): r for r in parse_json_lines(lines, schema).collect() if r.source_file != "26"}
+    assert (rows[0].a, rows[1].a, rows[2].b, rows[3].b, rows[4].a, rows[5].d) == (1, -15, "", "true", 7, 12)
+    assert all(rows[k]._rescued_data is None for k in range(len(FLAT)))
+    # A scalar that its column does not hold is rescued from a flat line as well.
+    odd = spark.createDataFrame([('{"a":"soon","b":"x"}', "f")], "value string, source_file string")
+    row = parse_json_lines(odd, schema).first()
+    assert (row.a, row.b, json.loads(row._rescued_data)) == (None, "x", {"a": "soon", "_file_path": "f"})
+
+
 @given(
     st.recursive(
         st.one_of(st.none(), st.booleans(), st.integers(), st.floats(allow_nan=False, allow_infinity=False), st.text(max_size=5)),
