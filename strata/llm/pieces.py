@@ -1,8 +1,8 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
 Texts are cut into words where no piece can cross. The distinct words of all texts get a lattice:
-their substrings of bounded length are joined to the piece table, the edges grouped by word, and
-the best path is folded from them. Texts are then put together from the paths of their words.
+their substrings of bounded length are joined to the piece table, the edges grouped by bucket of
+words, and the best paths of a bucket found together. Texts are then put together from the paths of their words.
 
 Words travel once, packed by chunk of text and hash bucket; from there on numbers stand for them.
 Tables that are met by the same key again are bucketed by it, so that they need no shuffle.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,7 @@ PER_BUCKET = 4_000_000
 STRETCH = 64
 #: Texts that are packed together.
 TOGETHER = 1000
-#: Entries of a list that an inner fold runs over.
-INNER = 256
 
-HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 AUTO_BUCKETED = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 #: The most buckets a table may have, by Spark's default.
 MOST_BUCKETS = 100_000
@@ -62,8 +60,16 @@ class Vocabulary:
     def unknown_score(self) -> float:
         return min(s for _, _, s in self.pieces) - UNKNOWN_PENALTY
 
+    @cached_property
+    def scores(self) -> np.ndarray:
+        """The score of each piece, by id."""
+        found = np.zeros(max(i for _, i, _ in self.pieces) + 1)
+        for _, i, score in self.pieces:
+            found[i] = score
+        return found
+
     def rows(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.pieces), "piece string, id int, score double")
+        return spark.createDataFrame([(p, i) for p, i, _ in self.pieces], "piece string, id int")
 
     def cutter(self) -> Cutter:
         """A text may be cut before a space mark, around control characters and between a letter and
@@ -96,8 +102,15 @@ class Cutter:
         begun = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(SPACE, texts, ""))
         cut = pc.replace_substring(begun, " ", SPACE)
         plain = pc.invert(pc.match_substring(cut, SEPARATOR))
+        if self.spaces:
+            # Where no mark follows another, each but the first has a cut before it, without a pattern.
+            single = pc.and_(plain, pc.invert(pc.match_substring(cut, SPACE + SPACE)))
+            other = pc.replace_substring_regex(cut.filter(pc.invert(single)), f"([^{SPACE}])({SPACE})", rf"\1{SEPARATOR}\2")
+            inner = pc.replace_substring(pc.utf8_slice_codeunits(cut, 1), SPACE, SEPARATOR + SPACE)
+            first = pc.utf8_slice_codeunits(cut, 0, 1)
+            spaced = pc.binary_join_element_wise(first, inner, "")
+            cut = pc.if_else(plain, pc.replace_with_mask(spaced, pc.invert(single), other), cut)
         for wanted, pattern, spelled in (
-            (self.spaces, f"([^{SPACE}])({SPACE})", rf"\1{SEPARATOR}\2"),
             (self.marks, rf"(\pL)([{self.marks}])", rf"\1{SEPARATOR}\2"),
             (self.controls, f"([{self.controls}])", rf"{SEPARATOR}\1{SEPARATOR}"),
         ):
@@ -131,8 +144,9 @@ def load(path: str) -> Vocabulary:
 
 
 def edges(stretches: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(bucket, number, edge) from the stretches (bucket, number, base, word) of words: each substring
-    that is a piece, and each single unknown character, whose id is -1 less its code point."""
+    """(bucket, at, piece) from the stretches (bucket, number, base, word) of words: each substring that
+    is a piece, and each single unknown character, whose id is -1 less its code point. `at` is a pair of
+    the word's number and the start, `piece` one of size and id; rows are many and therefore narrow."""
     n, longest = F.length("word"), vocabulary.longest
     starts = stretches.withColumn("start", F.explode(F.sequence(F.lit(0), F.least(n, F.lit(STRETCH)) - 1)))
     sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("size")
@@ -146,92 +160,62 @@ def edges(stretches: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> Da
     # The piece table is the model's vocabulary, a file of fixed size.
     met = cut.join(F.broadcast(pieces), F.col("spelled") == F.col("piece"), "left")
     known = F.col("id").isNotNull()
-    return met.where(known | (F.col("size") == 1)).select(
-        "bucket",
-        "number",
-        F.struct(
-            (F.col("start") + F.col("size")).alias("end"),
-            "start",
-            F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"),
-            F.coalesce("id", -1 - F.ascii("spelled")).alias("id"),
-        ).alias("edge"),
-    )
-
-
-def best_paths(lattice: DataFrame, longest: int) -> DataFrame:
-    """(bucket, number, path): the ids on the path with the largest sum of scores, in order; of equal
-    ones that with the longer last piece, as the reference encoders choose.
-
-    A fold copies its state at each step. It runs over blocks of entries, and inside a block it
-    remembers the scores of the last `longest` positions and the block's own back pointers only.
-    """
-    grouped = lattice.groupBy("bucket", "number").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    edge_type = "struct<start:int,id:int>"
-    none = F.expr(f"cast(array() as array<{edge_type}>)")
-
-    # Forward: the best score and the incoming edge of every position, one edge after the other.
-    def step(state: Column, edge: Column) -> Column:
-        at, scores = state["at"], state["scores"]
-        before = F.when(edge["start"] == at, state["best"]).otherwise(F.element_at(scores, edge["start"] - at))
-        seen = F.array(F.struct((edge["end"] > at).alias("on"), (before + edge["score"]).alias("total")))
-        return F.aggregate(seen, state, lambda s, x: moved(s, x["on"], x["total"], edge))
-
-    def moved(state: Column, on: Column, total: Column, edge: Column) -> Column:
-        best, scores = state["best"], state["scores"]
-        better = on | (total > best)
-        longer = F.array_append(scores, best)
-        kept = F.when(F.size(scores) >= longest, F.slice(longer, 2, longest)).otherwise(longer)
-        return F.struct(
-            F.when(on, kept).otherwise(scores).alias("scores"),
-            F.when(on, F.array_append(state["back"], state["edge"])).otherwise(state["back"]).alias("back"),
-            edge["end"].alias("at"),
-            F.when(better, total).otherwise(best).alias("best"),
-            F.when(better, F.struct(edge["start"].alias("start"), edge["id"].alias("id"))).otherwise(state["edge"]).alias("edge"),
-        )
-
-    start = F.expr(
-        f"named_struct('full', cast(array() as array<array<{edge_type}>>), 'scores', array(0D), 'at', 1,"
-        f" 'best', double('-Infinity'), 'edge', cast(null as {edge_type}))"
-    )
-
-    def some_edges(state: Column, block: Column) -> Column:
-        own = F.struct(state["scores"].alias("scores"), none.alias("back"), *(state[c].alias(c) for c in ("at", "best", "edge")))
-        rest = ("scores", "at", "best", "edge")
-        done = F.array(F.aggregate(block, own, step))
-        return F.aggregate(
-            done, state, lambda s, x: F.struct(F.array_append(s["full"], x["back"]).alias("full"), *(x[c].alias(c) for c in rest))
-        )
+    ids = F.coalesce("id", -1 - F.ascii("spelled")).alias("id")
+    found = met.where(known | (F.col("size") == 1)).select("bucket", "number", "start", "size", ids)
+    return found.select("bucket", pair("number", "start").alias("at"), pair("size", "id").alias("piece"))
 
-    def all_back(s: Column) -> Column:
-        return F.flatten(F.array_append(s["full"], F.array(s["edge"])))
 
-    folded = F.aggregate(blocks("edges"), start, some_edges, all_back)
+def pair(high: str, low: str) -> Column:
+    """Two numbers of 32 bits in one of 64."""
+    return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    # Backward: from the last position along the incoming edges.
-    def follow(state: Column, edge: Column) -> Column:
-        here = edge["end"] == state["at"]
-        return F.struct(
-            F.when(here, edge["start"]).otherwise(state["at"]).alias("at"),
-            F.when(here, F.array_append(state["path"], edge["id"])).otherwise(state["path"]).alias("path"),
-        )
 
-    def some_back(state: Column, block: Column) -> Column:
-        done = F.array(F.aggregate(block, F.struct(state["at"].alias("at"), F.expr("cast(array() as array<int>)").alias("path")), follow))
-        return F.aggregate(
-            done, state, lambda s, x: F.struct(x["at"].alias("at"), F.array_append(s["full"], x["path"]).alias("full"))
-        )
+def unpaired(pairs: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    both = pairs.to_numpy().astype("<i8", copy=False).view("<i4")
+    return both[1::2], both[::2]
 
-    end = F.struct(F.size("ended").alias("at"), F.expr("cast(array() as array<array<int>>)").alias("full"))
-    ended = F.reverse(F.transform("back", lambda e, k: F.struct((k + 1).alias("end"), e["start"].alias("start"), e["id"].alias("id"))))
-    path = F.aggregate(blocks("ended"), end, some_back, lambda s: F.reverse(F.flatten(s["full"])))
-    found = grouped.select("bucket", "number", folded.alias("back")).select("bucket", "number", ended.alias("ended"))
-    return found.select("bucket", "number", path.alias("path"))
 
+def best_paths(
+    number: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, score: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids on the path with the largest sum of scores of each word, one word after the other, and
+    how many each has; of equal paths that with the longer last piece, as the reference encoders choose.
 
-def blocks(column: str) -> Column:
-    """The entries of a list that is not empty, in lists of `INNER`."""
-    firsts = F.sequence(F.lit(0), F.floor((F.size(column) - 1) / INNER).cast("int"))
-    return F.transform(firsts, lambda k: F.slice(column, k * INNER + 1, F.lit(INNER)))
+    Words have numbers from 0. All words go forward together, a position at a time, and then back.
+    """
+    end = start + size
+    length = np.zeros(number.max(initial=-1) + 1, np.int64)
+    np.maximum.at(length, number, end)
+    # The places of a word, from 0 to its length, lie one after the other.
+    base = np.cumsum(length + 1) - length - 1
+    into, places = base[number] + end, int((length + 1).sum())
+    # By position, then by place, then longer pieces first.
+    longest = int(size.max(initial=0))
+    order = np.argsort((end.astype(np.int64) * places + into) * (longest + 1) + longest - size)
+    into, ids, score, end = into[order], ids[order], score[order], end[order]
+    out = into - size[order]
+    del order
+    firsts = np.flatnonzero(np.diff(into, prepend=-1))
+    counts = np.diff(firsts, append=len(into))
+    owner = np.repeat(np.arange(len(firsts)), counts)
+    steps = np.flatnonzero(np.diff(end[firsts], prepend=-1)).tolist()
+    best, back = np.zeros(places), np.zeros(places, np.int64)
+    for i, j in zip(steps, [*steps[1:], len(firsts)], strict=False):
+        low, high = firsts[i], firsts[j] if j < len(firsts) else len(into)
+        total = best[out[low:high]] + score[low:high]
+        top = np.maximum.reduceat(total, firsts[i:j] - low)
+        hits = np.flatnonzero(total == np.repeat(top, counts[i:j])) + low
+        best[into[firsts[i:j]]] = top
+        back[into[firsts[i:j]]] = hits[np.diff(owner[hits], prepend=-1) > 0]
+
+    word, at, path = np.arange(len(length)), base + length, []
+    while len(word):
+        edge = back[at]
+        path.append((word, ids[edge]))
+        at = out[edge]
+        word, at = word[at > base[word]], at[at > base[word]]
+    words, found = (np.concatenate(x) for x in zip(*reversed(path), strict=True)) if path else (word, ids)
+    return found[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(length))
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -385,12 +369,10 @@ def encode(
     lists = cut.where("bucket IS NOT NULL").select("chunk", "bucket", "sizes", "words")
     words = bucketed(numbered(lists, vocabulary.longest), "numbers", "bucket", min(buckets, MOST_BUCKETS))
 
-    def spell(paths: pa.Table, lists: pa.Table) -> pa.Table:
-        order = np.argsort(paths["number"].to_numpy())
-        listed = paths["path"].combine_chunks()
-        flat = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat, sizes = with_bytes(*lists_of(flat, sizes, order), vocabulary)
+    def spell(lattice: pa.Table, lists: pa.Table) -> pa.Table:
+        (number, start), (size, ids) = unpaired(lattice["at"]), unpaired(lattice["piece"])
+        score = np.where(ids < 0, vocabulary.unknown_score, vocabulary.scores[np.maximum(ids, 0)])
+        flat, sizes = with_bytes(*best_paths(number, start, size, ids, score), vocabulary)
         found = [lists_of(flat, sizes, unpack(packed.as_py())) for packed in lists["numbers"]]
         return pa.table({
             "chunk": lists["chunk"],
@@ -399,12 +381,11 @@ def encode(
             "ids": pa.array([pack(ids) for ids, _ in found], pa.binary()),
         })
 
-    # So few words to a bucket that their edges are grouped in memory, without a sort.
-    with session_conf(spark, {HASHED: str(PER_BUCKET), AUTO_BUCKETED: "false"}):
+    with session_conf(spark, {AUTO_BUCKETED: "false"}):
         stretches = words.where("word IS NOT NULL").select("bucket", "number", "base", "word")
-        paths = best_paths(edges(stretches, vocabulary.rows(spark), vocabulary), vocabulary.longest)
+        lattice = edges(stretches, vocabulary.rows(spark), vocabulary)
         used = words.where("numbers IS NOT NULL").select(F.col("bucket").alias("b"), "chunk", "numbers")
-        spelled = paths.groupBy("bucket").cogroup(used.groupBy("b"))
+        spelled = lattice.groupBy("bucket").cogroup(used.groupBy("b"))
         found = written(spelled.applyInArrow(spell, "chunk long, bucket int, counts binary, ids binary"), "paths")
 
     kind = docs.schema[key].dataType.simpleString()

@@ -103,6 +103,48 @@ def test_time_grows_as_a_word_does(spark, vocabulary):
     assert found[0][0] == viterbi(text, vocabulary) and found[0][1] == text
 
 
+def lattice(vocabulary, words):
+    """The edges of words, in no order: number, start, size, id, score."""
+    known = {p: (i, s) for p, i, s in vocabulary.pieces}
+    edges, longest = [], vocabulary.longest
+    for number, word in enumerate(words):
+        for start in range(len(word)):
+            for size in range(1, min(longest, len(word) - start) + 1):
+                found = known.get(word[start : start + size])
+                if found:
+                    edges.append((number, start, size, *found))
+    random.Random(6).shuffle(edges)
+    *whole, score = (np.array(column) for column in zip(*edges, strict=True))
+    return *(np.array(column, np.int32) for column in whole), score
+
+
+def test_words_of_a_bucket_go_together(vocabulary):
+    """The best paths of 20,000 words and a long one, in a second or so of one core."""
+    rng = random.Random(7)
+    words = ["▁" + "".join(rng.choice("abehint") for _ in range(rng.randrange(1, 9))) for _ in range(20_000)] + ["abehint" * 300]
+    edges = lattice(vocabulary, words)
+    began = time.process_time()
+    ids, sizes = pieces.best_paths(*edges)
+    assert time.process_time() - began < 4
+    assert len(sizes) == len(words) and sizes.sum() == len(ids)
+    ends = np.cumsum(sizes)
+    for k in [*range(200), len(words) - 1]:
+        plain = words[k].removeprefix("▁")
+        if plain != words[k]:
+            assert ids[ends[k] - sizes[k] : ends[k]].tolist() == viterbi(plain, vocabulary)
+    spelled = {i: p for p, i, _ in vocabulary.pieces}
+    assert "".join(spelled[i] for i in ids[ends[-2] :].tolist()) == words[-1]
+
+
+def test_of_equal_paths_the_one_with_the_longer_last_piece(vocabulary):
+    # a|bc, ab|c and a|b|c add up to the same.
+    number, start, size = np.zeros(5, np.int32), np.array([0, 0, 1, 1, 2], np.int32), np.array([1, 2, 1, 2, 1], np.int32)
+    ids, score = np.array([10, 11, 12, 13, 14], np.int32), np.array([-1.0, -2.0, -1.0, -2.0, -1.0])
+    assert [x.tolist() for x in pieces.best_paths(number, start, size, ids, score)] == [[10, 13], [2]]
+    none = np.zeros(0, np.int32)
+    assert [x.tolist() for x in pieces.best_paths(none, none, none, none, np.zeros(0))] == [[], []]
+
+
 def test_rows_without_key_and_columns_of_that_name(spark, vocabulary):
     rows = [(None, "a b", 1), (None, "c", 2), (3, None, 3), (3, "", 4), (3, "d", 5)]
     docs = spark.createDataFrame(rows, "chunk long, text string, bucket long")
