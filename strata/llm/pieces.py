@@ -218,6 +218,11 @@ def best_paths(
     return found[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(length))
 
 
+def give_back() -> None:
+    """Returns what this worker has freed; it lives on, beside those of the next stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, a plane of bytes after the other, compressed."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -285,6 +290,8 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, buck
                 yield rows([chunk], keys, [pack(np.diff(words.offsets.to_numpy()))], [pack(at)], [None], [None], [None])
         if places:
             yield from distinct()
+        places.clear()
+        give_back()
 
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"chunk long, keys array<{kind}>, counts binary, places binary, bucket int, sizes binary, words binary"
@@ -370,6 +377,7 @@ def encode(
     words = bucketed(numbered(lists, vocabulary.longest), "numbers", "bucket", min(buckets, MOST_BUCKETS))
 
     def spell(lattice: pa.Table, lists: pa.Table) -> pa.Table:
+        give_back()
         (number, start), (size, ids) = unpaired(lattice["at"]), unpaired(lattice["piece"])
         score = np.where(ids < 0, vocabulary.unknown_score, vocabulary.scores[np.maximum(ids, 0)])
         flat, sizes = with_bytes(*best_paths(number, start, size, ids, score), vocabulary)
@@ -407,8 +415,11 @@ def encode(
             # Where each text ends, in words and then in ids.
             ends = np.cumsum(unpack(counts.as_py()).astype(np.int64))
             bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])].tolist()
-            out += [ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False)]
-        return pa.table({"key": keys, "ids": pa.array(out, pa.binary())})
+            block = pa.array([ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False)], pa.binary())
+            out += block.chunks if isinstance(block, pa.ChunkedArray) else [block]
+        del parts, sizes, flat, place, words, texts
+        give_back()
+        return pa.table({"key": keys, "ids": pa.chunked_array(out, pa.binary())})
 
     texts = cut.where("bucket IS NULL").select(F.col("chunk").alias("c"), "keys", "counts", "places")
     joined = texts.groupBy("c").cogroup(found.groupBy("chunk")).applyInArrow(put_together, f"key {kind}, ids binary")
