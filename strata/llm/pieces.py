@@ -25,19 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import bucketed, map_batches, written
-from strata.session import INITIAL_PARTITIONS, session_conf
+from strata.session import INITIAL_PARTITIONS, session_conf, worker_environment
 
 SPACE = "▁"
 #: How far an unknown character's score lies below that of any piece (fixed value of the format).
 UNKNOWN_PENALTY = 10.0
-#: Words of text, in bytes of their places, that share a dictionary.
+#: Texts that share a dictionary, by their bytes or those of their words' places, whichever are more.
 CHUNK = 32_000_000
 #: Bytes of text for each hash bucket of words.
 PER_BUCKET = 4_000_000
 #: Characters of a word that begin in one stretch of it.
 STRETCH = 64
 #: Texts that are packed together.
-TOGETHER = 1000
+TOGETHER = 250
 
 AUTO_BUCKETED = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 #: The most buckets a table may have, by Spark's default.
@@ -69,7 +69,9 @@ class Vocabulary:
         return found
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(p, i) for p, i, _ in self.pieces], "piece string, id int")
+        """An Arrow table needs no Python workers of its own, as a list does."""
+        pieces, ids, _ = zip(*self.pieces, strict=True)
+        return spark.createDataFrame(pa.table({"piece": pa.array(pieces, pa.string()), "id": pa.array(ids, pa.int32())}))
 
     def cutter(self) -> Cutter:
         """A text may be cut before a space mark, around control characters and between a letter and
@@ -255,6 +257,7 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, buck
     names = ["chunk", "keys", "counts", "places", "bucket", "sizes", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         first, size = TaskContext.get().partitionId() << 32, 0
         chunk = first
         places: dict[str, int] = {}
@@ -285,7 +288,7 @@ def cut_words(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, buck
                 coded = words.flatten().dictionary_encode()
                 place = [places.setdefault(w, len(places)) for w in coded.dictionary.to_pylist()]
                 at = np.array(place, "<u4")[coded.indices.to_numpy()] if len(place) else np.zeros(0, "<u4")
-                size += at.nbytes
+                size += max(at.nbytes, pc.sum(pc.binary_length(piece.column(1))).as_py() or 0)
                 keys = pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), piece.column(0))
                 yield rows([chunk], keys, [pack(np.diff(words.offsets.to_numpy()))], [pack(at)], [None], [None], [None])
         if places:
@@ -317,7 +320,7 @@ def numbered(lists: DataFrame, longest: int) -> DataFrame:
             cuts = [(i, k, w[k : k + STRETCH + longest - 1]) for w, i in known.items() for k in range(0, len(w), STRETCH)]
             number, base, word = map(list, zip(*cuts, strict=True))
         n, m = len(number), len(packed)
-        return pa.table({
+        found = pa.table({
             "bucket": pa.array([group["bucket"][0].as_py()] * (n + m), pa.int32()),
             "number": pa.array(number + [None] * m, pa.int32()),
             "base": pa.array(base + [None] * m, pa.int32()),
@@ -325,6 +328,9 @@ def numbered(lists: DataFrame, longest: int) -> DataFrame:
             "chunk": pa.concat_arrays([pa.nulls(n, pa.int64()), *group["chunk"].chunks]),
             "numbers": pa.array([None] * n + packed, pa.binary()),
         })
+        del known, packed, number, base, word
+        give_back()
+        return found
 
     schema = "bucket int, number int, base int, word string, chunk long, numbers binary"
     return lists.groupBy("bucket").applyInArrow(run, schema)
@@ -338,6 +344,15 @@ def lists_of(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.nd
     return flat[np.repeat(starts[at], n) + steps], n
 
 
+def binaries(ids: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """The bytes of the ids between bounds, without a copy unless they are more than an array's 2 GB."""
+    if 4 * bounds[-1] < 1 << 31:
+        offsets = pa.py_buffer((4 * bounds).astype(np.int32))
+        return [pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(ids)])]
+    rows = zip(bounds.tolist(), bounds[1:].tolist(), strict=False)
+    return [pa.array([ids[i:j].tobytes()], pa.binary()) for i, j in rows]
+
+
 def with_bytes(flat: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of paths, where an unknown character gives those of its bytes, or else the unknown id."""
     unknown = np.flatnonzero(flat < 0)
@@ -377,16 +392,22 @@ def encode(
     words = bucketed(numbered(lists, vocabulary.longest), "numbers", "bucket", min(buckets, MOST_BUCKETS))
 
     def spell(lattice: pa.Table, lists: pa.Table) -> pa.Table:
-        give_back()
         (number, start), (size, ids) = unpaired(lattice["at"]), unpaired(lattice["piece"])
         score = np.where(ids < 0, vocabulary.unknown_score, vocabulary.scores[np.maximum(ids, 0)])
         flat, sizes = with_bytes(*best_paths(number, start, size, ids, score), vocabulary)
-        found = [lists_of(flat, sizes, unpack(packed.as_py())) for packed in lists["numbers"]]
+        del number, start, size, ids, score
+        counts, paths = [], []
+        for packed in lists["numbers"]:
+            found, n = lists_of(flat, sizes, unpack(packed.as_py()))
+            counts.append(pack(n))
+            paths.append(pack(found))
+        del flat, sizes
+        give_back()
         return pa.table({
             "chunk": lists["chunk"],
             "bucket": lists["b"],
-            "counts": pa.array([pack(n) for _, n in found], pa.binary()),
-            "ids": pa.array([pack(ids) for ids, _ in found], pa.binary()),
+            "counts": pa.array(counts, pa.binary()),
+            "ids": pa.array(paths, pa.binary()),
         })
 
     with session_conf(spark, {AUTO_BUCKETED: "false"}):
@@ -400,6 +421,7 @@ def encode(
 
     def put_together(texts: pa.Table, words: pa.Table) -> pa.Table:
         # The words of each bucket are in the order of the list, whose buckets are a row without keys.
+        give_back()
         is_list = pc.is_null(texts["keys"])
         packed = texts.filter(is_list)["places"].to_pylist()
         words = words.sort_by("bucket")
@@ -409,17 +431,20 @@ def encode(
         place = np.empty(len(sizes), np.int64)
         place[np.argsort(unpack(packed[0]) if packed else place, kind="stable")] = np.arange(len(sizes))
         texts = texts.filter(pc.invert(is_list))
-        keys, out = texts["keys"].combine_chunks().flatten(), []
+        keys, blocks = texts["keys"].combine_chunks().flatten(), []
+        # One array for all ids, which goes back whole as it is freed; the rows are parts of it.
+        out, at = np.empty(sum(int(sizes[place[unpack(p.as_py())]].sum()) for p in texts["places"]), "<u4"), 0
         for counts, places in zip(texts["counts"], texts["places"], strict=True):
             ids, n = lists_of(flat, sizes, place[unpack(places.as_py())])
             # Where each text ends, in words and then in ids.
             ends = np.cumsum(unpack(counts.as_py()).astype(np.int64))
-            bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])].tolist()
-            block = pa.array([ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False)], pa.binary())
-            out += block.chunks if isinstance(block, pa.ChunkedArray) else [block]
+            bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])]
+            out[at : at + len(ids)] = ids
+            blocks += binaries(out[at : at + len(ids)], bounds)
+            at += len(ids)
         del parts, sizes, flat, place, words, texts
         give_back()
-        return pa.table({"key": keys, "ids": pa.chunked_array(out, pa.binary())})
+        return pa.table({"key": keys, "ids": pa.chunked_array(blocks, pa.binary())})
 
     texts = cut.where("bucket IS NULL").select(F.col("chunk").alias("c"), "keys", "counts", "places")
     joined = texts.groupBy("c").cogroup(found.groupBy("chunk")).applyInArrow(put_together, f"key {kind}, ids binary")
@@ -432,20 +457,15 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
     spelled = {i: p.replace(SPACE, " ").encode() for p, i, _ in vocabulary.pieces}
     spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
     table = pa.array([spelled.get(i, b" \xe2\x81\x87 ") for i in range(max(spelled) + 2)], pa.large_binary())
-    kept = [f for f in encoded.schema.fields if f.name != text]
-    names = [f.name for f in kept]
-    schema = T.StructType([*kept, T.StructField(text, T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (given.slice(k, 100) for given in batches for k in range(0, given.num_rows, 100)):
-            packed = [p.as_py() or b"" for p in batch.column(ids)]
-            at = np.minimum(np.frombuffer(b"".join(packed), "<u4"), len(table) - 1)
-            found = table.take(pa.array(at))
-            # The bytes of each text lie one after the other.
-            places = np.frombuffer(found.buffers()[1], np.int64, len(at) + 1)
-            data = found.buffers()[2].to_pybytes() if len(at) else b""
-            ends = places[np.cumsum([0, *(len(p) // 4 for p in packed)])].tolist()
-            texts = [data[i:j].decode("utf-8", "replace").removeprefix(" ") for i, j in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, text])
-
-    return map_batches(encoded, run, schema)
+    def spell(packed: bytes | None) -> str:
+        at = np.minimum(np.frombuffer(packed or b"", "<u4"), len(table) - 1)
+        found = table.take(pa.array(at))
+        # The bytes of the pieces lie one after the other.
+        end = int(np.frombuffer(found.buffers()[1], np.int64, len(at) + 1)[-1])
+        return found.buffers()[2].to_pybytes()[:end].decode("utf-8", "replace").removeprefix(" ") if end else ""
+
+    worker_environment(encoded.sparkSession)
+    # Rows go to the workers by the hundred. Arrow's batches, 10,000 rows unless the session says
+    # otherwise, would hold the ids of a whole task, in the JVM several times over.
+    return encoded.drop(text).withColumn(text, F.udf(spell, T.StringType(), useArrow=False)(ids))

@@ -179,6 +179,36 @@ def test_without_bytes_unknown_characters_are_unknown(spark, vocabulary):
     assert found[0][0] == [7, 7, 0]
 
 
+def test_rows_go_to_the_workers_few_at_a_time(spark, vocabulary):
+    """Arrow's batches would hold the ids of a whole task; a list of pieces would start workers of its own."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    ids = [np.array([i, 300], "<u4").tobytes() for i in range(259, 400)] + [None, b""]
+    docs = spark.createDataFrame([(i, bytes(p) if p is not None else None) for i, p in enumerate(ids)], "doc_id long, ids binary")
+    found = pieces.decode(docs, vocabulary)
+    assert "MapInArrow" not in plan(found) and "BatchEvalPython" in plan(found)
+    spelled = {i: p.replace("▁", " ") for p, i, _ in vocabulary.pieces}
+    texts = {r.doc_id: r.text for r in found.collect()}
+    assert texts == {i: (spelled[259 + i] + spelled[300]).removeprefix(" ") if p else "" for i, p in enumerate(ids)}
+    assert "ExistingRDD" not in plan(vocabulary.rows(spark))
+    assert {(r.piece, r.id) for r in vocabulary.rows(spark).collect()} == {(p, i) for p, i, _ in vocabulary.pieces}
+
+
+def test_texts_of_long_words_share_a_dictionary_by_their_bytes(spark, vocabulary):
+    texts = [f"{i}" * 1000 for i in range(100, 2100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    cut = pieces.cut_words(docs, vocabulary, "doc_id", "text", 1, 1_000_000)
+    chunks = cut.where("keys IS NOT NULL").select("chunk", F.size("keys").alias("n")).collect()
+    assert sum(r.n for r in chunks) == 2000 and len({r.chunk for r in chunks}) >= 4
+
+
+def test_ids_are_cut_into_rows():
+    ids, bounds = np.arange(10, dtype="<u4"), np.array([0, 3, 3, 10])
+    for whole in (bounds, bounds.astype(np.int32)):
+        assert [x.as_py() for a in pieces.binaries(ids, whole) for x in a] == [ids[:3].tobytes(), b"", ids[3:].tobytes()]
+
+
 def test_empty_table(spark, vocabulary):
     assert encoded(spark, vocabulary, []) == {}
 
