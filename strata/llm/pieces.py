@@ -422,19 +422,19 @@ def encode(
     def put_together(texts: pa.Table, words: pa.Table) -> pa.Table:
         # The words of each bucket are in the order of the list, whose buckets are a row without keys.
         give_back()
-        is_list = pc.is_null(texts["keys"])
-        packed = texts.filter(is_list)["places"].to_pylist()
+        rows = list(zip(texts["counts"], texts["places"], strict=True))
+        packed = [places.as_py() for counts, places in rows if not counts.is_valid]
+        rows = [(counts, places) for counts, places in rows if counts.is_valid]
         words = words.sort_by("bucket")
         parts = [unpack(c.as_py()) for c in words["counts"]]
-        sizes = np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
-        flat = np.concatenate([np.zeros(0, "<u4"), *(unpack(c.as_py()) for c in words["ids"])]).astype("<u4")
+        sizes = np.concatenate([np.zeros(0, np.int64), *parts])
+        flat = np.concatenate([np.zeros(0, "<u4"), *(unpack(c.as_py()) for c in words["ids"])])
         place = np.empty(len(sizes), np.int64)
         place[np.argsort(unpack(packed[0]) if packed else place, kind="stable")] = np.arange(len(sizes))
-        texts = texts.filter(pc.invert(is_list))
         keys, blocks = texts["keys"].combine_chunks().flatten(), []
         # One array for all ids, which goes back whole as it is freed; the rows are parts of it.
-        out, at = np.empty(sum(int(sizes[place[unpack(p.as_py())]].sum()) for p in texts["places"]), "<u4"), 0
-        for counts, places in zip(texts["counts"], texts["places"], strict=True):
+        out, at = np.empty(sum(int(sizes[place[unpack(places.as_py())]].sum()) for _, places in rows), "<u4"), 0
+        for counts, places in rows:
             ids, n = lists_of(flat, sizes, place[unpack(places.as_py())])
             # Where each text ends, in words and then in ids.
             ends = np.cumsum(unpack(counts.as_py()).astype(np.int64))
@@ -442,7 +442,7 @@ def encode(
             out[at : at + len(ids)] = ids
             blocks += binaries(out[at : at + len(ids)], bounds)
             at += len(ids)
-        del parts, sizes, flat, place, words, texts
+        del parts, sizes, flat, place, words, texts, rows, packed
         give_back()
         return pa.table({"key": keys, "ids": pa.chunked_array(blocks, pa.binary())})
 
@@ -468,4 +468,5 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
     worker_environment(encoded.sparkSession)
     # Rows go to the workers by the hundred. Arrow's batches, 10,000 rows unless the session says
     # otherwise, would hold the ids of a whole task, in the JVM several times over.
-    return encoded.drop(text).withColumn(text, F.udf(spell, T.StringType(), useArrow=False)(ids))
+    kept = [encoded[f"`{name.replace('`', '``')}`"] for name in encoded.columns if name != text]
+    return encoded.select(*kept, F.udf(spell, T.StringType(), useArrow=False)(ids).alias(text))

@@ -191,6 +191,7 @@ def test_rows_go_to_the_workers_few_at_a_time(spark, vocabulary):
     spelled = {i: p.replace("▁", " ") for p, i, _ in vocabulary.pieces}
     texts = {r.doc_id: r.text for r in found.collect()}
     assert texts == {i: (spelled[259 + i] + spelled[300]).removeprefix(" ") if p else "" for i, p in enumerate(ids)}
+    assert pieces.decode(docs, vocabulary, text="ids").columns == ["doc_id", "ids"]
     assert "ExistingRDD" not in plan(vocabulary.rows(spark))
     assert {(r.piece, r.id) for r in vocabulary.rows(spark).collect()} == {(p, i) for p, i, _ in vocabulary.pieces}
 
